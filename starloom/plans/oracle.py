@@ -126,3 +126,192 @@ LEFT JOIN status_dim s ON f.status_id = s.status_id
 LEFT JOIN turbine_dim t ON f.turbine_id = t.turbine_id
 GROUP BY f.turbine_id, t.turbine_name, t.region""",
     [("fact_energy", _FACT_ENERGY), ("turbine_dim", _TURBINE_DIM), ("status_dim", _STATUS_DIM)])
+
+
+# --- keyed upserts ----------------------------------------------------------
+
+def merge_sql(target: str, source: str, cols: list[str], keys: list[str],
+              order: list[str], keep_from_target: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """CTEs ``dedup`` and ``merged`` for an upsert of ``source`` into ``target``."""
+    rest = [c for c in cols if c not in keys]
+    has_key = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    order_by = ", ".join(keys + [f"{c} DESC" for c in order + rest])
+    col_list = ", ".join(cols)
+    dedup = f"""
+    SELECT {col_list} FROM (
+      SELECT DISTINCT ON ({', '.join(keys)}) * FROM {source} WHERE {has_key}
+      ORDER BY {order_by})
+    UNION ALL
+    SELECT {col_list} FROM {source} WHERE NOT ({has_key})"""
+    sel = []
+    for c in cols:
+        if c in keep_from_target:
+            sel.append(f"CASE WHEN t._in IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}")
+        else:
+            sel.append(f"CASE WHEN s._in IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}")
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    merged = f"""
+    SELECT {', '.join(sel)},
+           CASE WHEN s._in IS NOT NULL AND t._in IS NOT NULL THEN 'update'
+                WHEN s._in IS NOT NULL THEN 'insert' ELSE 'keep' END AS merge_action
+    FROM (SELECT *, 1 AS _in FROM {target}) t
+    FULL OUTER JOIN (SELECT *, 1 AS _in FROM dedup) s ON {on}"""
+    return [("dedup", dedup), ("merged", merged)]
+
+
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+               "o_orderpriority"]
+_ORDERS_HISTORY = """
+    SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+           CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+    FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'"""
+_ORDERS_BATCH = """
+    SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus,
+           CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)) AS o_totalprice,
+           CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, 1 AS revision
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01'
+    UNION ALL
+    SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus,
+           CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 2 AS DECIMAL(12,2)) AS o_totalprice,
+           CAST(o_orderdate AS DATE) AS o_orderdate, '1-URGENT' AS o_orderpriority, 2 AS revision
+    FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'"""
+
+_SINGLE = [("tgt", _ORDERS_HISTORY), ("src", _ORDERS_BATCH)] + merge_sql(
+    "tgt", "src", _ORDER_COLS, ["o_orderkey"], ["revision"])
+
+ORACLE["upsert_single"] = with_ctes([], "SELECT * FROM merged", _SINGLE)
+ORACLE["upsert_actions"] = with_ctes(
+    [], "SELECT o_orderkey, merge_action FROM merged WHERE merge_action <> 'keep'", _SINGLE)
+ORACLE["upsert_metrics"] = with_ctes([], """
+SELECT p.processed, m.inserted, m.updated, p.processed - m.inserted AS avoided, m.total_after
+FROM (SELECT count(*) AS processed FROM src) p,
+     (SELECT count(*) FILTER (WHERE merge_action = 'insert') AS inserted,
+             count(*) FILTER (WHERE merge_action = 'update') AS updated,
+             count(*) AS total_after FROM merged) m""", _SINGLE)
+
+_PK = "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS priority_key"
+ORACLE["upsert_nullkey"] = with_ctes([], "SELECT * FROM merged", [
+    ("tgt", f"SELECT *, {_PK} FROM ({_ORDERS_HISTORY})"),
+    ("src", f"SELECT *, {_PK} FROM ({_ORDERS_BATCH})"),
+] + merge_sql("tgt", "src", _ORDER_COLS + ["priority_key"], ["o_orderkey", "priority_key"],
+              ["revision"]))
+
+_WEATHER_COLS = ["date", "time", "latitude", "longitude", "region", "region_name",
+                 "wind_gusts_10m", "temperature_2m", "cloud_cover", "day", "month", "quarter",
+                 "year", "hour_of_day", "minute_of_hour", "second_of_minute", "time_period",
+                 "weather_id"]
+_WEATHER_KEYS = ["date", "time", "region", "region_name"]
+ORACLE["upsert_composite"] = with_ctes(["silver_weather"], "SELECT * FROM merged", [
+    ("tgt", f"SELECT {', '.join(_WEATHER_COLS)} FROM silver_weather WHERE date <= DATE '2024-01-20'"),
+    ("src", f"""
+    SELECT {', '.join(c for c in _WEATHER_COLS if c not in ('wind_gusts_10m', 'weather_id'))},
+           CAST(wind_gusts_10m + 1 AS DECIMAL(6,2)) AS wind_gusts_10m,
+           {stable_key_sql('date', 'time', 'region', 'region_name', "'batch'")} AS weather_id
+    FROM silver_weather WHERE date >= DATE '2024-01-15'"""),
+] + merge_sql("tgt", "src", _WEATHER_COLS, _WEATHER_KEYS, [], ("weather_id",)))
+
+
+# --- integrity checks -------------------------------------------------------
+
+ORACLE["check_unique"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS rows
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLE["check_not_null"] = """
+WITH o AS (SELECT *, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END
+                       AS priority_key FROM orders)
+SELECT 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS null_rows FROM o
+UNION ALL SELECT 'o_custkey', count(*) FILTER (WHERE o_custkey IS NULL) FROM o
+UNION ALL SELECT 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus IS NULL) FROM o
+UNION ALL SELECT 'o_totalprice', count(*) FILTER (WHERE o_totalprice IS NULL) FROM o
+UNION ALL SELECT 'o_orderdate', count(*) FILTER (WHERE o_orderdate IS NULL) FROM o
+UNION ALL SELECT 'priority_key', count(*) FILTER (WHERE priority_key IS NULL) FROM o"""
+
+
+def _fk(name: str, fact: str, fk: str, dim: str, pk: str) -> str:
+    return f"""
+SELECT '{name}' AS foreign_key, count(*) AS orphan_keys,
+       CAST(coalesce(sum(rows), 0) AS BIGINT) AS orphan_rows
+FROM (SELECT {fk} AS k, count(*) AS rows FROM {fact} WHERE {fk} IS NOT NULL GROUP BY {fk}) f
+WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.k)"""
+
+
+ORACLE["check_fk"] = "\nUNION ALL".join([
+    _fk("lineitem.l_orderkey", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _fk("lineitem.l_partkey", "lineitem", "l_partkey", "part", "p_partkey"),
+    _fk("lineitem.l_suppkey", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _fk("orders.o_custkey", "orders", "o_custkey", "customer", "c_custkey"),
+    _fk("customer.c_nationkey", "customer", "c_nationkey", "nation", "n_nationkey"),
+])
+
+_FACT_WEATHER = f"""
+    SELECT DISTINCT weather_id AS fact_weather_id, date AS date_id, time AS time_id,
+           {_LOCATION_KEY} AS location_id, temperature_2m, cloud_cover, wind_gust_10m, wind_speed
+    FROM enriched"""
+
+ORACLE["check_fk_star"] = with_ctes(["enriched"], "\nUNION ALL".join([
+    _fk("fact_energy.date_id", "fact_energy", "date_id", "date_dim", "date_id"),
+    _fk("fact_energy.time_id", "fact_energy", "time_id", "time_dim", "time_id"),
+    _fk("fact_energy.turbine_id", "fact_energy", "turbine_id", "turbine_dim", "turbine_id"),
+    _fk("fact_energy.status_id", "fact_energy", "status_id", "status_dim", "status_id"),
+    _fk("fact_weather.date_id", "fact_weather", "date_id", "date_dim", "date_id"),
+    _fk("fact_weather.time_id", "fact_weather", "time_id", "time_dim", "time_id"),
+    _fk("fact_weather.location_id", "fact_weather", "location_id", "location_dim", "location_id"),
+]), [("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER),
+     ("date_dim", "SELECT DISTINCT date AS date_id FROM enriched"),
+     ("time_dim", "SELECT DISTINCT time AS time_id FROM enriched"),
+     ("turbine_dim", _TURBINE_DIM), ("status_dim", _STATUS_DIM),
+     ("location_dim", _LOCATION_DIM)])
+
+ORACLE["check_limits"] = """
+SELECT 'c_name' AS column_name, 'varchar(18)' AS rule,
+       count(*) FILTER (WHERE length(c_name) > 18) AS violations FROM customer
+UNION ALL SELECT 'c_mktsegment', 'varchar(9)', count(*) FILTER (WHERE length(c_mktsegment) > 9) FROM customer
+UNION ALL SELECT 'c_acctbal', 'decimal(6,2)',
+       count(*) FILTER (WHERE c_acctbal IS NOT NULL AND TRY_CAST(c_acctbal AS DECIMAL(6,2)) IS NULL) FROM customer
+UNION ALL SELECT 'o_orderpriority', 'varchar(10)', count(*) FILTER (WHERE length(o_orderpriority) > 10) FROM orders
+UNION ALL SELECT 'o_totalprice', 'decimal(7,2)',
+       count(*) FILTER (WHERE o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(7,2)) IS NULL) FROM orders"""
+
+ORACLE["date_gate"] = """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1997-01-01'"""
+
+ORACLE["date_completeness"] = """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
+cal AS (SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM d)
+SELECT date FROM cal WHERE date NOT IN (SELECT date FROM d)"""
+
+ORACLE["slot_completeness"] = with_ctes(["readings"], """
+SELECT g.region, g.date, count(*) AS expected, count(h.time) AS present,
+       count(*) FILTER (WHERE h.time IS NULL) AS missing
+FROM (SELECT region, date, strftime(unnest(generate_series(CAST(date AS TIMESTAMP),
+        CAST(date AS TIMESTAMP) + INTERVAL 1430 MINUTE, INTERVAL 10 MINUTE)), '%H:%M:%S') AS time
+      FROM (SELECT DISTINCT region, date FROM readings)) g
+LEFT JOIN (SELECT DISTINCT region, date, time FROM readings) h
+  ON g.region = h.region AND g.date = h.date AND g.time = h.time
+GROUP BY g.region, g.date""")
+
+# --- contracts, measures, previews, lineage --------------------------------
+
+ORACLE["contract_cast"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, TRY_CAST(o_totalprice AS DECIMAL(8,2)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, CAST(NULL AS VARCHAR) AS o_comment
+FROM orders"""
+
+ORACLE["measures_rounded"] = """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(14,4)), 2) AS DECIMAL(12,2)) AS extendedprice,
+       CAST(round(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(14,4)), 2) AS DECIMAL(12,2)) AS net_price,
+       CAST(round(CAST(l_discount AS DECIMAL(7,4)), 2) AS DECIMAL(5,2)) AS discount,
+       CAST(round(CAST(l_quantity / 7 AS DECIMAL(10,4)), 2) AS DECIMAL(8,2)) AS quantity_per_week
+FROM lineitem"""
+
+ORACLE["ordered_preview"] = """
+SELECT o_orderkey, o_orderdate, o_totalprice, o_orderstatus FROM orders
+ORDER BY o_orderdate DESC, o_orderkey LIMIT 20"""
+
+ORACLE["lineage_columns"] = """
+SELECT event_id, event_type, 'events.parquet' AS source_file, 'batch-0001' AS batch_id,
+       'weather-archive' AS source_api
+FROM events"""

@@ -154,3 +154,188 @@ def availability(spark: SparkSession, sf: str) -> DataFrame:
     e = st.enriched(spark, sf)
     return reports.availability(star.build_facts(e)["fact_energy"], star.status_dim(e),
                                 star.turbine_dim(e), AVAILABLE_STATUS)
+
+
+# --- keyed upserts ----------------------------------------------------------
+
+def _upsert_single(spark: SparkSession, sf: str):
+    from starloom.operators.upsert import merge_upsert
+    src = st.orders_batch(spark, sf)
+    return src, merge_upsert(st.orders_history(spark, sf), src, ["o_orderkey"], ["revision"])
+
+
+@register("upsert_single")
+def upsert_single(spark: SparkSession, sf: str) -> DataFrame:
+    return _upsert_single(spark, sf)[1]
+
+
+@register("upsert_actions")
+def upsert_actions(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.upsert import merge_actions
+    return merge_actions(_upsert_single(spark, sf)[1], ["o_orderkey"])
+
+
+@register("upsert_metrics")
+def upsert_metrics_q(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.upsert import upsert_metrics
+    src, merged = _upsert_single(spark, sf)
+    return upsert_metrics(src, merged)
+
+
+@register("upsert_nullkey")
+def upsert_nullkey(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.upsert import merge_upsert
+    tgt = st.with_priority_key(st.orders_history(spark, sf))
+    src = st.with_priority_key(st.orders_batch(spark, sf))
+    return merge_upsert(tgt, src, ["o_orderkey", "priority_key"], ["revision"])
+
+
+@register("upsert_composite")
+def upsert_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather upsert on (date, time, region, region_name) keeping the
+    target's generated weather_id on update (O-13, O-21)."""
+    from starloom.functions.keys import stable_key
+    from starloom.operators.upsert import merge_upsert
+    w = st.silver_weather(spark, sf)
+    tgt = w.filter(F.col("date") <= F.lit(st.WEATHER_HISTORY_END).cast("date"))
+    src = (w.filter(F.col("date") >= F.lit(st.WEATHER_BATCH_START).cast("date"))
+           .withColumn("wind_gusts_10m", (F.col("wind_gusts_10m") + F.lit(1)).cast("decimal(6,2)"))
+           .withColumn("weather_id", stable_key("date", "time", "region", "region_name",
+                                                F.lit("batch"))))
+    return merge_upsert(tgt, src, ["date", "time", "region", "region_name"],
+                        keep_from_target=["weather_id"])
+
+
+# --- integrity checks -------------------------------------------------------
+
+@register("check_unique")
+def check_unique_q(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.checks import check_unique
+    li = read_table(spark, sf, "lineitem")
+    return check_unique(li, ["l_orderkey", "l_linenumber"])
+
+
+@register("check_not_null")
+def check_not_null_q(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.checks import null_counts
+    o = st.with_priority_key(read_table(spark, sf, "orders"))
+    return null_counts(o, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                           "o_orderdate", "priority_key"])
+
+
+@register("check_fk")
+def check_fk_q(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.checks import fk_summary
+    t = {n: read_table(spark, sf, n) for n in
+         ("lineitem", "orders", "customer", "part", "supplier", "nation")}
+    return fk_summary({
+        "lineitem.l_orderkey": (t["lineitem"], ["l_orderkey"], t["orders"], ["o_orderkey"]),
+        "lineitem.l_partkey": (t["lineitem"], ["l_partkey"], t["part"], ["p_partkey"]),
+        "lineitem.l_suppkey": (t["lineitem"], ["l_suppkey"], t["supplier"], ["s_suppkey"]),
+        "orders.o_custkey": (t["orders"], ["o_custkey"], t["customer"], ["c_custkey"]),
+        "customer.c_nationkey": (t["customer"], ["c_nationkey"], t["nation"], ["n_nationkey"]),
+    })
+
+
+@register("check_fk_star")
+def check_fk_star(spark: SparkSession, sf: str) -> DataFrame:
+    """Foreign keys of both facts against the five dimensions."""
+    from starloom.operators.checks import fk_summary
+    e = st.enriched(spark, sf)
+    dims = star.build_dimensions(e)
+    facts = star.build_facts(e)
+    fe, fw = facts["fact_energy"], facts["fact_weather"]
+    return fk_summary({
+        "fact_energy.date_id": (fe, ["date_id"], dims["date_dim"], ["date_id"]),
+        "fact_energy.time_id": (fe, ["time_id"], dims["time_dim"], ["time_id"]),
+        "fact_energy.turbine_id": (fe, ["turbine_id"], dims["turbine_dim"], ["turbine_id"]),
+        "fact_energy.status_id": (fe, ["status_id"], dims["status_dim"], ["status_id"]),
+        "fact_weather.date_id": (fw, ["date_id"], dims["date_dim"], ["date_id"]),
+        "fact_weather.time_id": (fw, ["time_id"], dims["time_dim"], ["time_id"]),
+        "fact_weather.location_id": (fw, ["location_id"], dims["location_dim"],
+                                     ["location_id"]),
+    })
+
+
+@register("check_limits")
+def check_limits_q(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.checks import limit_violations
+    c = read_table(spark, sf, "customer")
+    o = read_table(spark, sf, "orders")
+    a = limit_violations(c, {"c_name": 18, "c_mktsegment": 9}, {"c_acctbal": (6, 2)})
+    b = limit_violations(o, {"o_orderpriority": 10}, {"o_totalprice": (7, 2)})
+    return a.unionByName(b)
+
+
+@register("date_gate")
+def date_gate_q(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.checks import date_gate
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return date_gate(o, "o_orderdate", "1996-01-01", "1996-12-31")
+
+
+@register("date_completeness")
+def date_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.operators.checks import missing_dates
+    return missing_dates(read_table(spark, sf, "orders"), "o_orderdate")
+
+
+@register("slot_completeness")
+def slot_completeness(spark: SparkSession, sf: str) -> DataFrame:
+    """Per region-day: 144 expected reading slots, how many have readings."""
+    from starloom.operators.checks import grid_completeness
+    r = st.readings(spark, sf)
+    days = r.select("region", "date").distinct()
+    expected = spine(days, "date", "ts", 10).withColumn("time", time_text("ts"))
+    return grid_completeness(r, expected, ["region", "date", "time"], ["region", "date"])
+
+
+# --- contracts, measures, previews, lineage --------------------------------
+
+@register("contract_cast")
+def contract_cast(spark: SparkSession, sf: str) -> DataFrame:
+    """orders cast to a declared contract (id bigint, price NUMERIC(8,2),
+    date DATE, text columns)."""
+    from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType
+    from starloom.operators.contracts import cast_to_contract
+    contract = StructType([
+        StructField("o_orderkey", LongType(), False), StructField("o_custkey", LongType()),
+        StructField("o_orderstatus", StringType()), StructField("o_totalprice", DecimalType(8, 2)),
+        StructField("o_orderdate", DateType()), StructField("o_orderpriority", StringType()),
+        StructField("o_comment", StringType())])
+    return cast_to_contract(read_table(spark, sf, "orders"), contract)
+
+
+@register("measures_rounded")
+def measures_rounded(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.functions.measures import to_decimal
+    li = read_table(spark, sf, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        to_decimal("l_extendedprice", 12, 2).alias("extendedprice"),
+        to_decimal(F.col("l_extendedprice") * (1 - F.col("l_discount")), 12, 2).alias("net_price"),
+        to_decimal("l_discount", 5, 2).alias("discount"),
+        to_decimal(F.col("l_quantity") / 7, 8, 2).alias("quantity_per_week"))
+
+
+@register("ordered_preview")
+def ordered_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """Top 20 orders by date (latest first), ties by key: a top-n report."""
+    o = read_table(spark, sf, "orders")
+    return (o.select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+             .orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey")).limit(20))
+
+
+@register("lineage_columns")
+def lineage_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineage added on entry: source file name, an injected batch id and a
+    constant source label (ingested_at is run-dependent and is checked in
+    the unit tests instead)."""
+    from starloom.functions.lineage import with_lineage
+    e = read_table(spark, sf, "events").select("event_id", "event_type")
+    return with_lineage(e, batch_id=LINEAGE_BATCH, source_api=SOURCE_LABEL).drop("ingested_at")
+
+
+# Fixed values for the lineage demonstration.
+LINEAGE_BATCH = "batch-0001"
+SOURCE_LABEL = "weather-archive"

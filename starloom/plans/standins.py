@@ -136,3 +136,56 @@ def silver_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(readings(spark, sf_dir), silver_weather(spark, sf_dir))
+
+
+# --- upsert batches ---------------------------------------------------------
+# The history loaded so far ends before HISTORY_END; the new
+# batch restates every order from BATCH_START (revision 1) and, later,
+# orders from CORRECTION_START again (revision 2), so the batch overlaps
+# the history (updates), extends it (inserts) and repeats keys (avoided).
+HISTORY_END = "1999-01-01"
+BATCH_START = "1998-07-01"
+CORRECTION_START = "2000-01-01"
+LOW_PRIORITY = "5-LOW"
+# Weather history ends on WEATHER_HISTORY_END; the restated batch starts on
+# WEATHER_BATCH_START (both inclusive).
+WEATHER_HISTORY_END = "2024-01-20"
+WEATHER_BATCH_START = "2024-01-15"
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus",
+                    F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
+                    F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority",
+                    F.col("o_orderdate").alias("_ts"))
+
+
+def _before(col: str, day: str) -> F.Column:
+    return F.col(col) < F.lit(day).cast("timestamp_ntz")
+
+
+def orders_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert target: orders placed before HISTORY_END."""
+    return _orders(spark, sf_dir).filter(_before("_ts", HISTORY_END)).drop("_ts")
+
+
+def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upsert source with a ``revision`` column: revision 1 closes and
+    re-prices every order from BATCH_START, revision 2 escalates the
+    priority of orders from CORRECTION_START."""
+    o = _orders(spark, sf_dir)
+    r1 = o.filter(~_before("_ts", BATCH_START)).select(
+        "o_orderkey", "o_custkey", F.lit("F").alias("o_orderstatus"),
+        (F.col("o_totalprice") + F.lit(1)).cast("decimal(12,2)").alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority", F.lit(1).alias("revision"))
+    r2 = o.filter(~_before("_ts", CORRECTION_START)).select(
+        "o_orderkey", "o_custkey", F.lit("F").alias("o_orderstatus"),
+        (F.col("o_totalprice") + F.lit(2)).cast("decimal(12,2)").alias("o_totalprice"),
+        "o_orderdate", F.lit("1-URGENT").alias("o_orderpriority"), F.lit(2).alias("revision"))
+    return r1.unionByName(r2)
+
+
+def with_priority_key(df: DataFrame) -> DataFrame:
+    """Composite key part that is NULL for low-priority orders."""
+    return df.withColumn("priority_key", F.nullif(F.col("o_orderpriority"), F.lit(LOW_PRIORITY)))
