@@ -315,3 +315,50 @@ ORACLE["lineage_columns"] = """
 SELECT event_id, event_type, 'events.parquet' AS source_file, 'batch-0001' AS batch_id,
        'weather-archive' AS source_api
 FROM events"""
+
+
+# --- CSV sources --------------------------------------------------------------
+
+ORACLE["csv_typed_scan"] = with_ctes(["readings"], """
+SELECT production_id, date, strftime(measured_at, '%H:%M:%S') AS time, turbine_name, capacity,
+       location_name, latitude, longitude, region, status, responsible_department, wind_speed,
+       wind_direction, energy_produced, date_trunc('second', measured_at) AS measured_at
+FROM readings""")
+
+ORACLE["csv_quarantine"] = with_ctes(["readings", "ev"], """
+SELECT CASE WHEN r.region = 'error' THEN 'E' || CAST(r.production_id AS VARCHAR)
+            ELSE CAST(r.production_id AS VARCHAR) END AS production_id_text,
+       CASE WHEN r.region = 'error' THEN 'malformed' ELSE 'bad_time' END AS reason
+FROM readings r JOIN ev ON ev.event_id = r.production_id
+WHERE r.region = 'error' OR ev.k = 0""")
+
+ORACLE["csv_good_rows"] = with_ctes(["readings", "ev"], """
+SELECT r.production_id, r.date, strftime(r.measured_at, '%H:%M:%S') AS time,
+       date_trunc('second', r.measured_at) AS measured_at
+FROM readings r JOIN ev ON ev.event_id = r.production_id
+WHERE r.region <> 'error' AND ev.k <> 0""")
+
+ORACLE["daily_file_select"] = with_ctes(["readings"], """
+SELECT production_id, date, strftime(measured_at, '%H:%M:%S') AS time, region, energy_produced
+FROM readings WHERE CAST(measured_at AS DATE) = DATE '2024-01-15'""")
+
+ORACLE["all_files_scan"] = """
+SELECT strftime(ts, '%Y%m%d') AS file_day, count(*) AS rows FROM events GROUP BY 1"""
+
+
+# --- recorded weather payloads --------------------------------------------------
+
+ORACLE["payload_rows"] = with_ctes(["hourly"], """
+SELECT d.region, d.region_name, d.date, d.ts, h.wind_gusts_10m, h.temperature_2m,
+       CASE WHEN d.region = 'error' THEN NULL ELSE h.cloud_cover END AS cloud_cover
+FROM (SELECT region, region_name, date,
+             unnest(generate_series(CAST(date AS TIMESTAMP),
+                                    CAST(date AS TIMESTAMP) + INTERVAL 23 HOUR,
+                                    INTERVAL 1 HOUR)) AS ts
+      FROM (SELECT DISTINCT region, region_name, date FROM hourly)
+      WHERE NOT (region = 'signup' AND day(date) = 13)) d
+LEFT JOIN hourly h ON h.region = d.region AND h.ts = d.ts""")
+
+ORACLE["payload_lost_regions"] = """
+SELECT DISTINCT event_type AS region, strftime(ts, '%Y-%m-%d') AS date
+FROM events WHERE event_type = 'signup' AND day(ts) = 13"""

@@ -339,3 +339,92 @@ def lineage_columns(spark: SparkSession, sf: str) -> DataFrame:
 # Fixed values for the lineage demonstration.
 LINEAGE_BATCH = "batch-0001"
 SOURCE_LABEL = "weather-archive"
+
+
+# --- CSV sources --------------------------------------------------------------
+
+def _bronze_view(df: DataFrame) -> DataFrame:
+    from starloom.sources.csv import BRONZE_COLUMNS
+    return df.select(*BRONZE_COLUMNS)
+
+
+@register("csv_typed_scan")
+def csv_typed_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily CSV files -> typed bronze rows (run-dependent lineage columns
+    are left out of the comparison)."""
+    from starloom.plans.fixtures import write_production_csv
+    from starloom.sources.csv import parse_production, read_all, split_quarantine
+    path = write_production_csv(spark, sf)
+    good, _ = split_quarantine(parse_production(read_all(spark, path)))
+    return _bronze_view(good)
+
+
+@register("csv_quarantine")
+def csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows broken by rule end in quarantine with their reason and the
+    production id text of the raw line."""
+    from starloom.plans.fixtures import write_production_csv
+    from starloom.sources.csv import CORRUPT, parse_production, read_all, split_quarantine
+    path = write_production_csv(spark, sf, broken=True)
+    _, bad = split_quarantine(parse_production(read_all(spark, path)))
+    pid = F.coalesce(F.col("production_id").cast("string"),
+                     F.regexp_extract(F.col(CORRUPT), r"^([^,]*)", 1))
+    return bad.select(pid.alias("production_id_text"), F.col("_reason").alias("reason"))
+
+
+@register("csv_good_rows")
+def csv_good_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The good side of the broken fixture, incl. short 'H-m-s' times."""
+    from starloom.plans.fixtures import write_production_csv
+    from starloom.sources.csv import parse_production, read_all, split_quarantine
+    path = write_production_csv(spark, sf, broken=True)
+    good, _ = split_quarantine(parse_production(read_all(spark, path)))
+    return good.select("production_id", "date", "time", "measured_at")
+
+
+@register("daily_file_select")
+def daily_file_select(spark: SparkSession, sf: str) -> DataFrame:
+    from starloom.plans.fixtures import write_production_csv
+    from starloom.sources.csv import parse_production, read_day, split_quarantine
+    path = write_production_csv(spark, sf)
+    good, _ = split_quarantine(parse_production(read_day(spark, path, DAILY_FILE_DAY)))
+    return good.select("production_id", "date", "time", "region", "energy_produced")
+
+
+@register("all_files_scan")
+def all_files_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Every daily file in one scan; rows per file day."""
+    from starloom.plans.fixtures import write_production_csv
+    from starloom.sources.csv import DAY_COLUMN, read_all
+    path = write_production_csv(spark, sf)
+    return (read_all(spark, path).groupBy(F.col(DAY_COLUMN).cast("string").alias("file_day"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+# The day selected by daily_file_select.
+DAILY_FILE_DAY = "20240115"
+
+
+# --- recorded weather payloads --------------------------------------------------
+
+@register("payload_rows")
+def payload_rows_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly rows of every usable payload: 24 per region-day, NULL where
+    the hour had no sample, cloud cover all NULL where the series is
+    missing."""
+    from starloom.plans.fixtures import write_payloads
+    from starloom.sources.payload import payload_rows, read_payloads
+    rows = payload_rows(read_payloads(spark, write_payloads(spark, sf)))
+    return rows.select("region", "region_name", "date", "ts",
+                       *[F.col(v).cast(f"decimal({p},{s})").alias(v)
+                         for v, (p, s) in st.WEATHER_PRECISION.items()])
+
+
+@register("payload_lost_regions")
+def payload_lost_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Region-days whose payload failed, found by anti join against the
+    expected region-days (region lookup x days with readings)."""
+    from starloom.plans.fixtures import write_payloads
+    from starloom.sources.payload import lost_regions, read_payloads
+    expected = st.readings(spark, sf).select("region", F.col("date").cast("string").alias("date"))
+    return lost_regions(expected, read_payloads(spark, write_payloads(spark, sf)))
