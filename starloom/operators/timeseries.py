@@ -87,19 +87,23 @@ def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col
     g = grid.select(*keys, ts_col, *[F.lit(None).cast("double").alias(v) for v in value_cols],
                     F.lit(1).alias("_grid"))
     u = s.unionByName(g)
-    order = [F.col(ts_col), F.col("_grid")]
-    w_prev = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
+    # Both neighbours use running frames (unbounded preceding .. current
+    # row), which are evaluated incrementally; the next sample is the last
+    # one seen in descending time order.  Same partitioning, so the second
+    # ordering costs a sort, not a shuffle.
+    w_prev = Window.partitionBy(*keys).orderBy(F.col(ts_col), F.col("_grid")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    w_next = Window.partitionBy(*keys).orderBy(
+        F.col(ts_col).desc(), F.col("_grid").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    w_next = Window.partitionBy(*keys).orderBy(*order).rowsBetween(
-        Window.currentRow, Window.unboundedFollowing)
     t = F.col(ts_col)
     neighbours = {}
     for v in value_cols:
         x = F.col(v)
         neighbours[f"_pv_{v}"] = F.last(x, ignorenulls=True).over(w_prev)
         neighbours[f"_pt_{v}"] = F.last(F.when(x.isNotNull(), t), ignorenulls=True).over(w_prev)
-        neighbours[f"_nv_{v}"] = F.first(x, ignorenulls=True).over(w_next)
-        neighbours[f"_nt_{v}"] = F.first(F.when(x.isNotNull(), t), ignorenulls=True).over(w_next)
+        neighbours[f"_nv_{v}"] = F.last(x, ignorenulls=True).over(w_next)
+        neighbours[f"_nt_{v}"] = F.last(F.when(x.isNotNull(), t), ignorenulls=True).over(w_next)
     u = u.withColumns(neighbours).filter(F.col("_grid") == 1)
 
     out = {}

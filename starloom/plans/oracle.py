@@ -362,3 +362,26 @@ LEFT JOIN hourly h ON h.region = d.region AND h.ts = d.ts""")
 ORACLE["payload_lost_regions"] = """
 SELECT DISTINCT event_type AS region, strftime(ts, '%Y-%m-%d') AS date
 FROM events WHERE event_type = 'signup' AND day(ts) = 13"""
+
+
+# --- loading --------------------------------------------------------------------
+
+ORACLE["load_star"] = with_ctes(["enriched"], """
+SELECT r.run, t."table", t.processed,
+       CASE WHEN r.run = 1 THEN t.keys ELSE 0 END AS inserted,
+       CASE WHEN r.run = 1 THEN 0 ELSE t.keys END AS updated,
+       t.processed - CASE WHEN r.run = 1 THEN t.keys ELSE 0 END AS avoided
+FROM (
+  SELECT 'date_dim' AS "table", count(*) AS processed, count(*) AS keys FROM date_dim
+  UNION ALL SELECT 'time_dim', count(*), count(*) FROM time_dim
+  UNION ALL SELECT 'turbine_dim', count(*), count(*) FROM turbine_dim
+  UNION ALL SELECT 'status_dim', count(*), count(*) FROM status_dim
+  UNION ALL SELECT 'location_dim', count(*), count(*) FROM location_dim
+  UNION ALL SELECT 'fact_energy', count(*), count(DISTINCT fact_production_id) FROM fact_energy
+  UNION ALL SELECT 'fact_weather', count(DISTINCT fact_weather_id), count(DISTINCT fact_weather_id)
+            FROM fact_weather
+) t, (SELECT 1 AS run UNION ALL SELECT 2) r""",
+    [("date_dim", "SELECT DISTINCT date, day, month, quarter, year FROM enriched"),
+     ("time_dim", "SELECT DISTINCT time, hour_of_day, minute_of_hour, second_of_minute, time_period FROM enriched"),
+     ("turbine_dim", _TURBINE_DIM), ("status_dim", _STATUS_DIM), ("location_dim", _LOCATION_DIM),
+     ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])

@@ -428,3 +428,20 @@ def payload_lost_regions(spark: SparkSession, sf: str) -> DataFrame:
     from starloom.sources.payload import lost_regions, read_payloads
     expected = st.readings(spark, sf).select("region", F.col("date").cast("string").alias("date"))
     return lost_regions(expected, read_payloads(spark, write_payloads(spark, sf)))
+
+
+# --- loading --------------------------------------------------------------------
+
+@register("load_star")
+def load_star_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Load the star twice into a fresh folder: the first run inserts every
+    row, the second (same input) updates them all and inserts none."""
+    from starloom.operators.load import load_star, results_frame
+    from starloom.session import cut_lineage, scratch_path
+    e = cut_lineage(st.enriched(spark, sf))
+    dims, facts = star.build_dimensions(e), star.build_facts(e)
+    root = scratch_path(spark, "star")
+    results = []
+    for run in (1, 2):
+        results += [(run, r) for r in load_star(spark, root, dims, facts)]
+    return results_frame(spark, results)

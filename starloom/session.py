@@ -79,7 +79,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut the lineage by writing a Parquet table into the shared folder
+    and reading it back.  Unlike an RDD checkpoint the plan runs once, and
+    the files survive the loss of any executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
