@@ -385,3 +385,17 @@ FROM (
      ("time_dim", "SELECT DISTINCT time, hour_of_day, minute_of_hour, second_of_minute, time_period FROM enriched"),
      ("turbine_dim", _TURBINE_DIM), ("status_dim", _STATUS_DIM), ("location_dim", _LOCATION_DIM),
      ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])
+
+
+# --- streaming ------------------------------------------------------------------
+
+ORACLE["stream_daily_load"] = with_ctes(["readings", "ev"], """
+SELECT r.production_id, CAST(r.measured_at AS DATE) AS date,
+       strftime(r.measured_at, '%H:%M:%S') AS time, r.turbine_name, r.region,
+       r.energy_produced, r.wind_speed, CAST(hour(r.measured_at) AS INTEGER) AS hour_of_day,
+       CASE WHEN hour(r.measured_at) >= 5 AND hour(r.measured_at) < 12 THEN 'Morning'
+            WHEN hour(r.measured_at) >= 12 AND hour(r.measured_at) < 17 THEN 'Afternoon'
+            WHEN hour(r.measured_at) >= 17 AND hour(r.measured_at) < 21 THEN 'Evening'
+            ELSE 'Night' END AS time_period
+FROM readings r JOIN ev ON ev.event_id = r.production_id
+WHERE r.region <> 'error' AND ev.k <> 0""")

@@ -445,3 +445,26 @@ def load_star_q(spark: SparkSession, sf: str) -> DataFrame:
     for run in (1, 2):
         results += [(run, r) for r in load_star(spark, root, dims, facts)]
     return results_frame(spark, results)
+
+
+# --- streaming ------------------------------------------------------------------
+
+@register("stream_daily_load")
+def stream_daily_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily files land in a folder; a file stream upserts them into the
+    silver production table a few files per micro-batch."""
+    from starloom.plans.fixtures import write_production_csv
+    from starloom.session import scratch_path
+    from starloom.streaming.daily_load import start_daily_load
+    landing = write_production_csv(spark, sf, broken=True)
+    root = scratch_path(spark, "stream")
+    q = start_daily_load(spark, landing, f"{root}/silver", f"{root}/quarantine",
+                         f"{root}/_checkpoint", max_files_per_trigger=STREAM_FILES_PER_BATCH)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/silver").select(
+        "production_id", "date", "time", "turbine_name", "region", "energy_produced",
+        "wind_speed", "hour_of_day", "time_period")
+
+
+# Files per micro-batch in the streaming demonstration.
+STREAM_FILES_PER_BATCH = 40
