@@ -18,12 +18,13 @@ counters, partition-scoped rewrites and ordered publication
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.upsert import ACTION, INSERT, UPDATE, merge_upsert
+from starloom.operators.upsert import ACTION, INSERT, UPDATE, dedupe_last, merge_upsert
 from starloom.session import scratch_path
 
 
@@ -75,6 +76,16 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     source = source.observe(obs_src, F.count(F.lit(1)).alias("n"))
     cols = [c for c in source.columns if c not in (order_by or [])]
     exists = table_exists(spark, path)
+    if not exists:
+        # First load: every distinct key is an insert; no merge needed.
+        obs = Observation(f"first_{name}")
+        out = dedupe_last(source, keys, order_by).select(*cols)
+        out = out.observe(obs, F.count(F.lit(1)).alias("ins"))
+        w = out.write.mode("errorifexists")
+        if partition_col:
+            w = w.partitionBy(partition_col)
+        w.parquet(path)
+        return LoadResult(name, int(obs_src.get.get("n", 0)), int(obs.get.get("ins", 0)), 0)
     if exists:
         target = spark.read.parquet(path)
         if partition_col:
@@ -132,10 +143,14 @@ def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
     from starloom.operators.checks import orphan_keys
     from starloom.operators.star import collapse_last
 
-    out = []
-    for name, df in dims.items():
-        out.append(upsert_table(spark, f"{root}/{name}", df, DIM_KEYS[name], name=name,
-                                check_empty=False))
+    # Tables of one step are independent: their jobs are submitted from
+    # parallel threads and share the cluster.
+    def run_all(jobs):
+        with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+            return list(pool.map(lambda j: upsert_table(spark, **j), jobs))
+
+    out = run_all([dict(path=f"{root}/{n}", source=df, keys=DIM_KEYS[n], name=n,
+                        check_empty=False) for n, df in dims.items()])
     loaded = {n: spark.read.parquet(f"{root}/{n}") for n in dims}
     # One job for the whole foreign-key gate.
     gate = None
@@ -149,9 +164,10 @@ def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
         raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
     fw = collapse_last(facts["fact_weather"], FACT_KEYS["fact_weather"],
                        ["date_id", "time_id", "location_id"])
-    out.append(upsert_table(spark, f"{root}/fact_energy", facts["fact_energy"],
-                            FACT_KEYS["fact_energy"], partition_col="date_id",
-                            name="fact_energy", check_empty=False))
-    out.append(upsert_table(spark, f"{root}/fact_weather", fw, FACT_KEYS["fact_weather"],
-                            partition_col="date_id", name="fact_weather", check_empty=False))
+    out += run_all([
+        dict(path=f"{root}/fact_energy", source=facts["fact_energy"],
+             keys=FACT_KEYS["fact_energy"], partition_col="date_id", name="fact_energy",
+             check_empty=False),
+        dict(path=f"{root}/fact_weather", source=fw, keys=FACT_KEYS["fact_weather"],
+             partition_col="date_id", name="fact_weather", check_empty=False)])
     return out
