@@ -151,8 +151,10 @@ def fact_energy(keyed: DataFrame) -> DataFrame:
 
 def fact_weather(keyed: DataFrame, collapse: bool = False) -> DataFrame:
     """O-46: distinct weather rows; ``collapse`` keeps one row per
-    fact_weather_id (greatest date, time, location, then measures)."""
-    d = keyed.select(
+    fact_weather_id (greatest date, time, location, then measures).
+    Readings without a weather match carry no conditions and add no row
+    (their energy is still in the energy fact)."""
+    d = keyed.filter(F.col("weather_id").isNotNull()).select(
         F.col("weather_id").alias("fact_weather_id"),
         F.col("date").alias("date_id"), F.col("time").alias("time_id"),
         "location_id", "temperature_2m", "cloud_cover", "wind_gust_10m", "wind_speed").distinct()

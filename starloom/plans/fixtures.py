@@ -31,19 +31,21 @@ def production_csv_rows(spark: SparkSession, sf_dir: str, broken: bool) -> DataF
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(
         F.col("event_id").alias("production_id"), k.alias("_k"))
     r = r.join(ev, "production_id", "left")
+    # Readings sit on the 10-minute grid, as the daily files do.
+    slot = F.to_timestamp_ntz(F.concat_ws(" ", F.col("date").cast("string"), F.col("time")))
     pid = F.col("production_id").cast("string")
-    tm = F.date_format("measured_at", "HH-mm-ss")
+    tm = F.date_format(slot, "HH-mm-ss")
     if broken:
         pid = F.when(F.col("region") == BROKEN_ID_REGION, F.concat(F.lit("E"), pid)).otherwise(pid)
         tm = (F.when(F.col("_k") == BAD_TIME_K, F.lit("24-00-00"))
-               .when(F.col("_k") == SHORT_TIME_K, F.date_format("measured_at", "H-m-s"))
+               .when(F.col("_k") == SHORT_TIME_K, F.date_format(slot, "H-m-s"))
                .otherwise(tm))
     return r.select(
         pid.alias("production_id"),
-        F.date_format("measured_at", "yyyy-MM-dd").alias("date"), tm.alias("time"),
+        F.date_format("date", "yyyy-MM-dd").alias("date"), tm.alias("time"),
         "turbine_name", "capacity", "location_name", "latitude", "longitude", "region",
         "status", "responsible_department", "wind_speed", "wind_direction", "energy_produced",
-        F.date_format("measured_at", "yyyyMMdd").alias(DAY_COLUMN))
+        F.date_format("date", "yyyyMMdd").alias(DAY_COLUMN))
 
 
 def write_production_csv(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:

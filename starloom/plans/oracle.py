@@ -320,9 +320,9 @@ FROM events"""
 # --- CSV sources --------------------------------------------------------------
 
 ORACLE["csv_typed_scan"] = with_ctes(["readings"], """
-SELECT production_id, date, strftime(measured_at, '%H:%M:%S') AS time, turbine_name, capacity,
+SELECT production_id, date, time, turbine_name, capacity,
        location_name, latitude, longitude, region, status, responsible_department, wind_speed,
-       wind_direction, energy_produced, date_trunc('second', measured_at) AS measured_at
+       wind_direction, energy_produced, slot AS measured_at
 FROM readings""")
 
 ORACLE["csv_quarantine"] = with_ctes(["readings", "ev"], """
@@ -333,14 +333,13 @@ FROM readings r JOIN ev ON ev.event_id = r.production_id
 WHERE r.region = 'error' OR ev.k = 0""")
 
 ORACLE["csv_good_rows"] = with_ctes(["readings", "ev"], """
-SELECT r.production_id, r.date, strftime(r.measured_at, '%H:%M:%S') AS time,
-       date_trunc('second', r.measured_at) AS measured_at
+SELECT r.production_id, r.date, r.time, r.slot AS measured_at
 FROM readings r JOIN ev ON ev.event_id = r.production_id
 WHERE r.region <> 'error' AND ev.k <> 0""")
 
 ORACLE["daily_file_select"] = with_ctes(["readings"], """
-SELECT production_id, date, strftime(measured_at, '%H:%M:%S') AS time, region, energy_produced
-FROM readings WHERE CAST(measured_at AS DATE) = DATE '2024-01-15'""")
+SELECT production_id, date, time, region, energy_produced
+FROM readings WHERE date = DATE '2024-01-15'""")
 
 ORACLE["all_files_scan"] = """
 SELECT strftime(ts, '%Y%m%d') AS file_day, count(*) AS rows FROM events GROUP BY 1"""
@@ -390,12 +389,33 @@ FROM (
 # --- streaming ------------------------------------------------------------------
 
 ORACLE["stream_daily_load"] = with_ctes(["readings", "ev"], """
-SELECT r.production_id, CAST(r.measured_at AS DATE) AS date,
-       strftime(r.measured_at, '%H:%M:%S') AS time, r.turbine_name, r.region,
-       r.energy_produced, r.wind_speed, CAST(hour(r.measured_at) AS INTEGER) AS hour_of_day,
-       CASE WHEN hour(r.measured_at) >= 5 AND hour(r.measured_at) < 12 THEN 'Morning'
-            WHEN hour(r.measured_at) >= 12 AND hour(r.measured_at) < 17 THEN 'Afternoon'
-            WHEN hour(r.measured_at) >= 17 AND hour(r.measured_at) < 21 THEN 'Evening'
-            ELSE 'Night' END AS time_period
+SELECT r.production_id, r.date, r.time, r.turbine_name, r.region,
+       r.energy_produced, r.wind_speed, r.hour_of_day, r.time_period
 FROM readings r JOIN ev ON ev.event_id = r.production_id
 WHERE r.region <> 'error' AND ev.k <> 0""")
+
+
+# --- the whole day load -----------------------------------------------------------
+
+ORACLE["medallion_load"] = with_ctes(["readings", "ev", "hourly"], """
+SELECT 1 AS run, t."table", t.n AS processed, t.n AS inserted, CAST(0 AS BIGINT) AS updated,
+       CAST(0 AS BIGINT) AS avoided
+FROM (
+  SELECT 'silver_production' AS "table", count(*) AS n FROM g
+  UNION ALL SELECT 'silver_weather', count(*) * 144 FROM w
+  UNION ALL SELECT 'silver_enriched', count(*) FROM g
+  UNION ALL SELECT 'date_dim', count(DISTINCT date) FROM g
+  UNION ALL SELECT 'time_dim', count(DISTINCT time) FROM g
+  UNION ALL SELECT 'turbine_dim', count(DISTINCT (turbine_name, region)) FROM g
+  UNION ALL SELECT 'status_dim', count(DISTINCT (status, responsible_department)) FROM g
+  UNION ALL SELECT 'location_dim', count(DISTINCT (region, latitude, longitude)) FROM g
+  UNION ALL SELECT 'fact_energy', count(*) FROM g
+  UNION ALL SELECT 'fact_weather', count(DISTINCT (date, time, region)) FROM g
+            WHERE NOT (region = 'signup' AND day(date) = 13)
+) t""", [
+    ("g", """
+    SELECT r.* FROM readings r JOIN ev ON ev.event_id = r.production_id
+    WHERE r.region <> 'error' AND ev.k <> 0"""),
+    ("w", """
+    SELECT DISTINCT region, date FROM hourly WHERE NOT (region = 'signup' AND day(date) = 13)"""),
+])

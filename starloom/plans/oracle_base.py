@@ -78,7 +78,7 @@ CTES: dict[str, str] = {
            time_bucket(INTERVAL 10 MINUTE, e.ts) AS slot
     FROM events e""",
     "readings": f"""
-    SELECT ev.event_id AS production_id, ev.ts AS measured_at,
+    SELECT ev.event_id AS production_id, ev.ts AS measured_at, ev.slot AS slot,
            'U' || CAST(ev.user_id AS VARCHAR) AS turbine_name,
            tr.capacity, tr.location_name, tr.latitude, tr.longitude,
            ev.event_type AS region, tr.status, tr.responsible_department,
