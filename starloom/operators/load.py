@@ -54,6 +54,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in names)
 
 
+def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
+    if not values:
+        return
+    sc = spark.sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop_path(path).getFileSystem(sc._jsc.hadoopConfiguration())
+    for v in values:
+        fs.delete(hadoop_path(f"{path}/{col}={v}"), True)
+
+
 def _touched_values(target: DataFrame, source: DataFrame, keys: Sequence[str],
                     part: str) -> list:
     """Partition values a batch touches.  The result is one value per
@@ -108,6 +118,11 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     if partition_col:
         w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
+    if partition_col:
+        # A dynamic overwrite only replaces partitions that receive rows; a
+        # touched partition whose rows all moved away is removed here.
+        written = {r[0] for r in out.select(partition_col).distinct().collect()}
+        _drop_partitions(spark, path, partition_col, [v for v in touched if v not in written])
     m, s = obs.get, obs_src.get
     return LoadResult(name, int(s.get("n", 0)), int(m.get("ins", 0)), int(m.get("upd", 0)))
 
