@@ -17,19 +17,30 @@ from pyspark.sql import DataFrame, SparkSession
 # Settings every job relies on: UTC wall clock (keys are built from local
 # date/time text), ANSI on, adaptive execution with skew splitting and
 # runtime broadcast conversion (a size-checked broadcast with a sort-merge
-# fallback).
+# fallback), dynamic partition overwrite for loads.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Sizing defaults, applied only where the cluster has not set its own:
+# broadcast only sides measured under 32 MB; shuffle partitions are
+# coalesced by AQE towards 128 MB, and a partition is split as skewed above
+# 5x the median and 256 MB; scans split files at 256 MB.
+SIZING_DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+}
+
 
 def get_session(master: str | None = None, app_name: str = "starloom",
                 shuffle_partitions: int | None = None,
@@ -45,9 +56,12 @@ def get_session(master: str | None = None, app_name: str = "starloom",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith("spark.sql.") or spark.conf.get(k, None) == v:
-            continue
-        spark.conf.set(k, v)
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    cluster = spark.sparkContext.getConf()
+    for k, v in SIZING_DEFAULTS.items():
+        if not cluster.contains(k) and k not in (extra or {}):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     return spark
 

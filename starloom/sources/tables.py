@@ -14,5 +14,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_HANDLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """The given input tables are read-only, so one resolved DataFrame per
+    session and path is reused (no repeated listing and footer reads while
+    a plan is being built)."""
+    path = table_path(sf_dir, name)
+    key = (str(id(spark)) + spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
