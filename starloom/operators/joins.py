@@ -1,0 +1,22 @@
+"""Join helpers.
+
+``checked_broadcast`` broadcasts a side only after proving it is small: it
+counts at most ``max_rows + 1`` rows (a limit, so the probe stops early)
+and otherwise leaves the join to the planner (sort-merge with AQE skew
+splitting).  Catalyst's own threshold does the same from size estimates;
+this helper is for sides whose estimate is unknown (e.g. an aggregate)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

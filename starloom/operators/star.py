@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import stable_key
+from starloom.operators.joins import checked_broadcast
 
 KeyFn = Callable[..., Column]
 
@@ -101,13 +102,17 @@ def build_dimensions(enriched: DataFrame, key_fn: KeyFn = stable_key) -> dict[st
 
 
 def key_lookup(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
-               null_safe: bool = True) -> DataFrame:
+               null_safe: bool = True, broadcast_max_rows: int | None = None) -> DataFrame:
     """Left equi join of a fact to a dimension on natural attributes,
     returning the fact with the dimension key added (O-33..O-35).
 
     ``null_safe`` matches NULL attributes to each other (<=>); the strict
-    form (plain equality) leaves the key NULL for such rows."""
+    form (plain equality) leaves the key NULL for such rows.  With
+    ``broadcast_max_rows`` the dimension is broadcast only when it is
+    proven to hold at most that many rows."""
     d = dim.select(key, *[F.col(a).alias(f"_d_{a}") for a in attrs])
+    if broadcast_max_rows is not None:
+        d = checked_broadcast(d, broadcast_max_rows)
     cond = None
     for a in attrs:
         c = F.col(a).eqNullSafe(F.col(f"_d_{a}")) if null_safe else (F.col(a) == F.col(f"_d_{a}"))
@@ -122,7 +127,8 @@ WEATHER_COLS = ("fact_weather_id", "date_id", "time_id", "location_id", "tempera
 
 
 def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool = False,
-                   dims: dict[str, DataFrame] | None = None) -> DataFrame:
+                   dims: dict[str, DataFrame] | None = None,
+                   broadcast_max_rows: int | None = None) -> DataFrame:
     """Attach turbine_id, status_id and location_id.
 
     Without ``dims`` the keys are derived from the row's attributes (the
@@ -135,10 +141,10 @@ def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool
             *_keyed(STATUS_ATTRS, STATUS_ATTRS, "status_id", key_fn, strict),
             *_keyed(LOCATION_ATTRS, LOCATION_KEY, "location_id", key_fn, strict),
         )
-    ns = not strict
-    out = key_lookup(enriched, dims["turbine_dim"], TURBINE_ATTRS, "turbine_id", ns)
-    out = key_lookup(out, dims["status_dim"], STATUS_ATTRS, "status_id", ns)
-    return key_lookup(out, dims["location_dim"], LOCATION_ATTRS, "location_id", ns)
+    ns, b = not strict, broadcast_max_rows
+    out = key_lookup(enriched, dims["turbine_dim"], TURBINE_ATTRS, "turbine_id", ns, b)
+    out = key_lookup(out, dims["status_dim"], STATUS_ATTRS, "status_id", ns, b)
+    return key_lookup(out, dims["location_dim"], LOCATION_ATTRS, "location_id", ns, b)
 
 
 def fact_energy(keyed: DataFrame) -> DataFrame:
@@ -164,6 +170,7 @@ def fact_weather(keyed: DataFrame, collapse: bool = False) -> DataFrame:
 
 
 def build_facts(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool = False,
-                dims: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    keyed = with_fact_keys(enriched, key_fn, strict, dims)
+                dims: dict[str, DataFrame] | None = None,
+                broadcast_max_rows: int | None = None) -> dict[str, DataFrame]:
+    keyed = with_fact_keys(enriched, key_fn, strict, dims, broadcast_max_rows)
     return {"fact_energy": fact_energy(keyed), "fact_weather": fact_weather(keyed)}

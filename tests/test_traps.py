@@ -145,3 +145,16 @@ def test_orphans_ignore_null_foreign_keys(spark):
     d = spark.createDataFrame([(1,)], "k long")
     out = orphan_keys(f, ["k"], d).collect()
     assert [(r["k"], r["rows"]) for r in out] == [(2, 2)]
+
+
+def test_checked_broadcast(spark):
+    from starloom.operators.joins import checked_broadcast
+    small = spark.range(10)
+    big = spark.range(1000)
+    fact = spark.range(5000).withColumnRenamed("id", "k")
+    j1 = fact.join(checked_broadcast(small.withColumnRenamed("id", "k"), 100), "k", "left")
+    j2 = fact.join(checked_broadcast(big.withColumnRenamed("id", "k"), 100), "k", "left")
+    p1 = j1._jdf.queryExecution().optimizedPlan().toString()
+    p2 = j2._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
+    assert j1.count() == j2.count() == 5000
