@@ -419,3 +419,39 @@ FROM (
     ("w", """
     SELECT DISTINCT region, date FROM hourly WHERE NOT (region = 'signup' AND day(date) = 13)"""),
 ])
+
+
+# --- output types -------------------------------------------------------------
+# Decimal output columns of each query; the registered Spark queries return
+# them as DOUBLE (see plans.queries.measures_as_double) and so do the oracles.
+DECIMAL_COLUMNS = {
+    'availability': ('availability',),
+    'condition_impact': ('avg_energy', 'avg_temperature'),
+    'contract_cast': ('o_totalprice',),
+    'csv_typed_scan': ('latitude', 'longitude', 'wind_speed', 'energy_produced'),
+    'daily_file_select': ('energy_produced',),
+    'daily_totals': ('total_energy',),
+    'dim_location': ('latitude', 'longitude'),
+    'dim_unit': ('latitude', 'longitude'),
+    'enrich_left': ('latitude', 'longitude', 'energy_produced', 'wind_speed', 'wind_gust_10m', 'temperature_2m', 'cloud_cover'),
+    'fact_conditions': ('temperature_2m', 'cloud_cover', 'wind_gust_10m', 'wind_speed'),
+    'fact_production': ('energy_produced', 'wind_speed'),
+    'fact_production_lookup': ('energy_produced', 'wind_speed'),
+    'interpolate_10min': ('latitude', 'longitude', 'wind_gusts_10m', 'temperature_2m', 'cloud_cover'),
+    'measures_rounded': ('extendedprice', 'net_price', 'discount', 'quantity_per_week'),
+    'payload_rows': ('wind_gusts_10m', 'temperature_2m', 'cloud_cover'),
+    'stream_daily_load': ('energy_produced', 'wind_speed'),
+    'upsert_composite': ('latitude', 'longitude', 'wind_gusts_10m', 'temperature_2m', 'cloud_cover'),
+    'upsert_nullkey': ('o_totalprice',),
+    'upsert_single': ('o_totalprice',),
+}
+
+
+def _as_double(sql: str, cols: tuple[str, ...]) -> str:
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql}\n)"
+
+
+for _name, _cols in DECIMAL_COLUMNS.items():
+    if _name in ORACLE:
+        ORACLE[_name] = _as_double(ORACLE[_name], _cols)

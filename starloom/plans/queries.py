@@ -22,9 +22,26 @@ REGISTRY: dict[str, Query] = {}
 AVAILABLE_STATUS = "BUILDING"
 
 
+def measures_as_double(df: DataFrame) -> DataFrame:
+    """Registered outputs carry DECIMAL measures as DOUBLE (exact decimal
+    -> nearest double in both engines), so the cross-engine comparison does
+    not depend on how each client library renders decimals.  The operators
+    themselves keep the contract's DECIMAL types."""
+    from pyspark.sql.types import DecimalType
+    if not any(isinstance(f.dataType, DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def register(name: str) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
-        REGISTRY[name] = fn
+        def query(spark: SparkSession, sf: str) -> DataFrame:
+            return measures_as_double(fn(spark, sf))
+        query.__doc__ = fn.__doc__
+        query.__name__ = fn.__name__
+        REGISTRY[name] = query
         return fn
     return deco
 
