@@ -54,6 +54,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in names)
 
 
+def _file_order(partition_col: str | None, keys: Sequence[str]) -> list[str]:
+    """Partition column first (what the partitioned writer requires), then
+    the keys, so Spark adds no second sort."""
+    return ([partition_col] if partition_col else []) + [k for k in keys if k != partition_col]
+
+
 def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
     if not values:
         return
@@ -91,7 +97,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         obs = Observation(f"first_{name}")
         out = dedupe_last(source, keys, order_by).select(*cols)
         out = out.observe(obs, F.count(F.lit(1)).alias("ins"))
-        w = out.write.mode("errorifexists")
+        w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("errorifexists")
         if partition_col:
             w = w.partitionBy(partition_col)
         w.parquet(path)
@@ -105,8 +111,12 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         target = spark.createDataFrame([], source.select(*cols).schema)
     merged = merge_upsert(target.select(*cols), source, keys, order_by, keep_from_target)
     obs = Observation(f"merge_{name}")
-    merged = merged.observe(obs, F.count(F.when(F.col(ACTION) == INSERT, 1)).alias("ins"),
-                            F.count(F.when(F.col(ACTION) == UPDATE, 1)).alias("upd"))
+    metrics = [F.count(F.when(F.col(ACTION) == INSERT, 1)).alias("ins"),
+               F.count(F.when(F.col(ACTION) == UPDATE, 1)).alias("upd")]
+    if partition_col:
+        # partition values written (one per day) come with the counters
+        metrics.append(F.collect_set(partition_col).alias("parts"))
+    merged = merged.observe(obs, *metrics)
     out = merged.drop(ACTION)
     if exists:
         # Stage the merged slice in the shared folder: the target is never
@@ -114,14 +124,16 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         staged_path = scratch_path(spark, f"stage-{name}")
         out.write.mode("errorifexists").parquet(staged_path)
         out = spark.read.parquet(staged_path)
-    w = out.write.mode("overwrite")
+    # Rows sorted by key inside each file keep Parquet min/max statistics
+    # tight for later key lookups (the touched-partition semi join).
+    w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("overwrite")
     if partition_col:
         w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     if partition_col:
         # A dynamic overwrite only replaces partitions that receive rows; a
         # touched partition whose rows all moved away is removed here.
-        written = {r[0] for r in out.select(partition_col).distinct().collect()}
+        written = set(obs.get.get("parts") or [])
         _drop_partitions(spark, path, partition_col, [v for v in touched if v not in written])
     m, s = obs.get, obs_src.get
     return LoadResult(name, int(s.get("n", 0)), int(m.get("ins", 0)), int(m.get("upd", 0)))
@@ -153,10 +165,9 @@ def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
               facts: dict[str, DataFrame]) -> list[LoadResult]:
     """Dimensions first, then a foreign-key gate, then facts (O-16, O-17).
     Facts are partitioned by date so later loads rewrite touched days only.
-    The weather fact keeps one row per id (greatest date, time, location,
-    then measures) since its distinct rows are not unique on the id."""
+    ``facts`` come from ``build_facts(..., for_load=True)``: the weather
+    fact holds one row per id (its distinct rows are not unique on it)."""
     from starloom.operators.checks import orphan_keys
-    from starloom.operators.star import collapse_last
 
     # Tables of one step are independent: their jobs are submitted from
     # parallel threads and share the cluster.
@@ -177,8 +188,7 @@ def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
     broken = [r["fk"] for r in gate.distinct().collect()]  # at most one row per rule
     if broken:
         raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
-    fw = collapse_last(facts["fact_weather"], FACT_KEYS["fact_weather"],
-                       ["date_id", "time_id", "location_id"])
+    fw = facts["fact_weather"]  # one row per id: build_facts(..., for_load=True)
     out += run_all([
         dict(path=f"{root}/fact_energy", source=facts["fact_energy"],
              keys=FACT_KEYS["fact_energy"], partition_col="date_id", name="fact_energy",

@@ -157,20 +157,25 @@ def fact_energy(keyed: DataFrame) -> DataFrame:
 
 def fact_weather(keyed: DataFrame, collapse: bool = False) -> DataFrame:
     """O-46: distinct weather rows; ``collapse`` keeps one row per
-    fact_weather_id (greatest date, time, location, then measures).
+    fact_weather_id (greatest date, time, location, then measures), the
+    form a table keyed on the id can hold.  Collapsing needs no prior
+    distinct (the greatest row is the same), so it is one aggregate.
     Readings without a weather match carry no conditions and add no row
     (their energy is still in the energy fact)."""
     d = keyed.filter(F.col("weather_id").isNotNull()).select(
         F.col("weather_id").alias("fact_weather_id"),
         F.col("date").alias("date_id"), F.col("time").alias("time_id"),
-        "location_id", "temperature_2m", "cloud_cover", "wind_gust_10m", "wind_speed").distinct()
+        "location_id", "temperature_2m", "cloud_cover", "wind_gust_10m", "wind_speed")
     if collapse:
         return collapse_last(d, ["fact_weather_id"], ["date_id", "time_id", "location_id"])
-    return d
+    return d.distinct()
 
 
 def build_facts(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool = False,
                 dims: dict[str, DataFrame] | None = None,
-                broadcast_max_rows: int | None = None) -> dict[str, DataFrame]:
+                broadcast_max_rows: int | None = None,
+                for_load: bool = False) -> dict[str, DataFrame]:
+    """Both facts.  ``for_load`` gives the weather fact one row per id,
+    as loaded into a table keyed on it."""
     keyed = with_fact_keys(enriched, key_fn, strict, dims, broadcast_max_rows)
-    return {"fact_energy": fact_energy(keyed), "fact_weather": fact_weather(keyed)}
+    return {"fact_energy": fact_energy(keyed), "fact_weather": fact_weather(keyed, for_load)}

@@ -93,5 +93,6 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
 
     # 5. gold
     e = spark.read.parquet(f"{root}/silver_enriched").filter(F.col("date").isin(dates))
-    out += load_star(spark, f"{root}/gold", star.build_dimensions(e), star.build_facts(e))
+    out += load_star(spark, f"{root}/gold", star.build_dimensions(e),
+                      star.build_facts(e, for_load=True))
     return out

@@ -456,7 +456,7 @@ def load_star_q(spark: SparkSession, sf: str) -> DataFrame:
     from starloom.operators.load import load_star, results_frame
     from starloom.session import cut_lineage, scratch_path
     e = cut_lineage(st.enriched(spark, sf))
-    dims, facts = star.build_dimensions(e), star.build_facts(e)
+    dims, facts = star.build_dimensions(e), star.build_facts(e, for_load=True)
     root = scratch_path(spark, "star")
     results = []
     for run in (1, 2):
