@@ -455,3 +455,10 @@ def _as_double(sql: str, cols: tuple[str, ...]) -> str:
 for _name, _cols in DECIMAL_COLUMNS.items():
     if _name in ORACLE:
         ORACLE[_name] = _as_double(ORACLE[_name], _cols)
+
+ORACLE["region_lookup"] = with_ctes(["weather_10min"], """
+SELECT w.region, w.date, w.time, CAST(w.wind_gusts_10m AS DOUBLE) AS wind_gusts_10m,
+       r.region_name, r.timezone
+FROM weather_10min w
+LEFT JOIN (SELECT DISTINCT event_type AS region, upper(event_type) AS region_name,
+                  'UTC' AS timezone FROM events) r ON w.region = r.region""")

@@ -501,3 +501,17 @@ def medallion_load(spark: SparkSession, sf: str) -> DataFrame:
     payload_root = write_payloads(spark, sf)
     res = run_day_load(spark, csv_root, payload_root, scratch_path(spark, "medallion"))
     return results_frame(spark, [(1, r) for r in res])
+
+
+@register("region_lookup")
+def region_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather grid rows with the region's name and time zone from the
+    region reference, joined after a size check (broadcast when small)."""
+    from starloom.operators.joins import checked_broadcast
+    ref = checked_broadcast(st.region_reference(spark, sf), REGION_BROADCAST_MAX_ROWS)
+    w = st.weather_10min(spark, sf).select("region", "date", "time", "wind_gusts_10m")
+    return w.join(ref, "region", "left")
+
+
+# The region reference is broadcast only up to this many regions.
+REGION_BROADCAST_MAX_ROWS = 100_000

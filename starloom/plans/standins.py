@@ -189,3 +189,18 @@ def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_priority_key(df: DataFrame) -> DataFrame:
     """Composite key part that is NULL for low-priority orders."""
     return df.withColumn("priority_key", F.nullif(F.col("o_orderpriority"), F.lit(LOW_PRIORITY)))
+
+
+# --- region reference data --------------------------------------------------
+# Fixed value: stand-in regions report in UTC.
+STANDIN_TIMEZONE = "UTC"
+
+
+def region_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Region lookup (O-07): one row per region with its display name and
+    time zone.  Its size is the number of regions, checked before it is
+    broadcast (see operators.joins.checked_broadcast)."""
+    ev = read_table(spark, sf_dir, "events").select("event_type").distinct()
+    return ev.select(F.col("event_type").alias("region"),
+                     F.upper("event_type").alias("region_name"),
+                     F.lit(STANDIN_TIMEZONE).alias("timezone"))
