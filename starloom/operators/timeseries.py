@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import day_start, epoch_to_timestamp, time_text, to_local
-from starloom.functions.measures import div_half_away, from_units, to_units
 
 SLOTS_PER_DAY_10MIN = 144
 
@@ -65,6 +64,15 @@ def tagged_union(samples: DataFrame, grid: DataFrame, ts_col: str, keys: Sequenc
     return a.unionByName(b)
 
 
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _half_away_sql(num: str, den: str) -> str:
+    """round(num / den) half away from zero, integers only (den > 0)."""
+    return f"(signum({num}) * ((abs({num}) * 2 + {den}) div ({den} * 2)))"
+
+
 def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col: str,
                 value_cols: Sequence[str], scale: int | None = 2,
                 precision: int = 12) -> DataFrame:
@@ -80,6 +88,8 @@ def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col
       ``scale=None`` it is plain double arithmetic.
 
     Returns the grid rows (``keys``, ``ts_col``) plus one column per value.
+    The expressions are written as SQL text: one parse on the JVM instead
+    of thousands of small Column calls while the plan is built.
     """
     keys = list(keys)
     s = samples.select(*keys, ts_col, *[F.col(v).cast("double").alias(v) for v in value_cols],
@@ -87,39 +97,43 @@ def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col
     g = grid.select(*keys, ts_col, *[F.lit(None).cast("double").alias(v) for v in value_cols],
                     F.lit(1).alias("_grid"))
     u = s.unionByName(g)
+    part = ", ".join(_q(k) for k in keys)
+    t = _q(ts_col)
     # Both neighbours use running frames (unbounded preceding .. current
     # row), which are evaluated incrementally; the next sample is the last
     # one seen in descending time order.  Same partitioning, so the second
     # ordering costs a sort, not a shuffle.
-    w_prev = Window.partitionBy(*keys).orderBy(F.col(ts_col), F.col("_grid")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    w_next = Window.partitionBy(*keys).orderBy(
-        F.col(ts_col).desc(), F.col("_grid").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    t = F.col(ts_col)
-    neighbours = {}
+    prev = (f"OVER (PARTITION BY {part} ORDER BY {t}, _grid "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    nxt = (f"OVER (PARTITION BY {part} ORDER BY {t} DESC, _grid DESC "
+           f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    neighbours = []
     for v in value_cols:
-        x = F.col(v)
-        neighbours[f"_pv_{v}"] = F.last(x, ignorenulls=True).over(w_prev)
-        neighbours[f"_pt_{v}"] = F.last(F.when(x.isNotNull(), t), ignorenulls=True).over(w_prev)
-        neighbours[f"_nv_{v}"] = F.last(x, ignorenulls=True).over(w_next)
-        neighbours[f"_nt_{v}"] = F.last(F.when(x.isNotNull(), t), ignorenulls=True).over(w_next)
-    u = u.withColumns(neighbours).filter(F.col("_grid") == 1)
-
-    out = {}
+        x = _q(v)
+        seen = f"CASE WHEN {x} IS NOT NULL THEN {t} END"
+        neighbours += [f"last({x}, true) {prev} AS `_pv_{v}`",
+                       f"last({seen}, true) {prev} AS `_pt_{v}`",
+                       f"last({x}, true) {nxt} AS `_nv_{v}`",
+                       f"last({seen}, true) {nxt} AS `_nt_{v}`"]
+    u = u.selectExpr(*[_q(k) for k in keys], t, "_grid", *neighbours).filter("_grid = 1")
+
+    out = []
     for v in value_cols:
-        pv, pt = F.col(f"_pv_{v}"), F.col(f"_pt_{v}")
-        nv, nt = F.col(f"_nv_{v}"), F.col(f"_nt_{v}")
-        dt = F.timestamp_diff("SECOND", pt, t)
-        span = F.timestamp_diff("SECOND", pt, nt)
+        pv, pt, nv, nt = f"`_pv_{v}`", f"`_pt_{v}`", f"`_nv_{v}`", f"`_nt_{v}`"
+        dt = f"timestampdiff(SECOND, {pt}, {t})"
+        span = f"timestampdiff(SECOND, {pt}, {nt})"
         if scale is None:
-            inner = pv + (nv - pv) * dt.cast("double") / span.cast("double")
+            inner = f"{pv} + ({nv} - {pv}) * CAST({dt} AS DOUBLE) / CAST({span} AS DOUBLE)"
             hold = pv
         else:
-            pu, nu = to_units(pv, scale), to_units(nv, scale)
-            inner = from_units(div_half_away(pu * span + (nu - pu) * dt, span), precision, scale)
-            hold = from_units(pu, precision, scale)
-        out[v] = (F.when(pt.isNull(), F.lit(None))
-                   .when((dt == 0) | nt.isNull() | (span == 0), hold)
-                   .otherwise(inner))
-    return u.withColumns(out).select(*keys, ts_col, *value_cols)
+            unit = 10 ** scale
+            dec = f"DECIMAL({precision},{scale})"
+            pu = f"CAST(round({pv} * {unit}) AS BIGINT)"
+            nu = f"CAST(round({nv} * {unit}) AS BIGINT)"
+            total = f"({pu} * {span} + ({nu} - {pu}) * {dt})"
+            inner = f"CAST(CAST({_half_away_sql(total, span)} AS DECIMAL(20,0)) / {unit} AS {dec})"
+            hold = f"CAST(CAST({pu} AS DECIMAL(20,0)) / {unit} AS {dec})"
+        out.append(f"CASE WHEN {pt} IS NULL THEN NULL "
+                   f"WHEN {dt} = 0 OR {nt} IS NULL OR {span} = 0 THEN {hold} "
+                   f"ELSE {inner} END AS {_q(v)}")
+    return u.selectExpr(*[_q(k) for k in keys], t, *out)
