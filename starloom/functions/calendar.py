@@ -98,8 +98,9 @@ def time_for_sink(date: Column | str, time_txt: Column | str) -> Column:
 
 
 def epoch_to_timestamp(seconds: Column | str) -> Column:
-    """Epoch seconds -> UTC wall-clock timestamp without zone (O-62)."""
-    return F.to_timestamp_ntz(F.from_unixtime(_c(seconds), "yyyy-MM-dd HH:mm:ss"))
+    """Epoch seconds -> UTC wall-clock timestamp without zone (O-62);
+    independent of the session time zone."""
+    return F.timestamp_add("SECOND", _c(seconds), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
 def to_local(ts_utc: Column | str, tz: Column | str) -> Column:

@@ -13,6 +13,7 @@ from starloom.functions.keys import murmur_key
 from starloom.operators import reports, star
 from starloom.operators.timeseries import spine, tagged_union
 from starloom.plans import standins as st
+from starloom.session import configure
 from starloom.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +39,7 @@ def measures_as_double(df: DataFrame) -> DataFrame:
 def register(name: str) -> Callable[[Query], Query]:
     def deco(fn: Query) -> Query:
         def query(spark: SparkSession, sf: str) -> DataFrame:
+            configure(spark)
             return measures_as_double(fn(spark, sf))
         query.__doc__ = fn.__doc__
         query.__name__ = fn.__name__

@@ -66,6 +66,16 @@ def get_session(master: str | None = None, app_name: str = "starloom",
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Pin the SQL settings results depend on (UTC wall clock, ANSI) on a
+    session created elsewhere, e.g. by a driver; sizing is left alone."""
+    for k, v in BASE_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext
