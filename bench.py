@@ -1,7 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-Each query is written to the ``noop`` sink so every row is computed; the
-median of warm runs is reported.  Prints one JSON line."""
+Each query is written to the ``noop`` sink so every row is computed.  One
+warm-up pass over all queries, then ``BENCH_RUNS`` measured passes; the
+median per query is reported.  Prints one JSON line."""
 
 from __future__ import annotations
 
@@ -30,15 +31,19 @@ def main() -> None:
                                "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in HEADLINE if n in REGISTRY]
-    results = {}
-    for name in names:
-        times = []
-        for i in range(runs + 1):
-            t = time.perf_counter()
-            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run warms the JVM and file listings
-                times.append(time.perf_counter() - t)
-        results[name] = round(statistics.median(times), 3)
+
+    def run(name: str) -> float:
+        t = time.perf_counter()
+        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+
+    for name in names:  # warm-up pass: JIT, file listings, codegen caches
+        run(name)
+    times: dict[str, list[float]] = {n: [] for n in names}
+    for _ in range(runs):  # measured passes, interleaved
+        for name in names:
+            times[name].append(run(name))
+    results = {n: round(statistics.median(ts), 3) for n, ts in times.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "median_warm_query_seconds_total",
                       "value": round(sum(results.values()), 3), "unit": "sec",

@@ -462,3 +462,14 @@ SELECT w.region, w.date, w.time, CAST(w.wind_gusts_10m AS DOUBLE) AS wind_gusts_
 FROM weather_10min w
 LEFT JOIN (SELECT DISTINCT event_type AS region, upper(event_type) AS region_name,
                   'UTC' AS timezone FROM events) r ON w.region = r.region""")
+
+ORACLE["star_counts"] = with_ctes(["enriched"], """
+SELECT 'date_dim' AS table_name, count(*) AS rows FROM (SELECT DISTINCT date, day, month, quarter, year FROM enriched)
+UNION ALL SELECT 'time_dim', count(*) FROM (SELECT DISTINCT time, hour_of_day, minute_of_hour, second_of_minute, time_period FROM enriched)
+UNION ALL SELECT 'turbine_dim', count(*) FROM turbine_dim
+UNION ALL SELECT 'status_dim', count(*) FROM status_dim
+UNION ALL SELECT 'location_dim', count(*) FROM location_dim
+UNION ALL SELECT 'fact_energy', count(*) FROM fact_energy
+UNION ALL SELECT 'fact_weather', count(*) FROM fact_weather""",
+    [("turbine_dim", _TURBINE_DIM), ("status_dim", _STATUS_DIM), ("location_dim", _LOCATION_DIM),
+     ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])

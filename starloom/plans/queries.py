@@ -517,3 +517,17 @@ def region_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 # The region reference is broadcast only up to this many regions.
 REGION_BROADCAST_MAX_ROWS = 100_000
+
+
+@register("star_counts")
+def star_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Row count of every star table (O-37): the enrichment is written once
+    to the shared folder, then one job counts all seven tables from it."""
+    from starloom.session import cut_lineage
+    e = cut_lineage(st.enriched(spark, sf), "enriched")
+    tables = {**star.build_dimensions(e), **star.build_facts(e)}
+    out = None
+    for name, df in tables.items():
+        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        out = c if out is None else out.unionByName(c)
+    return out

@@ -158,3 +158,37 @@ def test_checked_broadcast(spark):
     p2 = j2._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
     assert j1.count() == j2.count() == 5000
+
+
+def test_time_for_sink_uses_row_date(spark):
+    # O-61: a HH:mm:ss text becomes a timestamp on the row's own date
+    from starloom.functions.calendar import time_for_sink
+    df = spark.createDataFrame([(dt.date(2024, 6, 15), "23:50:00"), (dt.date(2024, 6, 15), "bad")],
+                               "date date, time string")
+    got = [r[0] for r in df.select(time_for_sink("date", "time")).collect()]
+    assert got == [dt.datetime(2024, 6, 15, 23, 50), None]
+
+
+def test_date_gate_is_inclusive(spark):
+    from starloom.operators.checks import date_gate
+    df = spark.createDataFrame([(dt.date(2024, 6, 14),), (dt.date(2024, 6, 15),),
+                                (dt.date(2024, 8, 3),), (dt.date(2024, 8, 4),)], "date date")
+    got = [r[0] for r in date_gate(df, "date", "2024-06-15", "2024-08-03").orderBy("date").collect()]
+    assert got == [dt.date(2024, 6, 15), dt.date(2024, 8, 3)]
+
+
+def test_allowed_dates_fifty_days(spark):
+    # O-30: the reference's loadable window holds 50 days
+    from starloom.operators.checks import allowed_dates
+    n = spark.range(1).select(F.size(allowed_dates(F.lit("2024-06-15").cast("date"),
+                                                   F.lit("2024-08-03").cast("date")))).first()[0]
+    assert n == 50
+
+
+def test_epoch_axis_end_excluded(spark):
+    # O-50 / O-62
+    from starloom.operators.timeseries import hourly_axis
+    start = 1718409600  # 2024-06-15 00:00:00 UTC
+    df = spark.range(1).select(hourly_axis(F.lit(start), F.lit(start + 86400), F.lit(3600)).alias("a"))
+    a = df.first()["a"]
+    assert len(a) == 24 and a[0] == dt.datetime(2024, 6, 15, 0, 0) and a[-1] == dt.datetime(2024, 6, 15, 23, 0)
