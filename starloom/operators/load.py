@@ -97,7 +97,9 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
         obs = Observation(f"first_{name}")
         out = dedupe_last(source, keys, order_by).select(*cols)
         out = out.observe(obs, F.count(F.lit(1)).alias("ins"))
-        w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("errorifexists")
+        # "overwrite": the folder holds no committed data (at most the
+        # leftovers of a failed attempt), so a retry simply starts over.
+        w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("overwrite")
         if partition_col:
             w = w.partitionBy(partition_col)
         w.parquet(path)
