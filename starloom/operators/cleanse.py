@@ -7,7 +7,6 @@ event timestamp (not by re-parsing the time text)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starloom.functions.calendar import with_time_attributes
 from starloom.functions.measures import to_decimal

@@ -10,7 +10,6 @@ fit the threshold the sort-merge fallback splits skewed reading partitions.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starloom.functions.keys import stable_key
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.plans.oracle_base import (TIME_ATTRS_SQL, half_away, stable_key_sql,
-                                        units_to_dec, with_ctes)
+from starloom.plans.oracle_base import half_away, stable_key_sql, units_to_dec, with_ctes
 
 ORACLE: dict[str, str] = {}
 
