@@ -55,12 +55,23 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
 
 
 def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: str,
-                 batch_id: str | None = None) -> list[LoadResult]:
+                 batch_id: str | None = None,
+                 date_range: tuple[str, str] | None = None) -> list[LoadResult]:
+    """Load every file day below ``csv_root`` (and the payloads of the same
+    days), or only the days of ``date_range`` (inclusive ISO dates, O-29):
+    the gate prunes file-day partitions, so other days are never read."""
     batch_id = batch_id or new_batch_id()
     out: list[LoadResult] = []
 
     # 1. bronze production + quarantine
-    parsed = parse_production(read_all(spark, csv_root))
+    raw = read_all(spark, csv_root)
+    payloads = read_payloads(spark, payload_root)
+    if date_range:
+        lo, hi = date_range
+        day = F.col("file_day").cast("string")
+        raw = raw.filter((day >= lo.replace("-", "")) & (day <= hi.replace("-", "")))
+        payloads = payloads.filter(F.col("date").between(lo, hi))
+    parsed = parse_production(raw)
     good, bad = split_quarantine(parsed)
     bad.write.mode("overwrite").partitionBy("file_day").option(
         "partitionOverwriteMode", "dynamic").parquet(f"{root}/quarantine")
@@ -70,7 +81,7 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     bronze_p = spark.read.parquet(f"{root}/bronze_production")
 
     # 2. bronze weather
-    bronze_weather(read_payloads(spark, payload_root)).write.mode("overwrite") \
+    bronze_weather(payloads).write.mode("overwrite") \
         .partitionBy("date").option("partitionOverwriteMode", "dynamic") \
         .parquet(f"{root}/bronze_weather")
     bronze_w = spark.read.parquet(f"{root}/bronze_weather")

@@ -77,3 +77,19 @@ def test_stream_loads_new_files_only(spark):
     assert got == [(1, "2024-06-16", "00:20:00"), (3, "2024-06-16", "07:05:03")]
     q = spark.read.parquet(quar)
     assert q.filter(F.col("_reason") == "bad_time").count() == 1
+
+
+def test_command_line_load_with_date_gate(spark):
+    from starloom.__main__ import main
+    from starloom.plans.fixtures import write_payloads, write_production_csv
+    from conftest import SF001
+    csv_root = write_production_csv(spark, SF001)
+    payloads = write_payloads(spark, SF001)
+    out = scratch_path(spark, "t-cli")
+    assert main(["load", "--csv", csv_root, "--payloads", payloads, "--out", out,
+                 "--from", "2024-01-10", "--to", "2024-01-12"]) == 0
+    dates = {r[0] for r in spark.read.parquet(f"{out}/silver_production").select("date").distinct().collect()}
+    assert dates == {dt.date(2024, 1, 10), dt.date(2024, 1, 11), dt.date(2024, 1, 12)}
+    assert main(["report", "daily_totals", "--out", out]) == 0
+    rep = spark.read.parquet(f"{out}/reports/daily_totals")
+    assert {r[0] for r in rep.select("date_id").distinct().collect()} == dates
