@@ -35,19 +35,24 @@ def production_stream(spark: SparkSession, landing: str,
     return parse_production(r.csv(landing))
 
 
+def load_batch(batch: DataFrame, epoch_id: int, silver_path: str, quarantine_path: str) -> None:
+    """One micro-batch: quarantine its bad rows, upsert its good rows.
+    Safe to replay: the quarantine folder of the epoch is overwritten and
+    the upsert is idempotent."""
+    good, bad = split_quarantine(batch)
+    (bad.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+     .parquet(f"{quarantine_path}/epoch={epoch_id}"))
+    silver = silver_production(to_bronze(good, batch_id=f"epoch-{epoch_id}"))
+    upsert_table(batch.sparkSession, silver_path, silver, ["production_id"],
+                 partition_col="date", name="silver_production")
+
+
 def start_daily_load(spark: SparkSession, landing: str, silver_path: str,
                      quarantine_path: str, checkpoint: str,
                      max_files_per_trigger: int | None = None,
                      available_now: bool = True) -> StreamingQuery:
     def load(batch: DataFrame, epoch_id: int) -> None:
-        good, bad = split_quarantine(batch)
-        # Quarantine per epoch with overwrite: a replayed epoch rewrites
-        # its own folder instead of appending twice.
-        (bad.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-         .parquet(f"{quarantine_path}/epoch={epoch_id}"))
-        silver = silver_production(to_bronze(good, batch_id=f"epoch-{epoch_id}"))
-        upsert_table(batch.sparkSession, silver_path, silver, ["production_id"],
-                     partition_col="date", name="silver_production")
+        load_batch(batch, epoch_id, silver_path, quarantine_path)
 
     w = (production_stream(spark, landing, max_files_per_trigger).writeStream
          .foreachBatch(load).option("checkpointLocation", checkpoint))
