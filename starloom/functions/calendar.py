@@ -54,12 +54,20 @@ def time_text(ts: Column | str) -> Column:
     return F.date_format(_c(ts), TIME_TEXT)
 
 
+def day_part_sql(hour_sql: str) -> str:
+    """SQL text of the day-part bucket of an hour expression."""
+    cases = " ".join(f"WHEN {hour_sql} >= {lo} AND {hour_sql} < {hi} THEN '{label}'"
+                     for label, lo, hi in DAY_PARTS)
+    return f"CASE {cases} ELSE '{DAY_PART_DEFAULT}' END"
+
+
 def day_part(hour: Column | str) -> Column:
     """Morning / Afternoon / Evening / Night bucket of an hour (O-65)."""
-    h = _c(hour)
+    if isinstance(hour, str):
+        return F.expr(day_part_sql(f"`{hour}`"))
     expr = None
     for label, lo, hi in DAY_PARTS:
-        cond = (h >= lo) & (h < hi)
+        cond = (hour >= lo) & (hour < hi)
         expr = F.when(cond, label) if expr is None else expr.when(cond, label)
     return expr.otherwise(DAY_PART_DEFAULT)
 
@@ -110,9 +118,12 @@ def to_local(ts_utc: Column | str, tz: Column | str) -> Column:
 
 def floor_to_minutes(ts: Column | str, minutes: int) -> Column:
     """Floor a timestamp to a slot of ``minutes`` (must divide 60)."""
-    t = _c(ts)
-    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t),
-                                F.minute(t) - F.minute(t) % minutes, F.lit(0))
+    if isinstance(ts, str):
+        t = f"`{ts}`"
+        return F.expr(f"make_timestamp_ntz(year({t}), month({t}), dayofmonth({t}), hour({t}), "
+                      f"minute({t}) - minute({t}) % {minutes}, 0)")
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.minute(ts) - F.minute(ts) % minutes, F.lit(0))
 
 
 def day_start(date: Column | str) -> Column:
@@ -120,12 +131,24 @@ def day_start(date: Column | str) -> Column:
     return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.lit(0), F.lit(0), F.lit(0))
 
 
+def time_attribute_sql(ts: str, date_col: str = "date", time_col: str = "time") -> dict[str, str]:
+    """SQL text of the date, time text, calendar, clock and day-part columns
+    of one timestamp column."""
+    t = f"`{ts}`"
+    return {
+        date_col: f"to_date({t})",
+        time_col: f"date_format({t}, '{TIME_TEXT}')",
+        "day": f"dayofmonth({t})", "month": f"month({t})",
+        "quarter": f"quarter({t})", "year": f"year({t})",
+        "hour_of_day": f"hour({t})", "minute_of_hour": f"minute({t})",
+        "second_of_minute": f"CAST(floor(second({t})) AS INT)",
+        "time_period": day_part_sql(f"hour({t})"),
+    }
+
+
 def with_time_attributes(df, ts: str, date_col: str = "date", time_col: str = "time"):
     """Add date, time text, calendar, clock and day-part columns from one
-    timestamp column (the silver transform of both inputs)."""
-    t = F.col(ts)
-    cols = {date_col: F.to_date(t), time_col: time_text(t)}
-    cols.update(calendar_columns(F.to_date(t)))
-    cols.update(clock_columns(t))
-    df = df.withColumns(cols)
-    return df.withColumn("time_period", day_part(F.col("hour_of_day")))
+    timestamp column (the silver transform of both inputs); written as SQL
+    text so the plan is built with a handful of JVM calls."""
+    exprs = time_attribute_sql(ts, date_col, time_col)
+    return df.withColumns({k: F.expr(v) for k, v in exprs.items()})

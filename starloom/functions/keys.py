@@ -21,7 +21,20 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def key_text_sql(parts: tuple[str, ...], null_safe: bool = True) -> str:
+    cols = [f"CAST(`{p}` AS STRING)" for p in parts]
+    if null_safe:
+        cols = [f"coalesce({c}, {_sql_literal(NULL_MARKER)})" for c in cols]
+    return f"concat_ws({_sql_literal(KEY_SEPARATOR)}, {', '.join(cols)})"
+
+
 def key_text(*parts: Column | str, null_safe: bool = True) -> Column:
+    if all(isinstance(p, str) for p in parts):
+        return F.expr(key_text_sql(parts, null_safe))
     cols = [_c(p).cast("string") for p in parts]
     if null_safe:
         cols = [F.coalesce(c, F.lit(NULL_MARKER)) for c in cols]
@@ -30,6 +43,8 @@ def key_text(*parts: Column | str, null_safe: bool = True) -> Column:
 
 def stable_key(*parts: Column | str) -> Column:
     """60-bit non-negative bigint from MD5 of the key text (O-66b, O-21)."""
+    if all(isinstance(p, str) for p in parts):
+        return F.expr(f"CAST(conv(substring(md5({key_text_sql(parts)}), 1, 15), 16, 10) AS BIGINT)")
     return F.conv(F.substring(F.md5(key_text(*parts)), 1, 15), 16, 10).cast("bigint")
 
 

@@ -41,3 +41,13 @@ def div_half_away(num: Column | str, den: Column | str) -> Column:
     q = F.abs(n) * 2 + d
     whole = (q - F.pmod(q, d * 2)) / (d * 2)
     return (F.signum(n) * whole).cast("bigint")
+
+
+def half_away_sql(num: str, den: str) -> str:
+    """SQL text of ``div_half_away`` for integer expressions (den > 0)."""
+    return f"(signum({num}) * ((abs({num}) * 2 + {den}) div ({den} * 2)))"
+
+
+def units_to_decimal_sql(units: str, precision: int, scale: int) -> str:
+    """SQL text of ``from_units``."""
+    return f"CAST(CAST({units} AS DECIMAL(20,0)) / {10 ** scale} AS DECIMAL({precision},{scale}))"

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import day_start, epoch_to_timestamp, time_text, to_local
+from starloom.functions.measures import half_away_sql
 
 SLOTS_PER_DAY_10MIN = 144
 
@@ -68,11 +69,6 @@ def _q(name: str) -> str:
     return f"`{name}`"
 
 
-def _half_away_sql(num: str, den: str) -> str:
-    """round(num / den) half away from zero, integers only (den > 0)."""
-    return f"(signum({num}) * ((abs({num}) * 2 + {den}) div ({den} * 2)))"
-
-
 def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col: str,
                 value_cols: Sequence[str], scale: int | None = 2,
                 precision: int = 12) -> DataFrame:
@@ -131,7 +127,7 @@ def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col
             pu = f"CAST(round({pv} * {unit}) AS BIGINT)"
             nu = f"CAST(round({nv} * {unit}) AS BIGINT)"
             total = f"({pu} * {span} + ({nu} - {pu}) * {dt})"
-            inner = f"CAST(CAST({_half_away_sql(total, span)} AS DECIMAL(20,0)) / {unit} AS {dec})"
+            inner = f"CAST(CAST({half_away_sql(total, span)} AS DECIMAL(20,0)) / {unit} AS {dec})"
             hold = f"CAST(CAST({pu} AS DECIMAL(20,0)) / {unit} AS {dec})"
         out.append(f"CASE WHEN {pt} IS NULL THEN NULL "
                    f"WHEN {dt} = 0 OR {nt} IS NULL OR {span} = 0 THEN {hold} "

@@ -22,14 +22,12 @@ Every function reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import floor_to_minutes, time_text, with_time_attributes
 from starloom.functions.keys import stable_key
-from starloom.functions.measures import div_half_away, from_units
+from starloom.functions.measures import half_away_sql, units_to_decimal_sql
 from starloom.operators.enrich import enrich
 from starloom.operators.timeseries import interpolate, spine
 from starloom.sources.tables import read_table
@@ -41,10 +39,6 @@ WEATHER_PRECISION = {"wind_gusts_10m": (6, 2), "temperature_2m": (5, 2), "cloud_
 CLOUDY_VALUE = 25.0
 
 
-def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
 def turbine_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer -> nation -> region.  nation and region have a fixed
     cardinality (25 and 5 rows at every scale factor), so they are
@@ -54,60 +48,62 @@ def turbine_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-    return c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey, "left").select(
-        F.col("c_custkey").alias("user_id"),
-        (F.lit(1000) + F.lit(100) * F.col("c_nationkey")).cast("int").alias("capacity"),
-        F.col("n_name").alias("location_name"),
-        (F.col("c_acctbal").cast("decimal(12,2)") * F.lit(Decimal("0.01")))
-        .cast("decimal(9,6)").alias("latitude"),
-        (-F.col("c_nationkey")).cast("decimal(9,6)").alias("longitude"),
-        F.col("c_mktsegment").alias("status"),
-        F.col("r_name").alias("responsible_department"),
+    return c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey, "left").selectExpr(
+        "c_custkey AS user_id",
+        "CAST(1000 + 100 * c_nationkey AS INT) AS capacity",
+        "n_name AS location_name",
+        "CAST(CAST(c_acctbal AS DECIMAL(12,2)) * 0.01BD AS DECIMAL(9,6)) AS latitude",
+        "CAST(-c_nationkey AS DECIMAL(9,6)) AS longitude",
+        "c_mktsegment AS status",
+        "r_name AS responsible_department",
     )
 
 
+_K = "CAST(get_json_object(props, '$.k') AS INT)"
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned production rows (silver contract + ``measured_at``)."""
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props")
     reg = turbine_register(spark, sf_dir)
     j = ev.join(reg, "user_id", "left")
-    k = _k()
-    slot = floor_to_minutes(F.col("ts"), 10)
-    df = j.select(
-        F.col("event_id").alias("production_id"),
-        F.col("ts").alias("measured_at"),
-        slot.alias("_slot"),
-        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("turbine_name"),
+    compass = ", ".join(f"'{c}'" for c in COMPASS)
+    df = j.selectExpr(
+        "event_id AS production_id",
+        "ts AS measured_at",
+        "make_timestamp_ntz(year(ts), month(ts), dayofmonth(ts), hour(ts), "
+        "minute(ts) - minute(ts) % 10, 0) AS _slot",
+        "concat('U', CAST(user_id AS STRING)) AS turbine_name",
         "capacity", "location_name", "latitude", "longitude",
-        F.col("event_type").alias("region"), "status", "responsible_department",
-        (k.cast("decimal(6,2)") * F.lit(Decimal("0.1"))).cast("decimal(6,2)").alias("wind_speed"),
-        F.element_at(F.array(*[F.lit(c) for c in COMPASS]), F.pmod(k, F.lit(8)) + 1)
-        .alias("wind_direction"),
-        F.col("value").cast("decimal(12,2)").alias("energy_produced"),
+        "event_type AS region", "status", "responsible_department",
+        f"CAST(CAST({_K} AS DECIMAL(6,2)) * 0.1BD AS DECIMAL(6,2)) AS wind_speed",
+        f"element_at(array({compass}), pmod({_K}, 8) + 1) AS wind_direction",
+        "CAST(value AS DECIMAL(12,2)) AS energy_produced",
     )
     return with_time_attributes(df, "_slot").drop("_slot")
 
 
 def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly samples per region (event type): mean value, mean k and the
-    share of values at or above 25, each held at 2 decimals exactly.
+    share of values at or above 25, each held at 2 decimals exactly
+    (integer sums, division rounded half away from zero).
 
     A partial aggregate: the output has one row per region-hour."""
     ev = read_table(spark, sf_dir, "events").select("ts", "event_type", "value", "props")
-    hour = floor_to_minutes(F.col("ts"), 60)
+    hour = floor_to_minutes("ts", 60)
     agg = ev.groupBy(F.col("event_type").alias("region"), hour.alias("ts")).agg(
-        F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("_v"),
-        F.sum(_k().cast("bigint")).alias("_k"),
-        F.sum(F.when(F.col("value") >= CLOUDY_VALUE, 1).otherwise(0)).cast("bigint").alias("_c"),
+        F.expr("sum(CAST(round(value * 100) AS BIGINT))").alias("_v"),
+        F.expr(f"sum(CAST({_K} AS BIGINT))").alias("_k"),
+        F.expr(f"CAST(sum(CASE WHEN value >= {CLOUDY_VALUE} THEN 1 ELSE 0 END) AS BIGINT)")
+        .alias("_c"),
         F.count(F.lit(1)).alias("_n"),
     )
-    return agg.select(
-        "region", F.upper("region").alias("region_name"), "ts",
-        F.to_date("ts").alias("date"),
-        from_units(div_half_away(F.col("_v"), F.col("_n")), 6, 2).alias("wind_gusts_10m"),
-        from_units(div_half_away(F.col("_k") * 100, F.col("_n")), 5, 2).alias("temperature_2m"),
-        from_units(div_half_away(F.col("_c") * 10000, F.col("_n")), 5, 2).alias("cloud_cover"),
+    return agg.selectExpr(
+        "region", "upper(region) AS region_name", "ts", "to_date(ts) AS date",
+        f"{units_to_decimal_sql(half_away_sql('_v', '_n'), 6, 2)} AS wind_gusts_10m",
+        f"{units_to_decimal_sql(half_away_sql('_k * 100', '_n'), 5, 2)} AS temperature_2m",
+        f"{units_to_decimal_sql(half_away_sql('_c * 10000', '_n'), 5, 2)} AS cloud_cover",
     )
 
 
