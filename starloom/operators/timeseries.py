@@ -113,23 +113,82 @@ def interpolate(samples: DataFrame, grid: DataFrame, keys: Sequence[str], ts_col
                        f"last({seen}, true) {nxt} AS `_nt_{v}`"]
     u = u.selectExpr(*[_q(k) for k in keys], t, "_grid", *neighbours).filter("_grid = 1")
 
+    out = [_interp_sql(v, f"`_pv_{v}`", f"`_pt_{v}`", f"`_nv_{v}`", f"`_nt_{v}`", t,
+                       scale, precision) for v in value_cols]
+    return u.selectExpr(*[_q(k) for k in keys], t, *out)
+
+
+def _interp_sql(v: str, pv: str, pt: str, nv: str, nt: str, t: str,
+                scale: int | None, precision: int) -> str:
+    """Value at ``t`` from the previous (pv at pt) and next (nv at nt)
+    samples: NULL before the first sample, held after the last one."""
+    dt = f"timestampdiff(SECOND, {pt}, {t})"
+    span = f"timestampdiff(SECOND, {pt}, {nt})"
+    if scale is None:
+        inner = f"{pv} + ({nv} - {pv}) * CAST({dt} AS DOUBLE) / CAST({span} AS DOUBLE)"
+        hold = pv
+    else:
+        unit = 10 ** scale
+        dec = f"DECIMAL({precision},{scale})"
+        pu = f"CAST(round({pv} * {unit}) AS BIGINT)"
+        nu = f"CAST(round({nv} * {unit}) AS BIGINT)"
+        total = f"({pu} * {span} + ({nu} - {pu}) * {dt})"
+        inner = f"CAST(CAST({half_away_sql(total, span)} AS DECIMAL(20,0)) / {unit} AS {dec})"
+        hold = f"CAST(CAST({pu} AS DECIMAL(20,0)) / {unit} AS {dec})"
+    return (f"CASE WHEN {pt} IS NULL THEN NULL "
+            f"WHEN {dt} = 0 OR {nt} IS NULL OR {span} = 0 THEN {hold} "
+            f"ELSE {inner} END AS {_q(v)}")
+
+
+def interpolate_day_grid(samples: DataFrame, keys: Sequence[str], date_col: str, ts_col: str,
+                         value_cols: Sequence[str], step_minutes: int = 10,
+                         scale: int | None = 2, precision: int = 12) -> DataFrame:
+    """``interpolate`` onto the whole-day grid (``spine``) of every key-day
+    that has samples, computed from the samples alone.
+
+    One window over the day's samples (at most one per sample time, so 24
+    for hourly data) finds, per variable, the last value up to each sample
+    and the first value after it; each sample row then expands into the
+    grid points up to the next sample (the first row also covers the
+    points from midnight).  No grid of days is aggregated separately and
+    nothing is unioned, so the input is scanned once and the window sorts
+    24 rows per day instead of 168.  ``keys`` must include ``date_col``;
+    sample times must lie on the grid's day.
+    """
+    keys = list(keys)
+    part = ", ".join(_q(k) for k in keys)
+    t = _q(ts_col)
+    upto = (f"OVER (PARTITION BY {part} ORDER BY {t} "
+            f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    after = (f"OVER (PARTITION BY {part} ORDER BY {t} DESC "
+             f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    step = f"INTERVAL {step_minutes} MINUTES"
+    day0 = f"CAST({_q(date_col)} AS TIMESTAMP_NTZ)"
+    cols = [*[_q(k) for k in keys], f"{t} AS _st",
+            f"lead({t}) OVER (PARTITION BY {part} ORDER BY {t}) AS _next",
+            f"row_number() OVER (PARTITION BY {part} ORDER BY {t}) = 1 AS _first"]
+    for v in value_cols:
+        x = f"CAST({_q(v)} AS DOUBLE)"
+        seen = f"CASE WHEN {_q(v)} IS NOT NULL THEN {t} END"
+        cols += [f"{x} AS `_v_{v}`",
+                 f"last({x}, true) {upto} AS `_pv_{v}`",
+                 f"last({seen}, true) {upto} AS `_pt_{v}`",
+                 f"last({x}, true) {after} AS `_av_{v}`",
+                 f"last({seen}, true) {after} AS `_at_{v}`"]
+    w = samples.selectExpr(*cols)
+    start = f"CASE WHEN _first THEN {day0} ELSE _st END"
+    stop = f"coalesce(_next, {day0} + INTERVAL 1 DAY) - {step}"
+    slots = (f"explode(CASE WHEN {start} <= {stop} THEN sequence({start}, {stop}, {step}) "
+             f"ELSE array() END) AS {t}")
+    g = w.selectExpr("*", slots)
     out = []
     for v in value_cols:
-        pv, pt, nv, nt = f"`_pv_{v}`", f"`_pt_{v}`", f"`_nv_{v}`", f"`_nt_{v}`"
-        dt = f"timestampdiff(SECOND, {pt}, {t})"
-        span = f"timestampdiff(SECOND, {pt}, {nt})"
-        if scale is None:
-            inner = f"{pv} + ({nv} - {pv}) * CAST({dt} AS DOUBLE) / CAST({span} AS DOUBLE)"
-            hold = pv
-        else:
-            unit = 10 ** scale
-            dec = f"DECIMAL({precision},{scale})"
-            pu = f"CAST(round({pv} * {unit}) AS BIGINT)"
-            nu = f"CAST(round({nv} * {unit}) AS BIGINT)"
-            total = f"({pu} * {span} + ({nu} - {pu}) * {dt})"
-            inner = f"CAST(CAST({half_away_sql(total, span)} AS DECIMAL(20,0)) / {unit} AS {dec})"
-            hold = f"CAST(CAST({pu} AS DECIMAL(20,0)) / {unit} AS {dec})"
-        out.append(f"CASE WHEN {pt} IS NULL THEN NULL "
-                   f"WHEN {dt} = 0 OR {nt} IS NULL OR {span} = 0 THEN {hold} "
-                   f"ELSE {inner} END AS {_q(v)}")
-    return u.selectExpr(*[_q(k) for k in keys], t, *out)
+        # before this sample (first row only): no previous value; the next
+        # one is this sample if it has the variable, else the one after it
+        before = f"{t} < _st"
+        pv = f"CASE WHEN {before} THEN NULL ELSE `_pv_{v}` END"
+        pt = f"CASE WHEN {before} THEN NULL ELSE `_pt_{v}` END"
+        nv = f"CASE WHEN {before} AND `_v_{v}` IS NOT NULL THEN `_v_{v}` ELSE `_av_{v}` END"
+        nt = f"CASE WHEN {before} AND `_v_{v}` IS NOT NULL THEN _st ELSE `_at_{v}` END"
+        out.append(_interp_sql(v, f"({pv})", f"({pt})", f"({nv})", f"({nt})", t, scale, precision))
+    return g.selectExpr(*[_q(k) for k in keys], t, *out)

@@ -28,7 +28,7 @@ from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import BRONZE_WEATHER, SILVER_WEATHER, cast_to_contract
 from starloom.operators.enrich import enrich
 from starloom.operators.load import LoadResult, load_star, upsert_table
-from starloom.operators.timeseries import interpolate, spine
+from starloom.operators.timeseries import interpolate_day_grid
 from starloom.sources.csv import parse_production, read_all, split_quarantine, to_bronze
 from starloom.sources.payload import VARIABLES, payload_rows, read_payloads
 
@@ -39,9 +39,7 @@ SOURCE_LABEL = "weather-archive"
 def bronze_weather(payloads: DataFrame) -> DataFrame:
     hourly = payload_rows(payloads)
     keys = ["region", "region_name", "latitude", "longitude", "date"]
-    days = hourly.select(*keys).distinct()
-    grid = spine(days, "date", "ts", 10)
-    w = interpolate(hourly, grid, keys, "ts", VARIABLES, scale=2)
+    w = interpolate_day_grid(hourly, keys, "date", "ts", VARIABLES, 10, scale=2)
     w = w.withColumns({"time": time_text("ts"), "ingested_at": F.current_timestamp(),
                        "source_api": F.lit(SOURCE_LABEL)})
     return cast_to_contract(w, BRONZE_WEATHER)

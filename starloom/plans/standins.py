@@ -29,7 +29,7 @@ from starloom.functions.calendar import floor_to_minutes, time_text, with_time_a
 from starloom.functions.keys import stable_key
 from starloom.functions.measures import half_away_sql, units_to_decimal_sql
 from starloom.operators.enrich import enrich
-from starloom.operators.timeseries import interpolate, spine
+from starloom.operators.timeseries import interpolate_day_grid
 from starloom.sources.tables import read_table
 
 # Compass points indexed by k mod 8.
@@ -111,10 +111,8 @@ def weather_10min(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly samples interpolated onto the 10-minute grid of every
     region-day that has samples (bronze weather rows)."""
     hourly = hourly_weather(spark, sf_dir)
-    days = hourly.select("region", "region_name", "date").distinct()
-    grid = spine(days, "date", "ts", 10)
     keys = ["region", "region_name", "date"]
-    w = interpolate(hourly, grid, keys, "ts", WEATHER_VARS, scale=2)
+    w = interpolate_day_grid(hourly, keys, "date", "ts", WEATHER_VARS, 10, scale=2)
     casts = [F.col(v).cast(f"decimal({p},{s})").alias(v) for v, (p, s) in WEATHER_PRECISION.items()]
     return w.select(
         "date", time_text("ts").alias("time"),

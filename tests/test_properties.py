@@ -4,9 +4,10 @@ import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators.timeseries import interpolate, spine
+from starloom.operators.timeseries import interpolate, interpolate_day_grid, spine
 from starloom.operators.upsert import ACTION, merge_upsert, upsert_metrics
 
 
@@ -26,7 +27,8 @@ def _expected(samples: dict[int, float | None], minute: int) -> Decimal | None:
     return val.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
 
 
-def test_interpolation_matches_brute_force(spark):
+@pytest.mark.parametrize("impl", ["grid", "day_grid"])
+def test_interpolation_matches_brute_force(spark, impl):
     rng = np.random.default_rng(7)
     day = dt.date(2024, 6, 15)
     series = {}
@@ -44,7 +46,11 @@ def test_interpolation_matches_brute_force(spark):
         series[f"S{s}"] = vals
     samples = spark.createDataFrame(rows, "region string, date date, ts timestamp_ntz, v double")
     days = samples.select("region", "date").distinct()
-    out = interpolate(samples, spine(days), ["region", "date"], "ts", ["v"], scale=2).collect()
+    if impl == "grid":
+        out = interpolate(samples, spine(days), ["region", "date"], "ts", ["v"], scale=2)
+    else:
+        out = interpolate_day_grid(samples, ["region", "date"], "date", "ts", ["v"], scale=2)
+    out = out.collect()
     assert len(out) == 12 * 144
     for r in out:
         minute = r["ts"].hour * 60 + r["ts"].minute
