@@ -25,3 +25,14 @@ def test_entry(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_no_python_in_plans(spark, name):
+    """Every registered query stays on the JVM: no Python UDF evaluation,
+    no collect of a Python RDD in its plan."""
+    df = REGISTRY[name](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                 "FlatMapGroupsInPandas", "PythonRDD"):
+        assert node not in plan, (name, node)
