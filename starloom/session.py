@@ -84,6 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local mode only (tests): the machine is the whole cluster
         configured = tempfile.mkdtemp(prefix="starloom-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
