@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.contracts import CONTRACTS, VARCHAR_LIMITS, cast_to_contract
 from starloom.operators.upsert import ACTION, INSERT, UPDATE, dedupe_last, merge_upsert
 from starloom.session import scratch_path
 
@@ -163,6 +164,30 @@ class IntegrityError(RuntimeError):
     pass
 
 
+def contract_violations(tables: dict[str, DataFrame]) -> list[tuple[str, str, int]]:
+    """(table, rule, rows) for every NOT NULL column holding NULLs and every
+    VARCHAR column holding longer text, from one aggregate per table
+    evaluated in a single job; the result has at most one row per rule."""
+    parts = None
+    for name, df in tables.items():
+        schema = CONTRACTS[name]
+        rules = {f"{f.name} not null": F.col(f.name).isNull()
+                 for f in schema.fields if not f.nullable}
+        for col, n in VARCHAR_LIMITS.get(name, {}).items():
+            rules[f"{col} varchar({n})"] = F.length(F.col(col)) > n
+        if not rules:
+            continue
+        row = df.agg(*[F.count(F.when(c, 1)).alias(f"r{i}") for i, c in enumerate(rules.values())])
+        cols = [F.struct(F.lit(r).alias("rule"), F.col(f"r{i}").alias("rows"))
+                for i, r in enumerate(rules)]
+        part = row.select(F.lit(name).alias("table_name"),
+                          F.inline(F.array(*cols))).filter(F.col("rows") > 0)
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        return []
+    return [(r["table_name"], r["rule"], r["rows"]) for r in parts.collect()]
+
+
 def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
               facts: dict[str, DataFrame]) -> list[LoadResult]:
     """Dimensions first, then a foreign-key gate, then facts (O-16, O-17).
@@ -171,6 +196,14 @@ def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
     fact holds one row per id (its distinct rows are not unique on it)."""
     from starloom.operators.checks import orphan_keys
 
+    # Contract types, then one job for the NOT NULL / VARCHAR gate of all
+    # seven tables (O-54, O-71, O-73).
+    dims = {n: cast_to_contract(df, CONTRACTS[n]) for n, df in dims.items()}
+    facts = {n: cast_to_contract(df, CONTRACTS[n]) for n, df in facts.items()}
+    broken = contract_violations({**dims, **facts})
+    if broken:
+        raise IntegrityError(f"contract violations: {broken}")
+
     # Tables of one step are independent: their jobs are submitted from
     # parallel threads and share the cluster.
     def run_all(jobs):

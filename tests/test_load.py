@@ -107,3 +107,13 @@ def test_replayed_micro_batch_changes_nothing(spark):
     again = sorted(tuple(r) for r in spark.read.parquet(f"{root}/silver").collect())
     assert first == again and len(first) == 1
     assert spark.read.parquet(f"{root}/quarantine").count() == 1
+
+
+def test_contract_gate_rejects_long_text_and_null_keys(spark):
+    from starloom.operators.load import contract_violations
+    from starloom.operators.contracts import CONTRACTS, cast_to_contract
+    d = spark.createDataFrame([(None, "x" * 150, "Ops")],
+                              "status_id long, status string, responsible_department string")
+    got = contract_violations({"status_dim": cast_to_contract(d, CONTRACTS["status_dim"])})
+    assert sorted(got) == [("status_dim", "status varchar(100)", 1),
+                           ("status_dim", "status_id not null", 1)]
