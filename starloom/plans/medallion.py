@@ -27,7 +27,8 @@ from starloom.operators import star
 from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import BRONZE_WEATHER, SILVER_WEATHER, cast_to_contract
 from starloom.operators.enrich import enrich
-from starloom.operators.load import LoadResult, load_star, upsert_table
+from starloom.operators.load import (IntegrityError, LoadResult, contract_violations, load_star,
+                                     upsert_table)
 from starloom.operators.timeseries import interpolate_day_grid
 from starloom.sources.csv import parse_production, read_all, split_quarantine, to_bronze
 from starloom.sources.payload import VARIABLES, payload_rows, read_payloads
@@ -84,11 +85,14 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
         .parquet(f"{root}/bronze_weather")
     bronze_w = spark.read.parquet(f"{root}/bronze_weather")
 
-    # 3. silver
-    out.append(upsert_table(spark, f"{root}/silver_production",
-                            silver_production(bronze_p.drop("file_day")), ["production_id"],
+    # 3. silver, behind one NOT NULL / VARCHAR gate for both tables
+    sp_new, sw_new = silver_production(bronze_p.drop("file_day")), silver_weather(bronze_w)
+    broken = contract_violations({"silver_production": sp_new, "silver_weather": sw_new})
+    if broken:
+        raise IntegrityError(f"contract violations: {broken}")
+    out.append(upsert_table(spark, f"{root}/silver_production", sp_new, ["production_id"],
                             partition_col="date", name="silver_production"))
-    out.append(upsert_table(spark, f"{root}/silver_weather", silver_weather(bronze_w),
+    out.append(upsert_table(spark, f"{root}/silver_weather", sw_new,
                             ["date", "time", "region", "region_name"], partition_col="date",
                             keep_from_target=["weather_id"], name="silver_weather"))
 
