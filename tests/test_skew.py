@@ -1,0 +1,40 @@
+"""A user holding a third of the readings: the left outer join to the
+turbine register is split by AQE instead of landing in one task."""
+
+from pyspark.sql import functions as F
+
+
+def test_hot_user_left_join_is_split(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        # user 0 holds a third of the readings
+        readings = spark.range(n).select(
+            F.col("id").alias("event_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997 + 1).alias("user_id"),
+            (F.col("id") * 7 % 1000).alias("value"))
+        register = spark.range(0, 998).select(F.col("id").alias("user_id"),
+                                              (F.col("id") % 25).alias("nation"))
+        j = readings.join(register, "user_id", "left")
+        out = j.groupBy("nation").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+        rows = {r["nation"]: (r["n"], r["v"]) for r in out.collect()}
+        assert sum(c for c, _ in rows.values()) == n
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        j.collect()
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "isSkewJoin=true" in final or "skew=true" in final.lower(), final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
