@@ -11,6 +11,8 @@ counters, partition-scoped rewrites and ordered publication
   Re-running a failed load converges to the same table (idempotent).
 * Counters come from ``DataFrame.observe`` on the write itself, so the
   merged data is computed once.
+* ``stage_upsert`` / ``publish`` split the two halves so that a step of
+  several tables is staged completely before any table changes.
 * ``load_star`` loads the five dimensions, checks the facts' foreign keys
   against them, and only then loads the two facts.
 """
@@ -82,64 +84,110 @@ def _touched_values(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return [r[0] for r in src_parts.unionByName(moved).distinct().collect()]
 
 
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+@dataclass
+class StagedLoad:
+    """A merged table slice written to the shared folder, not yet published."""
+    name: str
+    path: str
+    staged_path: str
+    keys: list[str]
+    partition_col: str | None
+    exists: bool
+    touched: list
+    written: set
+    result: LoadResult
+
+
+def _fs(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), sc._jvm.org.apache.hadoop.fs.Path
+
+
+def stage_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str] | None = None, partition_col: str | None = None,
                  keep_from_target: Sequence[str] = (), name: str | None = None,
-                 check_empty: bool = True) -> LoadResult:
+                 check_empty: bool = True) -> StagedLoad | LoadResult:
+    """Merge ``source`` into the table at ``path`` and write the result to a
+    fresh staging folder; the table itself is not touched yet.  Returns a
+    skipped ``LoadResult`` for an empty source (O-20)."""
     name = name or path.rstrip("/").rsplit("/", 1)[-1]
-    if check_empty and source.isEmpty():  # O-20: a one-row probe, not a count
+    keys = list(keys)
+    if check_empty and source.isEmpty():  # a one-row probe, not a count
         return LoadResult(name, 0, 0, 0, skipped=True)
     obs_src = Observation(f"src_{name}")
     source = source.observe(obs_src, F.count(F.lit(1)).alias("n"))
     cols = [c for c in source.columns if c not in (order_by or [])]
     exists = table_exists(spark, path)
+    touched: list = []
+    obs = Observation(f"merge_{name}")
     if not exists:
         # First load: every distinct key is an insert; no merge needed.
-        obs = Observation(f"first_{name}")
         out = dedupe_last(source, keys, order_by).select(*cols)
-        out = out.observe(obs, F.count(F.lit(1)).alias("ins"))
-        # "overwrite": the folder holds no committed data (at most the
-        # leftovers of a failed attempt), so a retry simply starts over.
-        w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("overwrite")
-        if partition_col:
-            w = w.partitionBy(partition_col)
-        w.parquet(path)
-        return LoadResult(name, int(obs_src.get.get("n", 0)), int(obs.get.get("ins", 0)), 0)
-    if exists:
+        out = out.observe(obs, F.count(F.lit(1)).alias("ins"), F.lit(0).alias("upd"))
+    else:
         target = spark.read.parquet(path)
         if partition_col:
             touched = _touched_values(target, source, keys, partition_col)
             target = target.filter(F.col(partition_col).isin(touched))
-    else:
-        target = spark.createDataFrame([], source.select(*cols).schema)
-    merged = merge_upsert(target.select(*cols), source, keys, order_by, keep_from_target)
-    obs = Observation(f"merge_{name}")
-    metrics = [F.count(F.when(F.col(ACTION) == INSERT, 1)).alias("ins"),
-               F.count(F.when(F.col(ACTION) == UPDATE, 1)).alias("upd")]
-    if partition_col:
-        # partition values written (one per day) come with the counters
-        metrics.append(F.collect_set(partition_col).alias("parts"))
-    merged = merged.observe(obs, *metrics)
-    out = merged.drop(ACTION)
-    if exists:
-        # Stage the merged slice in the shared folder: the target is never
-        # overwritten while it is being read, and a retry starts from here.
-        staged_path = scratch_path(spark, f"stage-{name}")
-        out.write.mode("errorifexists").parquet(staged_path)
-        out = spark.read.parquet(staged_path)
+        merged = merge_upsert(target.select(*cols), source, keys, order_by, keep_from_target)
+        metrics = [F.count(F.when(F.col(ACTION) == INSERT, 1)).alias("ins"),
+                   F.count(F.when(F.col(ACTION) == UPDATE, 1)).alias("upd")]
+        if partition_col:
+            # partition values written (one per day) come with the counters
+            metrics.append(F.collect_set(partition_col).alias("parts"))
+        out = merged.observe(obs, *metrics).drop(ACTION)
+    staged_path = scratch_path(spark, f"stage-{name}")
     # Rows sorted by key inside each file keep Parquet min/max statistics
     # tight for later key lookups (the touched-partition semi join).
-    w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("overwrite")
-    if partition_col:
-        w = w.partitionBy(partition_col).option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
-    if partition_col:
+    w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("errorifexists")
+    if partition_col and not exists:
+        w = w.partitionBy(partition_col)  # published as is by a folder rename
+    w.parquet(staged_path)
+    m = obs.get
+    result = LoadResult(name, int(obs_src.get.get("n", 0)), int(m.get("ins", 0)),
+                        int(m.get("upd", 0)))
+    return StagedLoad(name, path, staged_path, keys, partition_col, exists, touched,
+                      set(m.get("parts") or []), result)
+
+
+def publish(spark: SparkSession, staged: StagedLoad | LoadResult) -> LoadResult:
+    """Make a staged slice the table's content.  A new table is the staged
+    folder renamed into place; an existing one gets its touched partitions
+    replaced (dynamic overwrite) and the partitions emptied by moved keys
+    removed.  Re-running after a failure converges (idempotent)."""
+    if isinstance(staged, LoadResult):
+        return staged
+    fs, hpath = _fs(spark, staged.path)
+    if not staged.exists:
+        target = hpath(staged.path)
+        if fs.exists(target):  # leftovers of a failed attempt, no committed data
+            fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(hpath(staged.staged_path), target):
+            raise IOError(f"could not publish {staged.staged_path} to {staged.path}")
+        return staged.result
+    out = spark.read.parquet(staged.staged_path)
+    w = out.sortWithinPartitions(*_file_order(staged.partition_col, staged.keys)) \
+        .write.mode("overwrite")
+    if staged.partition_col:
+        w = w.partitionBy(staged.partition_col).option("partitionOverwriteMode", "dynamic")
+    w.parquet(staged.path)
+    if staged.partition_col:
         # A dynamic overwrite only replaces partitions that receive rows; a
         # touched partition whose rows all moved away is removed here.
-        written = set(obs.get.get("parts") or [])
-        _drop_partitions(spark, path, partition_col, [v for v in touched if v not in written])
-    m, s = obs.get, obs_src.get
-    return LoadResult(name, int(s.get("n", 0)), int(m.get("ins", 0)), int(m.get("upd", 0)))
+        _drop_partitions(spark, staged.path, staged.partition_col,
+                         [v for v in staged.touched if v not in staged.written])
+    return staged.result
+
+
+def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+                 order_by: Sequence[str] | None = None, partition_col: str | None = None,
+                 keep_from_target: Sequence[str] = (), name: str | None = None,
+                 check_empty: bool = True) -> LoadResult:
+    """Stage, then publish, one table."""
+    return publish(spark, stage_upsert(spark, path, source, keys, order_by, partition_col,
+                                       keep_from_target, name, check_empty))
 
 
 def results_frame(spark: SparkSession, results: Sequence[tuple[int, LoadResult]]) -> DataFrame:
@@ -205,10 +253,13 @@ def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
         raise IntegrityError(f"contract violations: {broken}")
 
     # Tables of one step are independent: their jobs are submitted from
-    # parallel threads and share the cluster.
+    # parallel threads and share the cluster.  Every table of the step is
+    # staged before any is published, so a failure while merging leaves
+    # all of them as they were (the step is published as a set).
     def run_all(jobs):
         with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-            return list(pool.map(lambda j: upsert_table(spark, **j), jobs))
+            staged = list(pool.map(lambda j: stage_upsert(spark, **j), jobs))
+            return list(pool.map(lambda st: publish(spark, st), staged))
 
     out = run_all([dict(path=f"{root}/{n}", source=df, keys=DIM_KEYS[n], name=n,
                         check_empty=False) for n, df in dims.items()])
