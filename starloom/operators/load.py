@@ -239,46 +239,59 @@ def contract_violations(tables: dict[str, DataFrame]) -> list[tuple[str, str, in
 def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
               facts: dict[str, DataFrame]) -> list[LoadResult]:
     """Dimensions first, then a foreign-key gate, then facts (O-16, O-17).
+
     Facts are partitioned by date so later loads rewrite touched days only.
     ``facts`` come from ``build_facts(..., for_load=True)``: the weather
-    fact holds one row per id (its distinct rows are not unique on it)."""
+    fact holds one row per id (its distinct rows are not unique on it).
+
+    Work overlaps where the order allows: the contract gate runs while the
+    dimensions are staged; the foreign-key gate (against the staged, i.e.
+    future, dimensions) runs while the facts are staged.  Publication keeps
+    the order: all dimensions, and only if both gates pass, then the facts.
+    """
     from starloom.operators.checks import orphan_keys
 
-    # Contract types, then one job for the NOT NULL / VARCHAR gate of all
-    # seven tables (O-54, O-71, O-73).
     dims = {n: cast_to_contract(df, CONTRACTS[n]) for n, df in dims.items()}
     facts = {n: cast_to_contract(df, CONTRACTS[n]) for n, df in facts.items()}
-    broken = contract_violations({**dims, **facts})
-    if broken:
-        raise IntegrityError(f"contract violations: {broken}")
-
-    # Tables of one step are independent: their jobs are submitted from
-    # parallel threads and share the cluster.  Every table of the step is
-    # staged before any is published, so a failure while merging leaves
-    # all of them as they were (the step is published as a set).
-    def run_all(jobs):
-        with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-            staged = list(pool.map(lambda j: stage_upsert(spark, **j), jobs))
-            return list(pool.map(lambda st: publish(spark, st), staged))
-
-    out = run_all([dict(path=f"{root}/{n}", source=df, keys=DIM_KEYS[n], name=n,
-                        check_empty=False) for n, df in dims.items()])
-    loaded = {n: spark.read.parquet(f"{root}/{n}") for n in dims}
-    # One job for the whole foreign-key gate.
-    gate = None
-    for fact, fks in FACT_FKS.items():
-        for col, dim in fks:
-            o = orphan_keys(facts[fact], [col], loaded[dim], DIM_KEYS[dim]).select(
-                F.lit(f"{fact}.{col}").alias("fk"))
-            gate = o if gate is None else gate.unionByName(o)
-    broken = [r["fk"] for r in gate.distinct().collect()]  # at most one row per rule
-    if broken:
-        raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
-    fw = facts["fact_weather"]  # one row per id: build_facts(..., for_load=True)
-    out += run_all([
+
+    def contract_gate() -> None:  # O-54, O-71, O-73: one job for seven tables
+        broken = contract_violations({**dims, **facts})
+        if broken:
+            raise IntegrityError(f"contract violations: {broken}")
+
+    def fk_gate(staged_dims: dict[str, DataFrame]) -> None:  # O-72: one job
+        gate = None
+        for fact, fks in FACT_FKS.items():
+            for col, dim in fks:
+                o = orphan_keys(facts[fact], [col], staged_dims[dim], DIM_KEYS[dim]).select(
+                    F.lit(f"{fact}.{col}").alias("fk"))
+                gate = o if gate is None else gate.unionByName(o)
+        broken = [r["fk"] for r in gate.distinct().collect()]  # one row per rule at most
+        if broken:
+            raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
+
+    dim_jobs = [dict(path=f"{root}/{n}", source=df, keys=DIM_KEYS[n], name=n,
+                     check_empty=False) for n, df in dims.items()]
+    fact_jobs = [
         dict(path=f"{root}/fact_energy", source=facts["fact_energy"],
              keys=FACT_KEYS["fact_energy"], partition_col="date_id", name="fact_energy",
              check_empty=False),
-        dict(path=f"{root}/fact_weather", source=fw, keys=FACT_KEYS["fact_weather"],
-             partition_col="date_id", name="fact_weather", check_empty=False)])
+        dict(path=f"{root}/fact_weather", source=facts["fact_weather"],
+             keys=FACT_KEYS["fact_weather"], partition_col="date_id", name="fact_weather",
+             check_empty=False)]
+
+    # Independent jobs are submitted from parallel threads and share the
+    # cluster; every table of a step is staged before any is published.
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        gate1 = pool.submit(contract_gate)
+        staged_dims = list(pool.map(lambda j: stage_upsert(spark, **j), dim_jobs))
+        gate1.result()
+        # Dimensions are unpartitioned: a staged dimension is its whole
+        # future content, so the foreign keys can be checked against it.
+        future_dims = {st.name: spark.read.parquet(st.staged_path) for st in staged_dims}
+        gate2 = pool.submit(fk_gate, future_dims)
+        staged_facts = list(pool.map(lambda j: stage_upsert(spark, **j), fact_jobs))
+        gate2.result()
+        out = list(pool.map(lambda st: publish(spark, st), staged_dims))
+        out += list(pool.map(lambda st: publish(spark, st), staged_facts))
     return out

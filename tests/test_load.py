@@ -117,3 +117,21 @@ def test_contract_gate_rejects_long_text_and_null_keys(spark):
     got = contract_violations({"status_dim": cast_to_contract(d, CONTRACTS["status_dim"])})
     assert sorted(got) == [("status_dim", "status varchar(100)", 1),
                            ("status_dim", "status_id not null", 1)]
+
+
+def test_star_gate_blocks_publication(spark):
+    import pytest
+    from starloom.operators import star
+    from starloom.operators.load import IntegrityError, load_star, table_exists
+    from starloom.plans import standins as st
+    from conftest import SF001
+    e = st.enriched(spark, SF001)
+    dims, facts = star.build_dimensions(e), star.build_facts(e, for_load=True)
+    # drop one status from its dimension: the energy fact now has orphans
+    dims["status_dim"] = dims["status_dim"].filter(F.col("status") != "BUILDING")
+    root = scratch_path(spark, "t-gate")
+    with pytest.raises(IntegrityError, match="fact_energy.status_id"):
+        load_star(spark, root, dims, facts)
+    # nothing was published: the step is staged as a whole first
+    assert not any(table_exists(spark, f"{root}/{n}") for n in
+                   ("date_dim", "status_dim", "fact_energy", "fact_weather"))
