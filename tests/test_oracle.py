@@ -36,3 +36,14 @@ def test_no_python_in_plans(spark, name):
     for node in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas",
                  "FlatMapGroupsInPandas", "PythonRDD"):
         assert node not in plan, (name, node)
+
+
+def test_queries_pin_their_session_settings(spark, duck001):
+    """A driver session in another zone still gets UTC results."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = compare(spark, duck001, REGISTRY["payload_rows"], ORACLE["payload_rows"], SF001)
+        assert r["ok"], r
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
