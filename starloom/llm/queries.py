@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm.decontaminate import decontaminate
+from starloom.llm.lengths import length_histogram, suffix_sums
+from starloom.llm.packing import pack_documents
 from starloom.llm.ship import ship
 from starloom.session import ensure_checkpoint_dir
 
@@ -29,8 +31,26 @@ def query(name: str):
     return register
 
 
+def word_bpe() -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_length_histogram")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact histogram of encoded lengths with the sums for every context limit."""
+    return suffix_sums(length_histogram(table(spark, sf_dir, "documents"), word_bpe()))
+
+
 @query("op7_decontaminate")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a 10-word window of a benchmark item."""
     hits = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query("op9_pack")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of at most 4096 tokens."""
+    return pack_documents(table(spark, sf_dir, "documents"), word_bpe(), end_id=2) \
+        .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
