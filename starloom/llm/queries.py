@@ -11,6 +11,8 @@ from starloom.llm.decontaminate import decontaminate
 from starloom.llm.lengths import length_histogram, suffix_sums
 from starloom.llm.packing import pack_documents
 from starloom.llm.ship import ship
+from starloom.llm.substrings import remove_repeated
+from starloom.llm.vectors import near_vectors
 from starloom.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +38,13 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words outside every 50-word window that a document with a smaller id also has."""
+    kept = remove_repeated(table(spark, sf_dir, "documents"), with_text=False)
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op5_length_histogram")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact histogram of encoded lengths with the sums for every context limit."""
@@ -49,6 +58,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query("op8_near_vectors")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with cosine >= 0.98: links, components and the one kept."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op9_pack")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 4096 tokens."""
