@@ -6,10 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import decontaminate
+from starloom.llm.jaccard import near_duplicates
 from starloom.llm.lengths import length_histogram, suffix_sums
 from starloom.llm.packing import pack_documents
+from starloom.llm.quality import held_out, score, train
 from starloom.llm.ship import ship
 from starloom.llm.substrings import remove_repeated
 from starloom.llm.vectors import near_vectors
@@ -38,6 +41,15 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a model fitted on the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(F.col("row.doc_id").alias("doc_id"), held_out("row.doc_id").alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op2_substring_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words outside every 50-word window that a document with a smaller id also has."""
@@ -69,3 +81,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 4096 tokens."""
     return pack_documents(table(spark, sf_dir, "documents"), word_bpe(), end_id=2) \
         .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
