@@ -169,12 +169,49 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     tests = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
                              F.col(item_text).alias("text"))
-    size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
+    n = n_blocks(tests, block_bytes)
     if n == 1:
         return finish(src.mapInArrow(scanner(_items(tests), width), HITS))
+    merged = in_blocks(src, tests, width, n)
+    # Repeated documents were scanned once each per block: give them back their rows.
+    rows = merged.withColumn("copy", F.explode(F.sequence(F.lit(1), (F.col("rows") / n).cast("int"))))
+    return finish(rows)
+
+
+def flag_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
+                      id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+                      item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``row`` (all columns of the document as a struct) and ``contaminated``."""
+    src = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                      F.col(text_col).alias("text"))
+    tests = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
+                             F.col(item_text).alias("text"))
+    n = n_blocks(tests, block_bytes)
+    if n == 1:
+        kind = f"row {src.schema['row'].dataType.simpleString()}, {HITS}"
+        hits = src.mapInArrow(scanner(_items(tests), width), kind)
+        return hits.select("row", (F.size("spans") > 0).alias("contaminated"))
+    merged = in_blocks(src.drop("row"), tests, width, n).where(F.size("spans") > 0).select(
+        F.col("doc_id").alias("d"), "key")
+    both = src.withColumn("k", text_key()).join(
+        merged, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("k") == F.col("key")), "left")
+    return both.select("row", F.col("key").isNotNull().alias("contaminated"))
+
+
+def n_blocks(tests: DataFrame, block_bytes: int) -> int:
+    size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, -(-size // block_bytes))
+
+
+def text_key():
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
+
+
+def in_blocks(src: DataFrame, tests: DataFrame, width: int, n: int) -> DataFrame:
+    """Hits of every block of the benchmark, merged per document (id and
+    text); ``rows`` counts its rows over all blocks."""
     placed = tests.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
-    keyed = src.withColumn("key", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = src.withColumn("key", text_key())
     found = None
     for b in range(n):
         part = _items(placed.where(F.col("block") == b).drop("block"))
@@ -185,11 +222,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         F.count("*").alias("rows"))
-    # Repeated documents were scanned once each per block: give them back their rows.
-    merged = merged.withColumn("spans", F.expr(_UNION)).select(
-        "doc_id", "n_words", "spans", "items",
-        F.explode(F.sequence(F.lit(1), (F.col("rows") / n).cast("int"))).alias("copy"))
-    return finish(merged.drop("copy"))
+    return merged.withColumn("spans", F.expr(_UNION))
 
 
 # Union of sorted spans: extend the last one while the next begins inside it.
@@ -220,8 +253,9 @@ def scanner(items: list[tuple[int | None, str | None]], width: int):
                         "spans": pa.ListArray.from_arrays(
                             pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), lohi),
                         "items": pa.array(found, pa.list_(pa.int64()))}
-                if "key" in part.schema.names:
-                    cols = {"key": part.column("key")} | cols
+                for name in ("key", "row"):
+                    if name in part.schema.names:
+                        cols = {name: part.column(name)} | cols
                 yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
     return run
 

@@ -8,9 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.credentials import scan_credentials
 from starloom.llm.decontaminate import decontaminate
 from starloom.llm.jaccard import near_duplicates
 from starloom.llm.lengths import length_histogram, suffix_sums
+from starloom.llm.licenses import scan_licenses
+from starloom.llm.lines import dedup_lines
 from starloom.llm.packing import pack_documents
 from starloom.llm.quality import held_out, score, train
 from starloom.llm.ship import ship
@@ -57,6 +60,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op3_line_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that stay when repeated multi-line chunks go."""
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with weak parts where complementary parts co-occur."""
+    return scan_credentials(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_linked")
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences whose whole text is a document or stands in it as a block or line."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op5_length_histogram")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact histogram of encoded lengths with the sums for every context limit."""
