@@ -1,5 +1,91 @@
-"""DuckDB twins of the llm queries that SQL can express."""
+"""DuckDB twins of the llm queries that SQL can express on whole tables.
+
+The classifier (op1) and the token operators (op5, op9) need code that SQL
+does not have; the others are written from their definitions, without the
+operators' hashing, chunk exchange, trees or tiles.
+"""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+# Words are the runs outside the fixed white-space characters.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op2_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS p, w FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, p, md5_number(array_to_string(w[p:p + 49], ' ')) AS k FROM win),
+first AS (SELECT k, min(doc_id) AS least FROM h GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM h JOIN first USING (k) WHERE doc_id > least),
+out AS (SELECT doc_id, list(p) AS g FROM gone GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM
+    (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) AS e
+    ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN out USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op3_line_dedup"] = """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+h AS (SELECT *, list_transform(l, x -> ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
+e AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), i -> i = len(l)
+        OR (h[i] + 31 * CASE WHEN i > 1 THEN h[i - 1] ELSE 0 END) % 4 = 0) AS e FROM h),
+c AS (SELECT doc_id, l, unnest(e) AS hi, unnest(list_concat([0], e[1:len(e) - 1])) AS lo, unnest(range(len(e))) AS no FROM e),
+t AS (SELECT doc_id, no, hi - lo AS n, array_to_string(l[lo + 1:hi], chr(10)) AS body FROM c),
+m AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, no) > 1 AS gone FROM t)
+SELECT d.doc_id, coalesce(s.n_lines, 0) AS n_lines, coalesce(s.n_removed, 0) AS n_removed,
+       sha256(coalesce(s.kept, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
+       string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id) AS s USING (doc_id)
+"""
+
+ORACLE["op7_decontaminate"] = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+pat AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[p:p + least(len(w), 10) - 1], ' ') AS k
+        FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM pat),
+win AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS k
+        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d JOIN sizes ON len(w) >= n)),
+hit AS (SELECT doc_id, win.n, p, item_id FROM win JOIN pat ON win.n = pat.n AND win.k = pat.k),
+pos AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM
+        (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY doc_id),
+who AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS s FROM
+        (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN who USING (doc_id)
+"""
+
+ORACLE["op8_near_vectors"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS s FROM v),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.s * b.s) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+least AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a),
+many AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least ON vec_id = least.a LEFT JOIN many ON vec_id = many.a
+"""
+
+ORACLE["op10_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS k FROM
+      (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+same AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id
+         GROUP BY ALL),
+link AS (SELECT a, b FROM same JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * o >= 85 * (x.n + y.n - o)),
+both AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM both UNION SELECT r.a, l.b FROM reach r JOIN both l ON r.b = l.a),
+least AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON d.doc_id = least.a
+"""
