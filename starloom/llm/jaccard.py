@@ -17,11 +17,15 @@ in an R-tree whose nodes hold the upper corner and the sizes of their
 points, and pairs are searched in the tree with that bound.  Blocks larger
 than ``TILE`` are split into tiles that meet pairwise.
 
-*Verification.*  Surviving pairs are intersected shingle by shingle.  A
-first round checks one hub of every block against its members; sets that
-it joins into one component need no further comparison, so the search of
-the second round looks only for pairs between different components, and
-all of those are verified.
+*Verification.*  Surviving pairs are intersected shingle by shingle.  The
+first round keeps the rows of the blocks with any surviving partner and
+verifies the pair with the smallest one (so a group of near copies is
+compared with one of them); sets that it joins into one component need no further comparison,
+so the second round searches only for pairs between different components.
+There the blocks that share sets are searched as one (so a set travels
+once), the shingles travel along, every surviving pair is verified where
+it is found unless its sets have been joined meanwhile, and only
+links that join something leave the task.
 
 Sets and shingles are compared by 64-bit hashes.  With 1e8 different sets
 two share a hash with probability 3e-4.
@@ -52,11 +56,13 @@ BASE = 0x9FB21C651E98DF25
 SKETCH_BITS = 18
 SEGMENTS = 16
 FAN_IN = 64
-TILE = 2048
+TILE = 1024
+TILE_SHINGLES = 1 << 19
+BUCKET_SHINGLES = 1 << 20
 LEAF = 32
 SLAB = 512
-PER_GROUP = 8
-MAX_GROUPS = 1024
+PER_GROUP = 4
+FILTER_BITS = 17  # words of 64 bits: one MB
 
 POINTS = ("doc_id long, n long, set_id long, groups binary, task int, segment int, counts binary")
 
@@ -82,15 +88,19 @@ def set_id(s: np.ndarray) -> int:
 
 
 def group_counts(s: np.ndarray) -> np.ndarray:
-    """Point of a set: about ``PER_GROUP`` shingles in each of 2**k groups."""
-    k = min(max(int(len(s) // PER_GROUP).bit_length(), 3), MAX_GROUPS.bit_length() - 1)
-    at = (s & np.uint64((1 << k) - 1)).astype(np.int64)
-    return np.bincount(at, minlength=1 << k).astype(np.int32)
+    """Point of a set: about ``PER_GROUP`` shingles in each of 2**k groups,
+    with more groups if a count would not fit a byte."""
+    k = max(int(len(s) // PER_GROUP).bit_length(), 3)
+    while True:
+        counts = np.bincount((s & np.uint64((1 << k) - 1)).astype(np.int64), minlength=1 << k)
+        if counts.max() < 256:
+            return counts.astype(np.uint8)
+        k += 1
 
 
 def fold(counts: np.ndarray, size: int) -> np.ndarray:
     """The same point with fewer groups (groups are nested)."""
-    return counts.reshape(-1, size).sum(axis=0)
+    return counts.reshape(-1, size).sum(axis=0, dtype=np.int32)
 
 
 def counter_of(s: np.ndarray) -> np.ndarray:
@@ -171,15 +181,31 @@ def keys_task(size: int, percent: int, counts: np.ndarray):
     return run
 
 
-def sets_task(size: int):
+def bit_filter(ids: DataFrame) -> np.ndarray:
+    """A bit array of fixed size in which the bits of the ids are set."""
+    word = F.expr(f"shiftrightunsigned(set_id, {64 - FILTER_BITS})")
+    rows = ids.groupBy(word.alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(set_id & 63 as int)))").alias("bits")).collect()
+    out = np.zeros(1 << FILTER_BITS, np.int64)
+    if rows:
+        out[[r.word for r in rows]] = [r.bits for r in rows]
+    return out
+
+
+def sets_task(size: int, bits: np.ndarray):
+    """The shingles of the sets that the bit array lets through (all that it was made of)."""
+    def passes(i: int) -> bool:
+        return bool(int(bits[(i % 2**64) >> (64 - FILTER_BITS)]) >> (i & 63) & 1)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                sets = [s for s in shingle_sets(split_words(part.column("text"), lower=True), size) if len(s)]
+                sets = {set_id(s): s for s in
+                        shingle_sets(split_words(part.column("text"), lower=True), size) if len(s)}
+                sets = {i: s for i, s in sets.items() if passes(i)}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([set_id(s) for s in sets], pa.int64()),
-                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                    ["set_id", "shingles"])
+                    [pa.array(list(sets), pa.int64()), pa.array([s.tobytes() for s in sets.values()], pa.binary())],
+                    ["set_id", "data"])
     return run
 
 
@@ -200,63 +226,198 @@ class CountTree:
         self.least = np.array([sizes[r].min() for r in self.rows])
         self.most = np.array([sizes[r].max() for r in self.rows])
 
-    def may_link(self, overlap, n: int, sizes):
-        both = n + sizes
-        return ((100 + self.percent) * overlap >= self.percent * both)
-
     def search(self, point: np.ndarray, n: int) -> np.ndarray:
         """Rows whose overlap bound with the point reaches the threshold."""
         p = self.percent
         near = np.flatnonzero((100 * n >= p * self.least) & (100 * self.most >= p * n))
         bound = np.minimum(self.upper[near], point).sum(axis=1)
-        near = near[self.may_link(bound, n, np.maximum(self.least[near], -(-p * n // 100)))]
+        near = near[may_link(bound, n, np.maximum(self.least[near], -(-p * n // 100)), p)]
         if not len(near):
             return near
         rows = np.concatenate([self.rows[i] for i in near])
         size = self.sizes[rows]
         rows = rows[(100 * n >= p * size) & (100 * size >= p * n)]
         bound = np.minimum(self.points[rows], point).sum(axis=1)
-        return rows[self.may_link(bound, n, self.sizes[rows])]
+        return rows[may_link(bound, n, self.sizes[rows], p)]
+
+
+def may_link(overlap, n, m, percent: int):
+    """Can sets of n and m shingles with at most this overlap link?"""
+    return (100 + percent) * overlap >= percent * (n + m)
+
+
+class Blocks:
+    """A bucket of blocks, rows ordered by block and set.  Sides 0 and 1 are
+    two tiles of a block that meet, side 2 is a tile with itself."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        key = np.stack([rows.column(c).to_numpy() for c in ("key", "lo", "hi")])
+        order = np.lexsort((rows.column("set_id").to_numpy(), key[2], key[1], key[0]))
+        key = key[:, order]
+        self.percent, self.key = percent, key[0]
+        self.sets, self.n, self.comp, self.side = (
+            rows.column(c).to_numpy()[order] for c in ("set_id", "n", "component", "side"))
+        data = rows.column("data").combine_chunks().cast(pa.large_binary()).take(pa.array(order))
+        self.at = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+        self.data = np.frombuffer(data.buffers()[2], np.uint8)
+        self.first = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
+        self.size = np.diff(self.first, append=len(order))
+
+    def bytes_of(self, i: int) -> np.ndarray:
+        return self.data[self.at[i]:self.at[i + 1]]
+
+    def allowed(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        lo, hi = np.minimum(self.n[i], self.n[j]), np.maximum(self.n[i], self.n[j])
+        return ((self.comp[i] != self.comp[j]) & (self.sets[i] != self.sets[j])
+                & (100 * lo >= self.percent * hi) & ((self.side[i] == 2) | (self.side[i] != self.side[j])))
+
+    def near_pairs(self) -> np.ndarray:
+        """Allowed pairs inside the blocks of one leaf, each pair of sets once."""
+        block = np.repeat(np.arange(len(self.first)), self.size)
+        small = np.where(self.size <= LEAF, self.size, 0)[block]
+        found = [np.zeros((2, 0), np.int64)]
+        for d in range(1, int(small.max(initial=0))):
+            i = np.arange(len(block) - d)
+            i = i[(block[i] == block[i + d]) & (small[i] > d)]
+            found.append(np.stack([i, i + d])[:, self.allowed(i, i + d)])
+        pairs = np.concatenate(found, axis=1)
+        _, one = np.unique(np.sort(self.sets[pairs], axis=0), axis=1, return_index=True)
+        return pairs[:, one]
+
+    def large(self, points) -> Iterator[tuple[int, np.ndarray]]:
+        """Row and its allowed partners by the trees of the blocks of more than one leaf."""
+        for b in np.flatnonzero(self.size > LEAF):
+            at = np.arange(self.first[b], self.first[b] + self.size[b])
+            tree_of = at[self.side[at] != 1]
+            asks = tree_of if self.side[at[0]] == 2 else at[self.side[at] == 1]
+            if not len(tree_of) or not len(asks):
+                continue
+            point = {int(i): points(i) for i in at}
+            least = min(len(x) for x in point.values())
+            point = {i: fold(x, least) for i, x in point.items()}
+            tree = CountTree(np.stack([point[int(i)] for i in tree_of]), self.n[tree_of], self.percent)
+            for i in asks:
+                hit = tree_of[tree.search(point[int(i)], int(self.n[i]))]
+                hit = hit[(hit > i) | (self.side[i] != 2)]
+                yield int(i), hit[self.allowed(np.full(len(hit), i), hit)]
 
 
-def tree_pairs(percent: int):
-    """Pairs of a tile pair (sides 0 and 1; side 2 within one tile) whose
-    components differ and whose bound allows a link."""
+def first_pairs(percent: int):
+    """Rows of the blocks with any surviving partner, and the smallest one (data: points)."""
     def run(rows: pa.Table) -> pa.Table:
-        sets = rows.column("set_id").to_numpy()
-        n, comp = rows.column("n").to_numpy(), rows.column("component").to_numpy()
-        side = rows.column("side").to_numpy()
-        raw = [np.frombuffer(x, np.int32) for x in rows.column("groups").to_pylist()]
-        width = min(len(x) for x in raw)
-        points = np.stack([fold(x, width) for x in raw])
-        tree_of = np.flatnonzero(side != 1)
-        asks = tree_of if side[0] == 2 else np.flatnonzero(side == 1)
-        a, b = [], []
-        if len(tree_of) and len(asks):
-            tree = CountTree(points[tree_of], n[tree_of], percent)
-            for i in asks:
-                hit = tree_of[tree.search(points[i], int(n[i]))]
-                hit = hit[comp[hit] != comp[i]]
-                if side[i] == 2:
-                    hit = hit[hit > i]
-                a.append(np.full(len(hit), sets[i]))
-                b.append(sets[hit])
-        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (a, b))
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+        blocks = Blocks(rows, percent)
+        near = blocks.near_pairs()
+        out = [near[:, bounded(blocks, *near)]]
+        out += [np.stack([np.full(len(hit), i), hit]) for i, hit in blocks.large(blocks.bytes_of)]
+        i, j = np.concatenate(out, axis=1)
+        i, j = np.concatenate([i, j]), np.concatenate([j, i])
+        order = np.lexsort((blocks.sets[j], i))
+        _, one = np.unique(i[order], return_index=True)
+        i, j = i[order][one], j[order][one]
+        return pa.table({"key": pa.array(blocks.key[i], pa.int64()), "set_id": pa.array(blocks.sets[i], pa.int64()),
+                         "n": pa.array(blocks.n[i], pa.int64()), "other": pa.array(blocks.sets[j], pa.int64())})
+    return run
+
+
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets of shingles."""
+    at = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    return int((a[at] == b).sum())
+
+
+def joining_links(percent: int):
+    """Links between different components that join something new (data: shingles)."""
+    def run(rows: pa.Table) -> pa.Table:
+        blocks = Blocks(rows, percent)
+        parent: dict[int, int] = {}
+        links: list[tuple[int, int]] = []
+
+        def shingles(i: int) -> np.ndarray:
+            return np.frombuffer(blocks.bytes_of(i).tobytes(), np.uint64)
+
+        def root(x: int) -> int:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = parent.get(up, up)
+                x = up
+            return x
+
+        def compare(i: int, partners) -> None:
+            own = shingles(i)
+            for j in partners:
+                a, b = root(int(blocks.comp[i])), root(int(blocks.comp[j]))
+                if a == b:
+                    continue
+                other = shingles(j)
+                if may_link(overlap(own, other), len(own), len(other), percent):
+                    parent[max(a, b)] = min(a, b)
+                    links.append((int(blocks.sets[i]), int(blocks.sets[j])))
+
+        near = blocks.near_pairs()
+        for i, j in near.T:
+            compare(int(i), [int(j)])
+        for i, hit in blocks.large(lambda i: group_counts(shingles(i))):
+            compare(i, hit)
+        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()),
+                         "b": pa.array([max(x) for x in links], pa.int64())})
     return run
 
 
-def similar_sizes(x: str, y: str, percent: int):
-    return (F.least(x, y) * 100) >= (F.greatest(x, y) * percent)
+def bounded(blocks: Blocks, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Which pairs of rows the sum of coordinate minima leaves, width by width."""
+    width = np.diff(blocks.at)
+    bound = np.zeros(len(i), np.int64)
+    least = np.minimum(width[i], width[j])
+
+    def points(rows: np.ndarray, to: int) -> np.ndarray:
+        out = np.empty((len(rows), to), np.int32)
+        for own in np.unique(width[rows]):
+            which = np.flatnonzero(width[rows] == own)
+            full = blocks.data[blocks.at[rows[which]][:, None] + np.arange(own)]
+            out[which] = full.reshape(len(which), -1, to).sum(axis=1, dtype=np.int32)
+        return out
+
+    for to in np.unique(least):
+        every = np.flatnonzero(least == to)
+        step = max(1, (1 << 22) // int(to))
+        for k in range(0, len(every), step):
+            part = every[k:k + step]
+            bound[part] = np.minimum(points(i[part], to), points(j[part], to)).sum(axis=1)
+    return may_link(bound, blocks.n[i], blocks.n[j], blocks.percent)
+
+
+def search(placed: DataFrame, data: DataFrame, task, kind: str) -> DataFrame:
+    """Distinct rows (of type ``kind``) that ``task`` finds in the buckets of open
+    blocks.  ``placed``: key, set_id, n, component; blocks within one
+    component are done.  ``data``: set_id and what the task needs of a set."""
+    open_keys = placed.groupBy("key").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"),
+                                          F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo <> hi").select("key", F.ceil(F.greatest(
+            F.col("rows") / TILE, F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles"))
+    rows = cut_lineage(placed.join(open_keys, "key"), "open-blocks")
+    total = rows.agg(F.sum(F.col("n") * F.col("tiles"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("key", "lo", "hi"), F.lit(max(1, total // BUCKET_SHINGLES)))
+    tiled = rows.join(data, "set_id") \
+        .withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
+        .withColumn("side", F.expr("case when tile = other then 2 when tile < other then 0 else 1 end")) \
+        .select("key", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
+                "side", "set_id", "n", "component", "data")
+    return tiled.groupBy(bucket).applyInArrow(task, kind).distinct()
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose exact overlap reaches the threshold."""
-    one = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b")
-    overlap = F.size(F.array_intersect("sa", "sb"))
-    return both.where((100 + percent) * overlap >= percent * (F.size("sa") + F.size("sb"))).select("a", "b")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                s, t = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                ok.append(bool(may_link(overlap(s, t), len(s), len(t), percent)))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    one = sets.select(F.col("set_id").alias("a"), F.col("data").alias("x"))
+    two = sets.select(F.col("set_id").alias("b"), F.col("data").alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
@@ -269,42 +430,46 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     # One exchange by key: the shared keys and their rows are found in it.
     keys = src.mapInArrow(keys_task(size, percent, counts), "key long, set_id long, n long") \
-        .repartition("key")
-    shared = keys.groupBy("key").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"),
-                                     F.max("n").alias("most")).where("lo <> hi and most > 0").select("key")
-    blocks = cut_lineage(keys.join(shared, "key"), "blocks")
+        .where("key is not null").repartition("key")
+    # Blocks with the same members (sums of two hashes agree) are one block.
+    shared = keys.groupBy("key").agg(
+        F.min("set_id").alias("lo"), F.max("set_id").alias("hi"), F.sum("n").alias("rows"),
+        F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("s1"),
+        F.sum(F.xxhash64(F.lit(1), "set_id").cast("decimal(38,0)")).alias("s2")) \
+        .where("lo <> hi").groupBy("lo", "hi", "rows", "s1", "s2").agg(F.min("key").alias("key")).select("key")
+    rows = cut_lineage(keys.join(shared, "key").distinct(), "shared-keys")
+    # Sets of too different sizes never link: a block is split into bands of
+    # sizes, each set stands in two, and those with one set only are dropped.
+    wide = float(np.log(100 / percent) * (1 + 1e-9))
+    bands = rows.withColumn("band", F.explode(F.expr(
+        f"array(floor(ln(n) / {wide!r}D), floor(ln(n) / {wide!r}D) + 1)"))) \
+        .select(F.xxhash64("key", "band").alias("key"), "set_id", "n")
+    useful = bands.groupBy("key").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")) \
+        .where("lo <> hi").select("key")
+    blocks = cut_lineage(bands.join(useful, "key"), "blocks")
 
     involved = blocks.select("set_id").distinct()
     known = cut_lineage(points.join(involved, "set_id", "left_semi").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("groups").alias("groups")), "known-sets")
-    texts = src.join(known.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = cut_lineage(texts.mapInArrow(sets_task(size), "set_id long, shingles array<long>")
-                       .join(known, "set_id", "left_semi").dropDuplicates(["set_id"]), "shingle-sets")
-
-    # Round 1: a hub of each block against the block.
-    hubs = blocks.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("hub"))
-    star = blocks.join(hubs, "key").where(F.col("set_id") != F.col("hub.set_id")) \
-        .where(similar_sizes("n", "hub.n", percent)) \
-        .select(F.col("hub.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
-    tried = cut_lineage(star, "star-pairs")
-    links = cut_lineage(verify(tried, sets, percent), "star-links")
+        F.first("groups").alias("data")), "known-sets")
+    live = cut_lineage(search(blocks.withColumn("component", F.col("set_id")), known, first_pairs(percent),
+                              "key long, set_id long, n long, other long"), "live-rows")
+    tried = live.select(F.least("set_id", "other").alias("a"), F.greatest("set_id", "other").alias("b")).distinct()
+
+    # The shingles of the sets that have any partner (the others' pairs are all excluded).
+    ends = cut_lineage(live.select("set_id").distinct(), "ends")
+    sets = cut_lineage(src.mapInArrow(sets_task(size, bit_filter(ends)), "set_id long, data binary")
+                       .join(ends, "set_id", "left_semi").dropDuplicates(["set_id"]), "shingle-sets")
+    links = cut_lineage(verify(tried, sets, percent), "first-links")
     joined = components(links)
 
-    # Round 2: what the trees find between different components.
-    placed = blocks.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left") \
+    # Sets of blocks that meet form a family; a set travels once per family, not once per block.
+    ends_of = live.groupBy("key").agg(F.min("set_id").alias("a"))
+    family = components(live.join(ends_of, "key").select("a", F.col("set_id").alias("b")).distinct())
+    placed = live.select("set_id", "n").distinct() \
+        .join(family.select(F.col("node").alias("set_id"), F.col("component").alias("key")), "set_id") \
+        .join(joined.withColumnRenamed("node", "set_id"), "set_id", "left") \
         .withColumn("component", F.coalesce("component", "set_id"))
-    open_keys = placed.groupBy("key").agg(F.count("*").alias("rows"), F.min("component").alias("lo"),
-                                          F.max("component").alias("hi")).where("lo <> hi") \
-        .select("key", F.ceil(F.col("rows") / TILE).cast("int").alias("tiles"))
-    tiled = placed.join(open_keys, "key").join(known.select("set_id", "groups"), "set_id") \
-        .withColumn("tile", F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))) \
-        .withColumn("side", F.expr("case when tile = other then 2 when tile < other then 0 else 1 end")) \
-        .select("key", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"),
-                "side", "set_id", "n", "component", "groups")
-    found = tiled.groupBy("key", "lo", "hi").applyInArrow(tree_pairs(percent), "a long, b long").distinct() \
-        .join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = verify(cut_lineage(found, "tree-pairs"), sets, percent)
+    more = cut_lineage(search(placed, sets, joining_links(percent), "a long, b long"), "more-links")
     joined = components(links.union(more))
 
     # Back to the documents.
