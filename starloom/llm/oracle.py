@@ -29,8 +29,8 @@ FROM d LEFT JOIN out USING (doc_id) LEFT JOIN kept USING (doc_id)
 
 ORACLE["op3_line_dedup"] = """
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
-h AS (SELECT *, list_transform(l, x -> ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
-e AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), i -> i = len(l)
+h AS (SELECT *, list_transform(l, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
+e AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i: i = len(l)
         OR (h[i] + 31 * CASE WHEN i > 1 THEN h[i - 1] ELSE 0 END) % 4 = 0) AS e FROM h),
 c AS (SELECT doc_id, l, unnest(e) AS hi, unnest(list_concat([0], e[1:len(e) - 1])) AS lo, unnest(range(len(e))) AS no FROM e),
 t AS (SELECT doc_id, no, hi - lo AS n, array_to_string(l[lo + 1:hi], chr(10)) AS body FROM c),
@@ -62,8 +62,8 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN who USING (doc_id)
 ORACLE["op8_near_vectors"] = """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS s FROM v),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
   AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.s * b.s) >= 0.98),
@@ -83,8 +83,8 @@ same AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON
          GROUP BY ALL),
 link AS (SELECT a, b FROM same JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
          WHERE 100 * o >= 85 * (x.n + y.n - o)),
-both AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
-reach(a, b) AS (SELECT a, b FROM both UNION SELECT r.a, l.b FROM reach r JOIN both l ON r.b = l.a),
+pairs AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, l.b FROM reach r JOIN pairs l ON r.b = l.a),
 least AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON d.doc_id = least.a
