@@ -246,7 +246,9 @@ def test_packing_loss_column(spark):
     from pyspark.sql import functions as F
     df = frame(spark, [(1, "a b c d e f"), (2, "x y z"), (3, None)])
     out = packing.pack_documents(df, word_bpe(), loss_from=F.lit(2)).collect()
-    assert {r.doc_id: (r.doc_tokens, r.loss_tokens) for r in out} == {1: (7, 5), 2: (4, 2), 3: (1, 0)}
+    for doc, tokens, loss in ((1, 7, 5), (2, 4, 2), (3, 1, 0)):  # a document may be cut into pieces
+        own = [r for r in out if r.doc_id == doc]
+        assert sum(r.length for r in own) == tokens and sum(r.loss_tokens for r in own) == loss
     assert packing.pack_documents(frame(spark, []), word_bpe()).count() == 0
 
 
