@@ -1,8 +1,13 @@
 """Stable hash keys for dimension and surrogate ids.
 
-``stable_key`` (default) takes 60 bits of the MD5 of the key text, with an
-explicit NULL marker so that ("a", NULL, "b") and ("a_b") differ.  It is
-reproducible in any engine that has MD5.  ``murmur_key`` is the 32-bit
+``stable_key`` (default) takes 60 bits of the MD5 of a collision-free key
+text: every part is written with its length in front and a NULL part as a
+bare marker, so ("A_B", "C") and ("A", "B_C"), or NULL and a text equal to
+the marker, give different texts.  It is reproducible in any engine that
+has MD5.  Two natural keys may still share 60 hash bits; tables that are
+merged on such an id are therefore checked for it before they are published
+(``operators.load``), and readings are merged on their composite natural
+key, never on the hash.  ``murmur_key`` is the 32-bit
 ``abs(hash(concat_ws("_", ...)))`` form, widened to bigint before ``abs``
 so that the minimum int cannot overflow under ANSI mode.
 """
@@ -12,33 +17,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Separator between key parts and the marker for a NULL part.
+# Separator between key parts, separator of a part's length
+# and text, marker of a NULL part (no length, so no part can equal it).
 KEY_SEPARATOR = "_"
-NULL_MARKER = "\\N"
+LENGTH_SEPARATOR = ":"
+NULL_MARKER = "N"
 
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _sql_literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def key_text_sql(parts: tuple[str, ...]) -> str:
+    cols = []
+    for p in parts:
+        x = f"CAST(`{p}` AS STRING)"
+        cols.append(f"coalesce(concat(length({x}), '{LENGTH_SEPARATOR}', {x}), '{NULL_MARKER}')")
+    return f"concat_ws('{KEY_SEPARATOR}', {', '.join(cols)})"
 
 
-def key_text_sql(parts: tuple[str, ...], null_safe: bool = True) -> str:
-    cols = [f"CAST(`{p}` AS STRING)" for p in parts]
-    if null_safe:
-        cols = [f"coalesce({c}, {_sql_literal(NULL_MARKER)})" for c in cols]
-    return f"concat_ws({_sql_literal(KEY_SEPARATOR)}, {', '.join(cols)})"
-
-
-def key_text(*parts: Column | str, null_safe: bool = True) -> Column:
+def key_text(*parts: Column | str) -> Column:
+    """Unambiguous text of a composite key."""
     if all(isinstance(p, str) for p in parts):
-        return F.expr(key_text_sql(parts, null_safe))
-    cols = [_c(p).cast("string") for p in parts]
-    if null_safe:
-        cols = [F.coalesce(c, F.lit(NULL_MARKER)) for c in cols]
-    return F.concat_ws(KEY_SEPARATOR, *cols)
+        return F.expr(key_text_sql(parts))
+    texts = [_c(p).cast("string") for p in parts]
+    return F.concat_ws(KEY_SEPARATOR, *[
+        F.coalesce(F.concat(F.length(x).cast("string"), F.lit(LENGTH_SEPARATOR), x),
+                   F.lit(NULL_MARKER)) for x in texts])
 
 
 def stable_key(*parts: Column | str) -> Column:
@@ -50,4 +55,5 @@ def stable_key(*parts: Column | str) -> Column:
 
 def murmur_key(*parts: Column | str) -> Column:
     """abs(hash(concat_ws("_", parts))) with NULL parts skipped (O-66a)."""
-    return F.abs(F.hash(key_text(*parts, null_safe=False)).cast("bigint"))
+    plain = F.concat_ws(KEY_SEPARATOR, *[_c(p).cast("string") for p in parts])
+    return F.abs(F.hash(plain).cast("bigint"))

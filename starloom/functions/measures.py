@@ -13,9 +13,10 @@ def _c(c: Column | str) -> Column:
 
 def to_decimal(c: Column | str, precision: int, scale: int) -> Column:
     """Half-up rounding to ``scale`` digits in a DECIMAL(precision, scale)
-    (O-64).  Doubles are rounded on their shortest decimal form."""
-    return F.round(_c(c).cast(f"decimal({min(precision + 2, 38)},{scale + 2})"), scale) \
-        .cast(f"decimal({precision},{scale})")
+    (O-64), in one step.  Doubles are rounded on their shortest decimal
+    form; a value that does not fit becomes NULL (sources quarantine it, the
+    gates of the loads reject it)."""
+    return _c(c).try_cast(f"decimal({precision},{scale})")
 
 
 def nan_to_null(c: Column | str) -> Column:

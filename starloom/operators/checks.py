@@ -73,14 +73,9 @@ def limit_violations(df: DataFrame, max_length: Mapping[str, int] | None = None,
         bad = F.col(c).isNotNull() & F.col(c).try_cast(f"decimal({p},{s})").isNull()
         aggs.append(F.count(F.when(bad, 1)).alias(f"r{len(labels)}"))
         labels.append((c, f"decimal({p},{s})"))
-    row = df.agg(*aggs)
-    parts = [row.select(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"),
-                        F.col(f"r{i}").alias("violations"))
-             for i, (c, rule) in enumerate(labels)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return df.agg(*aggs).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(rule).alias("rule"),
+                 F.col(f"r{i}").alias("violations")) for i, (c, rule) in enumerate(labels)])))
 
 
 def date_gate(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:

@@ -6,20 +6,21 @@ event timestamp (not by re-parsing the time text)."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from starloom.functions.calendar import with_time_attributes
 from starloom.functions.measures import to_decimal
 from starloom.operators.contracts import SILVER_PRODUCTION, cast_to_contract
 
-LINEAGE = ("ingested_at", "source_file", "batch_id", "measured_at")
-
 
-def silver_production(bronze: DataFrame) -> DataFrame:
+def silver_production(bronze: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The silver contract's columns; ``keep`` names bronze columns to carry
+    along (those that order the corrections of a reading)."""
     df = bronze.withColumns({
         "wind_speed": to_decimal("wind_speed", 6, 2),
         "energy_produced": to_decimal("energy_produced", 12, 2),
     })
     df = with_time_attributes(df, "measured_at")
-    return cast_to_contract(df.drop(*[c for c in LINEAGE if c in df.columns]),
-                            SILVER_PRODUCTION)
+    return cast_to_contract(df, SILVER_PRODUCTION, keep=keep)

@@ -8,6 +8,8 @@ them.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DataType, DateType, DecimalType, DoubleType, FloatType,
@@ -59,7 +61,7 @@ BRONZE_WEATHER = _schema(
 )
 
 SILVER_PRODUCTION = _schema(
-    ("production_id", L, True), ("date", D, True), ("time", S, True),
+    ("production_id", L, False), ("date", D, True), ("time", S, True),
     ("turbine_name", S, True), ("capacity", I, True), ("location_name", S, True),
     ("latitude", dec(9, 6), True), ("longitude", dec(9, 6), True), ("region", S, True),
     ("status", S, True), ("responsible_department", S, True), ("wind_speed", dec(6, 2), True),
@@ -86,8 +88,8 @@ SILVER_ENRICHED = _schema(
 
 DATE_DIM = _schema(("date_id", D, False), ("day", I, False), ("month", I, False),
                    ("quarter", I, False), ("year", I, False))
-TIME_DIM = _schema(("time_id", S, False), ("hour_of_day", I, True), ("minute_of_hour", I, True),
-                   ("second_of_minute", I, True), ("time_period", S, False))
+TIME_DIM = _schema(("time_id", S, False), ("hour_of_day", I, False), ("minute_of_hour", I, False),
+                   ("second_of_minute", I, False), ("time_period", S, False))
 TURBINE_DIM = _schema(("turbine_id", L, False), ("turbine_name", S, False), ("capacity", I, True),
                       ("latitude", dec(9, 6), True), ("longitude", dec(9, 6), True),
                       ("region", S, True), ("region_name", S, True))
@@ -137,16 +139,19 @@ CONTRACTS = {
 }
 
 
-def cast_to_contract(df: DataFrame, schema: StructType, strict: bool = False) -> DataFrame:
-    """Select the contract's columns in order, cast to its types.
+def cast_to_contract(df: DataFrame, schema: StructType, strict: bool = False,
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """Select the contract's columns in order, cast to its types, and the
+    columns named by ``keep`` as they are.
 
     ``try_cast`` is used so that a value outside a DECIMAL's precision
-    becomes NULL (and is then caught by the not-null / limits checks)
-    instead of failing the job; ``strict`` uses plain casts."""
+    becomes NULL instead of failing the job; the loads run
+    ``operators.load.contract_violations`` on the rows *before* the cast,
+    which reports every such value.  ``strict`` uses plain casts."""
     present = set(df.columns)
     cols = []
     for f in schema.fields:
         src = F.col(f.name) if f.name in present else F.lit(None)
         cast = src.cast(f.dataType) if strict else src.try_cast(f.dataType)
         cols.append(cast.alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)

@@ -1,34 +1,43 @@
 """Loading tables: keyed upsert into Parquet tables with insert/update
-counters, partition-scoped rewrites and ordered publication
+counters, partition-scoped rewrites and staged publication
 (O-11, O-16, O-17, O-18, O-20, O-37).
 
 * ``upsert_table`` merges a source into a (possibly absent) table.  Only
   the partitions the batch touches are read and rewritten: the dates of
   the source plus the dates of target rows whose key occurs in the source
-  (a key may move to another date).  The merged slice is first written to
-  the shared folder (lineage cut; a lost executor only recomputes from
-  there), then the touched partitions are replaced by a dynamic overwrite.
-  Re-running a failed load converges to the same table (idempotent).
-* Counters come from ``DataFrame.observe`` on the write itself, so the
-  merged data is computed once.
-* ``stage_upsert`` / ``publish`` split the two halves so that a step of
-  several tables is staged completely before any table changes.
-* ``load_star`` loads the five dimensions, checks the facts' foreign keys
-  against them, and only then loads the two facts.
+  (a key may move to another date; where the date is part of the key it
+  cannot, and the target is not searched).
+* A merged slice is written next to the tables in its final layout (below
+  ``_staging``, which readers do not see).  Publishing only renames folders:
+  the old one is set aside, the staged one takes its place, so no content is
+  ever deleted before its successor is complete.  The renames of a step are
+  first written to a journal; a load that finds a journal left by a failed
+  one finishes its renames before doing anything else (``recover``).
+* Counters are counts of written files: rows staged, rows of the target
+  slice, rows of the deduplicated source.
+* ``load_star`` stages all seven tables, runs the contract, uniqueness and
+  foreign-key gates, and only then publishes all of them.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.contracts import CONTRACTS, VARCHAR_LIMITS, cast_to_contract
-from starloom.operators.upsert import ACTION, INSERT, UPDATE, dedupe_last, merge_upsert
-from starloom.session import scratch_path
+from starloom.operators.contracts import (CONTRACTS, PRIMARY_KEYS, VARCHAR_LIMITS,
+                                          cast_to_contract)
+from starloom.operators.upsert import ACTION, dedupe_last, merge_upsert
+from starloom.session import cut_lineage
+
+STAGING = "_staging"
+JOURNAL = "_publish"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of NULL
 
 
 @dataclass
@@ -44,33 +53,47 @@ class LoadResult:
         return self.processed - self.inserted
 
 
+@dataclass
+class StagedLoad:
+    """A merged table slice written next to the table, not yet published."""
+    name: str
+    path: str
+    staged_path: str
+    moves: list[tuple[str, str]]
+    drops: list[str]
+    result: LoadResult = field(default=None)
+
+
+class IntegrityError(RuntimeError):
+    pass
+
+
+def _fs(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path
+    return hadoop_path(path).getFileSystem(sc._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _parent(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[0]
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a loaded table exists: a folder holding committed data
     (data files or partition folders; staging folders are hidden), looked
     up through the Hadoop file system of the session."""
-    sc = spark.sparkContext
-    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    fs, hpath = _fs(spark, path)
+    if not fs.exists(hpath(path)):
         return False
-    names = [st.getPath().getName() for st in fs.listStatus(hpath)]
+    names = [st.getPath().getName() for st in fs.listStatus(hpath(path))]
     return any(not n.startswith(("_", ".")) for n in names)
 
 
-def _file_order(partition_col: str | None, keys: Sequence[str]) -> list[str]:
-    """Partition column first (what the partitioned writer requires), then
-    the keys, so Spark adds no second sort."""
-    return ([partition_col] if partition_col else []) + [k for k in keys if k != partition_col]
-
-
-def _drop_partitions(spark: SparkSession, path: str, col: str, values: list) -> None:
-    if not values:
-        return
-    sc = spark.sparkContext
-    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(path).getFileSystem(sc._jsc.hadoopConfiguration())
+def drop_partitions(spark: SparkSession, path: str, col: str, values: Sequence) -> None:
+    """Remove whole partition folders."""
+    fs, hpath = _fs(spark, path)
     for v in values:
-        fs.delete(hadoop_path(f"{path}/{col}={v}"), True)
+        fs.delete(hpath(f"{path}/{col}={NULL_PARTITION if v is None else v}"), True)
 
 
 def _touched_values(target: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -78,116 +101,147 @@ def _touched_values(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Partition values a batch touches.  The result is one value per
     partition (bounded by the calendar), so it may come to the driver to
     become a partition filter."""
-    src_parts = source.select(part).distinct()
-    moved = target.select(*keys, part).join(source.select(*keys).distinct(), list(keys),
-                                            "left_semi").select(part).distinct()
-    return [r[0] for r in src_parts.unionByName(moved).distinct().collect()]
-
-
-@dataclass
-class StagedLoad:
-    """A merged table slice written to the shared folder, not yet published."""
-    name: str
-    path: str
-    staged_path: str
-    keys: list[str]
-    partition_col: str | None
-    exists: bool
-    touched: list
-    written: set
-    result: LoadResult
-
-
-def _fs(spark: SparkSession, path: str):
-    sc = spark.sparkContext
-    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), sc._jvm.org.apache.hadoop.fs.Path
+    touched = source.select(part).distinct()
+    if part not in keys:  # else a key cannot move between partitions
+        moved = target.select(*keys, part).join(source.select(*keys).distinct(), list(keys),
+                                                "left_semi").select(part).distinct()
+        touched = touched.unionByName(moved).distinct()
+    return [r[0] for r in touched.collect()]
 
 
 def stage_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str] | None = None, partition_col: str | None = None,
                  keep_from_target: Sequence[str] = (), name: str | None = None,
-                 check_empty: bool = True) -> StagedLoad | LoadResult:
+                 check_empty: bool = True, newer_only: bool = False) -> StagedLoad | LoadResult:
     """Merge ``source`` into the table at ``path`` and write the result to a
     fresh staging folder; the table itself is not touched yet.  Returns a
-    skipped ``LoadResult`` for an empty source (O-20)."""
+    skipped ``LoadResult`` for an empty source (O-20).  ``newer_only`` (see
+    ``merge_upsert``) keeps the ``order_by`` columns in the table."""
     name = name or path.rstrip("/").rsplit("/", 1)[-1]
-    keys = list(keys)
-    if check_empty and source.isEmpty():  # a one-row probe, not a count
-        return LoadResult(name, 0, 0, 0, skipped=True)
-    obs_src = Observation(f"src_{name}")
-    source = source.observe(obs_src, F.count(F.lit(1)).alias("n"))
-    cols = [c for c in source.columns if c not in (order_by or [])]
+    keys, order = list(keys), list(order_by or [])
+    cols = [c for c in source.columns if newer_only or c not in order]
     exists = table_exists(spark, path)
     touched: list = []
-    obs = Observation(f"merge_{name}")
     if not exists:
         # First load: every distinct key is an insert; no merge needed.
-        out = dedupe_last(source, keys, order_by).select(*cols)
-        out = out.observe(obs, F.count(F.lit(1)).alias("ins"), F.lit(0).alias("upd"))
+        processed = source.count()
+        out = dedupe_last(source, keys, order).select(*cols)
     else:
+        src = cut_lineage(dedupe_last(source, keys, order, count_as="_rows"), f"source-{name}")
+        n = src.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))).first()
+        processed, src = n[0], src.drop("_rows")
         target = spark.read.parquet(path)
         if partition_col:
-            touched = _touched_values(target, source, keys, partition_col)
-            target = target.filter(F.col(partition_col).isin(touched))
-        merged = merge_upsert(target.select(*cols), source, keys, order_by, keep_from_target)
-        metrics = [F.count(F.when(F.col(ACTION) == INSERT, 1)).alias("ins"),
-                   F.count(F.when(F.col(ACTION) == UPDATE, 1)).alias("upd")]
-        if partition_col:
-            # partition values written (one per day) come with the counters
-            metrics.append(F.collect_set(partition_col).alias("parts"))
-        out = merged.observe(obs, *metrics).drop(ACTION)
-    staged_path = scratch_path(spark, f"stage-{name}")
-    # Rows sorted by key inside each file keep Parquet min/max statistics
-    # tight for later key lookups (the touched-partition semi join).
-    w = out.sortWithinPartitions(*_file_order(partition_col, keys)).write.mode("errorifexists")
-    if partition_col and not exists:
-        w = w.partitionBy(partition_col)  # published as is by a folder rename
-    w.parquet(staged_path)
-    m = obs.get
-    result = LoadResult(name, int(obs_src.get.get("n", 0)), int(m.get("ins", 0)),
-                        int(m.get("upd", 0)))
-    return StagedLoad(name, path, staged_path, keys, partition_col, exists, touched,
-                      set(m.get("parts") or []), result)
-
-
-def publish(spark: SparkSession, staged: StagedLoad | LoadResult) -> LoadResult:
-    """Make a staged slice the table's content.  A new table is the staged
-    folder renamed into place; an existing one gets its touched partitions
-    replaced (dynamic overwrite) and the partitions emptied by moved keys
-    removed.  Re-running after a failure converges (idempotent)."""
-    if isinstance(staged, LoadResult):
-        return staged
-    fs, hpath = _fs(spark, staged.path)
-    if not staged.exists:
-        target = hpath(staged.path)
-        if fs.exists(target):  # leftovers of a failed attempt, no committed data
-            fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(hpath(staged.staged_path), target):
-            raise IOError(f"could not publish {staged.staged_path} to {staged.path}")
-        return staged.result
-    out = spark.read.parquet(staged.staged_path)
-    w = out.sortWithinPartitions(*_file_order(staged.partition_col, staged.keys)) \
-        .write.mode("overwrite")
-    if staged.partition_col:
-        w = w.partitionBy(staged.partition_col).option("partitionOverwriteMode", "dynamic")
-    w.parquet(staged.path)
-    if staged.partition_col:
-        # A dynamic overwrite only replaces partitions that receive rows; a
-        # touched partition whose rows all moved away is removed here.
-        _drop_partitions(spark, staged.path, staged.partition_col,
-                         [v for v in staged.touched if v not in staged.written])
-    return staged.result
+            touched = _touched_values(target, src, keys, partition_col)
+            part = F.col(partition_col)
+            inside = part.isin([v for v in touched if v is not None])
+            target = target.filter(inside | part.isNull() if None in touched else inside)
+        target = target.select(*cols)
+        out = merge_upsert(target, src, keys, order, keep_from_target, newer_only,
+                           deduped=True).drop(ACTION)
+    if check_empty and not processed:
+        return LoadResult(name, 0, 0, 0, skipped=True)
+    staged_path = f"{_parent(path)}/{STAGING}/{name}-{uuid.uuid4().hex}"
+    # Clustered by partition (AQE splits large ones), so a day gets few files
+    # however many tasks there are; sorted by key inside each file, so that
+    # Parquet statistics stay tight for later key lookups.
+    if partition_col:
+        out = out.hint("rebalance", F.col(partition_col))
+    first = [partition_col] if partition_col else []
+    w = out.sortWithinPartitions(*first, *[k for k in keys if k != partition_col]) \
+        .write.mode("errorifexists")
+    (w.partitionBy(partition_col) if partition_col else w).parquet(staged_path)
+
+    fs, hpath = _fs(spark, path)
+    if exists and partition_col:
+        written = [s.getPath().getName() for s in fs.listStatus(hpath(staged_path))
+                   if s.getPath().getName().startswith(f"{partition_col}=")]
+        moves = [(f"{staged_path}/{p}", f"{path}/{p}") for p in written]
+        names = [f"{partition_col}={NULL_PARTITION if v is None else v}" for v in touched]
+        drops = [f"{path}/{p}" for p in names if p not in written]  # emptied by moved keys
+    else:
+        moves, drops = [(staged_path, path)], []
+    staged_rows = spark.read.schema(out.schema).parquet(staged_path).count()
+    if exists:
+        inserted = staged_rows - target.count()
+        updated = n[1] - inserted
+    else:
+        inserted, updated = staged_rows, 0
+    return StagedLoad(name, path, staged_path, moves, drops,
+                      LoadResult(name, processed, inserted, updated))
+
+
+def _finish(spark: SparkSession, root: str, plan: dict) -> None:
+    """Carry out the renames of a journal; those done already are skipped, so
+    it may be repeated after a failure at any point."""
+    fs, hpath = _fs(spark, root)
+    for staged, final in plan["moves"]:
+        if not fs.exists(hpath(staged)):
+            continue  # done before
+        if fs.exists(hpath(final)):
+            aside = f"{root}/{STAGING}/old-{uuid.uuid4().hex}"
+            if not fs.rename(hpath(final), hpath(aside)):
+                raise IOError(f"could not set aside {final}")
+            plan["remove"].append(aside)
+        fs.mkdirs(hpath(_parent(final)))
+        if not fs.rename(hpath(staged), hpath(final)):
+            raise IOError(f"could not publish {staged} to {final}")
+    for path in [*plan["drops"], *plan["remove"]]:
+        fs.delete(hpath(path), True)
+
+
+def recover(spark: SparkSession, root: str) -> int:
+    """Finish what journals in ``root`` describe; returns how many there
+    were.  A journal is complete when it appears (it is renamed into place),
+    and goes only after its last rename."""
+    fs, hpath = _fs(spark, root)
+    left = list(fs.globStatus(hpath(f"{root}/{JOURNAL}-*.json")) or [])
+    for st in left:
+        plan = json.loads(spark.read.text(f"{root}/{STAGING}/{st.getPath().getName()}.d")
+                          .first()[0])
+        _finish(spark, root, plan)
+        fs.delete(st.getPath(), False)
+    return len(left)
+
+
+def publish(spark: SparkSession, root: str, staged: Sequence[StagedLoad | LoadResult]
+            ) -> list[LoadResult]:
+    """Make staged slices the content of their tables, all of them tables
+    directly below ``root``."""
+    todo = [s for s in staged if isinstance(s, StagedLoad)]
+    if todo:
+        fs, hpath = _fs(spark, root)
+        name = f"{JOURNAL}-{uuid.uuid4().hex}.json"
+        plan = {"moves": [m for s in todo for m in s.moves], "drops": [d for s in todo for d in s.drops],
+                "remove": [s.staged_path for s in todo]}
+        # The text is written by Spark below the staging folder; the empty
+        # marker next to the tables, created last, makes it valid.
+        body = f"{root}/{STAGING}/{name}.d"
+        spark.range(1).select(F.lit(json.dumps(plan)).alias("value")).write.text(body)
+        fs.create(hpath(f"{root}/{name}")).close()
+        _finish(spark, root, plan)
+        fs.delete(hpath(f"{root}/{name}"), False)
+        fs.delete(hpath(body), True)
+    return [s.result if isinstance(s, StagedLoad) else s for s in staged]
+
+
+def discard(spark: SparkSession, staged: Sequence[StagedLoad | LoadResult]) -> None:
+    """Delete slices that will not be published."""
+    for s in staged:
+        if isinstance(s, StagedLoad):
+            fs, hpath = _fs(spark, s.staged_path)
+            fs.delete(hpath(s.staged_path), True)
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str] | None = None, partition_col: str | None = None,
                  keep_from_target: Sequence[str] = (), name: str | None = None,
-                 check_empty: bool = True) -> LoadResult:
-    """Stage, then publish, one table."""
-    return publish(spark, stage_upsert(spark, path, source, keys, order_by, partition_col,
-                                       keep_from_target, name, check_empty))
+                 check_empty: bool = True, newer_only: bool = False) -> LoadResult:
+    """Finish an interrupted load, then stage and publish one table."""
+    recover(spark, _parent(path))
+    staged = stage_upsert(spark, path, source, keys, order_by, partition_col, keep_from_target,
+                          name, check_empty, newer_only)
+    return publish(spark, _parent(path), [staged])[0]
 
 
 def results_frame(spark: SparkSession, results: Sequence[tuple[int, LoadResult]]) -> DataFrame:
@@ -197,9 +251,6 @@ def results_frame(spark: SparkSession, results: Sequence[tuple[int, LoadResult]]
         rows, "run int, table string, processed long, inserted long, updated long, avoided long")
 
 
-DIM_KEYS = {"date_dim": ["date_id"], "time_dim": ["time_id"], "turbine_dim": ["turbine_id"],
-            "status_dim": ["status_id"], "location_dim": ["location_id"]}
-FACT_KEYS = {"fact_energy": ["fact_production_id"], "fact_weather": ["fact_weather_id"]}
 FACT_FKS = {
     "fact_energy": [("date_id", "date_dim"), ("time_id", "time_dim"),
                     ("turbine_id", "turbine_dim"), ("status_id", "status_dim")],
@@ -208,19 +259,22 @@ FACT_FKS = {
 }
 
 
-class IntegrityError(RuntimeError):
-    pass
-
-
 def contract_violations(tables: dict[str, DataFrame]) -> list[tuple[str, str, int]]:
-    """(table, rule, rows) for every NOT NULL column holding NULLs and every
-    VARCHAR column holding longer text, from one aggregate per table
-    evaluated in a single job; the result has at most one row per rule."""
+    """(table, rule, rows) for every NOT NULL column holding NULLs, every
+    VARCHAR column holding longer text and every value that its declared type
+    cannot hold, from one aggregate per table evaluated in a single job; the
+    result has at most one row per rule.  Give it the rows before they are
+    cast to the contract."""
     parts = None
     for name, df in tables.items():
-        schema = CONTRACTS[name]
-        rules = {f"{f.name} not null": F.col(f.name).isNull()
-                 for f in schema.fields if not f.nullable}
+        rules = {}
+        for f in CONTRACTS[name].fields:
+            given = F.col(f.name) if f.name in df.columns else F.lit(None)
+            fits = given.try_cast(f.dataType)
+            if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+                rules[f"{f.name} fits {f.dataType.simpleString()}"] = given.isNotNull() & fits.isNull()
+            if not f.nullable:
+                rules[f"{f.name} not null"] = fits.isNull()
         for col, n in VARCHAR_LIMITS.get(name, {}).items():
             rules[f"{col} varchar({n})"] = F.length(F.col(col)) > n
         if not rules:
@@ -236,62 +290,76 @@ def contract_violations(tables: dict[str, DataFrame]) -> list[tuple[str, str, in
     return [(r["table_name"], r["rule"], r["rows"]) for r in parts.collect()]
 
 
+def require_contract(tables: dict[str, DataFrame]) -> None:
+    broken = contract_violations(tables)
+    if broken:
+        raise IntegrityError(f"contract violations: {broken}")
+
+
+def require_unique(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Raise if a key occurs twice in one of the tables (one job; at most one
+    row per table comes back)."""
+    repeated = None
+    for name, (df, keys) in tables.items():
+        part = (df.groupBy(*keys).count().where("count > 1").agg(F.count(F.lit(1)).alias("n"))
+                .select(F.lit(name).alias("table_name"), "n"))
+        repeated = part if repeated is None else repeated.unionByName(part)
+    broken = [(r[0], r[1]) for r in repeated.where("n > 0").collect()]
+    if broken:
+        raise IntegrityError(f"keys that occur more than once: {sorted(broken)}")
+
+
+def require_foreign_keys(facts: dict[str, DataFrame], dims: dict[str, DataFrame]) -> None:
+    """Raise if a fact refers to a key its dimension lacks.  One pass per
+    fact: all its keys are reduced to distinct (rule, value) pairs, which
+    meet the dimensions' in one anti join."""
+    used = known = None
+    for fact, fks in FACT_FKS.items():
+        pairs = facts[fact].select(F.inline(F.array(*[
+            F.struct(F.lit(f"{fact}.{c}").alias("fk"), F.col(c).cast("string").alias("k"))
+            for c, _ in fks]))).where("k is not null").distinct()
+        used = pairs if used is None else used.unionByName(pairs)
+        for c, dim in fks:
+            ids = dims[dim].select(F.lit(f"{fact}.{c}").alias("fk"),
+                                   F.col(PRIMARY_KEYS[dim][0]).cast("string").alias("k"))
+            known = ids if known is None else known.unionByName(ids)
+    broken = [r[0] for r in used.join(known, ["fk", "k"], "left_anti").select("fk").distinct().collect()]
+    if broken:
+        raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
+
+
 def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
               facts: dict[str, DataFrame]) -> list[LoadResult]:
-    """Dimensions first, then a foreign-key gate, then facts (O-16, O-17).
+    """Stage dimensions and facts, check them, publish all (O-16, O-17).
 
     Facts are partitioned by date so later loads rewrite touched days only.
     ``facts`` come from ``build_facts(..., for_load=True)``: the weather
     fact holds one row per id (its distinct rows are not unique on it).
 
-    Work overlaps where the order allows: the contract gate runs while the
-    dimensions are staged; the foreign-key gate (against the staged, i.e.
-    future, dimensions) runs while the facts are staged.  Publication keeps
-    the order: all dimensions, and only if both gates pass, then the facts.
-    """
-    from starloom.operators.checks import orphan_keys
-
-    dims = {n: cast_to_contract(df, CONTRACTS[n]) for n, df in dims.items()}
-    facts = {n: cast_to_contract(df, CONTRACTS[n]) for n, df in facts.items()}
-
-    def contract_gate() -> None:  # O-54, O-71, O-73: one job for seven tables
-        broken = contract_violations({**dims, **facts})
-        if broken:
-            raise IntegrityError(f"contract violations: {broken}")
-
-    def fk_gate(staged_dims: dict[str, DataFrame]) -> None:  # O-72: one job
-        gate = None
-        for fact, fks in FACT_FKS.items():
-            for col, dim in fks:
-                o = orphan_keys(facts[fact], [col], staged_dims[dim], DIM_KEYS[dim]).select(
-                    F.lit(f"{fact}.{col}").alias("fk"))
-                gate = o if gate is None else gate.unionByName(o)
-        broken = [r["fk"] for r in gate.distinct().collect()]  # one row per rule at most
-        if broken:
-            raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
-
-    dim_jobs = [dict(path=f"{root}/{n}", source=df, keys=DIM_KEYS[n], name=n,
-                     check_empty=False) for n, df in dims.items()]
-    fact_jobs = [
-        dict(path=f"{root}/fact_energy", source=facts["fact_energy"],
-             keys=FACT_KEYS["fact_energy"], partition_col="date_id", name="fact_energy",
-             check_empty=False),
-        dict(path=f"{root}/fact_weather", source=facts["fact_weather"],
-             keys=FACT_KEYS["fact_weather"], partition_col="date_id", name="fact_weather",
-             check_empty=False)]
-
-    # Independent jobs are submitted from parallel threads and share the
-    # cluster; every table of a step is staged before any is published.
+    Independent jobs are submitted from parallel threads and share the
+    cluster.  The contract (O-54, O-71, O-73) and the uniqueness of the
+    dimension ids (O-70) are checked while the tables are staged, the foreign
+    keys (O-72) on the staged files, i.e. the future content.  If a gate
+    fails nothing is published."""
+    recover(spark, root)
+    jobs = [dict(path=f"{root}/{n}", source=cast_to_contract(df, CONTRACTS[n]), name=n,
+                 keys=PRIMARY_KEYS[n], check_empty=False,
+                 partition_col="date_id" if n in facts else None)
+            for n, df in {**dims, **facts}.items()]
     with ThreadPoolExecutor(max_workers=8) as pool:
-        gate1 = pool.submit(contract_gate)
-        staged_dims = list(pool.map(lambda j: stage_upsert(spark, **j), dim_jobs))
-        gate1.result()
-        # Dimensions are unpartitioned: a staged dimension is its whole
-        # future content, so the foreign keys can be checked against it.
-        future_dims = {st.name: spark.read.parquet(st.staged_path) for st in staged_dims}
-        gate2 = pool.submit(fk_gate, future_dims)
-        staged_facts = list(pool.map(lambda j: stage_upsert(spark, **j), fact_jobs))
-        gate2.result()
-        out = list(pool.map(lambda st: publish(spark, st), staged_dims))
-        out += list(pool.map(lambda st: publish(spark, st), staged_facts))
-    return out
+        contract = pool.submit(require_contract, {**dims, **facts})
+        unique = pool.submit(require_unique, {n: (df, PRIMARY_KEYS[n]) for n, df in dims.items()})
+        futures = [pool.submit(lambda j: stage_upsert(spark, **j), j) for j in jobs]
+        staged = []
+        try:
+            for f in futures:
+                staged.append(f.result())
+            contract.result()
+            unique.result()
+            future = {s.name: spark.read.schema(CONTRACTS[s.name]).parquet(s.staged_path)
+                      for s in staged}
+            require_foreign_keys(future, future)
+        except BaseException:
+            discard(spark, [f.result() for f in futures if not f.exception()])
+            raise
+    return publish(spark, root, staged)

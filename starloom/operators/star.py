@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import stable_key
-from starloom.operators.joins import checked_broadcast
 
 KeyFn = Callable[..., Column]
 
@@ -74,7 +73,8 @@ def turbine_dim(enriched: DataFrame, key_fn: KeyFn = stable_key, collapse: bool
     row, so variants of one turbine are collapsed with an explicit order."""
     d = (enriched.select(*TURBINE_ATTRS).distinct()
          .select(key_fn(*TURBINE_KEY).alias("turbine_id"), *TURBINE_ATTRS))
-    return collapse_last(d, ["turbine_id"]) if collapse else d
+    # Grouped by the natural key, so two turbines never merge on a hash.
+    return collapse_last(d, ["turbine_id", *TURBINE_KEY]) if collapse else d
 
 
 def status_dim(enriched: DataFrame, key_fn: KeyFn = stable_key) -> DataFrame:
@@ -88,7 +88,7 @@ def location_dim(enriched: DataFrame, key_fn: KeyFn = stable_key, collapse: bool
     ignores region_name, so name variants are collapsed."""
     d = (enriched.select(*LOCATION_ATTRS).distinct()
          .select(key_fn(*LOCATION_KEY).alias("location_id"), *LOCATION_ATTRS))
-    return collapse_last(d, ["location_id"]) if collapse else d
+    return collapse_last(d, ["location_id", *LOCATION_KEY]) if collapse else d
 
 
 def build_dimensions(enriched: DataFrame, key_fn: KeyFn = stable_key) -> dict[str, DataFrame]:
@@ -102,17 +102,13 @@ def build_dimensions(enriched: DataFrame, key_fn: KeyFn = stable_key) -> dict[st
 
 
 def key_lookup(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
-               null_safe: bool = True, broadcast_max_rows: int | None = None) -> DataFrame:
+               null_safe: bool = True) -> DataFrame:
     """Left equi join of a fact to a dimension on natural attributes,
     returning the fact with the dimension key added (O-33..O-35).
 
     ``null_safe`` matches NULL attributes to each other (<=>); the strict
-    form (plain equality) leaves the key NULL for such rows.  With
-    ``broadcast_max_rows`` the dimension is broadcast only when it is
-    proven to hold at most that many rows."""
+    form (plain equality) leaves the key NULL for such rows."""
     d = dim.select(key, *[F.col(a).alias(f"_d_{a}") for a in attrs])
-    if broadcast_max_rows is not None:
-        d = checked_broadcast(d, broadcast_max_rows)
     cond = None
     for a in attrs:
         c = F.col(a).eqNullSafe(F.col(f"_d_{a}")) if null_safe else (F.col(a) == F.col(f"_d_{a}"))
@@ -127,8 +123,7 @@ WEATHER_COLS = ("fact_weather_id", "date_id", "time_id", "location_id", "tempera
 
 
 def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool = False,
-                   dims: dict[str, DataFrame] | None = None,
-                   broadcast_max_rows: int | None = None) -> DataFrame:
+                   dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """Attach turbine_id, status_id and location_id.
 
     Without ``dims`` the keys are derived from the row's attributes (the
@@ -141,10 +136,9 @@ def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool
             *_keyed(STATUS_ATTRS, STATUS_ATTRS, "status_id", key_fn, strict),
             *_keyed(LOCATION_ATTRS, LOCATION_KEY, "location_id", key_fn, strict),
         )
-    ns, b = not strict, broadcast_max_rows
-    out = key_lookup(enriched, dims["turbine_dim"], TURBINE_ATTRS, "turbine_id", ns, b)
-    out = key_lookup(out, dims["status_dim"], STATUS_ATTRS, "status_id", ns, b)
-    return key_lookup(out, dims["location_dim"], LOCATION_ATTRS, "location_id", ns, b)
+    out = key_lookup(enriched, dims["turbine_dim"], TURBINE_ATTRS, "turbine_id", not strict)
+    out = key_lookup(out, dims["status_dim"], STATUS_ATTRS, "status_id", not strict)
+    return key_lookup(out, dims["location_dim"], LOCATION_ATTRS, "location_id", not strict)
 
 
 def fact_energy(keyed: DataFrame) -> DataFrame:
@@ -173,9 +167,8 @@ def fact_weather(keyed: DataFrame, collapse: bool = False) -> DataFrame:
 
 def build_facts(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool = False,
                 dims: dict[str, DataFrame] | None = None,
-                broadcast_max_rows: int | None = None,
                 for_load: bool = False) -> dict[str, DataFrame]:
     """Both facts.  ``for_load`` gives the weather fact one row per id,
     as loaded into a table keyed on it."""
-    keyed = with_fact_keys(enriched, key_fn, strict, dims, broadcast_max_rows)
+    keyed = with_fact_keys(enriched, key_fn, strict, dims)
     return {"fact_energy": fact_energy(keyed), "fact_weather": fact_weather(keyed, for_load)}

@@ -34,13 +34,17 @@ def spine(days: DataFrame, date_col: str = "date", ts_col: str = "ts",
 
 def hourly_axis(start_epoch: Column | str, end_epoch: Column | str,
                 interval_s: Column | str) -> Column:
-    """Array of sample timestamps from start to end, end excluded (O-50, O-62)."""
+    """Array of sample timestamps from start to end, end excluded (O-50,
+    O-62); empty when end <= start, a bound is NULL or the interval is 0."""
     s = F.col(start_epoch) if isinstance(start_epoch, str) else start_epoch
     e = F.col(end_epoch) if isinstance(end_epoch, str) else end_epoch
     i = F.col(interval_s) if isinstance(interval_s, str) else interval_s
-    n = F.greatest(F.ceil((e - s) / i).cast("int"), F.lit(0))
-    return F.transform(F.sequence(F.lit(0), n - 1),
+    n = F.greatest(F.ceil(F.try_divide(e - s, i)).cast("int"), F.lit(0))
+    # sequence(0, -1) would count down, so it always holds one element
+    # and the slice takes none of it for an empty axis.
+    axis = F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
                        lambda k: epoch_to_timestamp(s + k.cast("bigint") * i))
+    return F.slice(axis, F.lit(1), n)
 
 
 def local_date_time(df: DataFrame, ts_utc: str, tz_col: str | None,
@@ -153,7 +157,7 @@ def interpolate_day_grid(samples: DataFrame, keys: Sequence[str], date_col: str,
     points from midnight).  No grid of days is aggregated separately and
     nothing is unioned, so the input is scanned once and the window sorts
     24 rows per day instead of 168.  ``keys`` must include ``date_col``;
-    sample times must lie on the grid's day.
+    sample times must lie on the grid's day, on its points or between them.
     """
     keys = list(keys)
     part = ", ".join(_q(k) for k in keys)
@@ -162,7 +166,6 @@ def interpolate_day_grid(samples: DataFrame, keys: Sequence[str], date_col: str,
             f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     after = (f"OVER (PARTITION BY {part} ORDER BY {t} DESC "
              f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    step = f"INTERVAL {step_minutes} MINUTES"
     day0 = f"CAST({_q(date_col)} AS TIMESTAMP_NTZ)"
     cols = [*[_q(k) for k in keys], f"{t} AS _st",
             f"lead({t}) OVER (PARTITION BY {part} ORDER BY {t}) AS _next",
@@ -176,11 +179,17 @@ def interpolate_day_grid(samples: DataFrame, keys: Sequence[str], date_col: str,
                  f"last({x}, true) {after} AS `_av_{v}`",
                  f"last({seen}, true) {after} AS `_at_{v}`"]
     w = samples.selectExpr(*cols)
-    start = f"CASE WHEN _first THEN {day0} ELSE _st END"
-    stop = f"coalesce(_next, {day0} + INTERVAL 1 DAY) - {step}"
-    slots = (f"explode(CASE WHEN {start} <= {stop} THEN sequence({start}, {stop}, {step}) "
-             f"ELSE array() END) AS {t}")
-    g = w.selectExpr("*", slots)
+    # Numbers of the first grid point at or after this sample and of the last
+    # one before the next, so samples may lie between the grid points.
+    us = step_minutes * 60_000_000
+    def slot_from(ts: str) -> str:
+        return f"((timestampdiff(MICROSECOND, {day0}, {ts}) + {us - 1}) div {us})"
+
+    lo = f"CASE WHEN _first THEN 0L ELSE {slot_from('_st')} END"
+    hi = f"({slot_from(f'coalesce(_next, {day0} + INTERVAL 1 DAY)')} - 1)"
+    slots = f"explode(CASE WHEN {lo} <= {hi} THEN sequence({lo}, {hi}) ELSE array() END) AS _slot"
+    g = w.selectExpr("*", slots).selectExpr(
+        "*", f"timestampadd(MINUTE, CAST(_slot * {step_minutes} AS INT), {day0}) AS {t}")
     out = []
     for v in value_cols:
         # before this sample (first row only): no previous value; the next

@@ -36,47 +36,63 @@ def _all_keys_present(keys: Sequence[str]) -> Column:
     return cond
 
 
-def dedupe_last(source: DataFrame, keys: Sequence[str],
-                order_by: Sequence[str] | None = None) -> DataFrame:
+def dedupe_last(source: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
+                count_as: str | None = None) -> DataFrame:
     """One row per non-NULL key, the greatest by (order_by..., rest...);
-    rows with a NULL key component pass through untouched."""
+    rows with a NULL key component pass through untouched.  One grouped
+    pass: a row without a key gets a number of its own to be grouped by.
+    ``count_as`` adds how many source rows each row stands for."""
     keys = list(keys)
     order = [c for c in (order_by or []) if c not in keys]
     rest = [c for c in source.columns if c not in keys and c not in order]
-    has_key = _all_keys_present(keys)
-    keyed, unkeyed = source.filter(has_key), source.filter(~has_key)
     payload = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + [F.col(c) for c in rest]
-    if payload:
-        agg = keyed.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_w"))
-        deduped = agg.select(*keys, *[F.col(f"_w._o{i}").alias(c) for i, c in enumerate(order)],
-                             *[F.col(f"_w.{c}") for c in rest])
-    else:
-        deduped = keyed.select(*keys).distinct()
-    return deduped.select(*source.columns).unionByName(unkeyed)
+    own = F.when(_all_keys_present(keys), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    agg = source.withColumn("_own", own).groupBy(*keys, "_own").agg(
+        F.max(F.struct(*(payload or [F.lit(0)]))).alias("_w"), F.count(F.lit(1)).alias("_n"))
+    deduped = agg.select(*keys, *[F.col(f"_w._o{i}").alias(c) for i, c in enumerate(order)],
+                         *[F.col(f"_w.{c}") for c in rest], "_n")
+    return deduped.select(*source.columns, *([F.col("_n").alias(count_as)] if count_as else []))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                 order_by: Sequence[str] | None = None,
-                 keep_from_target: Sequence[str] = ()) -> DataFrame:
+                 order_by: Sequence[str] | None = None, keep_from_target: Sequence[str] = (),
+                 newer_only: bool = False, deduped: bool = False) -> DataFrame:
     """Merged table (target columns, in target order) + ``merge_action``.
 
     ``order_by`` columns may be source-only (a revision number, a load
-    timestamp); they decide "last wins" and are then dropped."""
+    timestamp); they decide "last wins" and are then dropped.  With
+    ``newer_only`` they are columns of the target as well, and a source row
+    replaces a target row only if it does not come before it in that order
+    (then by row value), so the result does not depend on how rows are dealt
+    out to batches.  ``deduped``: the source already has one row per key."""
     keys = list(keys)
     cols = target.columns
     order = [c for c in (order_by or []) if c in source.columns]
     shared = [c for c in cols if c in source.columns]
-    src = dedupe_last(source.select(*shared, *[c for c in order if c not in shared]), keys, order)
+    src = source.select(*shared, *[c for c in order if c not in shared])
+    if not deduped:
+        src = dedupe_last(src, keys, order)
     src = src.select(*shared)
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns], F.lit(True).alias("_in_s"))
-    cond = None
+
+    # Rows with a NULL key never match; they are spread by their content so
+    # that they do not all meet in one task of the join.
+    def spread(df: DataFrame) -> Column:
+        return F.when(~_all_keys_present(keys), F.xxhash64(*df.columns))
+
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"),
+                      F.coalesce(spread(target), F.lit(0)).alias("_t_spread"))
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns], F.lit(True).alias("_in_s"),
+                   F.coalesce(spread(src), F.lit(0)).alias("_s_spread"))
+    cond = F.col("_t_spread") == F.col("_s_spread")
     for k in keys:
-        c = F.col(f"_t_{k}") == F.col(f"_s_{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"_t_{k}") == F.col(f"_s_{k}"))
     j = t.join(s, cond, "full_outer")
     in_s = F.col("_in_s").isNotNull()
     in_t = F.col("_in_t").isNotNull()
+    if newer_only:
+        rank = [*order, *[c for c in shared if c not in keys and c not in order]]
+        in_s = in_s & (~in_t | (F.struct(*[F.col(f"_s_{c}").alias(c) for c in rank])
+                                >= F.struct(*[F.col(f"_t_{c}").alias(c) for c in rank])))
     out = []
     for c in cols:
         tc = F.col(f"_t_{c}")

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from starloom.plans import standins as st
 from starloom.session import scratch_path
 from starloom.sources.csv import DAY_COLUMN
-from starloom.sources.tables import read_table
 
 # Rules that break rows in the "broken" fixture.
 #  - readings of region 'error' get a non-numeric production id ('E' + id)
@@ -28,10 +27,7 @@ SHORT_TIME_K = 99
 
 def production_csv_rows(spark: SparkSession, sf_dir: str, broken: bool) -> DataFrame:
     r = st.readings(spark, sf_dir)
-    k = F.get_json_object("props", "$.k").cast("int")
-    ev = read_table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("production_id"), k.alias("_k"))
-    r = r.join(ev, "production_id", "left")
+    r = r.withColumn("_k", (F.col("wind_speed") * 10).cast("int"))  # wind speed is k / 10
     # Readings sit on the 10-minute grid, as the daily files do.
     slot = F.to_timestamp_ntz(F.concat_ws(" ", F.col("date").cast("string"), F.col("time")))
     pid = F.col("production_id").cast("string")
@@ -49,11 +45,25 @@ def production_csv_rows(spark: SparkSession, sf_dir: str, broken: bool) -> DataF
         F.date_format("date", "yyyyMMdd").alias(DAY_COLUMN))
 
 
-def write_production_csv(spark: SparkSession, sf_dir: str, broken: bool = False) -> str:
+def write_production_csv(spark: SparkSession, sf_dir: str, broken: bool = False,
+                         flat: bool = False) -> str:
+    """One folder per day, or (``flat``) files named by their day in one
+    folder, renamed into it one by one."""
     out = scratch_path(spark, "production-csv")
-    (production_csv_rows(spark, sf_dir, broken)
+    (production_csv_rows(spark, sf_dir, broken).hint("rebalance", F.col(DAY_COLUMN))
      .write.partitionBy(DAY_COLUMN).option("header", True).mode("errorifexists").csv(out))
-    return out
+    if not flat:
+        return out
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    into = scratch_path(spark, "production-flat")
+    fs.mkdirs(path(into))
+    for folder in fs.globStatus(path(f"{out}/{DAY_COLUMN}=*")):
+        day = folder.getPath().getName().split("=")[1]
+        for i, f in enumerate(fs.globStatus(path(f"{out}/{DAY_COLUMN}={day}/*.csv"))):
+            name = f"{day}_wind_power_data.csv" if i == 0 else f"{day}_wind_power_data_{i}.csv"
+            fs.rename(f.getPath(), path(f"{into}/{name}"))
+    return into
 
 
 # Payload rules.  Region 'error' payloads carry no cloud

@@ -12,7 +12,8 @@ driver tables.
 5. gold: dimensions, foreign-key gate, facts (O-16, O-17).
 
 Every step writes to the shared folder and the next step reads it back,
-so a lost executor costs at most the current step.
+so a lost executor costs at most the current step.  Each step handles the
+file days and dates of this load only, not what earlier loads left.
 """
 
 from __future__ import annotations
@@ -26,11 +27,13 @@ from starloom.functions.lineage import new_batch_id
 from starloom.operators import star
 from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import BRONZE_WEATHER, SILVER_WEATHER, cast_to_contract
-from starloom.operators.enrich import enrich
-from starloom.operators.load import (IntegrityError, LoadResult, contract_violations, load_star,
-                                     upsert_table)
+from starloom.operators.enrich import JOIN_KEYS, enrich
+from starloom.operators.load import (LoadResult, drop_partitions, load_star, require_contract,
+                                     require_unique, upsert_table)
 from starloom.operators.timeseries import interpolate_day_grid
-from starloom.sources.csv import parse_production, read_all, split_quarantine, to_bronze
+from starloom.session import cut_lineage
+from starloom.sources.csv import (DAY_COLUMN, FILE_ORDER, parse_production, read_all,
+                                  split_quarantine, to_bronze)
 from starloom.sources.payload import VARIABLES, payload_rows, read_payloads
 
 # Fixed value: label of the weather source in bronze.
@@ -38,12 +41,12 @@ SOURCE_LABEL = "weather-archive"
 
 
 def bronze_weather(payloads: DataFrame) -> DataFrame:
+    """Weather grid rows, not yet cast to the bronze contract."""
     hourly = payload_rows(payloads)
     keys = ["region", "region_name", "latitude", "longitude", "date"]
     w = interpolate_day_grid(hourly, keys, "date", "ts", VARIABLES, 10, scale=2)
-    w = w.withColumns({"time": time_text("ts"), "ingested_at": F.current_timestamp(),
-                       "source_api": F.lit(SOURCE_LABEL)})
-    return cast_to_contract(w, BRONZE_WEATHER)
+    return w.withColumns({"time": time_text("ts"), "ingested_at": F.current_timestamp(),
+                          "source_api": F.lit(SOURCE_LABEL)})
 
 
 def silver_weather(bronze: DataFrame) -> DataFrame:
@@ -53,12 +56,20 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
     return cast_to_contract(w, SILVER_WEATHER)
 
 
+def _replace_days(df: DataFrame, path: str, col: str, days: list, present: list) -> None:
+    """Full refresh of the partitions of ``days``; those without rows go."""
+    (df.hint("rebalance", F.col(col)).write.mode("overwrite").partitionBy(col)
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    drop_partitions(df.sparkSession, path, col, [d for d in days if d not in present])
+
+
 def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: str,
                  batch_id: str | None = None,
                  date_range: tuple[str, str] | None = None) -> list[LoadResult]:
     """Load every file day below ``csv_root`` (and the payloads of the same
     days), or only the days of ``date_range`` (inclusive ISO dates, O-29):
-    the gate prunes file-day partitions, so other days are never read."""
+    files of other days are never read.  Files read twice by different loads
+    give the same tables as when they are read once, in any order."""
     batch_id = batch_id or new_batch_id()
     out: list[LoadResult] = []
 
@@ -67,40 +78,46 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     payloads = read_payloads(spark, payload_root)
     if date_range:
         lo, hi = date_range
-        day = F.col("file_day").cast("string")
-        raw = raw.filter((day >= lo.replace("-", "")) & (day <= hi.replace("-", "")))
+        raw = raw.filter(F.col(DAY_COLUMN).between(lo.replace("-", ""), hi.replace("-", "")))
         payloads = payloads.filter(F.col("date").between(lo, hi))
-    parsed = parse_production(raw)
+    parsed = cut_lineage(parse_production(raw), "parsed")
     good, bad = split_quarantine(parsed)
-    bad.write.mode("overwrite").partitionBy("file_day").option(
-        "partitionOverwriteMode", "dynamic").parquet(f"{root}/quarantine")
-    to_bronze(good, batch_id).withColumn("file_day", F.date_format("date", "yyyyMMdd")) \
-        .write.mode("overwrite").partitionBy("file_day") \
-        .option("partitionOverwriteMode", "dynamic").parquet(f"{root}/bronze_production")
-    bronze_p = spark.read.parquet(f"{root}/bronze_production")
+    days = {r[0]: r for r in parsed.groupBy(DAY_COLUMN).agg(  # one row per file day
+        F.count(F.when(F.col("_reason").isNull(), 1)).alias("good"),
+        F.count("_reason").alias("bad")).collect()}
+    bronze = to_bronze(good, batch_id)
+    _replace_days(bad, f"{root}/quarantine", DAY_COLUMN, list(days),
+                  [d for d, r in days.items() if r["bad"]])
+    _replace_days(bronze, f"{root}/bronze_production", DAY_COLUMN, list(days),
+                  [d for d, r in days.items() if r["good"]])
 
     # 2. bronze weather
-    bronze_weather(payloads).write.mode("overwrite") \
-        .partitionBy("date").option("partitionOverwriteMode", "dynamic") \
-        .parquet(f"{root}/bronze_weather")
-    bronze_w = spark.read.parquet(f"{root}/bronze_weather")
-
-    # 3. silver, behind one NOT NULL / VARCHAR gate for both tables
-    sp_new, sw_new = silver_production(bronze_p.drop("file_day")), silver_weather(bronze_w)
-    broken = contract_violations({"silver_production": sp_new, "silver_weather": sw_new})
-    if broken:
-        raise IntegrityError(f"contract violations: {broken}")
+    grid = cut_lineage(bronze_weather(payloads), "weather-grid")
+    require_contract({"bronze_weather": grid})
+    weather_days = [r[0] for r in grid.select("date").distinct().collect()]  # one per day
+    _replace_days(cast_to_contract(grid, BRONZE_WEATHER), f"{root}/bronze_weather", "date",
+                  weather_days, weather_days)
+
+    # 3. silver, behind one gate for both tables
+    sp_new = silver_production(bronze, keep=FILE_ORDER)
+    sw_new = silver_weather(cast_to_contract(grid, BRONZE_WEATHER))
+    require_contract({"silver_production": sp_new, "silver_weather": sw_new})
     out.append(upsert_table(spark, f"{root}/silver_production", sp_new, ["production_id"],
-                            partition_col="date", name="silver_production"))
+                            FILE_ORDER, partition_col="date", name="silver_production",
+                            newer_only=True))
     out.append(upsert_table(spark, f"{root}/silver_weather", sw_new,
                             ["date", "time", "region", "region_name"], partition_col="date",
                             keep_from_target=["weather_id"], name="silver_weather"))
 
-    # 4. enriched, for the dates of this load only
-    dates = [r[0] for r in bronze_p.select("date").distinct().collect()]  # one per day
+    # 4. enriched, for the dates of this load only; a weather slot that would
+    # double a reading stops the load (trap 13)
+    dates = [r[0] for r in good.select("date").distinct().collect()]  # one per day
     sp = spark.read.parquet(f"{root}/silver_production").filter(F.col("date").isin(dates))
     sw = spark.read.parquet(f"{root}/silver_weather").filter(F.col("date").isin(dates))
-    out.append(upsert_table(spark, f"{root}/silver_enriched", enrich(sp, sw),
+    require_unique({"silver_weather": (sw, JOIN_KEYS)})
+    enriched = cut_lineage(enrich(sp, sw), "enriched")
+    require_contract({"silver_enriched": enriched})
+    out.append(upsert_table(spark, f"{root}/silver_enriched", enriched,
                             ["production_id", "date", "time"], partition_col="date",
                             keep_from_target=["prod_enriched_id"], name="silver_enriched"))
 

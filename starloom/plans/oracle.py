@@ -300,10 +300,11 @@ FROM orders"""
 
 ORACLE["measures_rounded"] = """
 SELECT l_orderkey, l_linenumber, l_partkey,
-       CAST(round(CAST(l_extendedprice AS DECIMAL(14,4)), 2) AS DECIMAL(12,2)) AS extendedprice,
-       CAST(round(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(14,4)), 2) AS DECIMAL(12,2)) AS net_price,
-       CAST(round(CAST(l_discount AS DECIMAL(7,4)), 2) AS DECIMAL(5,2)) AS discount,
-       CAST(round(CAST(l_quantity / 7 AS DECIMAL(10,4)), 2) AS DECIMAL(8,2)) AS quantity_per_week
+       -- exact decimals of the shortest text of each number, rounded once
+       round(CAST(CAST(l_extendedprice AS VARCHAR) AS DECIMAL(38,18)), 2) AS extendedprice,
+       round(CAST(CAST(l_extendedprice * (1 - l_discount) AS VARCHAR) AS DECIMAL(38,18)), 2) AS net_price,
+       round(CAST(CAST(l_discount AS VARCHAR) AS DECIMAL(38,18)), 2) AS discount,
+       round(CAST(CAST(l_quantity / 7 AS VARCHAR) AS DECIMAL(38,18)), 2) AS quantity_per_week
 FROM lineitem"""
 
 ORACLE["ordered_preview"] = """
@@ -385,6 +386,8 @@ FROM (
      ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])
 
 
+ORACLE["load_star_rows"] = ORACLE["fact_production"]
+
 # --- streaming ------------------------------------------------------------------
 
 ORACLE["stream_daily_load"] = with_ctes(["readings", "ev"], """
@@ -437,6 +440,7 @@ DECIMAL_COLUMNS = {
     'fact_production': ('energy_produced', 'wind_speed'),
     'fact_production_lookup': ('energy_produced', 'wind_speed'),
     'interpolate_10min': ('latitude', 'longitude', 'wind_gusts_10m', 'temperature_2m', 'cloud_cover'),
+    'load_star_rows': ('energy_produced', 'wind_speed'),
     'measures_rounded': ('extendedprice', 'net_price', 'discount', 'quantity_per_week'),
     'payload_rows': ('wind_gusts_10m', 'temperature_2m', 'cloud_cover'),
     'stream_daily_load': ('energy_produced', 'wind_speed'),

@@ -34,7 +34,8 @@ TIME_ATTRS_SQL = """
 
 
 def stable_key_sql(*parts: str) -> str:
-    txt = " || '_' || ".join(f"coalesce(CAST({p} AS VARCHAR), '\\N')" for p in parts)
+    txt = " || '_' || ".join(
+        f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || CAST({p} AS VARCHAR), 'N')" for p in parts)
     return f"CAST(('0x' || substr(md5({txt}), 1, 15)) AS BIGINT)"
 
 

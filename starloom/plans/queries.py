@@ -260,7 +260,8 @@ def check_fk_q(spark: SparkSession, sf: str) -> DataFrame:
 def check_fk_star(spark: SparkSession, sf: str) -> DataFrame:
     """Foreign keys of both facts against the five dimensions."""
     from starloom.operators.checks import fk_summary
-    e = st.enriched(spark, sf)
+    from starloom.session import cut_lineage
+    e = cut_lineage(st.enriched(spark, sf), "enriched")  # read by every key
     dims = star.build_dimensions(e)
     facts = star.build_facts(e)
     fe, fw = facts["fact_energy"], facts["fact_weather"]
@@ -405,7 +406,7 @@ def csv_good_rows(spark: SparkSession, sf: str) -> DataFrame:
 def daily_file_select(spark: SparkSession, sf: str) -> DataFrame:
     from starloom.plans.fixtures import write_production_csv
     from starloom.sources.csv import parse_production, read_day, split_quarantine
-    path = write_production_csv(spark, sf)
+    path = write_production_csv(spark, sf, flat=True)
     good, _ = split_quarantine(parse_production(read_day(spark, path, DAILY_FILE_DAY)))
     return good.select("production_id", "date", "time", "region", "energy_produced")
 
@@ -466,6 +467,22 @@ def load_star_q(spark: SparkSession, sf: str) -> DataFrame:
     return results_frame(spark, results)
 
 
+@register("load_star_rows")
+def load_star_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of the published energy fact after two loads of the same
+    input."""
+    from starloom.operators.load import load_star
+    from starloom.session import cut_lineage, scratch_path
+    e = cut_lineage(st.enriched(spark, sf))
+    dims, facts = star.build_dimensions(e), star.build_facts(e, for_load=True)
+    root = scratch_path(spark, "star")
+    for _ in range(2):
+        load_star(spark, root, dims, facts)
+    return spark.read.parquet(f"{root}/fact_energy").select(
+        "fact_production_id", "date_id", "time_id", "turbine_id", "status_id", "energy_produced",
+        "wind_speed", "wind_direction")
+
+
 # --- streaming ------------------------------------------------------------------
 
 @register("stream_daily_load")
@@ -508,15 +525,9 @@ def medallion_load(spark: SparkSession, sf: str) -> DataFrame:
 @register("region_lookup")
 def region_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Weather grid rows with the region's name and time zone from the
-    region reference, joined after a size check (broadcast when small)."""
-    from starloom.operators.joins import checked_broadcast
-    ref = checked_broadcast(st.region_reference(spark, sf), REGION_BROADCAST_MAX_ROWS)
+    region reference (AQE picks the join by the measured size)."""
     w = st.weather_10min(spark, sf).select("region", "date", "time", "wind_gusts_10m")
-    return w.join(ref, "region", "left")
-
-
-# The region reference is broadcast only up to this many regions.
-REGION_BROADCAST_MAX_ROWS = 100_000
+    return w.join(st.region_reference(spark, sf), "region", "left")
 
 
 @register("star_counts")

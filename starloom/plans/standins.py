@@ -40,15 +40,14 @@ CLOUDY_VALUE = 25.0
 
 
 def turbine_register(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer -> nation -> region.  nation and region have a fixed
-    cardinality (25 and 5 rows at every scale factor), so they are
-    broadcast; customer grows with the scale factor and is not."""
+    """customer -> nation -> region; the planner broadcasts a side whose
+    size is under the threshold."""
     c = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nr = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
-    return c.join(F.broadcast(nr), c.c_nationkey == nr.n_nationkey, "left").selectExpr(
+    nr = n.join(r, n.n_regionkey == r.r_regionkey, "left")
+    return c.join(nr, c.c_nationkey == nr.n_nationkey, "left").selectExpr(
         "c_custkey AS user_id",
         "CAST(1000 + 100 * c_nationkey AS INT) AS capacity",
         "n_name AS location_name",
@@ -192,8 +191,7 @@ STANDIN_TIMEZONE = "UTC"
 
 def region_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region lookup (O-07): one row per region with its display name and
-    time zone.  Its size is the number of regions, checked before it is
-    broadcast (see operators.joins.checked_broadcast)."""
+    time zone."""
     ev = read_table(spark, sf_dir, "events").select("event_type").distinct()
     return ev.select(F.col("event_type").alias("region"),
                      F.upper("event_type").alias("region_name"),

@@ -1,9 +1,10 @@
 """Typed CSV scans with quarantine of malformed rows (O-01..O-04, O-22,
 O-27, O-58..O-60, O-68).
 
-Daily production files live one folder per day (``file_day=yyyyMMdd``),
-so selecting one day is partition pruning and reading all days is one
-scan of the folder; the day is a column either way.
+Daily production files are ``yyyyMMdd_<name>.csv`` in one flat folder, or
+any files in one folder per day (``file_day=yyyyMMdd``).  Reading all days
+is one scan of the folder, one day opens its own files only; the day is a
+column either way.
 """
 
 from __future__ import annotations
@@ -19,7 +20,16 @@ from starloom.operators.contracts import RAW_PRODUCTION_CSV
 
 CORRUPT = "_corrupt_record"
 DAY_COLUMN = "file_day"
-DAY_FORMAT = "yyyyMMdd"
+MODIFIED_COLUMN = "file_modified"
+# Of several rows of one reading the later file wins: by day, then by
+# modification time.
+FILE_ORDER = (DAY_COLUMN, MODIFIED_COLUMN)
+# Day of a file that names none.
+NO_DAY = "00000000"
+
+# NUMERIC(precision, scale) of the measures.
+MEASURES = {"latitude": (9, 6), "longitude": (9, 6), "wind_speed": (6, 2),
+            "energy_produced": (12, 2)}
 
 BRONZE_COLUMNS = ("production_id", "date", "time", "turbine_name", "capacity", "location_name",
                   "latitude", "longitude", "region", "status", "responsible_department",
@@ -30,54 +40,74 @@ def with_corrupt_column(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType = RAW_PRODUCTION_CSV) -> DataFrame:
+def with_file_columns(scan: DataFrame) -> DataFrame:
+    """Add the day of each row's file (from its name, else its folder), the
+    file's modification time and its name."""
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{8})_", 1)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{DAY_COLUMN}=(\d{{8}})/", 1)
+    day = F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit("")), F.lit(NO_DAY))
+    return scan.select("*", day.alias(DAY_COLUMN),
+                       F.col("_metadata.file_modification_time").alias(MODIFIED_COLUMN),
+                       F.col("_metadata.file_name").alias("source_file"))
+
+
+def read_csv(spark: SparkSession, path: str | list[str],
+             schema: StructType = RAW_PRODUCTION_CSV) -> DataFrame:
     """Header row, declared schema, PERMISSIVE with the raw line kept in
     ``_corrupt_record`` for rows whose fields do not fit their types."""
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .schema(with_corrupt_column(schema)).csv(path))
+    return with_file_columns(
+        spark.read.option("header", True).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
+        .schema(with_corrupt_column(schema)).csv(path))
 
 
 def read_day(spark: SparkSession, root: str, day: str,
              schema: StructType = RAW_PRODUCTION_CSV) -> DataFrame:
-    """Only the file(s) of one day ``yyyyMMdd`` (O-03).  The day becomes
-    a partition filter, so other days are never listed or opened; a day
-    without a file gives an empty frame (``require_day`` raises)."""
-    return read_all(spark, root, schema).filter(F.col(DAY_COLUMN) == F.lit(day))
+    """Only the file(s) of one day ``yyyyMMdd`` (O-03), in either layout;
+    other days are never opened.  A day without a file is an error."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for pattern in (f"{root}/{day}_*.csv", f"{root}/{DAY_COLUMN}={day}"):
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        found += [str(s.getPath()) for s in path.getFileSystem(conf).globStatus(path) or []]
+    if not found:
+        raise FileNotFoundError(f"no production file for day {day} in {root}")
+    return read_csv(spark, found, schema)
 
 
 def read_all(spark: SparkSession, root: str, schema: StructType = RAW_PRODUCTION_CSV) -> DataFrame:
-    """Every daily file below ``root`` in one scan (O-04)."""
+    """Every daily file below ``root`` in one scan (O-04).  A filter on the
+    file day skips the files of other days."""
     return read_csv(spark, root, schema)
 
 
-def require_day(df: DataFrame, day: str) -> DataFrame:
-    if df.isEmpty():
-        raise FileNotFoundError(f"no production file for day {day}")
-    return df
-
-
 def parse_production(raw: DataFrame) -> DataFrame:
     """Raw CSV rows -> typed bronze columns plus ``_reason`` (NULL when the
     row is good).  The event time is composed from the date and time text
-    before ``date`` is re-typed (trap 14)."""
+    before ``date`` is re-typed (trap 14).  A number that does not fit its
+    column (``out_of_range``) and a row without its key (``missing_id``)
+    send the row to quarantine."""
+    unfit = None
+    for c, (p, s) in MEASURES.items():
+        bad = F.col(c).isNotNull() & to_decimal(c, p, s).isNull()
+        unfit = bad if unfit is None else unfit | bad
     reason = (F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
+              .when(F.col("production_id").isNull(), F.lit("missing_id"))
               .when(parse_iso_date("date").isNull(), F.lit("bad_date"))
-              .when(parse_dash_time("time").isNull(), F.lit("bad_time")))
+              .when(parse_dash_time("time").isNull(), F.lit("bad_time"))
+              .when(unfit, F.lit("out_of_range")))
+    measure = {c: to_decimal(c, p, s).alias(c) for c, (p, s) in MEASURES.items()}
     return raw.select(
         F.col("production_id").cast("bigint").alias("production_id"),
         parse_iso_date("date").alias("date"),
         parse_dash_time("time").alias("time"),
         "turbine_name", "capacity", "location_name",
-        to_decimal("latitude", 9, 6).alias("latitude"),
-        to_decimal("longitude", 9, 6).alias("longitude"),
+        measure["latitude"], measure["longitude"],
         "region", "status", "responsible_department",
-        to_decimal("wind_speed", 6, 2).alias("wind_speed"),
-        "wind_direction",
-        to_decimal("energy_produced", 12, 2).alias("energy_produced"),
+        measure["wind_speed"], "wind_direction", measure["energy_produced"],
         compose_event_time("date", "time").alias("measured_at"),
-        *[c for c in raw.columns if c == DAY_COLUMN],
-        F.col("_metadata.file_name").alias("source_file"),
+        DAY_COLUMN, MODIFIED_COLUMN, "source_file",
         F.col(CORRUPT), reason.alias("_reason"))
 
 
@@ -91,7 +121,9 @@ def split_quarantine(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def to_bronze(good: DataFrame, batch_id: str | None = None) -> DataFrame:
     """Good rows in table order with lineage columns (O-22, O-27):
-    ``source_file`` (captured from the scan), ``ingested_at``, ``batch_id``."""
-    df = good.select(*BRONZE_COLUMNS, "source_file")
+    ``source_file``, the file's day and modification time (captured from the
+    scan; they order the corrections of a reading), ``ingested_at``,
+    ``batch_id``."""
+    df = good.select(*BRONZE_COLUMNS, "source_file", *FILE_ORDER)
     return df.withColumns({"ingested_at": F.current_timestamp(),
                            "batch_id": F.lit(batch_id or new_batch_id())})

@@ -7,7 +7,10 @@ each micro-batch (new files only; progress kept in the checkpoint under
 the shared folder) is parsed, split into good and quarantined rows, and
 upserted into the silver table with ``foreachBatch``.  The upsert is
 idempotent, so a micro-batch replayed after a failure leaves the same
-table: the sink is effectively exactly-once.  ``availableNow`` processes
+table: the sink is effectively exactly-once.  Of several rows of one
+reading the later file's wins (by file day, then modification time), in one
+batch or across batches, so the batch size does not change the table.
+``availableNow`` processes
 what has landed and stops, the batch-scheduled equivalent of a daily run.
 """
 
@@ -20,8 +23,8 @@ from pyspark.sql.streaming import StreamingQuery
 from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import RAW_PRODUCTION_CSV
 from starloom.operators.load import upsert_table
-from starloom.sources.csv import (CORRUPT, parse_production, split_quarantine, to_bronze,
-                                  with_corrupt_column)
+from starloom.sources.csv import (CORRUPT, FILE_ORDER, parse_production, split_quarantine,
+                                  to_bronze, with_corrupt_column, with_file_columns)
 
 
 def production_stream(spark: SparkSession, landing: str,
@@ -32,7 +35,7 @@ def production_stream(spark: SparkSession, landing: str,
          .schema(with_corrupt_column(RAW_PRODUCTION_CSV)))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return parse_production(r.csv(landing))
+    return parse_production(with_file_columns(r.csv(landing)))
 
 
 def load_batch(batch: DataFrame, epoch_id: int, silver_path: str, quarantine_path: str) -> None:
@@ -42,9 +45,9 @@ def load_batch(batch: DataFrame, epoch_id: int, silver_path: str, quarantine_pat
     good, bad = split_quarantine(batch)
     (bad.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
      .parquet(f"{quarantine_path}/epoch={epoch_id}"))
-    silver = silver_production(to_bronze(good, batch_id=f"epoch-{epoch_id}"))
-    upsert_table(batch.sparkSession, silver_path, silver, ["production_id"],
-                 partition_col="date", name="silver_production")
+    silver = silver_production(to_bronze(good, batch_id=f"epoch-{epoch_id}"), keep=FILE_ORDER)
+    upsert_table(batch.sparkSession, silver_path, silver, ["production_id"], FILE_ORDER,
+                 partition_col="date", name="silver_production", newer_only=True)
 
 
 def start_daily_load(spark: SparkSession, landing: str, silver_path: str,

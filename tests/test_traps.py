@@ -147,17 +147,43 @@ def test_orphans_ignore_null_foreign_keys(spark):
     assert [(r["k"], r["rows"]) for r in out] == [(2, 2)]
 
 
-def test_checked_broadcast(spark):
-    from starloom.operators.joins import checked_broadcast
-    small = spark.range(10)
-    big = spark.range(1000)
-    fact = spark.range(5000).withColumnRenamed("id", "k")
-    j1 = fact.join(checked_broadcast(small.withColumnRenamed("id", "k"), 100), "k", "left")
-    j2 = fact.join(checked_broadcast(big.withColumnRenamed("id", "k"), 100), "k", "left")
-    p1 = j1._jdf.queryExecution().optimizedPlan().toString()
-    p2 = j2._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in p1.lower() and "broadcast" not in p2.lower()
-    assert j1.count() == j2.count() == 5000
+def test_rounding_is_one_step_and_fits_or_null(spark):
+    df = spark.createDataFrame([(2.34499,), (8.004996,), (123456.0,), (float("nan"),)], "v double")
+    got = [r[0] for r in df.select(to_decimal("v", 6, 2)).collect()]
+    assert got == [Decimal("2.34"), Decimal("8.00"), None, None]
+
+
+def test_key_text_is_collision_free(spark):
+    df = spark.createDataFrame([("A_B", "C"), ("A", "B_C"), ("N", "x"), (None, "x"), ("", "x")],
+                               "a string, b string")
+    assert df.select(stable_key("a", "b").alias("k")).distinct().count() == 5
+    rows = [("A_B", 1, "C"), ("A", 1, "B_C")]
+    e = spark.createDataFrame(rows, "turbine_name string, capacity int, region string") \
+        .withColumns({"region_name": F.lit("r"), "latitude": F.lit(None).cast("decimal(9,6)"),
+                      "longitude": F.lit(None).cast("decimal(9,6)")})
+    assert star.turbine_dim(e).count() == 2
+
+
+def test_empty_axis_has_no_samples(spark):
+    from starloom.operators.timeseries import hourly_axis
+    df = spark.range(1).select(hourly_axis(F.lit(100), F.lit(100), F.lit(3600)).alias("same"),
+                               hourly_axis(F.lit(100), F.lit(50), F.lit(3600)).alias("before"),
+                               hourly_axis(F.lit(100), F.lit(200), F.lit(0)).alias("no_step"))
+    assert [list(x) for x in df.first()] == [[], [], []]
+
+
+def test_off_grid_samples_fill_the_grid(spark):
+    # quarter-hour zones: samples at :45 still give the 144 points of the day
+    from starloom.operators.timeseries import interpolate_day_grid
+    day = dt.date(2024, 6, 15)
+    rows = [("A", day, dt.datetime(2024, 6, 15, h, 45), float(h)) for h in range(24)]
+    s = spark.createDataFrame(rows, "region string, date date, ts timestamp_ntz, v double")
+    got = {r["ts"]: r["v"] for r in
+           interpolate_day_grid(s, ["region", "date"], "date", "ts", ["v"]).collect()}
+    assert sorted(got) == [dt.datetime(2024, 6, 15) + dt.timedelta(minutes=10 * i) for i in range(144)]
+    assert got[dt.datetime(2024, 6, 15, 0, 40)] is None
+    assert got[dt.datetime(2024, 6, 15, 1, 0)] == Decimal("0.25")
+    assert got[dt.datetime(2024, 6, 15, 23, 50)] == Decimal("23.00")
 
 
 def test_time_for_sink_uses_row_date(spark):
