@@ -38,6 +38,7 @@ SMOOTH = 1.0
 COST = 1.0
 EPOCHS = 12
 SEED = 7
+SLICE = 1 << 20  # bytes of text whose n-grams are held at a time
 
 SHAPE = np.arange(256, dtype=np.uint8)
 SHAPE[0x30:0x3A] = ord("9")
@@ -165,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 doc, col = indicators(part.column("text"))
                 cuts = np.searchsorted(doc, np.arange(1, part.num_rows))
                 data = [x.astype(np.uint32).tobytes() for x in np.split(col, cuts)]
@@ -183,13 +184,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``row`` (all columns of the document as a struct) and ``score``."""
+    place = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            row = batch.column("row")  # the text is in it, so it is sent once
+            for part in slices(pa.RecordBatch.from_arrays([row, row.field(place)], ["row", "text"]),
+                               "text", SLICE):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(model.score(part.column("text")), pa.float64())],
                     ["row", "score"])
 
-    src = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    src = docs.select(F.struct("*").alias("row"))
     kind = f"row {src.schema['row'].dataType.simpleString()}, score double"
     return src.mapInArrow(run, kind)
