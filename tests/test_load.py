@@ -10,6 +10,8 @@ from starloom.operators.load import upsert_table
 from starloom.session import scratch_path
 from starloom.streaming.daily_load import start_daily_load
 
+SF001 = "/root/testdata/sf0.001"
+
 
 def _files(path):
     out = {}
@@ -50,7 +52,71 @@ def test_empty_source_is_skipped(spark):
     assert upsert_table(spark, path, empty, ["k"]).skipped
 
 
-def _write_day(spark, landing, day, rows):
+def test_interrupted_publication_is_finished(spark, monkeypatch):
+    import pytest
+    from starloom.operators import load
+    root = scratch_path(spark, "t-crash")
+    d1, d2 = dt.date(2024, 6, 15), dt.date(2024, 6, 16)
+    kind = "k long, date date, v string"
+    upsert_table(spark, f"{root}/t", spark.createDataFrame([(1, d1, "a"), (2, d2, "b")], kind), ["k"],
+                 partition_col="date")
+    batch = spark.createDataFrame([(1, d2, "a2"), (3, d1, "c")], kind)
+    with monkeypatch.context() as m:
+        m.setattr(load, "_finish", lambda *a: (_ for _ in ()).throw(IOError("lost")))
+        with pytest.raises(IOError):
+            upsert_table(spark, f"{root}/t", batch, ["k"], partition_col="date")
+    rows = lambda: sorted(tuple(r) for r in spark.read.parquet(f"{root}/t").select("k", "date", "v").collect())
+    assert rows() == [(1, d1, "a"), (2, d2, "b")]  # the old content is still there
+    assert load.recover(spark, root) == 1
+    assert rows() == [(1, d2, "a2"), (2, d2, "b"), (3, d1, "c")]
+    assert load.recover(spark, root) == 0
+
+
+def test_batches_do_not_change_the_table(spark):
+    from starloom.sources.csv import parse_production, read_day
+    from starloom.streaming.daily_load import load_batch
+    root = scratch_path(spark, "t-batches")
+    _write_day(spark, f"{root}/in", "2024-06-16", [(1, "09-00-00"), (2, "08-00-00")])
+    _write_day(spark, f"{root}/in", "2024-06-15", [(1, "10-00-00"), (3, "07-00-00")])
+    one, two = (parse_production(read_day(spark, f"{root}/in", d)) for d in ("20240615", "20240616"))
+    tables = []
+    for name, batches in {"both": [one.unionByName(two)], "up": [one, two], "down": [two, one]}.items():
+        for i, b in enumerate(batches):
+            load_batch(b, i, f"{root}/{name}/silver", f"{root}/{name}/quarantine")
+        tables.append(sorted((r["production_id"], str(r["date"]), r["time"])
+                             for r in spark.read.parquet(f"{root}/{name}/silver").collect()))
+    assert tables[0] == tables[1] == tables[2]
+    assert tables[0][0] == (1, "2024-06-16", "09:00:00")
+
+
+def test_absent_day_is_an_error(spark):
+    import pytest
+    from starloom.sources.csv import read_day
+    with pytest.raises(FileNotFoundError):
+        read_day(spark, scratch_path(spark, "t-none"), "20240615")
+
+
+def test_late_row_leaves_the_other_day_alone(spark):
+    from starloom.plans.fixtures import write_payloads
+    from starloom.plans.medallion import run_day_load
+    root = scratch_path(spark, "t-days")
+    payloads = write_payloads(spark, SF001)
+    _write_day(spark, f"{root}/a", "2024-06-15", [(1, "00-10-00"), (2, "00-20-00"), (9, "24-00-00")])
+    run_day_load(spark, f"{root}/a", payloads, f"{root}/out")
+    _write_day(spark, f"{root}/b", "2024-06-16", [(3, "00-10-00")])
+    _write_day(spark, f"{root}/b/file_day=20240616", "2024-06-15", [(4, "00-30-00")], folder="late")
+    done = {r.table: r for r in run_day_load(spark, f"{root}/b", payloads, f"{root}/out")}
+    assert done["silver_production"].processed == 2
+    bronze = spark.read.parquet(f"{root}/out/bronze_production")
+    assert {r[0]: r[1] for r in bronze.groupBy("file_day").count().collect()} == {20240615: 2, 20240616: 2}
+    assert spark.read.parquet(f"{root}/out/gold/fact_energy").count() == 4
+    # the corrected file of the first day has no bad row any more
+    _write_day(spark, f"{root}/c", "2024-06-15", [(1, "00-10-00"), (2, "00-20-00"), (9, "00-40-00")])
+    run_day_load(spark, f"{root}/c", payloads, f"{root}/out")
+    assert not [p for p in _files(f"{root}/out/quarantine") if "file_day=20240615" in p]
+
+
+def _write_day(spark, landing, day, rows, folder=None):
     cols = [f.name for f in RAW_PRODUCTION_CSV.fields]
     df = spark.createDataFrame(
         [(str(pid), day, tm, "T1", 2500, "L", 34.0522, -118.2437, "A", "On", "Ops", 8.41, "NW",
@@ -59,7 +125,8 @@ def _write_day(spark, landing, day, rows):
         "location_name string, latitude double, longitude double, region string, status string, "
         "responsible_department string, wind_speed double, wind_direction string, "
         "energy_produced double").select(*cols)
-    df.coalesce(1).write.option("header", True).csv(f"{landing}/file_day={day.replace('-', '')}")
+    folder = folder or f"file_day={day.replace('-', '')}"
+    df.coalesce(1).write.option("header", True).csv(f"{landing}/{folder}")
 
 
 def test_stream_loads_new_files_only(spark):
@@ -82,7 +149,6 @@ def test_stream_loads_new_files_only(spark):
 def test_command_line_load_with_date_gate(spark):
     from starloom.__main__ import main
     from starloom.plans.fixtures import write_payloads, write_production_csv
-    from conftest import SF001
     csv_root = write_production_csv(spark, SF001)
     payloads = write_payloads(spark, SF001)
     out = scratch_path(spark, "t-cli")
@@ -124,7 +190,6 @@ def test_star_gate_blocks_publication(spark):
     from starloom.operators import star
     from starloom.operators.load import IntegrityError, load_star, table_exists
     from starloom.plans import standins as st
-    from conftest import SF001
     e = st.enriched(spark, SF001)
     dims, facts = star.build_dimensions(e), star.build_facts(e, for_load=True)
     # drop one status from its dimension: the energy fact now has orphans
