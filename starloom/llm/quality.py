@@ -116,10 +116,11 @@ def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
     p = SMOOTH + np.bincount(np.concatenate([r for r, g in zip(rows, good, strict=True) if g]), minlength=width)
     q = SMOOTH + np.bincount(np.concatenate([r for r, g in zip(rows, good, strict=True) if not g]), minlength=width)
     ratio = np.log((p / p.sum()) / (q / q.sum()))
-    values = []
-    for r in rows:
+    ends = np.cumsum([len(r) for r in rows])
+    values = np.split(np.empty(ends[-1]), ends[:-1])
+    for r, unit in zip(rows, values, strict=True):
         v = ratio[r]
-        values.append(v / max(np.sqrt(v @ v), 1e-9))
+        np.divide(v, max(np.sqrt(v @ v), 1e-9), out=unit)
     # Rarer class and commoner class weigh alike.
     cost = np.where(good, COST * len(y) / (2 * good.sum()), COST * len(y) / (2 * (~good).sum()))
     w, bias, alpha = np.zeros(width), 0.0, np.zeros(len(y))
@@ -178,8 +179,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .join(F.broadcast(chosen), "id").select("id", "y", "text")
     sample = picked.mapInArrow(features, "id long, y int, columns binary") \
         .orderBy(F.xxhash64("id"), "id", F.xxhash64("columns")).limit(max_train).collect()
-    rows = [np.frombuffer(r.columns, np.uint32).astype(np.int64) for r in sample]
-    return fit(rows, np.array([r.y == 1 for r in sample], bool))
+    good = np.array([r.y == 1 for r in sample], bool)
+    # One array for all documents: the driver gets its memory back after the fit.
+    ends = np.cumsum([len(r.columns) // 4 for r in sample], dtype=np.int64)
+    flat = np.frombuffer(b"".join([r.columns for r in sample]), np.uint32)
+    del sample
+    return fit(np.split(flat, ends[:-1]), good)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
