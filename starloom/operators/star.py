@@ -141,12 +141,12 @@ def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool
     return key_lookup(out, dims["location_dim"], LOCATION_ATTRS, "location_id", not strict)
 
 
-def fact_energy(keyed: DataFrame) -> DataFrame:
-    """O-45: one row per enriched row."""
+def fact_energy(keyed: DataFrame, *extra: str) -> DataFrame:
+    """O-45: one row per enriched row (``extra``: more columns to show)."""
     return keyed.select(
         F.col("production_id").alias("fact_production_id"),
         F.col("date").alias("date_id"), F.col("time").alias("time_id"),
-        "turbine_id", "status_id", "energy_produced", "wind_speed", "wind_direction")
+        "turbine_id", "status_id", "energy_produced", "wind_speed", "wind_direction", *extra)
 
 
 def fact_weather(keyed: DataFrame, collapse: bool = False) -> DataFrame:

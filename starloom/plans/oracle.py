@@ -86,7 +86,11 @@ _FACT_ENERGY = f"""
     FROM enriched"""
 
 ORACLE["fact_production"] = with_ctes(["enriched"], _FACT_ENERGY)
-ORACLE["fact_production_lookup"] = ORACLE["fact_production"]
+ORACLE["fact_production_lookup"] = with_ctes(["enriched"], f"""
+SELECT production_id AS fact_production_id, date AS date_id, time AS time_id,
+       {_TURBINE_KEY} AS turbine_id, {_STATUS_KEY} AS status_id,
+       energy_produced, wind_speed, wind_direction, {_LOCATION_KEY} AS location_id
+FROM enriched""")
 
 ORACLE["fact_conditions"] = with_ctes(["enriched"], f"""
 SELECT DISTINCT weather_id AS fact_weather_id, date AS date_id, time AS time_id,

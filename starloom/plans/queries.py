@@ -146,8 +146,11 @@ def fact_production(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("fact_production_lookup")
 def fact_production_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    e = st.enriched(spark, sf)
-    return star.build_facts(e, dims=star.build_dimensions(e))["fact_energy"]
+    """The energy fact with all three keys looked up in the dimensions."""
+    from starloom.session import cut_lineage
+    e = cut_lineage(st.enriched(spark, sf), "enriched")  # read by every dimension
+    keyed = star.with_fact_keys(e, dims=star.build_dimensions(e))
+    return star.fact_energy(keyed, "location_id")
 
 
 @register("fact_conditions")
