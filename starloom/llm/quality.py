@@ -108,19 +108,20 @@ def constant(share: float) -> Model:
 
 
 def fit(rows: list[np.ndarray], good: np.ndarray) -> Model:
-    """NBSVM on lists of columns with their labels."""
+    """NBSVM on lists of distinct columns with their labels."""
     y = np.where(good, 1.0, -1.0)
     if not len(y) or good.all() or not good.any():
         return constant((good.sum() + 1.0) / (len(y) + 2.0))
     width = 1 << BITS
-    p = SMOOTH + np.bincount(np.concatenate([r for r, g in zip(rows, good, strict=True) if g]), minlength=width)
-    q = SMOOTH + np.bincount(np.concatenate([r for r, g in zip(rows, good, strict=True) if not g]), minlength=width)
+    p, q = np.full(width, SMOOTH), np.full(width, SMOOTH)
+    for r, g in zip(rows, good, strict=True):
+        (p if g else q)[r] += 1
     ratio = np.log((p / p.sum()) / (q / q.sum()))
     ends = np.cumsum([len(r) for r in rows])
-    values = np.split(np.empty(ends[-1]), ends[:-1])
+    values = np.split(np.empty(ends[-1], np.float32), ends[:-1])
     for r, unit in zip(rows, values, strict=True):
         v = ratio[r]
-        np.divide(v, max(np.sqrt(v @ v), 1e-9), out=unit)
+        unit[:] = v / max(np.sqrt(v @ v), 1e-9)
     # Rarer class and commoner class weigh alike.
     cost = np.where(good, COST * len(y) / (2 * good.sum()), COST * len(y) / (2 * (~good).sum()))
     w, bias, alpha = np.zeros(width), 0.0, np.zeros(len(y))
@@ -178,13 +179,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(chosen), "id").select("id", "y", "text")
     sample = picked.mapInArrow(features, "id long, y int, columns binary") \
-        .orderBy(F.xxhash64("id"), "id", F.xxhash64("columns")).limit(max_train).collect()
-    good = np.array([r.y == 1 for r in sample], bool)
-    # One array for all documents: the driver gets its memory back after the fit.
-    ends = np.cumsum([len(r.columns) // 4 for r in sample], dtype=np.int64)
-    flat = np.frombuffer(b"".join([r.columns for r in sample]), np.uint32)
-    del sample
-    return fit(np.split(flat, ends[:-1]), good)
+        .orderBy(F.xxhash64("id"), "id", F.xxhash64("columns")).limit(max_train) \
+        .select("y", F.col("columns").alias("data")).toArrow()
+    good = sample.column("y").to_numpy() == 1
+    # Views of the Arrow buffers: no copy of a document's columns is made.
+    rows = [np.frombuffer(x.as_buffer(), np.uint32) if len(x.as_buffer()) else np.zeros(0, np.uint32)
+            for x in sample.column("data")]
+    return fit(rows, good)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
