@@ -464,7 +464,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
     # Sets of blocks that meet form a family; a set travels once per family, not once per block.
     ends_of = live.groupBy("key").agg(F.min("set_id").alias("a"))
-    family = components(live.join(ends_of, "key").select("a", F.col("set_id").alias("b")).distinct())
+    family = components(live.join(ends_of, "key").select("a", F.col("set_id").alias("b")))
     placed = live.select("set_id", "n").distinct() \
         .join(family.select(F.col("node").alias("set_id"), F.col("component").alias("key")), "set_id") \
         .join(joined.withColumnRenamed("node", "set_id"), "set_id", "left") \
