@@ -15,6 +15,12 @@ Edge cases: a null text stays null and has no lines; an empty text is one
 empty line; one-line chunks are never removed; rows with equal id and text
 are one document (each row gets the same result, none removes the other's
 lines); null ids come after all others; an empty table gives no rows.
+
+Chunks miss the repeated runs without two boundaries and every chunk of one
+line.  ``dedup_runs`` has no chunks: all pairs of consecutive lines are
+looked up, so every repeated run of two or more lines goes whole and exact
+copies of several lines leave nothing.  Pairs are compared by two 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -72,3 +78,38 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                "0L, (n, x) -> n + x.lines)").alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("text"))
         .otherwise(F.expr(f"array_join(transform({stays}, x -> x.body), '\\n')")).alias("kept"))
+
+
+def repeated_pairs(docs: DataFrame) -> DataFrame:
+    """``doc, at, gone``: per document the numbers of the lines that begin a
+    pair an earlier document (or place, if the two do not overlap) already
+    has.  ``docs``: doc, at, text."""
+    pairs = F.expr(r"""transform(array(split(text, '\n')), l -> transform(slice(l, 2, size(l)), (x, i) ->
+        named_struct('no', i, 'h1', xxhash64(get(l, i), x), 'h2', xxhash64(1, get(l, i), x))))[0]""")
+    each = docs.where("text is not null").select(
+        F.coalesce("doc", F.lit(2**63 - 1)).alias("rank"), "doc", "at", F.explode(pairs).alias("p")) \
+        .select("rank", "doc", "at", "p.*")
+    place = F.struct("rank", "at", "no")
+    first = each.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")) \
+        .where("n > 1").select("h1", "h2", "first")
+    overlaps = (F.col("rank") == F.col("first.rank")) & (F.col("at") == F.col("first.at")) \
+        & (F.col("no") < F.col("first.no") + 2)
+    later = each.join(first, ["h1", "h2"]).where((place > F.col("first")) & ~overlaps)
+    return later.groupBy("doc", "at").agg(F.collect_set("no").alias("gone"))
+
+
+def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Like ``dedup_lines``, without every run of two or more lines that an
+    earlier document (or place) already has."""
+    src = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc"),
+                      F.col(text_col).alias("text")).withColumn("at", F.xxhash64("text"))
+    gone = repeated_pairs(src.select("doc", "at", "text"))
+    both = src.join(gone.select(F.col("doc").alias("d"), F.col("at").alias("a"), "gone"),
+                    F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a")), "left") \
+        .withColumn("l", F.split("text", "\n"))
+    stays = F.expr("array_except(sequence(0, size(l) - 1), concat(gone, transform(gone, i -> i + 1)))")
+    return both.withColumn("stays", F.when(F.col("gone").isNotNull(), stays)).select(
+        "row", F.coalesce(F.array_size("l"), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.array_size("l") - F.array_size("stays"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("gone").isNull(), F.col("text"))
+        .otherwise(F.expr("array_join(transform(stays, i -> get(l, i)), '\n')")).alias("kept"))

@@ -14,6 +14,7 @@ from helpers import edge_texts, frame, union_find, words
 from starloom.llm import credentials, lengths, packing, quality, vectors
 from starloom.llm.queries import word_bpe
 from starloom.llm.vectors import near_vectors
+from starloom.session import cut_lineage
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -288,3 +289,14 @@ def test_pipeline_stages_on_edge_cases(spark):
             if name != "packing":
                 assert out.columns == docs.columns
             assert out.count() >= (1 if rows_ else 0)
+
+
+def test_exact_copies_leave_no_row(spark):
+    docs = [r for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()
+            if "\n" in r.text][:150]
+    copies = [(10**6 + r.doc_id, r.text) for r in docs]
+    now = frame(spark, [tuple(r) for r in docs] + copies)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        now = cut_lineage(stage(spark, now, SF01), name)
+    left = {r.doc_id for r in now.select("doc_id").collect()}
+    assert left and not left & {i for i, _ in copies}

@@ -232,6 +232,40 @@ def test_lines(spark):
     assert by[103][2] > 30 and by[102][2] > 25 and by[101][2] > 25 and by[100][2] == 0
 
 
+def brute_runs(docs):
+    """Lines outside every pair that an earlier place has, for different ids."""
+    first, out = {}, []
+    for i, t in sorted(docs):
+        ls, gone = t.split("\n"), set()
+        for k, pair in enumerate(zip(ls, ls[1:], strict=False)):
+            at = first.setdefault(pair, (i, k))
+            if at[0] != i or k > at[1] + 1:
+                gone |= {k, k + 1}
+        out.append((i, len(ls), len(gone), "\n".join(x for k, x in enumerate(ls) if k not in gone)))
+    return sorted(out, key=repr)
+
+
+def test_runs_of_lines_go_whole(spark):
+    own = iter(range(10**6))
+    page = [f"line {k} of the page" for k in range(40)]
+    docs = [(1, "\n".join(page)), (2, "\n".join(page)), (3, "one line"), (4, "one line"), (5, ""), (6, ""),
+            (7, "a\na\na"), (8, "b\nb\nb\nb\nb"), (9, "c\nd\nc\nd\nc"), (10, "p\n\n\n\nq\n"), (11, "p\n\n\n\nq\n")]
+    for n in (2, 3, 5, 9):  # passages of otherwise different documents
+        for at in range(0, 30, 4):
+            mine = [f"own {next(own)}" for _ in range(6)]
+            docs.append((100 + next(own), "\n".join(mine[:3] + page[at:at + n] + mine[3:])))
+    out = lines.dedup_runs(frame(spark, docs + docs[:2]))
+    got = rows(out.select("row.doc_id", "n_lines", "n_removed", "kept"))
+    assert got == sorted(brute_runs(docs) + [r for r in brute_runs(docs) if r[0] in (1, 2)], key=repr)
+    by = {r[0]: r for r in got}
+    assert by[2][1:] == (40, 40, "") and by[11][2] == 6 and by[4][2] == 0 and by[7][3] == "a\na\na"
+    assert all(r[2] in (2, 3, 5, 9) for r in got if r[0] >= 100)
+    nulls = lines.dedup_runs(frame(spark, [(None, "x\ny"), (1, "x\ny"), (2, None)]))
+    assert rows(nulls.select("row.doc_id", "n_lines", "n_removed", "kept")) \
+        == sorted([(None, 2, 2, ""), (1, 2, 0, "x\ny"), (2, 0, 0, None)], key=repr)
+    assert lines.dedup_runs(frame(spark, [])).count() == 0
+
+
 def test_lines_empty_table(spark):
     assert lines.dedup_lines(frame(spark, [])).count() == 0
 
