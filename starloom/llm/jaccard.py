@@ -64,7 +64,7 @@ SLAB = 512
 PER_GROUP = 4
 FILTER_BITS = 17  # words of 64 bits: one MB
 
-POINTS = ("doc_id long, n long, set_id long, groups binary, task int, segment int, counts binary")
+POINTS = ("doc_id long, at long, n long, set_id long, groups binary, task int, segment int, counts binary")
 
 
 def shingle_sets(w: Words, size: int) -> list[np.ndarray]:
@@ -117,18 +117,18 @@ def points_task(size: int):
                 sketch += np.bincount(counter_of(np.concatenate([*sets, np.zeros(0, np.uint64)])),
                                       minlength=len(sketch))
                 n = len(sets)
-                yield _points(part.column("doc_id"), [len(s) for s in sets],
+                yield _points(part.column("doc_id"), part.column("at"), [len(s) for s in sets],
                               [set_id(s) if len(s) else None for s in sets],
                               [group_counts(s).tobytes() if len(s) else None for s in sets],
                               [None] * n, [None] * n, [None] * n)
         none = [None] * SEGMENTS
-        yield _points(none, none, none, none, [task] * SEGMENTS, list(range(SEGMENTS)),
+        yield _points(none, none, none, none, none, [task] * SEGMENTS, list(range(SEGMENTS)),
                       [x.tobytes() for x in np.split(sketch, SEGMENTS)])
     return run
 
 
 def _points(*cols) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
         [c.split()[0] for c in POINTS.split(", ")])
@@ -421,10 +421,13 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
+                    id_col: str = "doc_id", text_col: str = "text", with_rows: bool = False) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``; ``with_rows``
+    adds ``at`` (xxhash64 of the text) and ``component`` (null without words),
+    which tell documents of one id, or of none, apart."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    every = cut_lineage(src.mapInArrow(points_task(size), POINTS), "points")
+    at = F.xxhash64("text") if with_rows else F.lit(None).cast("long")
+    every = cut_lineage(src.withColumn("at", at).mapInArrow(points_task(size), POINTS), "points")
     counts = sum_sketches(every.where("segment is not null").select("task", "segment", "counts"))
     points = every.where("segment is null")
 
@@ -477,8 +480,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     named = least.join(joined.withColumnRenamed("node", "set_id"), "set_id", "left") \
         .withColumn("component", F.coalesce("component", "set_id"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = named.join(smallest, "component").select("set_id", "component_id")
+    names = named.join(smallest, "component").select("set_id", "component_id", "component")
+    more = ["at", "component"] if with_rows else []
     full = points.where("set_id is not null").join(names, "set_id") \
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        .select("doc_id", F.col("n").alias("n_shingles"), "component_id", *more)
     return full.unionByName(points.where("set_id is null").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "at",
+        F.lit(None).cast("long").alias("component")).select(full.columns))

@@ -300,3 +300,20 @@ def test_exact_copies_leave_no_row(spark):
         now = cut_lineage(stage(spark, now, SF01), name)
     left = {r.doc_id for r in now.select("doc_id").collect()}
     assert left and not left & {i for i, _ in copies}
+
+
+def test_one_row_of_every_group_of_near_duplicates_stays(spark):
+    a, b = (" ".join(words(k, 60)) for k in (1, 2))
+    rows_ = [(None, a), (None, a), (None, a + " end"), (None, None), (None, None), (None, ""),
+             (5, b), (7, b), (7, "another text with the same id"), (7, "of nobody else"), (7, "of nobody else")]
+    out = corpus_pipeline.near_duplicate_groups(spark, frame(spark, rows_), SF01)
+    got = rows(out.select("doc_id", "text"))
+    rest = [r for r in got if r not in ((None, a), (None, a + " end"))]
+    assert len(got) == len(rest) + 1
+    assert rest == sorted([(None, None), (None, ""), (5, b), (7, "another text with the same id"),
+                           (7, "of nobody else")], key=repr)
+    out = corpus_pipeline.near_duplicate_groups(spark, frame(spark, [(1, a), (2, a), (2, b), (0, b)]), SF01)
+    assert rows(out.select("doc_id", "text")) == sorted([(0, b), (1, a)], key=repr)
+    # The text of id 4 belongs to the group of id 3, though id 4 names a group by its other text.
+    out = corpus_pipeline.near_duplicate_groups(spark, frame(spark, [(3, a), (4, a), (4, b), (9, b)]), SF01)
+    assert rows(out.select("doc_id", "text")) == sorted([(3, a), (4, b)], key=repr)
