@@ -5,7 +5,10 @@ spellings, punctuation and white space.  The SHA-256 of the whole result is
 hash-joined to the digests of known licence texts.  Besides the document
 itself, its blocks (between blank lines) and its lines are looked up as
 texts of their own, so a notice inside a document is found when it stands
-by itself.
+by itself.  A licence of several blocks inside a document is found by its
+sequence of block digests: where a block is the first one of a known text,
+as many blocks as that text has are compared.  Whole texts lie beside the
+module in ``license_texts``; titles that LICENSE files bear are listed.
 
 Every known text holds one of the ``ANCHORS``; texts without any of them
 cannot match and are not normalised (a lossless filter).  Only matches are
@@ -20,7 +23,9 @@ each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,6 +107,40 @@ KNOWN = [
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
 ]
+# Title lines of LICENSE files.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "MIT-0": ["MIT No Attribution", "MIT No Attribution License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "BSD License", "Simplified BSD License",
+                     'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD License", "New BSD License",
+                     "Modified BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+}
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(SPDX id, text) of whole licences: those of several paragraphs in
+    ``KNOWN`` and the files, in the layouts and with the ends they come with."""
+    out = []
+    for name, text in KNOWN:
+        if name in TITLES and "\n\n" in text:
+            marks = re.sub(r"(?m)^\d\. ", "* ", text)
+            out += [(name, re.sub(r"\n\n(?=\d\. |\* )", gap, t)) for t in (text, marks) for gap in ("\n\n", "\n")]
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        text = file.read_text(encoding="utf-8")
+        terms = re.split(r"(?<=END OF TERMS AND CONDITIONS)", text)[0]
+        for t in (text, terms):
+            # With and without the first paragraph, which is a title.
+            out += [(file.stem, t), (file.stem, re.split(r"\n[\x20\t]*\n", t.strip(), maxsplit=1)[1])]
+    return list(dict.fromkeys(out))
+
+
+def titled(whole: list[tuple[str, str]]) -> list[tuple[str, str]]:
+    return [(name, f"{title}\n\n{text}") for name, text in whole for title in TITLES.get(name, [])]
+
+
 # Equivalent spellings (fixed values), applied after lower-casing and before punctuation goes.
 SPELLINGS = [(r"\blicence", "license"), (r"https://", "http://"), (r"\bsub-license", "sublicense"),
              (r"\bnon-infringement", "noninfringement"), (r"\bversion\s+v\.?", "version "),
@@ -117,19 +156,56 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """``digest, license`` of the known texts, normalised like any text."""
+BLOCKS = r"\n[\x20\t]*\n"
+
+
+def block_digests(text: Column) -> Column:
+    """Digests of the blocks that are not empty once normalised."""
+    blocks = F.filter(F.transform(F.split(text, BLOCKS), canonical), lambda x: x != "")
+    return F.transform(blocks, lambda x: F.sha2(x, 256))
+
+
+def _table(spark: SparkSession, known: list[tuple[str, str]]) -> DataFrame:
     kind = T.StructType([T.StructField("license", T.StringType()), T.StructField("text", T.StringType())])
-    table = spark.createDataFrame(known, kind)
-    return table.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").distinct()
+    return spark.createDataFrame(known, kind)
+
+
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
+    """``digest, license`` of the known texts, normalised like any text."""
+    if known is None:
+        known = KNOWN + (whole := whole_texts()) + titled(whole)
+    return _table(spark, known).select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").distinct()
+
+
+def known_runs(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
+    """``first, run, license``: the block digests of the known texts of several blocks."""
+    return _table(spark, whole_texts() if known is None else known).select(
+        block_digests(F.col("text")).alias("run"), "license").where("size(run) > 1") \
+        .select(F.col("run")[0].alias("first"), "run", "license").distinct()
+
+
+def find_runs(src: DataFrame, runs: DataFrame) -> DataFrame:
+    """``doc, at, unit, no, license`` where blocks of a document are a run of known blocks."""
+    # One row: the first digests and the longest run, of fixed size.
+    bounds = runs.agg(F.collect_set("first").alias("firsts"), F.max(F.size("run")).alias("most"))
+    starts = src.select("doc", "at", block_digests(F.col("text")).alias("b")).where("size(b) > 1") \
+        .crossJoin(F.broadcast(bounds)).select("doc", "at", F.explode(F.expr(
+            """transform(filter(sequence(0, size(b) - 1), i -> array_contains(firsts, get(b, i))),
+                         i -> named_struct('no', i, 'blocks', slice(b, i + 1, most)))""")).alias("s")) \
+        .select("doc", "at", "s.*")
+    same = (F.col("blocks")[0] == F.col("first")) & (F.expr("slice(blocks, 1, size(run))") == F.col("run"))
+    return starts.join(F.broadcast(runs), same).select("doc", "at", F.lit("run").alias("unit"), "no", "license")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", runs: DataFrame | None = None) -> DataFrame:
     """One row per document: ``doc_id, whole_license`` (the document is that
-    licence), ``licenses`` (comma-joined, of the document, its blocks and
-    lines) and ``n_matches`` (matching lines, blocks and documents).
-    ``known``: digest, license; a table of its own must fit a broadcast."""
+    licence), ``licenses`` (comma-joined, of the document, its blocks, runs of
+    blocks and lines) and ``n_matches`` (matching lines, blocks, runs and documents).
+    ``known``: digest, license, ``runs``: first, run, license; tables of one's
+    own must fit a broadcast, and with ``known`` alone no runs are looked up."""
+    if known is None and runs is None:
+        runs = known_runs(docs.sparkSession)
     known = known if known is not None else known_digests(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")) \
         .withColumn("at", F.xxhash64("text"))
@@ -140,7 +216,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
         .select("doc", "at", "u.*").where(F.col("body").rlike(ANCHORS))
     digests = units.withColumn("body", canonical(F.col("body"))).where("body <> ''") \
         .select("doc", "at", "unit", "no", F.sha2("body", 256).alias("digest"))
-    hits = digests.join(F.broadcast(known), "digest").groupBy("doc", "at", "unit", "no") \
+    hits = digests.join(F.broadcast(known), "digest").select("doc", "at", "unit", "no", "license")
+    if runs is not None:
+        hits = hits.unionByName(find_runs(src.where(F.col("text").rlike(ANCHORS)), runs))
+    hits = hits.groupBy("doc", "at", "unit", "no") \
         .agg(F.min("license").alias("license"))
     found = hits.groupBy(F.col("doc").alias("d"), F.col("at").alias("a")).agg(
         F.max(F.when(F.col("unit") == "text", F.col("license"))).alias("whole_license"),

@@ -289,6 +289,28 @@ def test_licenses(spark):
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
 
 
+def test_license_files(spark):
+    from pathlib import Path
+    known = dict(reversed(licenses.KNOWN))
+    mit = "MIT License\n\nCopyright (c) 2021 Someone\n\n" + known["MIT"]
+    bsd = "BSD 3-Clause License\n\nCopyright (c) 2021, Someone\nAll rights reserved.\n\n" \
+        + known["BSD-3-Clause"].replace("\n\n2.", "\n2.").replace("\n\n1.", "\n1.").replace("\n\n3.", "\n3.")
+    isc = "ISC License\n\nCopyright (c) 2021 Someone\n\n" + known["ISC"]
+    files = [(p.stem, p.read_text()) for p in
+             sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))]
+    files += [("MIT", mit), ("BSD-3-Clause", bsd), ("ISC", isc)]
+    alone = [(k, t) for k, (_, t) in enumerate(files)]
+    inside = [(100 + k, f"An introduction.\n\nMore of it.\n\n{t.strip()}\n\nThe end.") for k, t in alone]
+    cut = [(200, mit.replace("without restriction", "with restriction")), (201, "\n\n".join(mit.split("\n\n")[:3])),
+           (202, "one\n\n" + mit + "\n\ntwo\n\n" + isc + "\n\nthree")]
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, alone + inside + cut)).collect()}
+    for k, (name, _) in enumerate(files):
+        assert got[k].whole_license == name, name
+        assert got[100 + k].whole_license is None and name in got[100 + k].licenses.split(","), name
+    assert got[200].licenses == "" and got[201].licenses == "" and got[202].licenses == "ISC,MIT"
+
+
 def test_every_known_text_has_an_anchor():
     import re
     assert all(re.search(licenses.ANCHORS, text) for _, text in licenses.KNOWN)
+    assert all(re.search(licenses.ANCHORS, text) for _, text in licenses.whole_texts())
