@@ -89,3 +89,61 @@ least AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, d.doc_id) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least ON d.doc_id = least.a
 """
+
+ORACLE["op12_filter_audit"] = r"""
+WITH RECURSIVE f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+ord(o) AS (SELECT f FROM f UNION ALL SELECT o || f FROM ord JOIN f ON strpos(o, f) = 0 WHERE len(o) < 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM ord WHERE len(o) = 5),
+first AS (SELECT coalesce(text, '') AS t, min(doc_id) AS least FROM documents GROUP BY ALL),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+fail AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+      CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+      || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+      || CASE WHEN d.doc_id > least THEN 'E' ELSE '' END AS bad
+      FROM d JOIN first USING (t) LEFT JOIN l ON l.doc_id = d.doc_id),
+kinds AS (SELECT part, bad, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM fail GROUP BY ALL),
+cell AS (SELECT part, o, step, o[step] AS f,
+      coalesce(sum(n) FILTER (translate(bad, o[1:step], '') = bad), 0) AS kept,
+      coalesce(sum(n) FILTER (here AND NOT earlier), 0) AS removed,
+      coalesce(sum(n) FILTER (here AND earlier), 0) AS redundant,
+      coalesce(sum(n) FILTER (bad = o[step]), 0) AS unique_fails,
+      coalesce(sum(good) FILTER (here AND NOT earlier), 0) AS good_lost,
+      coalesce(sum(toxic) FILTER (here AND NOT earlier), 0) AS toxic_lost
+      FROM (SELECT *, strpos(bad, o[step]) > 0 AS here, translate(bad, o[1:step - 1], '') <> bad AS earlier
+            FROM kinds, steps) GROUP BY part, o, step)
+SELECT part, o AS filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM cell
+"""
+
+_ROUND = """
+d{n} AS MATERIALIZED (SELECT id, v.part, entry, sum((x - c) * (x - c)) AS d FROM v JOIN b{n} AS b ON v.part = b.part AND v.place = b.place
+      GROUP BY id, v.part, entry),
+a{n} AS MATERIALIZED (SELECT id, part, min(d)::BIGINT AS d, arg_min(entry, (d, entry)) AS entry FROM d{n} GROUP BY id, part),
+b{m} AS MATERIALIZED (SELECT b.part, b.place, b.entry, coalesce(s.c, b.c) AS c FROM b{n} AS b LEFT JOIN
+      (SELECT v.part, v.place, a.entry, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS c
+       FROM v JOIN a{n} AS a USING (id, part) GROUP BY ALL) AS s
+      ON s.part = b.part AND s.place = b.place AND s.entry = b.entry),
+"""
+
+ORACLE["op13_vector_codes"] = """
+WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e,
+      row_number() OVER (ORDER BY vec_id) AS id FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+v AS MATERIALIZED (SELECT id, (p - 1) // (n // 16) AS part, (p - 1) % (n // 16) AS place, x FROM
+      (SELECT id, len(e) AS n, unnest(e) AS x, unnest(range(1, len(e) + 1)) AS p FROM k)),
+b0 AS MATERIALIZED (SELECT part, place, id - 1 AS entry, x AS c FROM v WHERE id <= 64),
+""" + "".join(_ROUND.format(n=n, m=n + 1) for n in range(3)) + """
+code AS (SELECT id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+      FROM a2 GROUP BY id),
+digest AS (SELECT sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY part, entry, place)) AS s FROM b2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, s AS codebooks_sha256
+FROM k JOIN code USING (id), digest
+"""

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.audit import audit, document_failures, with_labels
+from starloom.llm.codes import codebooks_digest, vector_codes, with_label_errors
 from starloom.llm.credentials import scan_credentials
 from starloom.llm.decontaminate import decontaminate
 from starloom.llm.jaccard import near_duplicates
@@ -16,6 +18,7 @@ from starloom.llm.licenses import scan_licenses
 from starloom.llm.lines import dedup_lines
 from starloom.llm.packing import pack_documents
 from starloom.llm.quality import held_out, score, train
+from starloom.llm.sentencepieces import encode_documents
 from starloom.llm.ship import ship
 from starloom.llm.substrings import remove_repeated
 from starloom.llm.vectors import near_vectors
@@ -44,6 +47,11 @@ def word_bpe() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op1_quality")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document by a model fitted on the labelled rows that are not held out."""
@@ -110,3 +118,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a Jaccard similarity of 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op11_sentencepieces")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document and what they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_documents(docs, piece_bpe(), with_ids=False, with_text=False).select(
+        F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op12_filter_audit")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, repeats and loses in every order, per language."""
+    failures = document_failures(table(spark, sf_dir, "documents"))
+    return audit(with_labels(failures, table(spark, sf_dir, "labels")), list("ABCDE"))
+
+
+@query("op13_vector_codes")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every vector, their errors and the digest of the codebooks."""
+    coded, books = vector_codes(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(coded).select("vec_id", "code", "error", "label_error",
+                                           F.lit(codebooks_digest(books)).alias("codebooks_sha256"))
