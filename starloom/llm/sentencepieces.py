@@ -6,17 +6,20 @@ text, marked as the library marks it (one marker in front, a marker for
 each space), is therefore the sequence of its chunks, a run of markers with
 the word after it, and so are its ids.
 
-* One map cuts the texts into chunks and writes a table of blocks of about
-  ``BLOCK_BYTES`` of text: the distinct chunks of a block, numbered, and
-  its documents as sequences of those numbers.
-* The chunks of all blocks are sorted by chunk inside hash partitions, so
-  equal ones are neighbours; each distinct chunk is segmented and decoded
-  once, by the sentencepiece library.
-* The ids return to their blocks and are joined there by position.
-
-A frequent word is one row per block, whatever the number of its
-occurrences.  A chunk is compared byte for byte with the one whose hash it
-shares before they are numbered as one.
+* One map cuts the texts into chunks, in blocks of about ``BLOCK_BYTES`` of
+  text, and writes a table: per block its documents as numbers of chunks,
+  the frequent ones first, and per block and bucket the distinct chunks.
+* A bucket's chunks, of all blocks of a group, make one dictionary: each
+  distinct chunk is segmented once, by the sentencepiece library.  A group
+  has at most ``GROUP_BLOCKS`` blocks (64 GB of text), so a block sends a
+  bounded number of messages whatever the size of the corpus; beyond that
+  size a chunk is segmented once in each group.
+* The ids return to their blocks and are joined there by position.  Each
+  distinct chunk's ids are decoded once in a block, by the pieces' own
+  texts, and the text of a document is joined from those.
+
+A frequent word is one entry per block, whatever the number of its
+occurrences.  Chunks are told apart by their bytes.
 
 Edge cases: null and empty texts have the begin and end ids only and decode
 to ''; texts of white space are chunks of markers only; a marker character
@@ -31,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +43,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.words import hash_spans, slices, spans_equal, text_bytes
+from starloom.llm.words import hash_spans, slices, text_bytes
 from starloom.session import cut_lineage
 
 MARKER = "▁"
-BLOCK_BYTES = 8 << 20
-PARTITION_BYTES = 16 << 20
+BLOCK_BYTES = 16 << 20
+GROUP_BLOCKS = 4096
+# Bytes of text whose distinct chunks make a bucket.
+BUCKET_BYTES = 128 << 20
 
 
 def check_model(model: str) -> None:
@@ -74,121 +80,197 @@ def processor(model: str):
 _PROCESSORS: dict = {}
 
 
-def cut_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Marked bytes of the texts (a marker is a space), start and end of
-    their chunks, and len + 1 numbers of each text's first chunk."""
+def piece_texts(model: str) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all pieces' texts one after another, and their offsets."""
+    if model not in _TEXTS:
+        sp = processor(model)
+        texts = [b"" if sp.is_control(i) else bytes([int(sp.id_to_piece(i)[1:-1], 16)]) if sp.is_byte(i)
+                 else sp.id_to_piece(i).replace(MARKER, " ").encode() for i in range(sp.get_piece_size())]
+        _TEXTS[model] = (np.frombuffer(b"".join(texts), np.uint8), offsets([len(t) for t in texts]))
+    return _TEXTS[model]
+
+
+_TEXTS: dict = {}
+
+
+def offsets(sizes) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))])
+
+
+def gather(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``values[s:s + n]`` for every (s, n), one after another."""
+    lead = np.cumsum(size) - size
+    return values[np.repeat(start - lead, size) + np.arange(int(size.sum()))]
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed planes of their bytes, behind their count."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], 4 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view("<u4").ravel()
+
+
+def cut_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The chunks of the texts one after another (a marker is a space), and
+    len + 1 numbers of each text's first chunk."""
     texts = texts.fill_null("").cast(pa.large_string())
     texts = pc.replace_substring(texts, MARKER, " ")
     empty, space = (pa.scalar(x, pa.large_string()) for x in ("", " "))
     marked = pc.binary_join_element_wise(space, texts, empty)
     raw, off = text_bytes(pc.if_else(pc.equal(texts, empty), empty, marked))
-    buf = np.zeros(len(raw) + 8, np.uint8)
-    buf[:len(raw)] = raw
     mark = raw == 0x20
     begins = mark.copy()
     begins[1:] &= ~mark[:-1]
     begins[off[:-1][np.diff(off) > 0]] = True
     start = np.flatnonzero(begins)
-    return buf, start, np.append(start[1:], len(raw)), np.searchsorted(start, off)
+    bounds = np.append(start, len(raw)).astype(np.int64)
+    chunks = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
+    return chunks, np.searchsorted(start, off)
+
 
+def number_chunks(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every chunk's number among the distinct ones, the frequent first; the
+    bytes of the distinct ones (padded by 8), their starts and sizes."""
+    if not len(chunks):
+        none = np.zeros(0, np.int64)
+        return none, np.zeros(8, np.uint8), none, none
+    coded = chunks.dictionary_encode()
+    code = coded.indices.to_numpy()
+    order = np.argsort(-np.bincount(code), kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    raw, off = text_bytes_of(coded.dictionary)
+    size = np.diff(off)[order]
+    buf = np.concatenate([gather(raw, off[:-1][order], size), np.zeros(8, np.uint8)])
+    return rank[code], buf, np.cumsum(size) - size, size
 
-def number_chunks(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Every chunk's number among the distinct ones, and those."""
-    seed = 0
-    while True:
-        _, first, number = np.unique(hash_spans(buf, start, end, seed), return_index=True, return_inverse=True)
-        if spans_equal(buf, start, end, buf, start[first][number], end[first][number]).all():
-            return number, [buf[s:e].tobytes() for s, e in zip(start[first], end[first], strict=True)]
-        seed += 1  # two different chunks shared a hash
 
+def text_bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    _, off, data = values.buffers()
+    off = np.frombuffer(off, np.int64)[values.offset:values.offset + len(values) + 1]
+    return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
+
+
+def to_blocks(row_type: pa.DataType, groups: int, buckets: int) -> Callable:
+    """Map: a row for each block (its documents) and for each of its buckets (chunks)."""
+    rows_type = pa.list_(row_type)
 
-def to_blocks(row_type: pa.DataType) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId() << 32, 0
 
-        def block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             nonlocal made
-            rows = pa.Table.from_batches(parts).combine_chunks()
-            buf, start, end, first = cut_texts(rows.column("text").combine_chunks())
-            number, distinct = number_chunks(buf, start, end)
-            width = np.uint16 if len(distinct) <= 1 << 16 else np.uint32
-            data, size = number.astype(width).tobytes(), np.dtype(width).itemsize
-            n, k = rows.num_rows, len(distinct)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([task + made] * (n + k), pa.int64()),
-                 pa.array([None] * n + list(range(k)), pa.int32()),
-                 pa.array([None] * n + distinct, pa.binary()),
-                 pa.concat_arrays([rows.column("row").combine_chunks().cast(row_type), pa.nulls(k, row_type)]),
-                 pa.array([size] * n + [None] * k, pa.int32()),
-                 pa.array([data[a * size:b * size] for a, b in zip(first[:-1], first[1:], strict=True)] + [None] * k,
-                          pa.binary())],
-                ["block", "no", "chunk", "row", "width", "numbers"])
-            made += 1
+            table = pa.Table.from_batches(parts).combine_chunks()
+            rows = table.column("row").combine_chunks().cast(row_type)
+            chunks, first = cut_texts(table.column("text").combine_chunks())
+            number, buf, start, size = number_chunks(chunks)
+            of = (hash_spans(buf, start, start + size) % np.uint64(buckets)).astype(np.int64)
+            name, made = task + made, made + 1
+            messages = []
+            for b in np.unique(of):
+                mine = np.flatnonzero(of == b)
+                data = gather(buf, start[mine], size[mine]).tobytes()
+                messages.append((int(b), pack(size[mine]), pa.compress(data, codec="zstd", asbytes=True)))
+            n = len(messages)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name] * (n + 1), pa.int64()), pa.array([name % groups] * (n + 1), pa.int64()),
+                 pa.array([None] + [m[0] for m in messages], pa.int32()),
+                 pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows).cast(rows_type),
+                                   pa.nulls(n, rows_type)]),
+                 pa.array([pack(np.diff(first))] + [m[1] for m in messages], pa.binary()),
+                 pa.array([pack(number)] + [m[2] for m in messages], pa.binary()),
+                 pa.array([pack(of)] + [None] * n, pa.binary())],
+                ["block", "group", "bucket", "rows", "sizes", "data", "buckets"])
 
         held, size = [], 0
         for batch in batches:
             for part in slices(batch, "text", BLOCK_BYTES):
                 here = int(text_bytes(part.column("text"))[1][-1])
                 if held and size + here > BLOCK_BYTES:
-                    yield from block(held)
+                    yield block(held)
                     held, size = [], 0
                 held.append(part)
                 size += here
         if held:
-            yield from block(held)
+            yield block(held)
     return run
 
 
 def segment(model: str) -> Callable:
-    """Map over chunks in order: the ids (little-endian, 32 bits) and the
-    decoded bytes of each, computed where the chunk changes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Group: the ids of a bucket's chunks, each distinct chunk segmented once."""
+    def run(key: tuple, messages: pa.Table) -> pa.Table:
         sp = processor(model)
-        alone = sp.piece_to_id(MARKER)
-        last, ids, text = None, b"", b""
-        for batch in batches:
-            chunks = batch.column("chunk").to_pylist()
-            fresh = [c for a, c in zip([last, *chunks], chunks) if a != c]  # noqa: B905
-            found = sp.encode([c[1:].decode() for c in fresh], num_threads=1)  # the library puts the first marker
-            found = [f if len(c) > 1 else [alone] for c, f in zip(fresh, found, strict=True)]
-            decoded = sp.decode(found, num_threads=1) if found else []
-            at = iter(zip(found, decoded, strict=True))
-            out_ids, out_text = [], []
-            for chunk in chunks:
-                if chunk != last:
-                    f, t = next(at)
-                    last, ids, text = chunk, np.array(f, "<u4").tobytes(), b" " + t.encode()
-                out_ids.append(ids)
-                out_text.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("no"), pa.array(out_ids, pa.binary()),
-                 pa.array(out_text, pa.binary())], ["block", "no", "ids", "decoded"])
+        sizes = [unpack(m) for m in messages.column("sizes").to_pylist()]
+        raw = b"".join([pa.decompress(d, int(s.sum()), codec="zstd", asbytes=True)
+                        for d, s in zip(messages.column("data").to_pylist(), sizes, strict=True)])
+        bounds = offsets(np.concatenate(sizes))
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1,
+                                       [None, pa.py_buffer(bounds), pa.py_buffer(raw)]).dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        # The library puts the first marker itself, but encodes nothing as nothing.
+        found = sp.encode([c[1:].decode() for c in distinct], num_threads=1)
+        alone = [sp.piece_to_id(MARKER)]
+        found = [f if len(c) > 1 else alone for c, f in zip(distinct, found, strict=True)]
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        many = np.array([len(f) for f in found], np.int64)
+        lead, at = np.cumsum(many) - many, chunks.indices.to_numpy()
+        out = []
+        for a, n in zip(offsets([len(s) for s in sizes]), [len(s) for s in sizes]):  # noqa: B905
+            mine = at[a:a + n]
+            out.append((pack(many[mine]), pack(gather(ids, lead[mine], many[mine]))))
+        return pa.table({"block": messages.column("block"), "bucket": messages.column("bucket"),
+                         "sizes": pa.array([x[0] for x in out], pa.binary()),
+                         "ids": pa.array([x[1] for x in out], pa.binary())})
     return run
 
 
 def assemble(model: str, row_type: pa.DataType, with_ids: bool, with_text: bool) -> Callable:
-    def run(key: tuple, docs: pa.Table, table: pa.Table) -> pa.Table:
+    """Group: the documents of a block, from its numbers and its chunks' ids."""
+    def run(key: tuple, block: pa.Table, messages: pa.Table) -> pa.Table:
         sp = processor(model)
         bos, eos = (np.array([i], "<u4").tobytes() for i in (sp.bos_id(), sp.eos_id()))
-        ids, texts = [b""] * table.num_rows, [b""] * table.num_rows
-        for no, i, t in zip(*(table.column(c).to_pylist() for c in ("no", "ids", "decoded")), strict=True):
-            ids[no], texts[no] = i, t
+        messages = messages.sort_by("bucket")
+        size, ids = (np.concatenate([np.zeros(0, "<u4"), *map(unpack, messages.column(c).to_pylist())]).astype("<u4")
+                     for c in ("sizes", "ids"))
+        of = unpack(block.column("buckets")[0].as_py())
+        place = np.empty(len(of), np.int64)  # of each chunk among the chunks by bucket
+        place[np.argsort(of, kind="stable")] = np.arange(len(of))
+        size = size.astype(np.int64)
+        lead = np.cumsum(size) - size
+        blob, at = piece_texts(model)
+        long = np.diff(at)[ids]
+        text, text_at = gather(blob, at[ids], long).tobytes(), offsets(long)
+        chunk_at = text_at[np.append(lead, len(ids))].tolist()
+        texts = [text[a:b] for a, b in zip(chunk_at, chunk_at[1:])]  # noqa: B905
+        number = place[unpack(block.column("data")[0].as_py())]
         sizes, digests, decoded, lists = [], [], [], []
-        for width, numbers in zip(docs.column("width").to_pylist(), docs.column("numbers").to_pylist(), strict=True):
-            at = np.frombuffer(numbers, np.uint16 if width == 2 else np.uint32).tolist()
-            data = b"".join([bos, *[ids[i] for i in at], eos])
-            text = b"".join([texts[i] for i in at])[1:]  # without the first marker
+        edge = offsets(unpack(block.column("sizes")[0].as_py()))
+        for a, b in zip(edge, edge[1:]):  # noqa: B905
+            mine = number[a:b]
+            data = b"".join([bos, gather(ids, lead[mine], size[mine]).tobytes(), eos])
+            words = b"".join([texts[i] for i in mine.tolist()])[1:]  # without the first marker
             sizes.append(len(data) // 4)
-            digests.append((hashlib.sha256(data).hexdigest(), hashlib.sha256(text).hexdigest()))
+            digests.append((hashlib.sha256(data).hexdigest(), hashlib.sha256(words).hexdigest()))
             lists.append(np.frombuffer(data, "<u4").astype(np.int32) if with_ids else None)
-            decoded.append(text.decode() if with_text else None)
-        return pa.table({"row": docs.column("row").cast(row_type), "n_tokens": pa.array(sizes, pa.int64()),
+            decoded.append(words.decode() if with_text else None)
+        return pa.table({"row": block.column("rows").combine_chunks().flatten().cast(row_type),
+                         "n_tokens": pa.array(sizes, pa.int64()),
                          "ids_sha256": pa.array([d[0] for d in digests], pa.string()),
                          "decoded_sha256": pa.array([d[1] for d in digests], pa.string()),
                          "ids": pa.array(lists, pa.list_(pa.int32())), "decoded": pa.array(decoded, pa.string())})
     return run
 
 
+def partitions_of(pieces: int) -> int:
+    """One piece of work per partition, up to 16 where there are very many."""
+    return max(1, min(pieces, max(4096, pieces // 16)))
+
+
 def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_ids: bool = True,
                      with_text: bool = True) -> DataFrame:
     """One row per document: ``row`` (its other columns), ``n_tokens``,
@@ -199,18 +281,20 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_i
     others = [c for c in docs.columns if c != text_col]
     src = docs.select(F.struct(*others).alias("row"), F.col(text_col).cast("string").alias("text"))
     row = src.schema["row"].dataType
+    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = max(1, -(-size // (GROUP_BLOCKS * BLOCK_BYTES)))
+    buckets = max(1, -(-size // (groups * BUCKET_BYTES)))
     blocks = cut_lineage(src.mapInArrow(
-        to_blocks(to_arrow_type(row)),
-        f"block long, no int, chunk binary, row {row.simpleString()}, width int, numbers binary"), "piece-blocks")
-    texts = blocks.where("no is null").select("block", "row", "width", "numbers")
-    chunks = blocks.where("no is not null").select("block", "no", "chunk")
-    sent = chunks.agg(F.sum(F.octet_length("chunk") + 16)).first()[0] or 0
-    words = texts.agg(F.sum(F.octet_length("numbers"))).first()[0] or 0
-    # As many partitions as the data need, at any size.
-    n_chunks, n_texts = (max(1, -(-size // most)) for size, most in ((sent, PARTITION_BYTES // 4), (words, PARTITION_BYTES // 4)))
-    ids = chunks.repartition(n_chunks, "chunk").sortWithinPartitions("chunk") \
-        .mapInArrow(segment(model), "block long, no int, ids binary, decoded binary")
-    return texts.repartition(n_texts, "block").groupBy("block").cogroup(ids.repartition(n_texts, "block").groupBy("block")) \
+        to_blocks(to_arrow_type(row), groups, buckets),
+        f"block long, group long, bucket int, rows array<{row.simpleString()}>, sizes binary, data binary, "
+        "buckets binary"), "piece-blocks")
+    texts = blocks.where("bucket is null").select("block", "rows", "sizes", "data", "buckets")
+    chunks = blocks.where("bucket is not null").select("block", "group", "bucket", "sizes", "data")
+    n_texts, n_chunks = partitions_of(texts.select("block").count()), partitions_of(groups * buckets)
+    ids = chunks.repartition(n_chunks, "group", "bucket").groupBy("group", "bucket").applyInArrow(
+        segment(model), "block long, bucket int, sizes binary, ids binary")
+    return texts.repartition(n_texts, "block").groupBy("block") \
+        .cogroup(ids.repartition(n_texts, "block").groupBy("block")) \
         .applyInArrow(assemble(model, to_arrow_type(row), with_ids, with_text),
                       f"row {row.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
                       "ids array<int>, decoded string")
@@ -218,12 +302,12 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_i
 
 def decode_ids(ids: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
     """Adds ``text``, what the library decodes ``ids_col`` to (null ids: null)."""
+    from pyspark.sql.types import StringType, StructType
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
         for batch in batches:
             found = [None if i is None else sp.decode(i) for i in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())],
                                              [*batch.schema.names, "text"])
-    from pyspark.sql.types import StringType, StructType
-    schema = StructType([*ids.schema.fields]).add("text", StringType())
-    return ids.mapInArrow(run, schema)
+    return ids.mapInArrow(run, StructType([*ids.schema.fields]).add("text", StringType()))

@@ -58,14 +58,23 @@ def test_pieces_on_empty_tables_and_of_ids(spark):
         [None if x is None else sp.decode(x) for x in lists]
 
 
-def test_hash_ties_are_not_one_chunk(monkeypatch):
+def test_many_small_blocks_buckets_and_groups(spark, monkeypatch):
     import starloom.llm.sentencepieces as module
-    plain = module.hash_spans
-    monkeypatch.setattr(module, "hash_spans",
-                        lambda b, s, e, seed: np.zeros(len(s), np.uint64) if seed == 0 else plain(b, s, e, seed))
-    buf, start, end, _ = cut_texts(pa.array(["a b a c"]))
-    number, distinct = number_chunks(buf, start, end)
-    assert [distinct[i] for i in number] == [b" a", b" b", b" a", b" c"]
+    for name, value in (("BLOCK_BYTES", 3000), ("GROUP_BLOCKS", 7), ("BUCKET_BYTES", 2000)):
+        monkeypatch.setattr(module, name, value)
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = [t for t in odd_texts() if t is None or len(t) < 10000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.row.doc_id: r.ids for r in encode_documents(docs, MODEL, with_text=False).collect()}
+    assert got == {i: sp.encode(t or "", add_bos=True, add_eos=True) for i, t in enumerate(texts)}
+
+
+def test_chunks_are_numbered_by_frequency():
+    chunks, first = cut_texts(pa.array(["a b a c a", None, "", "  a"]))
+    number, buf, start, size = number_chunks(chunks)
+    distinct = [buf[s:s + n].tobytes() for s, n in zip(start, size, strict=True)]
+    assert [distinct[i] for i in number] == [b" a", b" b", b" a", b" c", b" a", b"   a"]
+    assert distinct[0] == b" a" and first.tolist() == [0, 5, 5, 5, 6]
 
 
 def test_models_whose_pieces_cross_markers_are_refused(tmp_path):
