@@ -1,115 +1,111 @@
-"""Removal of repeated runs of lines, found by content-defined chunking.
-
-A document's lines are hashed (32 bits of MD5).  A chunk ends after a line
-where the rolling hash of the last ``WINDOW`` line hashes is divisible by
-``DIVISOR`` (and at the end of the text), so an inserted or deleted line
-moves only the boundaries next to it.  Of all equal chunks of two or more
-lines in the corpus the first stays (smallest id, then position); the
-others are removed.
-
-Only hashes are shuffled for all chunks.  Chunks whose hash occurs more
-than once are then grouped by their text itself, which is the byte
-comparison.  Everything is DataFrame and SQL functions.
+"""Removal of repeated passages of lines, as content-defined chunks.
+
+A rolling hash runs over the hashes of a text's lines, two lines wide.  A
+chunk goes on over the gap between two lines where the rolling hash there
+occurs elsewhere in the corpus at an earlier place, and ends where it does
+not: a boundary depends on the two lines beside it only, so an inserted or
+deleted line moves no boundary but its own.  Chunks of two or more lines
+are thus the longest passages made of lines that earlier places have in
+the same succession; they are removed, if they hold at least ``LEAST_CHARS``
+non-blank characters (blank lines, closing braces and short headings stay)
+or are a whole document.  The first place (smallest id, then line) stays.
+
+Boundaries that the hashes of one text alone choose (say local minima) are
+not used: a passage of two lines has a single gap, so it is found only if
+that gap is looked up, whatever its hash.
+
+*Byte comparison.*  Places whose rolling hash occurs more than once send
+their two lines; equal lines are combined before they travel.  A hash with
+one pair of lines only is thereby compared; for a hash that different pairs
+share, the first place is found anew per pair of lines.
+
+All of it is DataFrame and SQL functions.  Hashes of all gaps and, once,
+the texts are shuffled; the lines of repeated gaps are shuffled combined.
 
 Edge cases: a null text stays null and has no lines; an empty text is one
-empty line; one-line chunks are never removed; rows with equal id and text
-are one document (each row gets the same result, none removes the other's
-lines); null ids come after all others; an empty table gives no rows.
-
-Chunks miss the repeated runs without two boundaries and every chunk of one
-line.  ``dedup_runs`` has no chunks: all pairs of consecutive lines are
-looked up, so every repeated run of two or more lines goes whole and exact
-copies of several lines leave nothing.  Pairs are compared by two 64-bit
-hashes.
+empty line; texts of one line have no gap and stay; a place that overlaps
+its first place (a line three times in a row) is not a repeat of it; rows
+with equal id and text are one document (each row gets the same result,
+none removes the other's lines); null ids come after all others, by the
+hash of their text; very long texts are handled as wholes, a line each; an
+empty table gives no rows; other columns travel in ``row`` and may have any
+names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-WINDOW = 2
-DIVISOR = 4
-BASE = 31
-LEAST_LINES = 2
-
-
-def chunks(text: str, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
-    """Array of (no, lines, body) of a text column: its content-defined chunks."""
-    hashes = "transform(l, x -> cast(conv(substring(md5(x), 1, 8), 16, 10) as bigint))"
-    roll = " + ".join(f"{BASE ** k}L * coalesce(get(h, i - {k + 1}), 0L)" for k in range(window))
-    ends = f"filter(sequence(1, size(l)), i -> i = size(l) or pmod({roll}, {divisor}L) = 0)"
-    body = ("transform(e, (b, k) -> named_struct('no', k, 'lines', b - coalesce(get(e, k - 1), 0), "
-            "'body', array_join(slice(l, coalesce(get(e, k - 1), 0) + 1, b - coalesce(get(e, k - 1), 0)), '\\n')))")
-    # Names for intermediate arrays: one-element transforms.
-    return F.expr(f"""transform(array(split({text}, '\\n')), l ->
-        transform(array({hashes}), h -> transform(array({ends}), e -> {body})[0])[0])[0]""")
-
-
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``doc, at, gone``: per document the numbers of its chunks that an
-    earlier document (or place) already has.  ``docs``: doc, at, chunk list ``c``."""
-    each = docs.select("doc", "at", F.explode("c").alias("c")).where(F.col("c.lines") >= LEAST_LINES) \
-        .select("doc", "at", F.col("c.no").alias("no"), F.col("c.body").alias("body"),
-                F.xxhash64("c.body").alias("hash"))
-    twice = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    found = each.join(twice, "hash", "left_semi")
-    place = F.struct(F.coalesce("doc", F.lit(2**63 - 1)).alias("doc"), "at", "no")
-    first = found.groupBy("hash", "body").agg(F.min(place).alias("first"))
-    later = found.join(first, ["hash", "body"]).where(place != F.col("first"))
-    return later.groupBy("doc", "at").agg(F.collect_set("no").alias("gone"))
+LEAST_CHARS = 40
+LAST_ID = 2**63 - 1
+KEY = ["rank", "at"]
+
+
+def gaps(text: str) -> Column:
+    """Array of (no, hash) of a text column: the rolling hash between line ``no`` and the next."""
+    return F.expr(rf"""transform(array(transform(split({text}, '\n'), x -> xxhash64(x))), h ->
+        transform(slice(h, 2, size(h)), (x, i) -> named_struct('no', i, 'hash', xxhash64(get(h, i), x))))[0]""")
+
+
+def place() -> Column:
+    return F.struct(*KEY, "no")
+
+
+def is_later(first: str) -> Column:
+    """Does this row's place follow the place ``first`` without overlapping it?"""
+    overlaps = (F.col("rank") == F.col(f"{first}.rank")) & (F.col("at") == F.col(f"{first}.at")) \
+        & (F.col("no") < F.col(f"{first}.no") + 2)
+    return (place() > F.col(first)) & ~overlaps
+
+
+def repeated_gaps(src: DataFrame) -> DataFrame:
+    """``rank, at, no`` of the gaps whose two lines occur at an earlier place,
+    each once.  ``src``: rank, at, text."""
+    each = src.where("text is not null").select(*KEY, F.explode(gaps("text")).alias("g")).select(*KEY, "g.*")
+    first = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(place()).alias("first")) \
+        .where("n > 1").select("hash", "first")
+    shared = each.join(first, "hash").select("hash", *KEY, "no", is_later("first").alias("later")).distinct()
+
+    # Byte comparison, beside the texts: distinct lines of every shared hash.
+    asked = shared.groupBy(*KEY).agg(F.collect_list(F.struct("no", "hash")).alias("g"))
+    lines = F.expr(r"transform(array(split(text, '\n')), l -> transform(g, x -> named_struct("
+                   r"'no', x.no, 'hash', x.hash, 'body', concat(get(l, x.no), '\n', get(l, x.no + 1)))))[0]")
+    bodies = src.join(asked, KEY).select(*KEY, F.explode(lines).alias("b")).select(*KEY, "b.*") \
+        .groupBy("hash", "body").agg(F.min(place()).alias("first"))
+    mixed = bodies.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    again = bodies.join(mixed, "hash", "left_semi")  # different lines with one hash
+    return shared.where("later").join(mixed, "hash", "left_anti").select(*KEY, "no").unionByName(
+        src.join(asked, KEY).select(*KEY, F.explode(lines).alias("b")).select(*KEY, "b.*")
+        .join(again, ["hash", "body"]).where(is_later("first")).select(*KEY, "no").distinct())
+
+
+def passages(found: DataFrame) -> DataFrame:
+    """``rank, at, chunks``: per document the first and last line of its chunks, in order."""
+    inside = Window.partitionBy(*KEY).orderBy("no")  # one document's gaps
+    ends = F.coalesce(F.col("no") > F.lag("no").over(inside) + 1, F.lit(True))
+    return found.withColumn("chunk", F.sum(ends.cast("int")).over(inside)) \
+        .groupBy(*KEY, "chunk").agg(F.min("no").alias("lo"), (F.max("no") + 1).alias("hi")) \
+        .groupBy(*KEY).agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("chunks"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
+                least_chars: int = LEAST_CHARS) -> DataFrame:
     """``row`` (all columns of the document), ``n_lines``, ``n_removed``
-    (lines) and ``kept`` (the text without repeated chunks)."""
-    src = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc"),
-                      F.col(text_col).alias("text")).withColumn("at", F.xxhash64("text"))
-    cut = src.select("doc", "at", chunks("text", window, divisor).alias("c"))
-    gone = repeated_chunks(cut)
-    both = src.join(gone.select(F.col("doc").alias("d"), F.col("at").alias("a"), "gone"),
-                    F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a")), "left") \
-        .withColumn("c", chunks("text", window, divisor))
-    stays = "filter(c, x -> not array_contains(coalesce(gone, array()), x.no))"
-    return both.select(
-        "row", F.expr("aggregate(coalesce(c, array()), 0L, (n, x) -> n + x.lines)").alias("n_lines"),
-        F.expr("aggregate(filter(coalesce(c, array()), x -> array_contains(coalesce(gone, array()), x.no)), "
-               "0L, (n, x) -> n + x.lines)").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text"))
-        .otherwise(F.expr(f"array_join(transform({stays}, x -> x.body), '\\n')")).alias("kept"))
-
-
-def repeated_pairs(docs: DataFrame) -> DataFrame:
-    """``doc, at, gone``: per document the numbers of the lines that begin a
-    pair an earlier document (or place, if the two do not overlap) already
-    has.  ``docs``: doc, at, text."""
-    pairs = F.expr(r"""transform(array(split(text, '\n')), l -> transform(slice(l, 2, size(l)), (x, i) ->
-        named_struct('no', i, 'h1', xxhash64(get(l, i), x), 'h2', xxhash64(1, get(l, i), x))))[0]""")
-    each = docs.where("text is not null").select(
-        F.coalesce("doc", F.lit(2**63 - 1)).alias("rank"), "doc", "at", F.explode(pairs).alias("p")) \
-        .select("rank", "doc", "at", "p.*")
-    place = F.struct("rank", "at", "no")
-    first = each.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")) \
-        .where("n > 1").select("h1", "h2", "first")
-    overlaps = (F.col("rank") == F.col("first.rank")) & (F.col("at") == F.col("first.at")) \
-        & (F.col("no") < F.col("first.no") + 2)
-    later = each.join(first, ["h1", "h2"]).where((place > F.col("first")) & ~overlaps)
-    return later.groupBy("doc", "at").agg(F.collect_set("no").alias("gone"))
-
-
-def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Like ``dedup_lines``, without every run of two or more lines that an
-    earlier document (or place) already has."""
-    src = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc"),
-                      F.col(text_col).alias("text")).withColumn("at", F.xxhash64("text"))
-    gone = repeated_pairs(src.select("doc", "at", "text"))
-    both = src.join(gone.select(F.col("doc").alias("d"), F.col("at").alias("a"), "gone"),
-                    F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a")), "left") \
-        .withColumn("l", F.split("text", "\n"))
-    stays = F.expr("array_except(sequence(0, size(l) - 1), concat(gone, transform(gone, i -> i + 1)))")
-    return both.withColumn("stays", F.when(F.col("gone").isNotNull(), stays)).select(
-        "row", F.coalesce(F.array_size("l"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.array_size("l") - F.array_size("stays"), F.lit(0)).cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text"))
-        .otherwise(F.expr("array_join(transform(stays, i -> get(l, i)), '\n')")).alias("kept"))
+    (lines) and ``kept`` (the text without repeated passages)."""
+    src = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rank"),
+                      F.xxhash64(F.col(text_col), F.col(id_col).isNull()).alias("at"), F.col(text_col).alias("text"))
+    chunks = passages(repeated_gaps(src.select(*KEY, "text")))
+    both = src.join(chunks, KEY, "left").withColumn("l", F.split("text", "\n"))
+    of_size = F.expr(rf"""filter(chunks, c -> c.lo = 0 and c.hi = size(l) - 1 or length(regexp_replace(
+        array_join(slice(l, c.lo + 1, c.hi - c.lo + 1), ''), '[\\x20\\x09-\\x0D]+', '')) >= {int(least_chars)})""")
+    stay = F.expr("""flatten(transform(sequence(0, size(gone)), k -> slice(l,
+        coalesce(get(gone, k - 1).hi + 2, 1),
+        coalesce(get(gone, k).lo, size(l)) - coalesce(get(gone, k - 1).hi + 1, 0))))""")
+    cut = both.withColumn("gone", of_size).withColumn("stays", F.when(F.size("gone") > 0, stay))
+    return cut.select("row", F.coalesce(F.array_size("l"), F.lit(0)).cast("long").alias("n_lines"),
+                      F.coalesce(F.array_size("l") - F.array_size("stays"), F.lit(0)).cast("long").alias("n_removed"),
+                      F.when(F.col("stays").isNull(), F.col("text")).otherwise(F.array_join("stays", "\n")).alias("kept"))
+
+
+dedup_runs = dedup_lines

@@ -27,18 +27,24 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(len(g), 0) AS n_removed, sha256(coa
 FROM d LEFT JOIN out USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE["op3_line_dedup"] = """
+ORACLE["op3_line_dedup"] = r"""
 WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
-h AS (SELECT *, list_transform(l, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
-e AS (SELECT doc_id, l, list_filter(range(1, len(l) + 1), lambda i: i = len(l)
-        OR (h[i] + 31 * CASE WHEN i > 1 THEN h[i - 1] ELSE 0 END) % 4 = 0) AS e FROM h),
-c AS (SELECT doc_id, l, unnest(e) AS hi, unnest(list_concat([0], e[1:len(e) - 1])) AS lo, unnest(range(len(e))) AS no FROM e),
-t AS (SELECT doc_id, no, hi - lo AS n, array_to_string(l[lo + 1:hi], chr(10)) AS body FROM c),
-m AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, no) > 1 AS gone FROM t)
-SELECT d.doc_id, coalesce(s.n_lines, 0) AS n_lines, coalesce(s.n_removed, 0) AS n_removed,
-       sha256(coalesce(s.kept, '')) AS kept_sha256
-FROM d LEFT JOIN (SELECT doc_id, sum(n)::BIGINT AS n_lines, coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed,
-       string_agg(body, chr(10) ORDER BY no) FILTER (NOT gone) AS kept FROM m GROUP BY doc_id) AS s USING (doc_id)
+g AS (SELECT doc_id, no, l[no + 1] || chr(10) || l[no + 2] AS k FROM
+      (SELECT doc_id, l, unnest(range(len(l) - 1)) AS no FROM d)),
+f AS (SELECT doc_id, no, first(doc_id) OVER w AS fd, first(no) OVER w AS fn FROM g
+      WINDOW w AS (PARTITION BY k ORDER BY doc_id, no)),
+later AS (SELECT doc_id, no, no - row_number() OVER (PARTITION BY doc_id ORDER BY no) AS run FROM f
+      WHERE fd < doc_id OR (fd = doc_id AND no >= fn + 2)),
+c AS (SELECT doc_id, min(no) AS lo, max(no) + 1 AS hi FROM later GROUP BY doc_id, run),
+line AS (SELECT doc_id, unnest(l) AS x, unnest(range(len(l))) AS p, len(l) AS n FROM d),
+gone AS (SELECT doc_id, unnest(range(lo, hi + 1)) AS p FROM
+      (SELECT doc_id, lo, hi FROM c JOIN line USING (doc_id) WHERE p BETWEEN lo AND hi GROUP BY doc_id, lo, hi
+       HAVING sum(length(regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g'))) >= 40 OR hi - lo + 1 = max(n))),
+kept AS (SELECT doc_id, count(*) AS m, string_agg(x, chr(10) ORDER BY p) AS t FROM
+      (SELECT * FROM line ANTI JOIN gone USING (doc_id, p)) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(l), 0) AS n_lines, coalesce(len(l), 0) - coalesce(m, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
 ORACLE["op7_decontaminate"] = rf"""

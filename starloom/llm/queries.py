@@ -70,9 +70,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_line_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of every document that stay when repeated multi-line chunks go."""
-    return dedup_lines(table(spark, sf_dir, "documents")).select(
-        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    """Lines of every document that stay when repeated passages of lines go."""
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_removed",
+        F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 @query("op4_secret_scan")

@@ -173,97 +173,79 @@ def test_tree_finds_every_pair_the_bound_leaves():
 
 # -- lines -------------------------------------------------------------------
 
-def brute_lines(docs):
-    def cut(text):
-        ls = text.split("\n")
-        h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in ls]
-        out, begin = [], 0
-        for i in range(1, len(ls) + 1):
-            roll = sum(lines.BASE ** k * (h[i - 1 - k] if i - 1 - k >= 0 else 0) for k in range(lines.WINDOW))
-            if i == len(ls) or roll % lines.DIVISOR == 0:
-                out.append(ls[begin:i])
-                begin = i
-        return out
-
-    unique = {}
-    for i, t in docs:
-        if t is not None:
-            unique[i, t] = cut(t)
-    first = {}
-    for (i, t), parts in unique.items():
-        for k, p in enumerate(parts):
-            if len(p) > 1:
-                at = (2**63 - 1 if i is None else i, order_of(t), k)
-                first[tuple(p)] = min(at, first.get(tuple(p), at))
+def brute_lines(docs, order, least=lines.LEAST_CHARS):
+    """Lines outside the passages that earlier places have, from the definition."""
+    place = {(i, t): (2**63 - 1 if i is None else i, order[i, t]) for i, t in docs if t is not None}
+    first: dict = {}
+    for (i, t), at in place.items():
+        ls = t.split("\n")
+        for k, pair in enumerate(zip(ls, ls[1:], strict=False)):
+            first[pair] = min((*at, k), first.get(pair, (*at, k)))
     out = []
     for i, t in docs:
         if t is None:
             out.append((i, 0, 0, None))
             continue
-        me = 2**63 - 1 if i is None else i
-        stay = [p for k, p in enumerate(unique[i, t])
-                if len(p) == 1 or first[tuple(p)] == (me, order_of(t), k)]
-        n = sum(map(len, unique[i, t]))
-        out.append((i, n, n - sum(map(len, stay)), "\n".join(x for p in stay for x in p)))
+        ls, chunk, gone = t.split("\n"), set(), set()
+        for k in range(len(ls)):
+            at = first.get(tuple(ls[k:k + 2]), None) if k + 1 < len(ls) else None
+            if at and (*place[i, t], k) > at and not (at[:2] == place[i, t] and k < at[2] + 2):
+                chunk |= {k, k + 1}
+                continue
+            if len("".join("".join(ls[c] for c in chunk).split())) >= least or len(chunk) == len(ls):
+                gone |= chunk
+            chunk = set()
+        out.append((i, len(ls), len(gone), "\n".join(x for k, x in enumerate(ls) if k not in gone)))
     return sorted(out, key=repr)
 
 
-ORDER: dict = {}
-
-
-def order_of(text):
+def line_order(df):
     """Ties between texts of one id are broken by the hash the operator uses."""
-    return ORDER[text]
-
-
-def test_lines(spark):
     from pyspark.sql import functions as F
-    docs = edge_texts()
-    page = [f"line {k} of the page" for k in range(40)]
-    docs += [(100, "\n".join(page)), (101, "\n".join(["intro", *page, "end"])),
-             (102, "\n".join([*page[:20], "inserted", *page[20:]])), (103, "\n".join(page)),
-             (104, "\n".join(["a", "b"] * 30)), (None, "\n".join(page))]
-    df = frame(spark, docs)
-    ORDER.update({r.text: r.at for r in df.select("text", F.xxhash64("text").alias("at")).collect()})
-    out = lines.dedup_lines(df)
-    got = rows(out.select("row.doc_id", "n_lines", "n_removed", "kept"))
-    assert got == brute_lines(docs)
-    by = {r[0]: r for r in got}
-    assert by[103][2] > 30 and by[102][2] > 25 and by[101][2] > 25 and by[100][2] == 0
+    return {(r.doc_id, r.text): r.h for r in
+            df.select("doc_id", "text", F.xxhash64("text", F.col("doc_id").isNull()).alias("h")).collect()}
 
 
-def brute_runs(docs):
-    """Lines outside every pair that an earlier place has, for different ids."""
-    first, out = {}, []
-    for i, t in sorted(docs):
-        ls, gone = t.split("\n"), set()
-        for k, pair in enumerate(zip(ls, ls[1:], strict=False)):
-            at = first.setdefault(pair, (i, k))
-            if at[0] != i or k > at[1] + 1:
-                gone |= {k, k + 1}
-        out.append((i, len(ls), len(gone), "\n".join(x for k, x in enumerate(ls) if k not in gone)))
-    return sorted(out, key=repr)
-
-
-def test_runs_of_lines_go_whole(spark):
+def line_docs():
     own = iter(range(10**6))
     page = [f"line {k} of the page" for k in range(40)]
-    docs = [(1, "\n".join(page)), (2, "\n".join(page)), (3, "one line"), (4, "one line"), (5, ""), (6, ""),
-            (7, "a\na\na"), (8, "b\nb\nb\nb\nb"), (9, "c\nd\nc\nd\nc"), (10, "p\n\n\n\nq\n"), (11, "p\n\n\n\nq\n")]
+    docs = [*edge_texts(), (100, "\n".join(page)), (101, "\n".join(["intro", *page, "end"])),
+            (102, "\n".join([*page[:20], "inserted", *page[20:]])), (103, "\n".join(page)), (103, "\n".join(page)),
+            (104, "\n".join(["a", "b"] * 30)), (None, "\n".join(page)), (None, "\n".join(page[3:9])),
+            (110, "one line"), (111, "one line"), (112, ""), (113, ""), (114, "a\na\na"), (115, "b\nb\nb\nb\nb"),
+            (116, "c\nd\nc\nd\nc"), (117, "p\n\n\n\nq\n"), (118, "p\n\n\n\nq\n"), (119, "\n".join(["long"] * 3000)),
+            (120, "class A:\n    z\n\n\nclass B:\n    w"), (121, "def f():\n    z\n\n\ndef g():\n    w"),
+            (122, "while c {\n  d\n  }\n}\n"), (123, "if e {\n  f\n  }\n}\nand more")]
     for n in (2, 3, 5, 9):  # passages of otherwise different documents
         for at in range(0, 30, 4):
             mine = [f"own {next(own)}" for _ in range(6)]
-            docs.append((100 + next(own), "\n".join(mine[:3] + page[at:at + n] + mine[3:])))
-    out = lines.dedup_runs(frame(spark, docs + docs[:2]))
+            docs.append((200 + next(own), "\n".join(mine[:3] + page[at:at + n] + mine[3:])))
+    return docs
+
+
+@pytest.mark.parametrize("least", [0, 20, lines.LEAST_CHARS, 10**6])
+def test_lines(spark, least):
+    df = frame(spark, line_docs()).repartition(5)
+    out = lines.dedup_lines(df, least_chars=least)
     got = rows(out.select("row.doc_id", "n_lines", "n_removed", "kept"))
-    assert got == sorted(brute_runs(docs) + [r for r in brute_runs(docs) if r[0] in (1, 2)], key=repr)
-    by = {r[0]: r for r in got}
-    assert by[2][1:] == (40, 40, "") and by[11][2] == 6 and by[4][2] == 0 and by[7][3] == "a\na\na"
-    assert all(r[2] in (2, 3, 5, 9) for r in got if r[0] >= 100)
-    nulls = lines.dedup_runs(frame(spark, [(None, "x\ny"), (1, "x\ny"), (2, None)]))
-    assert rows(nulls.select("row.doc_id", "n_lines", "n_removed", "kept")) \
-        == sorted([(None, 2, 2, ""), (1, 2, 0, "x\ny"), (2, 0, 0, None)], key=repr)
-    assert lines.dedup_runs(frame(spark, [])).count() == 0
+    assert got == brute_lines(line_docs(), line_order(df), least)
+    if least == lines.LEAST_CHARS:
+        by = {r[0]: r for r in got}
+        assert by[103][1:] == (40, 40, "") and by[102][3] == "inserted" and by[101][3] == "intro\nend"
+        assert by[118][2] == 6 and by[100][2] == 0 and by[114][3] == "a\na\na"
+        assert not any(by[i][2] for i in (120, 121, 122, 123))  # blank lines and braces stay
+        kept = [r for r in got if r[0] is not None and 200 <= r[0] < 10**6]
+        assert all(r[1] - r[2] in (6, r[1]) for r in kept)
+
+
+def test_different_lines_with_one_hash(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    short = r"transform(array(split({t}, '\n')), l -> transform(slice(l, 2, size(l)), (x, i) -> " \
+            "named_struct('no', i, 'hash', cast(length(x) % 3 as bigint))))[0]"
+    monkeypatch.setattr(lines, "gaps", lambda t: F.expr(short.replace("{t}", t)))
+    df = frame(spark, line_docs())
+    got = rows(lines.dedup_lines(df).select("row.doc_id", "n_lines", "n_removed", "kept"))
+    assert got == brute_lines(line_docs(), line_order(df))
 
 
 def test_lines_empty_table(spark):
