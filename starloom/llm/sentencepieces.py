@@ -7,8 +7,9 @@ each space), is therefore the sequence of its chunks, a run of markers with
 the word after it, and so are its ids.
 
 * One map cuts the texts into chunks, in blocks of about ``BLOCK_BYTES`` of
-  text, and writes a table: per block its documents as numbers of chunks,
-  the frequent ones first, and per block and bucket the distinct chunks.
+  text.  One exchange carries its rows: per block its documents as numbers
+  of chunks, the frequent ones first, and per block and bucket the distinct
+  chunks.
 * A bucket's chunks, of all blocks of a group, make one dictionary: each
   distinct chunk is segmented once, by the sentencepiece library.  A group
   has at most ``GROUP_BLOCKS`` blocks (64 GB of text), so a block sends a
@@ -19,7 +20,10 @@ the word after it, and so are its ids.
   texts, and the text of a document is joined from those.
 
 A frequent word is one entry per block, whatever the number of its
-occurrences.  Chunks are told apart by their bytes.
+occurrences.  Chunks are told apart by their bytes.  The map may run again
+for lost rows: a block's name covers its content, so a table that came in
+another order then could not be mixed up, but would stop the job.  Cut the
+lineage first of documents that do not come from a table.
 
 Edge cases: null and empty texts have the begin and end ids only and decode
 to ''; texts of white space are chunks of markers only; a marker character
@@ -44,13 +48,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.words import hash_spans, slices, text_bytes
-from starloom.session import cut_lineage
 
 MARKER = "▁"
-BLOCK_BYTES = 16 << 20
-GROUP_BLOCKS = 4096
+BLOCK_BYTES = 8 << 20
+GROUP_BLOCKS = 8192
 # Bytes of text whose distinct chunks make a bucket.
-BUCKET_BYTES = 128 << 20
+BUCKET_BYTES = 64 << 20
 
 
 def check_model(model: str) -> None:
@@ -157,35 +160,38 @@ def text_bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def to_blocks(row_type: pa.DataType, groups: int, buckets: int) -> Callable:
-    """Map: a row for each block (its documents) and for each of its buckets (chunks)."""
+    """Map: a row for each block (its documents; ``to`` is its name) and for
+    each of its buckets (chunks; ``to`` is negative, the bucket in the group)."""
     rows_type = pa.list_(row_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, made = TaskContext.get().partitionId() << 32, 0
+        task, made = TaskContext.get().partitionId(), 0
 
         def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             nonlocal made
             table = pa.Table.from_batches(parts).combine_chunks()
             rows = table.column("row").combine_chunks().cast(row_type)
             chunks, first = cut_texts(table.column("text").combine_chunks())
+            del table
             number, buf, start, size = number_chunks(chunks)
             of = (hash_spans(buf, start, start + size) % np.uint64(buckets)).astype(np.int64)
-            name, made = task + made, made + 1
+            row = [pack(np.diff(first)), pack(number), pack(of)]
+            content = hashlib.sha256(b"".join([f"{task},{made}".encode(), buf.tobytes(), *row])).digest()
+            name, group, made = int.from_bytes(content[:8], "little") >> 1, (task + made) % groups, made + 1
             messages = []
             for b in np.unique(of):
                 mine = np.flatnonzero(of == b)
                 data = gather(buf, start[mine], size[mine]).tobytes()
-                messages.append((int(b), pack(size[mine]), pa.compress(data, codec="zstd", asbytes=True)))
+                messages.append((-1 - group * buckets - int(b), pack(size[mine]), pa.compress(data, codec="zstd", asbytes=True)))
             n = len(messages)
             return pa.RecordBatch.from_arrays(
-                [pa.array([name] * (n + 1), pa.int64()), pa.array([name % groups] * (n + 1), pa.int64()),
-                 pa.array([None] + [m[0] for m in messages], pa.int32()),
+                [pa.array([name, *(m[0] for m in messages)], pa.int64()), pa.array([name] * (n + 1), pa.int64()),
                  pa.concat_arrays([pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows).cast(rows_type),
                                    pa.nulls(n, rows_type)]),
-                 pa.array([pack(np.diff(first))] + [m[1] for m in messages], pa.binary()),
-                 pa.array([pack(number)] + [m[2] for m in messages], pa.binary()),
-                 pa.array([pack(of)] + [None] * n, pa.binary())],
-                ["block", "group", "bucket", "rows", "sizes", "data", "buckets"])
+                 pa.array([row[0], *(m[1] for m in messages)], pa.binary()),
+                 pa.array([row[1], *(m[2] for m in messages)], pa.binary()),
+                 pa.array([row[2]] + [None] * n, pa.binary())],
+                ["to", "block", "rows", "sizes", "data", "buckets"])
 
         held, size = [], 0
         for batch in batches:
@@ -204,6 +210,9 @@ def to_blocks(row_type: pa.DataType, groups: int, buckets: int) -> Callable:
 def segment(model: str) -> Callable:
     """Group: the ids of a bucket's chunks, each distinct chunk segmented once."""
     def run(key: tuple, messages: pa.Table) -> pa.Table:
+        if key[0].as_py() >= 0:  # documents, which stay in this exchange
+            return pa.table({c: pa.array([], t) for c, t in
+                             (("block", pa.int64()), ("bucket", pa.int64()), ("sizes", pa.binary()), ("ids", pa.binary()))})
         sp = processor(model)
         sizes = [unpack(m) for m in messages.column("sizes").to_pylist()]
         raw = b"".join([pa.decompress(d, int(s.sum()), codec="zstd", asbytes=True)
@@ -223,7 +232,7 @@ def segment(model: str) -> Callable:
         for a, n in zip(offsets([len(s) for s in sizes]), [len(s) for s in sizes]):  # noqa: B905
             mine = at[a:a + n]
             out.append((pack(many[mine]), pack(gather(ids, lead[mine], many[mine]))))
-        return pa.table({"block": messages.column("block"), "bucket": messages.column("bucket"),
+        return pa.table({"block": messages.column("block"), "bucket": pa.array([-key[0].as_py()] * len(out), pa.int64()),
                          "sizes": pa.array([x[0] for x in out], pa.binary()),
                          "ids": pa.array([x[1] for x in out], pa.binary())})
     return run
@@ -233,11 +242,19 @@ def assemble(model: str, row_type: pa.DataType, with_ids: bool, with_text: bool)
     """Group: the documents of a block, from its numbers and its chunks' ids."""
     def run(key: tuple, block: pa.Table, messages: pa.Table) -> pa.Table:
         sp = processor(model)
+        if not block.num_rows or block.column("to")[0].as_py() < 0:  # chunks, which stay in this exchange
+            if messages.num_rows:
+                raise RuntimeError("the documents came in another order: cut their lineage first")
+            return pa.table({"row": pa.array([], row_type), "n_tokens": pa.array([], pa.int64()),
+                             "ids_sha256": pa.array([], pa.string()), "decoded_sha256": pa.array([], pa.string()),
+                             "ids": pa.array([], pa.list_(pa.int32())), "decoded": pa.array([], pa.string())})
         bos, eos = (np.array([i], "<u4").tobytes() for i in (sp.bos_id(), sp.eos_id()))
         messages = messages.sort_by("bucket")
         size, ids = (np.concatenate([np.zeros(0, "<u4"), *map(unpack, messages.column(c).to_pylist())]).astype("<u4")
                      for c in ("sizes", "ids"))
         of = unpack(block.column("buckets")[0].as_py())
+        if len(of) != len(size):
+            raise RuntimeError("the documents came in another order: cut their lineage first")
         place = np.empty(len(of), np.int64)  # of each chunk among the chunks by bucket
         place[np.argsort(of, kind="stable")] = np.arange(len(of))
         size = size.astype(np.int64)
@@ -284,20 +301,17 @@ def encode_documents(docs: DataFrame, model: str, text_col: str = "text", with_i
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, -(-size // (GROUP_BLOCKS * BLOCK_BYTES)))
     buckets = max(1, -(-size // (groups * BUCKET_BYTES)))
-    blocks = cut_lineage(src.mapInArrow(
+    # One exchange, read for the chunks and for the documents.
+    n_blocks = -(-size // BLOCK_BYTES)
+    dealt = src.mapInArrow(
         to_blocks(to_arrow_type(row), groups, buckets),
-        f"block long, group long, bucket int, rows array<{row.simpleString()}>, sizes binary, data binary, "
-        "buckets binary"), "piece-blocks")
-    texts = blocks.where("bucket is null").select("block", "rows", "sizes", "data", "buckets")
-    chunks = blocks.where("bucket is not null").select("block", "group", "bucket", "sizes", "data")
-    n_texts, n_chunks = partitions_of(texts.select("block").count()), partitions_of(groups * buckets)
-    ids = chunks.repartition(n_chunks, "group", "bucket").groupBy("group", "bucket").applyInArrow(
-        segment(model), "block long, bucket int, sizes binary, ids binary")
-    return texts.repartition(n_texts, "block").groupBy("block") \
-        .cogroup(ids.repartition(n_texts, "block").groupBy("block")) \
-        .applyInArrow(assemble(model, to_arrow_type(row), with_ids, with_text),
-                      f"row {row.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
-                      "ids array<int>, decoded string")
+        f"to long, block long, rows array<{row.simpleString()}>, sizes binary, data binary, buckets binary") \
+        .repartition(partitions_of(max(n_blocks, groups * buckets)), "to")
+    ids = dealt.groupBy("to").applyInArrow(segment(model), "block long, bucket long, sizes binary, ids binary")
+    return dealt.groupBy("to").cogroup(ids.groupBy("block")).applyInArrow(
+        assemble(model, to_arrow_type(row), with_ids, with_text),
+        f"row {row.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
+        "ids array<int>, decoded string")
 
 
 def decode_ids(ids: DataFrame, model: str, ids_col: str = "ids") -> DataFrame:
