@@ -37,6 +37,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import cut_lineage
+
 LEAST_CHARS = 40
 LAST_ID = 2**63 - 1
 KEY = ["rank", "at"]
@@ -59,25 +61,33 @@ def is_later(first: str) -> Column:
     return (place() > F.col(first)) & ~overlaps
 
 
-def repeated_gaps(src: DataFrame) -> DataFrame:
+def repeated_gaps(src: DataFrame, text_col: str) -> DataFrame:
     """``rank, at, no`` of the gaps whose two lines occur at an earlier place,
-    each once.  ``src``: rank, at, text."""
-    each = src.where("text is not null").select(*KEY, F.explode(gaps("text")).alias("g")).select(*KEY, "g.*")
+    each once.  ``src``: rank, at, row."""
+    each = src.select(*KEY, F.col(f"row.`{text_col}`").alias("text")).where("text is not null") \
+        .select(*KEY, F.explode(gaps("text")).alias("g")).select(*KEY, "g.*")
     first = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(place()).alias("first")) \
         .where("n > 1").select("hash", "first")
-    shared = each.join(first, "hash").select("hash", *KEY, "no", is_later("first").alias("later")).distinct()
-
-    # Byte comparison, beside the texts: distinct lines of every shared hash.
-    asked = shared.groupBy(*KEY).agg(F.collect_list(F.struct("no", "hash")).alias("g"))
-    lines = F.expr(r"transform(array(split(text, '\n')), l -> transform(g, x -> named_struct("
-                   r"'no', x.no, 'hash', x.hash, 'body', concat(get(l, x.no), '\n', get(l, x.no + 1)))))[0]")
-    bodies = src.join(asked, KEY).select(*KEY, F.explode(lines).alias("b")).select(*KEY, "b.*") \
-        .groupBy("hash", "body").agg(F.min(place()).alias("first"))
+    shared = cut_lineage(each.join(first, "hash").select("hash", *KEY, "no", is_later("first").alias("later")).distinct(),
+                         "shared-gaps")
+
+    def lines_of(gaps: DataFrame) -> DataFrame:
+        """``rank, at, no, hash, body``: the gaps with their two lines."""
+        asked = gaps.groupBy(*KEY).agg(F.collect_list(F.struct("no", "hash")).alias("asked"))
+        # The whole row is named, so every reader of the texts shares one exchange.
+        body = F.expr(rf"""transform(array(row), r -> transform(array(split(r.`{text_col}`, '\n')), l ->
+            transform(asked, x -> named_struct('no', x.no, 'hash', x.hash,
+                      'body', concat(get(l, x.no), '\n', get(l, x.no + 1))))))[0][0]""")
+        return src.join(asked, KEY).select(*KEY, F.explode(body).alias("b")).select(*KEY, "b.*")
+
+    # Byte comparison: distinct lines of every shared hash.
+    bodies = lines_of(shared).groupBy("hash", "body").agg(F.count("*").alias("n"))
     mixed = bodies.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
-    again = bodies.join(mixed, "hash", "left_semi")  # different lines with one hash
-    return shared.where("later").join(mixed, "hash", "left_anti").select(*KEY, "no").unionByName(
-        src.join(asked, KEY).select(*KEY, F.explode(lines).alias("b")).select(*KEY, "b.*")
-        .join(again, ["hash", "body"]).where(is_later("first")).select(*KEY, "no").distinct())
+    found = shared.where("later").join(mixed, "hash", "left_anti").select(*KEY, "no")
+    # Different lines with one hash: the first place of each pair of lines.
+    apart = lines_of(shared.join(mixed, "hash", "left_semi"))
+    own = apart.groupBy("hash", "body").agg(F.min(place()).alias("first"))
+    return found.unionByName(apart.join(own, ["hash", "body"]).where(is_later("first")).select(*KEY, "no"))
 
 
 def passages(found: DataFrame) -> DataFrame:
@@ -94,9 +104,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``row`` (all columns of the document), ``n_lines``, ``n_removed``
     (lines) and ``kept`` (the text without repeated passages)."""
     src = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("rank"),
-                      F.xxhash64(F.col(text_col), F.col(id_col).isNull()).alias("at"), F.col(text_col).alias("text"))
-    chunks = passages(repeated_gaps(src.select(*KEY, "text")))
-    both = src.join(chunks, KEY, "left").withColumn("l", F.split("text", "\n"))
+                      F.xxhash64(F.col(text_col), F.col(id_col).isNull()).alias("at"))
+    chunks = passages(repeated_gaps(src, text_col))
+    both = src.join(chunks, KEY, "left").withColumn("l", F.split(F.col(f"row.`{text_col}`"), "\n"))
     of_size = F.expr(rf"""filter(chunks, c -> c.lo = 0 and c.hi = size(l) - 1 or length(regexp_replace(
         array_join(slice(l, c.lo + 1, c.hi - c.lo + 1), ''), '[\\x20\\x09-\\x0D]+', '')) >= {int(least_chars)})""")
     stay = F.expr("""flatten(transform(sequence(0, size(gone)), k -> slice(l,
@@ -105,7 +115,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = both.withColumn("gone", of_size).withColumn("stays", F.when(F.size("gone") > 0, stay))
     return cut.select("row", F.coalesce(F.array_size("l"), F.lit(0)).cast("long").alias("n_lines"),
                       F.coalesce(F.array_size("l") - F.array_size("stays"), F.lit(0)).cast("long").alias("n_removed"),
-                      F.when(F.col("stays").isNull(), F.col("text")).otherwise(F.array_join("stays", "\n")).alias("kept"))
+                      F.when(F.col("stays").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.array_join("stays", "\n")).alias("kept"))
 
 
 dedup_runs = dedup_lines
