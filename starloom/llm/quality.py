@@ -11,13 +11,17 @@ L1 hinge loss.  Margins become scores by a logistic fit on the training
 documents.
 
 Training uses at most ``MAX_TRAIN`` labelled documents (those with the
-smallest hash of their id), so it fits one process at every input size; the
-features are computed by Spark.  Scoring is one map over all documents.
+smallest hash of their id) and of those, in that order, as many as have
+``MAX_COLUMNS`` indicators together (at least one document), so it fits one
+task at every input size; the features are computed by Spark.  The driver
+gets the model only (8 MB).  Scoring is one map over all documents.
 
 Edge cases: null and empty texts have no indicators and score by the bias;
 null or contradicting labels are not used; with no usable label of one of
 the classes the score is a constant (the smoothed share of good documents);
-repeated documents score alike; an empty table gives no rows.
+repeated documents score alike; a very long text is scored whole, by itself;
+an empty table gives no rows; other columns travel in ``row`` and may have
+any names.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 from starloom.llm.words import Words, hash_spans, mix, slices, split_words
 
 MAX_TRAIN = 8000
+MAX_COLUMNS = 1 << 25
 BITS = 20
 SMOOTH = 1.0
 COST = 1.0
@@ -160,7 +165,7 @@ def held_out(id_col: str) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", max_train: int = MAX_TRAIN) -> Model:
+          label_col: str = "quality", max_train: int = MAX_TRAIN, max_columns: int = MAX_COLUMNS) -> Model:
     usable = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")) \
         .where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).where(~held_out("id"))
     each = usable.groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("hi")).where("y = hi")
@@ -180,12 +185,25 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .join(F.broadcast(chosen), "id").select("id", "y", "text")
     sample = picked.mapInArrow(features, "id long, y int, columns binary") \
         .orderBy(F.xxhash64("id"), "id", F.xxhash64("columns")).limit(max_train) \
-        .select("y", F.col("columns").alias("data")).toArrow()
-    good = sample.column("y").to_numpy() == 1
-    # Views of the Arrow buffers: no copy of a document's columns is made.
-    rows = [np.frombuffer(x.as_buffer(), np.uint32) if len(x.as_buffer()) else np.zeros(0, np.uint32)
-            for x in sample.column("data")]
-    return fit(rows, good)
+        .select("y", F.col("columns").alias("data"))
+
+    def fit_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, good, held = [], [], 0
+        for batch in batches:  # in order, all in one task
+            for data, y in zip(batch.column("data").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                held += len(data) // 4
+                if held <= max_columns or not rows:
+                    rows.append(np.frombuffer(data, np.uint32))
+                    good.append(y == 1)
+        m = fit(rows, np.array(good, bool))
+        yield pa.RecordBatch.from_pylist([{"weights": m.weights.tobytes(), "squares": m.squares.tobytes(),
+                                           "numbers": [m.bias, m.slope, m.shift]}])
+
+    fitted = sample.mapInArrow(fit_sample, "weights binary, squares binary, numbers array<double>").collect()
+    if not fitted:
+        return constant(0.5)
+    (m,) = fitted
+    return Model(np.frombuffer(m.weights, np.float32), np.frombuffer(m.squares, np.float32), *m.numbers)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
