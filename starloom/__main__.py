@@ -47,16 +47,16 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     from starloom.operators import reports
-    gold = f"{a.out}/gold"
-    t = {n: spark.read.parquet(f"{gold}/{n}") for n in
-         ("fact_energy", "turbine_dim", "status_dim")}
+    from starloom.operators.versions import Tables
+    tables = Tables(spark, a.out)
+    t = {n: tables.read(n) for n in ("fact_energy", "turbine_dim", "status_dim")}
     if a.name == "daily_totals":
         df = reports.daily_totals(t["fact_energy"], t["turbine_dim"])
     elif a.name == "availability":
         df = reports.availability(t["fact_energy"], t["status_dim"], t["turbine_dim"],
                                   a.available_status)
     else:
-        df = reports.condition_impact(spark.read.parquet(f"{a.out}/silver_enriched"))
+        df = reports.condition_impact(tables.read("silver_enriched"))
     df.write.mode("overwrite").parquet(f"{a.out}/reports/{a.name}")
     print(json.dumps({"report": a.name, "path": f"{a.out}/reports/{a.name}"}))
     return 0

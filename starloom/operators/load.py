@@ -1,43 +1,37 @@
-"""Loading tables: keyed upsert into Parquet tables with insert/update
-counters, partition-scoped rewrites and staged publication
+"""Loading tables: keyed upsert into versioned Parquet tables with
+insert/update counters, partition-scoped rewrites and one switch per step
 (O-11, O-16, O-17, O-18, O-20, O-37).
 
-* ``upsert_table`` merges a source into a (possibly absent) table.  Only
+* ``stage_upsert`` merges a source into a (possibly absent) table.  Only
   the partitions the batch touches are read and rewritten: the dates of
   the source plus the dates of target rows whose key occurs in the source
   (a key may move to another date; where the date is part of the key it
   cannot, and the target is not searched).
-* A merged slice is written next to the tables in its final layout (below
-  ``_staging``, which readers do not see).  Publishing only renames folders:
-  the old one is set aside, the staged one takes its place, so no content is
-  ever deleted before its successor is complete.  The renames of a step are
-  first written to a journal; a load that finds a journal left by a failed
-  one finishes its renames before doing anything else (``recover``).
-* Counters are counts of written files: rows staged, rows of the target
-  slice, rows of the deduplicated source.
-* ``load_star`` stages all seven tables, runs the contract, uniqueness and
-  foreign-key gates, and only then publishes all of them.
+* ``stage_replacement`` rewrites whole partitions, for tables derived from
+  others: the rows of a touched date are computed anew, so what their
+  sources lost or moved goes as well.
+* The source is evaluated once: the counters and the contract gate
+  (NOT NULL, VARCHAR, values that do not fit their type) are observed while
+  it is written.  Nothing is visible before ``Tables.publish``.
+* ``load_star`` stages all seven tables, checks uniqueness and foreign
+  keys, and only then publishes all of them.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.contracts import (CONTRACTS, PRIMARY_KEYS, VARCHAR_LIMITS,
-                                          cast_to_contract)
-from starloom.operators.upsert import ACTION, dedupe_last, merge_upsert
+from starloom.operators.contracts import CONTRACTS, PRIMARY_KEYS, VARCHAR_LIMITS, cast_to_contract
+from starloom.operators.upsert import ACTION, INSERT, dedupe_last, merge_upsert
+from starloom.operators.versions import Tables, part_text
 from starloom.session import cut_lineage
 
-STAGING = "_staging"
-JOURNAL = "_publish"
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of NULL
+ROWS = "_rows"
 
 
 @dataclass
@@ -47,201 +41,165 @@ class LoadResult:
     inserted: int
     updated: int
     skipped: bool = False
+    deleted: int = 0
+    touched: list = field(default_factory=list)
 
     @property
     def avoided(self) -> int:
         return self.processed - self.inserted
 
 
-@dataclass
-class StagedLoad:
-    """A merged table slice written next to the table, not yet published."""
-    name: str
-    path: str
-    staged_path: str
-    moves: list[tuple[str, str]]
-    drops: list[str]
-    result: LoadResult = field(default=None)
-
-
 class IntegrityError(RuntimeError):
     pass
 
 
-def _fs(spark: SparkSession, path: str):
-    sc = spark.sparkContext
-    hadoop_path = sc._jvm.org.apache.hadoop.fs.Path
-    return hadoop_path(path).getFileSystem(sc._jsc.hadoopConfiguration()), hadoop_path
-
-
-def _parent(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[0]
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a loaded table exists: a folder holding committed data
-    (data files or partition folders; staging folders are hidden), looked
-    up through the Hadoop file system of the session."""
-    fs, hpath = _fs(spark, path)
-    if not fs.exists(hpath(path)):
-        return False
-    names = [st.getPath().getName() for st in fs.listStatus(hpath(path))]
-    return any(not n.startswith(("_", ".")) for n in names)
-
-
-def drop_partitions(spark: SparkSession, path: str, col: str, values: Sequence) -> None:
-    """Remove whole partition folders."""
-    fs, hpath = _fs(spark, path)
-    for v in values:
-        fs.delete(hpath(f"{path}/{col}={NULL_PARTITION if v is None else v}"), True)
-
-
-def _touched_values(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                    part: str) -> list:
-    """Partition values a batch touches.  The result is one value per
-    partition (bounded by the calendar), so it may come to the driver to
-    become a partition filter."""
-    touched = source.select(part).distinct()
-    if part not in keys:  # else a key cannot move between partitions
-        moved = target.select(*keys, part).join(source.select(*keys).distinct(), list(keys),
-                                                "left_semi").select(part).distinct()
-        touched = touched.unionByName(moved).distinct()
-    return [r[0] for r in touched.collect()]
-
-
-def stage_upsert(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+def contract_rules(table: str, df: DataFrame) -> dict[str, Column]:
+    """Per declared rule of a table the condition of a row that breaks it: NOT NULL
+    columns holding NULL, VARCHAR columns holding longer text and values that
+    their declared type cannot hold.  ``df``: rows before the cast to the contract."""
+    rules = {}
+    for f in CONTRACTS[table].fields:
+        given = F.col(f.name) if f.name in df.columns else F.lit(None)
+        fits = given.try_cast(f.dataType)
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
+            rules[f"{f.name} fits {f.dataType.simpleString()}"] = given.isNotNull() & fits.isNull()
+        if not f.nullable:
+            rules[f"{f.name} not null"] = fits.isNull()
+    for col, n in VARCHAR_LIMITS.get(table, {}).items():
+        rules[f"{col} varchar({n})"] = F.length(F.col(col)) > n
+    return rules
+
+
+class Gate:
+    """The rules of a contract, observed on a source while it is first written.
+
+    Only whether a rule is broken matters: a stage that runs again may count a
+    row twice."""
+
+    def __init__(self, contract: str | None):
+        self.contract, self.seen, self.rules = contract, Observation(), []
+
+    def watch(self, source: DataFrame) -> DataFrame:
+        """The source, cast to its contract; other columns stay."""
+        if not self.contract:
+            return source
+        rules = contract_rules(self.contract, source)
+        self.rules = list(rules)
+        seen = source.observe(self.seen, *[F.count(F.when(c, 1)).alias(f"r{i}") for i, c in enumerate(rules.values())])
+        schema = CONTRACTS[self.contract]
+        return cast_to_contract(seen, schema, keep=[c for c in source.columns if c not in schema.names])
+
+    def check(self) -> None:
+        """After the write of at least one row: raises if a rule was broken."""
+        if self.rules:
+            got = self.seen.get
+            broken = [(self.contract, rule) for i, rule in enumerate(self.rules) if got[f"r{i}"]]
+            if broken:
+                raise IntegrityError(f"contract violations: {broken}")
+
+
+def check_repeats(name: str, most: int) -> None:
+    if most > 1:
+        raise IntegrityError(f"keys that occur more than once: {name}")
+
+
+def _moved_from(target: DataFrame, source: DataFrame, keys: Sequence[str], part: str) -> list:
+    """Partitions of target rows whose key occurs in the source: one value per
+    partition (bounded by the calendar), to become a choice of folders."""
+    return [r[0] for r in target.select(*keys, part).join(source.select(*keys).distinct(), list(keys), "left_semi")
+            .select(part).distinct().collect()]
+
+
+def stage_upsert(tables: Tables, name: str, source: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str] | None = None, partition_col: str | None = None,
-                 keep_from_target: Sequence[str] = (), name: str | None = None,
-                 check_empty: bool = True, newer_only: bool = False) -> StagedLoad | LoadResult:
-    """Merge ``source`` into the table at ``path`` and write the result to a
-    fresh staging folder; the table itself is not touched yet.  Returns a
-    skipped ``LoadResult`` for an empty source (O-20).  ``newer_only`` (see
-    ``merge_upsert``) keeps the ``order_by`` columns in the table."""
-    name = name or path.rstrip("/").rsplit("/", 1)[-1]
+                 keep_from_target: Sequence[str] = (), newer_only: bool = False,
+                 contract: str | None = None, unique: bool = False) -> LoadResult:
+    """Merge ``source`` into the table and stage the result.  An empty source
+    is skipped (O-20).  ``newer_only`` (see ``merge_upsert``) keeps the
+    ``order_by`` columns in the table; ``unique`` rejects a source that
+    repeats a key.  The result names the partitions that were rewritten."""
     keys, order = list(keys), list(order_by or [])
-    cols = [c for c in source.columns if newer_only or c not in order]
-    exists = table_exists(spark, path)
-    touched: list = []
-    if not exists:
+    gate = Gate(contract)
+    given = gate.watch(source)
+    deduped = dedupe_last(given, keys, order, count_as=ROWS)
+    cols = [c for c in given.columns if newer_only or c not in order]
+    sizes = [F.sum(ROWS).alias("processed"), F.max(ROWS).alias("most")]
+    if not tables.exists(name):
         # First load: every distinct key is an insert; no merge needed.
-        processed = source.count()
-        out = dedupe_last(source, keys, order).select(*cols)
-    else:
-        src = cut_lineage(dedupe_last(source, keys, order, count_as="_rows"), f"source-{name}")
-        n = src.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.count(F.lit(1))).first()
-        processed, src = n[0], src.drop("_rows")
-        target = spark.read.parquet(path)
-        if partition_col:
-            touched = _touched_values(target, src, keys, partition_col)
-            part = F.col(partition_col)
-            inside = part.isin([v for v in touched if v is not None])
-            target = target.filter(inside | part.isNull() if None in touched else inside)
-        target = target.select(*cols)
-        out = merge_upsert(target, src, keys, order, keep_from_target, newer_only,
-                           deduped=True).drop(ACTION)
-    if check_empty and not processed:
+        seen = Observation()
+        written = tables.write(name, deduped.select(*cols, ROWS), partition_col, keys, (seen, sizes), [ROWS])
+        rows = tables.count(written)
+        if not rows:
+            return LoadResult(name, 0, 0, 0, skipped=True)
+        gate.check()
+        check_repeats(name, seen.get["most"] if unique else 0)
+        tables.stage(name, written)
+        return LoadResult(name, seen.get["processed"], rows, 0, touched=sorted(written) if partition_col else [])
+    src = cut_lineage(deduped, f"source-{name}")
+    n, (processed, most) = src.count(), src.agg(*sizes).first()
+    if not n:
         return LoadResult(name, 0, 0, 0, skipped=True)
-    staged_path = f"{_parent(path)}/{STAGING}/{name}-{uuid.uuid4().hex}"
-    # Clustered by partition (AQE splits large ones), so a day gets few files
-    # however many tasks there are; sorted by key inside each file, so that
-    # Parquet statistics stay tight for later key lookups.
+    gate.check()
+    check_repeats(name, most if unique else 0)
+    src = src.drop(ROWS)
+    touched = None
     if partition_col:
-        out = out.hint("rebalance", F.col(partition_col))
-    first = [partition_col] if partition_col else []
-    w = out.sortWithinPartitions(*first, *[k for k in keys if k != partition_col]) \
-        .write.mode("errorifexists")
-    (w.partitionBy(partition_col) if partition_col else w).parquet(staged_path)
-
-    fs, hpath = _fs(spark, path)
-    if exists and partition_col:
-        written = [s.getPath().getName() for s in fs.listStatus(hpath(staged_path))
-                   if s.getPath().getName().startswith(f"{partition_col}=")]
-        moves = [(f"{staged_path}/{p}", f"{path}/{p}") for p in written]
-        names = [f"{partition_col}={NULL_PARTITION if v is None else v}" for v in touched]
-        drops = [f"{path}/{p}" for p in names if p not in written]  # emptied by moved keys
-    else:
-        moves, drops = [(staged_path, path)], []
-    staged_rows = spark.read.schema(out.schema).parquet(staged_path).count()
-    if exists:
-        inserted = staged_rows - target.count()
-        updated = n[1] - inserted
-    else:
-        inserted, updated = staged_rows, 0
-    return StagedLoad(name, path, staged_path, moves, drops,
-                      LoadResult(name, processed, inserted, updated))
-
-
-def _finish(spark: SparkSession, root: str, plan: dict) -> None:
-    """Carry out the renames of a journal; those done already are skipped, so
-    it may be repeated after a failure at any point."""
-    fs, hpath = _fs(spark, root)
-    for staged, final in plan["moves"]:
-        if not fs.exists(hpath(staged)):
-            continue  # done before
-        if fs.exists(hpath(final)):
-            aside = f"{root}/{STAGING}/old-{uuid.uuid4().hex}"
-            if not fs.rename(hpath(final), hpath(aside)):
-                raise IOError(f"could not set aside {final}")
-            plan["remove"].append(aside)
-        fs.mkdirs(hpath(_parent(final)))
-        if not fs.rename(hpath(staged), hpath(final)):
-            raise IOError(f"could not publish {staged} to {final}")
-    for path in [*plan["drops"], *plan["remove"]]:
-        fs.delete(hpath(path), True)
-
-
-def recover(spark: SparkSession, root: str) -> int:
-    """Finish what journals in ``root`` describe; returns how many there
-    were.  A journal is complete when it appears (it is renamed into place),
-    and goes only after its last rename."""
-    fs, hpath = _fs(spark, root)
-    left = list(fs.globStatus(hpath(f"{root}/{JOURNAL}-*.json")) or [])
-    for st in left:
-        plan = json.loads(spark.read.text(f"{root}/{STAGING}/{st.getPath().getName()}.d")
-                          .first()[0])
-        _finish(spark, root, plan)
-        fs.delete(st.getPath(), False)
-    return len(left)
-
-
-def publish(spark: SparkSession, root: str, staged: Sequence[StagedLoad | LoadResult]
-            ) -> list[LoadResult]:
-    """Make staged slices the content of their tables, all of them tables
-    directly below ``root``."""
-    todo = [s for s in staged if isinstance(s, StagedLoad)]
-    if todo:
-        fs, hpath = _fs(spark, root)
-        name = f"{JOURNAL}-{uuid.uuid4().hex}.json"
-        plan = {"moves": [m for s in todo for m in s.moves], "drops": [d for s in todo for d in s.drops],
-                "remove": [s.staged_path for s in todo]}
-        # The text is written by Spark below the staging folder; the empty
-        # marker next to the tables, created last, makes it valid.
-        body = f"{root}/{STAGING}/{name}.d"
-        spark.range(1).select(F.lit(json.dumps(plan)).alias("value")).write.text(body)
-        fs.create(hpath(f"{root}/{name}")).close()
-        _finish(spark, root, plan)
-        fs.delete(hpath(f"{root}/{name}"), False)
-        fs.delete(hpath(body), True)
-    return [s.result if isinstance(s, StagedLoad) else s for s in staged]
-
-
-def discard(spark: SparkSession, staged: Sequence[StagedLoad | LoadResult]) -> None:
-    """Delete slices that will not be published."""
-    for s in staged:
-        if isinstance(s, StagedLoad):
-            fs, hpath = _fs(spark, s.staged_path)
-            fs.delete(hpath(s.staged_path), True)
-
-
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
+        touched = {r[0] for r in src.select(partition_col).distinct().collect()}  # one per partition
+        if partition_col not in keys:  # else a key cannot move between partitions
+            touched |= set(_moved_from(tables.read(name), src, keys, partition_col))
+    target = tables.read(name, touched).select(*cols)
+    merged = merge_upsert(target, src, keys, order, keep_from_target, newer_only, deduped=True)
+    seen = Observation()
+    inserts = [F.count(F.when(F.col(ACTION) == INSERT, 1)).alias("inserted")]
+    written = tables.write(name, merged, partition_col, keys, (seen, inserts), [ACTION])
+    tables.stage(name, written, touched)
+    # With newer_only an earlier row replaces nothing; it counts as an update of its key.
+    inserted = seen.get["inserted"]
+    return LoadResult(name, processed, inserted, n - inserted, touched=sorted(map(part_text, touched or [])))
+
+
+def stage_replacement(tables: Tables, name: str, source: DataFrame, keys: Sequence[str], partition_col: str,
+                      values: Sequence[str], contract: str | None = None) -> LoadResult:
+    """Stage ``source``, one row per key, as the whole content of the partitions ``values``.
+
+    The counters compare its keys with those of the content replaced."""
+    gate, seen = Gate(contract), Observation()
+    deduped = dedupe_last(gate.watch(source), keys, count_as=ROWS)
+    sizes = [F.sum(ROWS).alias("processed"), F.max(ROWS).alias("most")]
+    written = tables.write(name, deduped, partition_col, keys, (seen, sizes), [ROWS])
+    values = sorted(map(part_text, values))
+    if not set(written) <= set(values):
+        raise IntegrityError(f"{name}: rows outside the partitions to replace: {sorted(set(written) - set(values))}")
+    rows, updated, deleted = tables.count(written), 0, 0
+    if rows:
+        gate.check()
+        check_repeats(name, seen.get["most"])
+    old = sorted(tables.partitions(name) & set(values))
+    if old:
+        before = tables.read(name, old).select(*keys)
+        if rows:
+            updated = before.join(tables.open(written).select(*keys), list(keys), "left_semi").count()
+        deleted = before.count() - updated
+    tables.stage(name, written, values)
+    return LoadResult(name, seen.get["processed"] if rows else 0, rows - updated, updated, deleted=deleted, touched=values)
+
+
+def stage_days(tables: Tables, name: str, rows: DataFrame, partition_col: str, days: Sequence[str]) -> None:
+    """Full refresh (O-11): ``rows`` become the whole content of the partitions
+    ``days``; a day without rows goes."""
+    tables.stage(name, tables.write(name, rows, partition_col), days)
+
+
+def upsert_table(spark: SparkSession, root: str, name: str, source: DataFrame, keys: Sequence[str],
                  order_by: Sequence[str] | None = None, partition_col: str | None = None,
-                 keep_from_target: Sequence[str] = (), name: str | None = None,
-                 check_empty: bool = True, newer_only: bool = False) -> LoadResult:
-    """Finish an interrupted load, then stage and publish one table."""
-    recover(spark, _parent(path))
-    staged = stage_upsert(spark, path, source, keys, order_by, partition_col, keep_from_target,
-                          name, check_empty, newer_only)
-    return publish(spark, _parent(path), [staged])[0]
+                 keep_from_target: Sequence[str] = (), newer_only: bool = False,
+                 contract: str | None = None) -> LoadResult:
+    """Upsert one table below ``root`` and publish it."""
+    tables = Tables(spark, root)
+    result = stage_upsert(tables, name, source, keys, order_by, partition_col, keep_from_target, newer_only, contract)
+    if not result.skipped:
+        tables.publish()
+    return result
 
 
 def results_frame(spark: SparkSession, results: Sequence[tuple[int, LoadResult]]) -> DataFrame:
@@ -260,23 +218,12 @@ FACT_FKS = {
 
 
 def contract_violations(tables: dict[str, DataFrame]) -> list[tuple[str, str, int]]:
-    """(table, rule, rows) for every NOT NULL column holding NULLs, every
-    VARCHAR column holding longer text and every value that its declared type
-    cannot hold, from one aggregate per table evaluated in a single job; the
-    result has at most one row per rule.  Give it the rows before they are
-    cast to the contract."""
+    """(table, rule, rows) for every broken rule of the contracts, one aggregate
+    per table in a single job; at most one row per rule.  Give it the rows
+    before they are cast to the contract."""
     parts = None
     for name, df in tables.items():
-        rules = {}
-        for f in CONTRACTS[name].fields:
-            given = F.col(f.name) if f.name in df.columns else F.lit(None)
-            fits = given.try_cast(f.dataType)
-            if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
-                rules[f"{f.name} fits {f.dataType.simpleString()}"] = given.isNotNull() & fits.isNull()
-            if not f.nullable:
-                rules[f"{f.name} not null"] = fits.isNull()
-        for col, n in VARCHAR_LIMITS.get(name, {}).items():
-            rules[f"{col} varchar({n})"] = F.length(F.col(col)) > n
+        rules = contract_rules(name, df)
         if not rules:
             continue
         row = df.agg(*[F.count(F.when(c, 1)).alias(f"r{i}") for i, c in enumerate(rules.values())])
@@ -328,38 +275,42 @@ def require_foreign_keys(facts: dict[str, DataFrame], dims: dict[str, DataFrame]
         raise IntegrityError(f"foreign keys without a dimension row: {sorted(broken)}")
 
 
-def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
-              facts: dict[str, DataFrame]) -> list[LoadResult]:
-    """Stage dimensions and facts, check them, publish all (O-16, O-17).
+def stage_star(tables: Tables, dims: dict[str, DataFrame], facts: dict[str, DataFrame],
+               dates: Sequence[str] | None = None) -> list[LoadResult]:
+    """Stage dimensions and facts and check the foreign keys of what was staged.
 
-    Facts are partitioned by date so later loads rewrite touched days only.
-    ``facts`` come from ``build_facts(..., for_load=True)``: the weather
-    fact holds one row per id (its distinct rows are not unique on it).
+    Dimensions are merged: rows that no fact names any more stay, as in the
+    reference.  Facts are merged by their key, or, given ``dates``, are the
+    whole content of those dates.  They are partitioned by date, so other days
+    are not read.  ``facts`` come from ``build_facts(..., for_load=True)``: the
+    weather fact holds one row per id.
 
     Independent jobs are submitted from parallel threads and share the
     cluster.  The contract (O-54, O-71, O-73) and the uniqueness of the
-    dimension ids (O-70) are checked while the tables are staged, the foreign
-    keys (O-72) on the staged files, i.e. the future content.  If a gate
-    fails nothing is published."""
-    recover(spark, root)
-    jobs = [dict(path=f"{root}/{n}", source=cast_to_contract(df, CONTRACTS[n]), name=n,
-                 keys=PRIMARY_KEYS[n], check_empty=False,
-                 partition_col="date_id" if n in facts else None)
-            for n, df in {**dims, **facts}.items()]
+    dimension ids (O-70) are checked on the rows as they are written, the
+    foreign keys (O-72) on the staged files, i.e. the future content."""
+    def dim(n: str) -> LoadResult:
+        return stage_upsert(tables, n, dims[n], PRIMARY_KEYS[n], contract=n, unique=True)
+
+    def fact(n: str) -> LoadResult:
+        if dates is None:
+            return stage_upsert(tables, n, facts[n], PRIMARY_KEYS[n], partition_col="date_id", contract=n)
+        return stage_replacement(tables, n, facts[n], PRIMARY_KEYS[n], "date_id", dates, contract=n)
+
     with ThreadPoolExecutor(max_workers=8) as pool:
-        contract = pool.submit(require_contract, {**dims, **facts})
-        unique = pool.submit(require_unique, {n: (df, PRIMARY_KEYS[n]) for n, df in dims.items()})
-        futures = [pool.submit(lambda j: stage_upsert(spark, **j), j) for j in jobs]
-        staged = []
-        try:
-            for f in futures:
-                staged.append(f.result())
-            contract.result()
-            unique.result()
-            future = {s.name: spark.read.schema(CONTRACTS[s.name]).parquet(s.staged_path)
-                      for s in staged}
-            require_foreign_keys(future, future)
-        except BaseException:
-            discard(spark, [f.result() for f in futures if not f.exception()])
-            raise
-    return publish(spark, root, staged)
+        jobs = [pool.submit(dim, n) for n in dims] + [pool.submit(fact, n) for n in facts]
+        results = [j.result() for j in jobs]
+    seen = {r.table: r for r in results if tables.exists(r.table)}
+    if set(FACT_FKS) <= set(seen):
+        require_foreign_keys({n: tables.read(n, seen[n].touched) for n in FACT_FKS},
+                             {n: tables.read(n) for n in dims})
+    return results
+
+
+def load_star(spark: SparkSession, root: str, dims: dict[str, DataFrame],
+              facts: dict[str, DataFrame]) -> list[LoadResult]:
+    """Stage dimensions and facts and publish all of them in one step (O-16, O-17)."""
+    tables = Tables(spark, root)
+    results = stage_star(tables, dims, facts)
+    tables.publish()
+    return results

@@ -7,13 +7,18 @@ driver tables.
    interpolation; one partition per date, replaced on reload.
 3. silver production / weather: cleaned, keyed upserts (O-12, O-13), the
    weather keeping its generated id.
-4. silver enriched: production LEFT JOIN weather, keyed upsert (O-14).
-   Only the dates of this load are read back (trap 15).
+4. silver enriched: production LEFT JOIN weather of the touched dates,
+   unique on (production_id, date, time) (O-14, trap 15).
 5. gold: dimensions, foreign-key gate, facts (O-16, O-17).
 
-Every step writes to the shared folder and the next step reads it back,
-so a lost executor costs at most the current step.  Each step handles the
-file days and dates of this load only, not what earlier loads left.
+A reading that a correction moves to another slot or date leaves its old
+one in every layer: steps 4 and 5 compute the touched dates anew, and a
+touched date is one that any changed row is in or was in.
+
+Every step writes new folders and the next step reads them back, so a lost
+executor costs at most the current step.  All layers become visible with
+one new version at the end; a load that fails before leaves none of them
+changed.  Only the file days and dates of this load are read and written.
 """
 
 from __future__ import annotations
@@ -28,9 +33,10 @@ from starloom.operators import star
 from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import BRONZE_WEATHER, SILVER_WEATHER, cast_to_contract
 from starloom.operators.enrich import JOIN_KEYS, enrich
-from starloom.operators.load import (LoadResult, drop_partitions, load_star, require_contract,
-                                     require_unique, upsert_table)
+from starloom.operators.load import (LoadResult, require_contract, require_unique, stage_days,
+                                     stage_replacement, stage_star, stage_upsert)
 from starloom.operators.timeseries import interpolate_day_grid
+from starloom.operators.versions import Tables
 from starloom.session import cut_lineage
 from starloom.sources.csv import (DAY_COLUMN, FILE_ORDER, parse_production, read_all,
                                   split_quarantine, to_bronze)
@@ -56,13 +62,6 @@ def silver_weather(bronze: DataFrame) -> DataFrame:
     return cast_to_contract(w, SILVER_WEATHER)
 
 
-def _replace_days(df: DataFrame, path: str, col: str, days: list, present: list) -> None:
-    """Full refresh of the partitions of ``days``; those without rows go."""
-    (df.hint("rebalance", F.col(col)).write.mode("overwrite").partitionBy(col)
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
-    drop_partitions(df.sparkSession, path, col, [d for d in days if d not in present])
-
-
 def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: str,
                  batch_id: str | None = None,
                  date_range: tuple[str, str] | None = None) -> list[LoadResult]:
@@ -71,6 +70,7 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     files of other days are never read.  Files read twice by different loads
     give the same tables as when they are read once, in any order."""
     batch_id = batch_id or new_batch_id()
+    tables = Tables(spark, root)
     out: list[LoadResult] = []
 
     # 1. bronze production + quarantine
@@ -82,47 +82,47 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
         payloads = payloads.filter(F.col("date").between(lo, hi))
     parsed = cut_lineage(parse_production(raw), "parsed")
     good, bad = split_quarantine(parsed)
-    days = {r[0]: r for r in parsed.groupBy(DAY_COLUMN).agg(  # one row per file day
-        F.count(F.when(F.col("_reason").isNull(), 1)).alias("good"),
-        F.count("_reason").alias("bad")).collect()}
-    bronze = to_bronze(good, batch_id)
-    _replace_days(bad, f"{root}/quarantine", DAY_COLUMN, list(days),
-                  [d for d, r in days.items() if r["bad"]])
-    _replace_days(bronze, f"{root}/bronze_production", DAY_COLUMN, list(days),
-                  [d for d, r in days.items() if r["good"]])
+    days = [r[0] for r in parsed.select(DAY_COLUMN).distinct().collect()]  # one per file day
+    stage_days(tables, "quarantine", bad, DAY_COLUMN, days)
+    stage_days(tables, "bronze_production", to_bronze(good, batch_id), DAY_COLUMN, days)
+    bronze = tables.read("bronze_production", days) if tables.exists("bronze_production") else to_bronze(good, batch_id)
 
     # 2. bronze weather
     grid = cut_lineage(bronze_weather(payloads), "weather-grid")
     require_contract({"bronze_weather": grid})
     weather_days = [r[0] for r in grid.select("date").distinct().collect()]  # one per day
-    _replace_days(cast_to_contract(grid, BRONZE_WEATHER), f"{root}/bronze_weather", "date",
-                  weather_days, weather_days)
-
-    # 3. silver, behind one gate for both tables
-    sp_new = silver_production(bronze, keep=FILE_ORDER)
-    sw_new = silver_weather(cast_to_contract(grid, BRONZE_WEATHER))
-    require_contract({"silver_production": sp_new, "silver_weather": sw_new})
-    out.append(upsert_table(spark, f"{root}/silver_production", sp_new, ["production_id"],
-                            FILE_ORDER, partition_col="date", name="silver_production",
-                            newer_only=True))
-    out.append(upsert_table(spark, f"{root}/silver_weather", sw_new,
-                            ["date", "time", "region", "region_name"], partition_col="date",
-                            keep_from_target=["weather_id"], name="silver_weather"))
-
-    # 4. enriched, for the dates of this load only; a weather slot that would
-    # double a reading stops the load (trap 13)
-    dates = [r[0] for r in good.select("date").distinct().collect()]  # one per day
-    sp = spark.read.parquet(f"{root}/silver_production").filter(F.col("date").isin(dates))
-    sw = spark.read.parquet(f"{root}/silver_weather").filter(F.col("date").isin(dates))
-    require_unique({"silver_weather": (sw, JOIN_KEYS)})
-    enriched = cut_lineage(enrich(sp, sw), "enriched")
-    require_contract({"silver_enriched": enriched})
-    out.append(upsert_table(spark, f"{root}/silver_enriched", enriched,
-                            ["production_id", "date", "time"], partition_col="date",
-                            keep_from_target=["prod_enriched_id"], name="silver_enriched"))
-
-    # 5. gold
-    e = spark.read.parquet(f"{root}/silver_enriched").filter(F.col("date").isin(dates))
-    out += load_star(spark, f"{root}/gold", star.build_dimensions(e),
-                      star.build_facts(e, for_load=True))
+    stage_days(tables, "bronze_weather", cast_to_contract(grid, BRONZE_WEATHER), "date", weather_days)
+
+    # 3. silver
+    production = stage_upsert(tables, "silver_production", silver_production(bronze, keep=FILE_ORDER),
+                              ["production_id"], FILE_ORDER, partition_col="date", newer_only=True,
+                              contract="silver_production")
+    weather = stage_upsert(tables, "silver_weather",
+                           silver_weather(cast_to_contract(grid, BRONZE_WEATHER)),
+                           ["date", "time", "region", "region_name"], partition_col="date",
+                           keep_from_target=["weather_id"], contract="silver_weather")
+    out += [production, weather]
+    if not tables.exists("silver_production"):
+        tables.publish()
+        return out
+
+    # 4. enriched: every date whose readings or weather changed, also those a
+    # reading was moved away from, is computed anew from the whole silver
+    # content of that date.  A weather slot that would double a reading stops
+    # the load (trap 13).
+    dates = sorted((set(production.touched) | set(weather.touched))
+                   & (tables.partitions("silver_production") | tables.partitions("silver_enriched")))
+    readings = tables.read("silver_production", dates)
+    if tables.exists("silver_weather"):
+        slots = tables.read("silver_weather", dates)
+        require_unique({"silver_weather": (slots, JOIN_KEYS)})
+    else:
+        slots = spark.createDataFrame([], SILVER_WEATHER)
+    out.append(stage_replacement(tables, "silver_enriched", enrich(readings, slots),
+                                 ["production_id", "date", "time"], "date", dates, contract="silver_enriched"))
+
+    # 5. gold: the facts of those dates are their whole new content
+    e = tables.read("silver_enriched", dates)
+    out += stage_star(tables, star.build_dimensions(e), star.build_facts(e, for_load=True), dates)
+    tables.publish()
     return out

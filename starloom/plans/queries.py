@@ -475,13 +475,14 @@ def load_star_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Every row of the published energy fact after two loads of the same
     input."""
     from starloom.operators.load import load_star
+    from starloom.operators.versions import read_published
     from starloom.session import cut_lineage, scratch_path
     e = cut_lineage(st.enriched(spark, sf))
     dims, facts = star.build_dimensions(e), star.build_facts(e, for_load=True)
     root = scratch_path(spark, "star")
     for _ in range(2):
         load_star(spark, root, dims, facts)
-    return spark.read.parquet(f"{root}/fact_energy").select(
+    return read_published(spark, root, "fact_energy").select(
         "fact_production_id", "date_id", "time_id", "turbine_id", "status_id", "energy_produced",
         "wind_speed", "wind_direction")
 
@@ -493,14 +494,15 @@ def stream_daily_load(spark: SparkSession, sf: str) -> DataFrame:
     """Daily files land in a folder; a file stream upserts them into the
     silver production table a few files per micro-batch."""
     from starloom.plans.fixtures import write_production_csv
+    from starloom.operators.versions import read_published
     from starloom.session import scratch_path
     from starloom.streaming.daily_load import start_daily_load
     landing = write_production_csv(spark, sf, broken=True)
     root = scratch_path(spark, "stream")
-    q = start_daily_load(spark, landing, f"{root}/silver", f"{root}/quarantine",
+    q = start_daily_load(spark, landing, f"{root}/tables", f"{root}/quarantine",
                          f"{root}/_checkpoint", max_files_per_trigger=STREAM_FILES_PER_BATCH)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/silver").select(
+    return read_published(spark, f"{root}/tables", "silver_production").select(
         "production_id", "date", "time", "turbine_name", "region", "energy_produced",
         "wind_speed", "hour_of_day", "time_period")
 

@@ -38,7 +38,7 @@ def production_stream(spark: SparkSession, landing: str,
     return parse_production(with_file_columns(r.csv(landing)))
 
 
-def load_batch(batch: DataFrame, epoch_id: int, silver_path: str, quarantine_path: str) -> None:
+def load_batch(batch: DataFrame, epoch_id: int, root: str, quarantine_path: str) -> None:
     """One micro-batch: quarantine its bad rows, upsert its good rows.
     Safe to replay: the quarantine folder of the epoch is overwritten and
     the upsert is idempotent."""
@@ -46,16 +46,16 @@ def load_batch(batch: DataFrame, epoch_id: int, silver_path: str, quarantine_pat
     (bad.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
      .parquet(f"{quarantine_path}/epoch={epoch_id}"))
     silver = silver_production(to_bronze(good, batch_id=f"epoch-{epoch_id}"), keep=FILE_ORDER)
-    upsert_table(batch.sparkSession, silver_path, silver, ["production_id"], FILE_ORDER,
-                 partition_col="date", name="silver_production", newer_only=True)
+    upsert_table(batch.sparkSession, root, "silver_production", silver, ["production_id"], FILE_ORDER,
+                 partition_col="date", newer_only=True)
 
 
-def start_daily_load(spark: SparkSession, landing: str, silver_path: str,
+def start_daily_load(spark: SparkSession, landing: str, root: str,
                      quarantine_path: str, checkpoint: str,
                      max_files_per_trigger: int | None = None,
                      available_now: bool = True) -> StreamingQuery:
     def load(batch: DataFrame, epoch_id: int) -> None:
-        load_batch(batch, epoch_id, silver_path, quarantine_path)
+        load_batch(batch, epoch_id, root, quarantine_path)
 
     w = (production_stream(spark, landing, max_files_per_trigger).writeStream
          .foreachBatch(load).option("checkpointLocation", checkpoint))
