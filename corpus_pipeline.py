@@ -1,10 +1,11 @@
 """Training-data pipeline over ``documents``, in five stages:
 
 1. quality classifier: documents it rejects go;
-2. line dedup: all repeated runs of two or more lines are cut out of the
-   texts, documents of which nothing is left go;
-3. n-gram Jaccard join: of each group of near duplicates the document with
-   the smallest id stays;
+2. line dedup: repeated passages of two or more lines, of some length or a
+   whole document, are cut out of the texts; documents of which nothing is
+   left go;
+3. n-gram Jaccard join: of each group of near duplicates (five words, 80 %)
+   the document with the smallest id stays;
 4. benchmark decontamination: documents that hold a window of a benchmark
    item go;
 5. packing into sequences of at most 4096 tokens.
@@ -16,8 +17,9 @@ reads it back, so a lost executor costs no finished stage.
 
 Null and empty texts are scored like other texts; if they stay they pass
 the other stages (no lines to repeat, an empty shingle set, no words) and
-are packed as an end token.  Repeated rows (equal id and text) are one
-document from stage 3 on.  Of a group of near duplicates the row with the
+are packed as an end token.  Very long texts are handled whole by
+every stage.  Other columns stay as they are up to stage 4, whatever their
+names.  Repeated rows (equal id and text) are one document from stage 3 on.  Of a group of near duplicates the row with the
 smallest id stays, then the one with the smallest text hash; rows without an
 id come last.  SQL can express neither the classifier nor the tokenizer,
 so there is no oracle; tests compare the stages with brute force.
@@ -32,13 +34,16 @@ from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import flag_contaminated
 from starloom.llm.jaccard import near_duplicates
-from starloom.llm.lines import dedup_runs
+from starloom.llm.lines import dedup_lines
 from starloom.llm.packing import pack_documents
 from starloom.llm.quality import score, train
 from starloom.llm.queries import table, word_bpe
 from starloom.llm.ship import ship
 from starloom.session import cut_lineage, ensure_checkpoint_dir
 
+# Near duplicates share 80 % of their five-word shingles.
+SHINGLE, PERCENT = 5, 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -50,7 +55,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(ship(spark))
-    cut = dedup_runs(docs).where("n_lines = 0 or n_removed < n_lines")
+    cut = dedup_lines(docs).where("n_lines = 0 or n_removed < n_lines")
     new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
     # A text that lost nothing keeps its columns as they were.
     return cut.select(*[F.when(F.col("n_removed") > 0, new[c]).otherwise(F.col(f"row.{c}")).alias(c)
@@ -59,7 +64,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(ship(spark))
-    groups = near_duplicates(docs, with_rows=True).select("doc_id", "at", "component")
+    groups = near_duplicates(docs, size=SHINGLE, percent=PERCENT, with_rows=True).select("doc_id", "at", "component")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
     stays = groups.where("component is not null").groupBy("component").agg(F.min(place).alias("p")).select("p.*") \
         .unionByName(groups.where("component is null").select(place.alias("p")).distinct().select("p.*")) \
