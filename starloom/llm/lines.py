@@ -116,6 +116,3 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return cut.select("row", F.coalesce(F.array_size("l"), F.lit(0)).cast("long").alias("n_lines"),
                       F.coalesce(F.array_size("l") - F.array_size("stays"), F.lit(0)).cast("long").alias("n_removed"),
                       F.when(F.col("stays").isNull(), F.col(f"row.`{text_col}`")).otherwise(F.array_join("stays", "\n")).alias("kept"))
-
-
-dedup_runs = dedup_lines

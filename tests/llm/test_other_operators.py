@@ -271,7 +271,7 @@ def test_pipeline(spark, tmp_path):
     assert sum((i in first) == (q == 1) for i, q in labels.items()) > 0.95 * len(labels)
     assert {r.doc_id for r in kept["line_dedup"]} <= first
     from test_text_operators import brute_groups, brute_hits
-    groups = brute_groups([(r.doc_id, r.text) for r in kept["line_dedup"]])
+    groups = brute_groups([(r.doc_id, r.text) for r in kept["line_dedup"]], size=5, percent=80)
     assert {r.doc_id for r in kept["near_duplicates"]} == {i for i, _, c in groups if i == c}
     items = [tuple(r) for r in spark.read.parquet(f"{SF01}/benchmark.parquet").select("item_id", "text").collect()]
     hits = brute_hits([(r.doc_id, r.text) for r in kept["near_duplicates"]], items, 10)

@@ -109,18 +109,18 @@ def test_decontaminate_empty_tables(spark):
 
 # -- Jaccard join ------------------------------------------------------------
 
-def shingles(text):
+def shingles(text, size=4):
     w = WORD.findall((text or "").translate(LOWER))
-    return {tuple(w[k:k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+    return {tuple(w[k:k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
 
 
-def brute_groups(docs):
-    sets = [shingles(t) for _, t in docs]
+def brute_groups(docs, size=4, percent=85):
+    sets = [shingles(t, size) for _, t in docs]
     root, join = union_find(len(docs))
     for a in range(len(docs)):
         for b in range(a):
             x, y = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= 85 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 join(a, b)
     least = {}
     for k, (i, _) in enumerate(docs):
