@@ -45,6 +45,48 @@ def production_csv_rows(spark: SparkSession, sf_dir: str, broken: bool) -> DataF
         F.date_format("date", "yyyyMMdd").alias(DAY_COLUMN))
 
 
+# Corrections by k.  Readings with k = 7 are corrected after the
+# first load (an hour earlier, 50 more energy), those with k = 8 arrive late.
+MOVED_K, LATE_K = 7, 8
+MOVED_ENERGY = 50
+
+
+def write_corrected_csv(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Daily files of two loads: all readings but the late ones, then the late and
+    the corrected ones.  A correction stands in the file of its old day."""
+    rows = production_csv_rows(spark, sf_dir, broken=False)
+    k = F.round(F.col("wind_speed") * 10).cast("int")
+    at = F.to_timestamp_ntz(F.concat_ws(" ", "date", "time"), F.lit("yyyy-MM-dd HH-mm-ss")) - F.expr("INTERVAL 1 HOUR")
+    moved = rows.where(k == MOVED_K).withColumns({
+        "date": F.date_format(at, "yyyy-MM-dd"), "time": F.date_format(at, "HH-mm-ss"),
+        "energy_produced": (F.col("energy_produced") + MOVED_ENERGY).cast("decimal(12,2)")})
+    out = []
+    for part in (rows.where(k != LATE_K), rows.where(k == LATE_K).unionByName(moved)):
+        out.append(scratch_path(spark, "corrected-csv"))
+        (part.hint("rebalance", F.col(DAY_COLUMN)).write.partitionBy(DAY_COLUMN)
+         .option("header", True).mode("errorifexists").csv(out[-1]))
+    return out[0], out[1]
+
+
+# Layouts of the daily files by day of month modulo 4.  1: the
+# columns in reverse order, 2: without ``capacity``, 3: with a column ``note``.
+REVERSED, NO_CAPACITY, WITH_NOTE = 1, 2, 3
+
+
+def write_layouts_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Daily files whose columns differ in order and number, each with its header."""
+    out = scratch_path(spark, "layouts-csv")
+    rows = production_csv_rows(spark, sf_dir, broken=False)
+    columns = [c for c in rows.columns if c != DAY_COLUMN]
+    kinds = {0: columns, REVERSED: columns[::-1], NO_CAPACITY: [c for c in columns if c != "capacity"],
+             WITH_NOTE: [*columns, "note"]}
+    rows = rows.withColumn("note", F.lit("n"))
+    for kind, names in kinds.items():
+        (rows.where(F.dayofmonth(F.to_date(DAY_COLUMN, "yyyyMMdd")) % 4 == kind).select(*names, DAY_COLUMN)
+         .hint("rebalance", F.col(DAY_COLUMN)).write.partitionBy(DAY_COLUMN).option("header", True).mode("append").csv(out))
+    return out
+
+
 def write_production_csv(spark: SparkSession, sf_dir: str, broken: bool = False,
                          flat: bool = False) -> str:
     """One folder per day, or (``flat``) files named by their day in one

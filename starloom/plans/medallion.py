@@ -74,12 +74,11 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     out: list[LoadResult] = []
 
     # 1. bronze production + quarantine
-    raw = read_all(spark, csv_root)
+    days = tuple(d.replace("-", "") for d in date_range) if date_range else None
+    raw = read_all(spark, csv_root, days=days)
     payloads = read_payloads(spark, payload_root)
     if date_range:
-        lo, hi = date_range
-        raw = raw.filter(F.col(DAY_COLUMN).between(lo.replace("-", ""), hi.replace("-", "")))
-        payloads = payloads.filter(F.col("date").between(lo, hi))
+        payloads = payloads.filter(F.col("date").between(*date_range))
     parsed = cut_lineage(parse_production(raw), "parsed")
     good, bad = split_quarantine(parsed)
     days = [r[0] for r in parsed.select(DAY_COLUMN).distinct().collect()]  # one per file day

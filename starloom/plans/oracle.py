@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from starloom.plans.oracle_base import half_away, stable_key_sql, units_to_dec, with_ctes
+from starloom.plans.oracle_base import (CTES, TIME_ATTRS_SQL, half_away, stable_key_sql, units_to_dec,
+                                         with_ctes)
 
 ORACLE: dict[str, str] = {}
 
@@ -341,6 +342,15 @@ SELECT r.production_id, r.date, r.time, r.slot AS measured_at
 FROM readings r JOIN ev ON ev.event_id = r.production_id
 WHERE r.region <> 'error' AND ev.k <> 0""")
 
+ORACLE["csv_header_layouts"] = with_ctes(["readings"], """
+SELECT CAST(production_id AS VARCHAR) AS production_id_text, NULL AS reason, capacity, latitude, longitude,
+       turbine_name, wind_speed, energy_produced, slot AS measured_at
+FROM readings WHERE day(date) % 4 IN (0, 1)
+UNION ALL
+SELECT CAST(production_id AS VARCHAR), CASE WHEN day(date) % 4 = 2 THEN 'missing_column: capacity'
+       ELSE 'unknown_column: note' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL
+FROM readings WHERE day(date) % 4 IN (2, 3)""")
+
 ORACLE["daily_file_select"] = with_ctes(["readings"], """
 SELECT production_id, date, time, region, energy_produced
 FROM readings WHERE date = DATE '2024-01-15'""")
@@ -427,6 +437,43 @@ FROM (
 ])
 
 
+_SHIFTED_SLOT = "CASE WHEN ev.k = 7 THEN r.slot - INTERVAL 1 HOUR ELSE r.slot END"
+
+ORACLE["medallion_incremental"] = with_ctes(["readings", "ev", "silver_weather"], """
+SELECT 'silver_production' AS table_name, production_id AS id, date, time, energy_produced::DOUBLE AS a,
+       wind_speed::DOUBLE AS b, latitude::DOUBLE AS c, longitude::DOUBLE AS d, NULL::BIGINT AS key_1,
+       NULL::BIGINT AS key_2, turbine_name AS name FROM final
+UNION ALL SELECT 'silver_enriched', production_id, date, time, energy_produced, temperature_2m, cloud_cover,
+       wind_gust_10m, weather_id, prod_enriched_id, region_name FROM enriched
+UNION ALL SELECT 'fact_energy', fact_production_id, date_id, time_id, energy_produced, wind_speed, NULL, NULL,
+       turbine_id, status_id, wind_direction FROM fact_energy
+UNION ALL SELECT 'fact_weather', fact_weather_id, date_id, time_id, temperature_2m, cloud_cover, wind_gust_10m,
+       wind_speed, location_id, NULL, NULL FROM
+       (SELECT DISTINCT ON (fact_weather_id) * FROM fact_weather WHERE fact_weather_id IS NOT NULL
+        ORDER BY fact_weather_id, location_id DESC, wind_speed DESC)
+UNION ALL SELECT DISTINCT 'time_dim', NULL, NULL, time, hour_of_day, minute_of_hour, second_of_minute, NULL, NULL,
+       NULL, time_period FROM (SELECT * FROM final UNION ALL BY NAME
+       SELECT r.* EXCLUDE (measured_at, slot) FROM readings r JOIN ev ON ev.event_id = r.production_id WHERE ev.k <> 8)""",
+    [("final", f"""
+    SELECT r.* EXCLUDE (measured_at, slot, energy_produced, date, time, day, month, quarter, year, hour_of_day,
+                        minute_of_hour, second_of_minute, time_period),
+           r.energy_produced + CASE WHEN ev.k = 7 THEN 50 ELSE 0 END AS energy_produced,
+           {TIME_ATTRS_SQL.format(ts=f"({_SHIFTED_SLOT})")}
+    FROM readings r JOIN ev ON ev.event_id = r.production_id"""),
+     ("weather", """
+    SELECT * REPLACE (CASE WHEN region = 'error' THEN NULL ELSE cloud_cover END AS cloud_cover)
+    FROM silver_weather WHERE NOT (region = 'signup' AND day(date) = 13)"""),
+     ("enriched", CTES["enriched"].replace("FROM readings r", "FROM final r").replace("silver_weather w", "weather w")),
+     ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])
+
+_TYPES = {"energy_produced": "DECIMAL(12,2)", "wind_speed": "DECIMAL(6,2)", "latitude": "DECIMAL(9,6)",
+          "longitude": "DECIMAL(9,6)", "capacity": "INTEGER", "production_id": "BIGINT", "date": "DATE"}
+ORACLE["contract_types"] = with_ctes(["readings"], "\nUNION ALL ".join(
+    f"SELECT production_id AS id, '{c}' AS column_name, "
+    f"CASE lower(typeof({c}::{t})) WHEN 'integer' THEN 'int' ELSE lower(typeof({c}::{t})) END AS type, "
+    f"({c}::{t})::VARCHAR AS text FROM readings" for c, t in _TYPES.items()))
+
+
 # --- output types -------------------------------------------------------------
 # Decimal output columns of each query; the registered Spark queries return
 # them as DOUBLE (see plans.queries.measures_as_double) and so do the oracles.
@@ -434,6 +481,7 @@ DECIMAL_COLUMNS = {
     'availability': ('availability',),
     'condition_impact': ('avg_energy', 'avg_temperature'),
     'contract_cast': ('o_totalprice',),
+    'csv_header_layouts': ('latitude', 'longitude', 'wind_speed', 'energy_produced'),
     'csv_typed_scan': ('latitude', 'longitude', 'wind_speed', 'energy_produced'),
     'daily_file_select': ('energy_produced',),
     'daily_totals': ('total_energy',),

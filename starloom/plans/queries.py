@@ -329,6 +329,18 @@ def contract_cast(spark: SparkSession, sf: str) -> DataFrame:
     return cast_to_contract(read_table(spark, sf, "orders"), contract)
 
 
+@register("contract_types")
+def contract_types(spark: SparkSession, sf: str) -> DataFrame:
+    """The declared types that measures have after the cast, with their exact
+    text, for readings and orders (the other queries show measures as DOUBLE)."""
+    from starloom.operators.contracts import SILVER_PRODUCTION, cast_to_contract
+    r = cast_to_contract(st.readings(spark, sf), SILVER_PRODUCTION)
+    measures = ("energy_produced", "wind_speed", "latitude", "longitude", "capacity", "production_id", "date")
+    return r.select(F.col("production_id").alias("id"), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.expr(f"typeof({c})").alias("type"), F.col(c).cast("string").alias("text"))
+        for c in measures])))
+
+
 @register("measures_rounded")
 def measures_rounded(spark: SparkSession, sf: str) -> DataFrame:
     from starloom.functions.measures import to_decimal
@@ -405,6 +417,18 @@ def csv_good_rows(spark: SparkSession, sf: str) -> DataFrame:
     return good.select("production_id", "date", "time", "measured_at")
 
 
+@register("csv_header_layouts")
+def csv_header_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Files with reversed, missing and extra columns: values by the names of
+    each file's header, files of an unknown layout in quarantine."""
+    from starloom.plans.fixtures import write_layouts_csv
+    from starloom.sources.csv import CORRUPT, parse_production, read_all
+    parsed = parse_production(read_all(spark, write_layouts_csv(spark, sf)))
+    pid = F.coalesce(F.col("production_id").cast("string"), F.regexp_extract(CORRUPT, r"^([^,]*)", 1))
+    return parsed.select(pid.alias("production_id_text"), F.col("_reason").alias("reason"), "capacity", "latitude",
+                         "longitude", "turbine_name", "wind_speed", "energy_produced", "measured_at")
+
+
 @register("daily_file_select")
 def daily_file_select(spark: SparkSession, sf: str) -> DataFrame:
     from starloom.plans.fixtures import write_production_csv
@@ -527,6 +551,43 @@ def medallion_load(spark: SparkSession, sf: str) -> DataFrame:
     return results_frame(spark, [(1, r) for r in res])
 
 
+# What the rows of each table show in ``medallion_incremental``: id, date, time,
+# four measures, two keys, a name.
+INCREMENTAL_ROWS = {
+    "silver_production": ("production_id", "date", "time", "energy_produced", "wind_speed", "latitude", "longitude",
+                          None, None, "turbine_name"),
+    "silver_enriched": ("production_id", "date", "time", "energy_produced", "temperature_2m", "cloud_cover",
+                        "wind_gust_10m", "weather_id", "prod_enriched_id", "region_name"),
+    "fact_energy": ("fact_production_id", "date_id", "time_id", "energy_produced", "wind_speed", None, None,
+                    "turbine_id", "status_id", "wind_direction"),
+    "fact_weather": ("fact_weather_id", "date_id", "time_id", "temperature_2m", "cloud_cover", "wind_gust_10m",
+                     "wind_speed", "location_id", None, None),
+    "time_dim": (None, None, "time_id", "hour_of_day", "minute_of_hour", "second_of_minute", None, None, None,
+                 "time_period"),
+}
+
+
+@register("medallion_incremental")
+def medallion_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every layer after two loads: the second brings late readings and
+    corrections that move readings to other slots and dates."""
+    from starloom.operators.versions import Tables
+    from starloom.plans.fixtures import write_corrected_csv, write_payloads
+    from starloom.plans.medallion import run_day_load
+    from starloom.session import scratch_path
+    payloads, root = write_payloads(spark, sf), scratch_path(spark, "medallion")
+    for csv_root in write_corrected_csv(spark, sf):
+        run_day_load(spark, csv_root, payloads, root)
+    tables, out = Tables(spark, root), None
+    kinds = {"id": "bigint", "date": "date", "time": "string", **{c: "double" for c in "abcd"},
+             "key_1": "bigint", "key_2": "bigint", "name": "string"}
+    for table, columns in INCREMENTAL_ROWS.items():
+        rows = tables.read(table).select(F.lit(table).alias("table_name"), *[
+            (F.col(c) if c else F.lit(None)).cast(k).alias(n) for c, (n, k) in zip(columns, kinds.items(), strict=True)])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("region_lookup")
 def region_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Weather grid rows with the region's name and time zone from the

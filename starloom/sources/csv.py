@@ -5,10 +5,24 @@ Daily production files are ``yyyyMMdd_<name>.csv`` in one flat folder, or
 any files in one folder per day (``file_day=yyyyMMdd``).  Reading all days
 is one scan of the folder, one day opens its own files only; the day is a
 column either way.
+
+Columns are resolved by each file's own header line, whatever their order:
+files are grouped by layout and every layout has its reader, whose declared
+schema follows the header, so values are typed and malformed rows are found
+as in a file of the usual order.  All rows of a file that lacks a column,
+repeats one or has one that the contract does not know are quarantined as
+raw lines.  Headers are the only thing the driver reads of a file (its
+first ``HEADER_BYTES``), for the files that are selected.
 """
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -24,8 +38,9 @@ MODIFIED_COLUMN = "file_modified"
 # Of several rows of one reading the later file wins: by day, then by
 # modification time.
 FILE_ORDER = (DAY_COLUMN, MODIFIED_COLUMN)
-# Day of a file that names none.
-NO_DAY = "00000000"
+HEADER_BYTES = 1 << 16
+# What is wrong with the layout of a row's file (NULL: nothing).
+LAYOUT = "_layout"
 
 # NUMERIC(precision, scale) of the measures.
 MEASURES = {"latitude": (9, 6), "longitude": (9, 6), "wind_speed": (6, 2),
@@ -41,24 +56,91 @@ def with_corrupt_column(schema: StructType) -> StructType:
 
 
 def with_file_columns(scan: DataFrame) -> DataFrame:
-    """Add the day of each row's file (from its name, else its folder), the
-    file's modification time and its name."""
+    """Add the day of each row's file (from its name, else its folder, else
+    NULL), the file's modification time and its name."""
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(\d{8})_", 1)
     folder = F.regexp_extract(F.col("_metadata.file_path"), rf"/{DAY_COLUMN}=(\d{{8}})/", 1)
-    day = F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit("")), F.lit(NO_DAY))
+    day = F.coalesce(F.nullif(name, F.lit("")), F.nullif(folder, F.lit("")))
     return scan.select("*", day.alias(DAY_COLUMN),
                        F.col("_metadata.file_modification_time").alias(MODIFIED_COLUMN),
                        F.col("_metadata.file_name").alias("source_file"))
 
 
-def read_csv(spark: SparkSession, path: str | list[str],
-             schema: StructType = RAW_PRODUCTION_CSV) -> DataFrame:
-    """Header row, declared schema, PERMISSIVE with the raw line kept in
-    ``_corrupt_record`` for rows whose fields do not fit their types."""
-    return with_file_columns(
-        spark.read.option("header", True).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
-        .schema(with_corrupt_column(schema)).csv(path))
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...] | None:
+    """Column names of a file's first line (None: the file is empty)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        data = bytes((codec.createInputStream(stream) if codec else stream).readNBytes(HEADER_BYTES))
+    finally:
+        stream.close()
+    line = data.split(b"\n", 1)[0].decode("utf-8", "replace").lstrip("\ufeff").rstrip("\r")
+    return tuple(c.strip() for c in next(csv.reader([line]), [])) if data else None
+
+
+def layouts(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by the names in their headers (one entry per layout)."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        headers = list(pool.map(lambda f: header_of(spark, f), files))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, headers):
+        if header is not None:
+            out.setdefault(header, []).append(file)
+    return out
+
+
+def layout_fault(header: Sequence[str], schema: StructType) -> str | None:
+    missing = [n for n in schema.names if n not in header]
+    if missing:
+        return f"missing_column: {', '.join(missing)}"
+    unknown = [n for n in header if n not in schema.names]
+    if unknown:
+        return f"unknown_column: {', '.join(unknown)}"
+    return f"repeated_column: {', '.join(sorted({n for n in header if header.count(n) > 1}))}" \
+        if len(header) != len(schema) else None
+
+
+def _of_layout(spark: SparkSession, header: tuple[str, ...], files: list[str], schema: StructType) -> DataFrame:
+    fault = layout_fault(header, schema)
+    names = [*schema.names, CORRUPT]
+    if fault is None:
+        scan = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+                .option("columnNameOfCorruptRecord", CORRUPT)
+                .schema(with_corrupt_column(StructType([schema[n] for n in header]))).csv(files))
+    else:  # raw lines but the header
+        text = spark.read.text(files)
+        first = F.transform(F.split(F.col("value"), ","), lambda c: F.trim(F.regexp_replace(c, '[\ufeff"\r]', "")))
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        scan = text.where(first != F.array(*[F.lit(n) for n in header])).select(
+            *none, F.col("value").alias(CORRUPT), "_metadata")
+    scan = with_file_columns(scan)
+    return scan.select(*names, F.lit(fault).cast("string").alias(LAYOUT), DAY_COLUMN, MODIFIED_COLUMN, "source_file")
+
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType = RAW_PRODUCTION_CSV,
+             days: tuple[str, str] | None = None) -> DataFrame:
+    """Every CSV file at ``path``, columns by its header, the declared schema,
+    PERMISSIVE with the raw line kept in ``_corrupt_record`` for rows whose
+    fields do not fit their types.  ``days``: only files of these days
+    ``yyyyMMdd``, both included; others are not opened."""
+    files = sorted(spark.read.schema(schema).option("recursiveFileLookup", True).csv(path).inputFiles())
+    if days:
+        files = [f for f in files if days[0] <= (day_of(f) or "") <= days[1]]
+    found = layouts(spark, files)
+    parts = [_of_layout(spark, header, mine, schema) for header, mine in sorted(found.items())]
+    if not parts:
+        kind = StructType([*with_corrupt_column(schema).fields, *(StructField(c, StringType()) for c in (LAYOUT, DAY_COLUMN))])
+        return spark.createDataFrame([], kind).withColumns({
+            MODIFIED_COLUMN: F.lit(None).cast("timestamp"), "source_file": F.lit(None).cast("string")})
+    return reduce(DataFrame.unionByName, parts)
+
+
+def day_of(file: str) -> str | None:
+    """The day that a file's name or folder gives."""
+    found = re.match(r"(\d{8})_", file.rsplit("/", 1)[-1]) or re.search(rf"/{DAY_COLUMN}=(\d{{8}})/", file)
+    return found.group(1) if found else None
 
 
 def read_day(spark: SparkSession, root: str, day: str,
@@ -76,23 +158,28 @@ def read_day(spark: SparkSession, root: str, day: str,
     return read_csv(spark, found, schema)
 
 
-def read_all(spark: SparkSession, root: str, schema: StructType = RAW_PRODUCTION_CSV) -> DataFrame:
-    """Every daily file below ``root`` in one scan (O-04).  A filter on the
-    file day skips the files of other days."""
-    return read_csv(spark, root, schema)
+def read_all(spark: SparkSession, root: str, schema: StructType = RAW_PRODUCTION_CSV,
+             days: tuple[str, str] | None = None) -> DataFrame:
+    """Every daily file below ``root`` in one scan per layout (O-04), or those
+    of a range of days."""
+    return read_csv(spark, root, schema, days)
 
 
 def parse_production(raw: DataFrame) -> DataFrame:
     """Raw CSV rows -> typed bronze columns plus ``_reason`` (NULL when the
     row is good).  The event time is composed from the date and time text
     before ``date`` is re-typed (trap 14).  A number that does not fit its
-    column (``out_of_range``) and a row without its key (``missing_id``)
-    send the row to quarantine."""
+    column (``out_of_range``), a row without its key (``missing_id``), a file
+    without a day (``no_day``) and a file of another layout (``missing_column``,
+    ``unknown_column``, ``repeated_column``, with their names) send the row to
+    quarantine."""
     unfit = None
     for c, (p, s) in MEASURES.items():
         bad = F.col(c).isNotNull() & to_decimal(c, p, s).isNull()
         unfit = bad if unfit is None else unfit | bad
-    reason = (F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
+    reason = (F.when(F.col(LAYOUT).isNotNull(), F.col(LAYOUT))
+              .when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
+              .when(F.col(DAY_COLUMN).isNull(), F.lit("no_day"))
               .when(F.col("production_id").isNull(), F.lit("missing_id"))
               .when(parse_iso_date("date").isNull(), F.lit("bad_date"))
               .when(parse_dash_time("time").isNull(), F.lit("bad_time"))

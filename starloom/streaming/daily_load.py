@@ -2,10 +2,11 @@
 Streaming.
 
 The reference loads one day's file per scheduled run and accumulates the
-silver table by keyed upsert.  Here the landing folder is a file stream:
+silver table by keyed upsert.  Here the landing folder is a stream of files:
 each micro-batch (new files only; progress kept in the checkpoint under
-the shared folder) is parsed, split into good and quarantined rows, and
-upserted into the silver table with ``foreachBatch``.  The upsert is
+the shared folder) is read by the headers of its files, parsed once, split
+into good and quarantined rows, and upserted into the silver table with
+``foreachBatch``.  The upsert is
 idempotent, so a micro-batch replayed after a failure leaves the same
 table: the sink is effectively exactly-once.  Of several rows of one
 reading the later file's wins (by file day, then modification time), in one
@@ -21,21 +22,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom.operators.cleanse import silver_production
-from starloom.operators.contracts import RAW_PRODUCTION_CSV
 from starloom.operators.load import upsert_table
-from starloom.sources.csv import (CORRUPT, FILE_ORDER, parse_production, split_quarantine,
-                                  to_bronze, with_corrupt_column, with_file_columns)
+from starloom.session import cut_lineage
+from starloom.sources.csv import FILE_ORDER, parse_production, read_csv, split_quarantine, to_bronze
 
 
-def production_stream(spark: SparkSession, landing: str,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.option("header", True).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT)
-         .option("recursiveFileLookup", True)
-         .schema(with_corrupt_column(RAW_PRODUCTION_CSV)))
+# Fixed value: the schema of Spark's binary file source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def file_stream(spark: SparkSession, landing: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New files by their path; their content is read by each micro-batch,
+    one reader per header layout."""
+    r = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return parse_production(with_file_columns(r.csv(landing)))
+    return r.load(landing).select("path")
 
 
 def load_batch(batch: DataFrame, epoch_id: int, root: str, quarantine_path: str) -> None:
@@ -55,9 +57,12 @@ def start_daily_load(spark: SparkSession, landing: str, root: str,
                      max_files_per_trigger: int | None = None,
                      available_now: bool = True) -> StreamingQuery:
     def load(batch: DataFrame, epoch_id: int) -> None:
-        load_batch(batch, epoch_id, root, quarantine_path)
+        files = sorted(r[0] for r in batch.collect())  # the paths of one trigger
+        if files:
+            parsed = cut_lineage(parse_production(read_csv(batch.sparkSession, files)), "parsed")
+            load_batch(parsed, epoch_id, root, quarantine_path)
 
-    w = (production_stream(spark, landing, max_files_per_trigger).writeStream
+    w = (file_stream(spark, landing, max_files_per_trigger).writeStream
          .foreachBatch(load).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
