@@ -32,6 +32,29 @@ def spine(days: DataFrame, date_col: str = "date", ts_col: str = "ts",
         ts_col, F.explode(F.sequence(start, stop, F.expr(f"INTERVAL {step_minutes} MINUTES"))))
 
 
+def zoned_spine(days: DataFrame, zone_col: str, date_col: str = "date", step_minutes: int = 10) -> DataFrame:
+    """The grid of local days on the UTC axis (O-49, O-51): one row per step
+    from local midnight to the last step before the next one, so a day on
+    which the zone changes its offset has fewer or more points (138 or 150 for
+    an hour and 10 minutes).  Adds ``ts_utc``, ``ts`` (local wall clock),
+    ``time`` and ``again`` (the wall clock shows this time for the second time
+    that day)."""
+    def utc(date: Column) -> Column:
+        return F.to_timestamp_ntz(F.to_utc_timestamp(day_start(date).cast("timestamp"), F.col(zone_col)))
+
+    step = F.expr(f"INTERVAL {step_minutes} MINUTES")
+    grid = days.withColumn("ts_utc", F.explode(F.sequence(
+        utc(F.col(date_col)), utc(F.date_add(F.col(date_col), 1)) - step, step)))
+    grid = grid.withColumn("ts", to_local("ts_utc", zone_col))
+    # Repeated: the offset is smaller than at the day's beginning and the clock
+    # has been set back over this time.
+    ahead = F.timestamp_diff("MINUTE", F.col("ts_utc"), F.col("ts"))
+    start = utc(F.col(date_col))
+    first = F.timestamp_diff("MINUTE", start, to_local(start, zone_col))
+    earlier = to_local(F.timestamp_add("MINUTE", ahead - first, F.col("ts_utc")), zone_col)
+    return grid.withColumns({"time": time_text("ts"), "again": (ahead < first) & (earlier == F.col("ts"))})
+
+
 def hourly_axis(start_epoch: Column | str, end_epoch: Column | str,
                 interval_s: Column | str) -> Column:
     """Array of sample timestamps from start to end, end excluded (O-50,

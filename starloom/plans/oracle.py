@@ -437,6 +437,42 @@ FROM (
 ])
 
 
+ORACLE["zoned_spine"] = """
+WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
+z AS (SELECT unnest(['America/New_York', 'Europe/Berlin']) AS zone),
+b AS (SELECT zone, date, timezone('UTC', timezone(zone, CAST(date AS TIMESTAMP))) AS lo,
+      timezone('UTC', timezone(zone, CAST(date + 1 AS TIMESTAMP))) AS hi FROM d, z),
+g AS (SELECT zone, date, unnest(generate_series(lo, hi - INTERVAL 10 MINUTE, INTERVAL 10 MINUTE)) AS u FROM b),
+t AS (SELECT zone, date, u, timezone(zone, timezone('UTC', u)) AS ts FROM g),
+r AS (SELECT *, row_number() OVER (PARTITION BY zone, date, ts ORDER BY u) AS k FROM t)
+SELECT zone, date, count(*) AS slots, min(u) AS first_utc, max(u) AS last_utc, count(DISTINCT ts) AS times,
+       count(*) FILTER (k > 1) AS repeated
+FROM r GROUP BY zone, date"""
+
+ORACLE["slot_gaps"] = """
+WITH s AS (SELECT DISTINCT event_type AS region, time_bucket(INTERVAL 10 MINUTE, ts) AS slot FROM events),
+b AS (SELECT region, date_trunc('day', min(slot)) AS lo, date_trunc('day', max(slot)) + INTERVAL 1430 MINUTE AS hi
+      FROM s GROUP BY region),
+e AS (SELECT region, unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 10 MINUTE)) AS slot FROM b),
+m AS (SELECT *, slot - row_number() OVER (PARTITION BY region ORDER BY slot) * INTERVAL 10 MINUTE AS island
+      FROM e ANTI JOIN s USING (region, slot))
+SELECT region, min(slot) AS first_missing, max(slot) AS last_missing, count(*) AS missing
+FROM m GROUP BY region, island"""
+
+_RUNS = """
+WITH u AS (SELECT DISTINCT ON (user_id, ts) user_id, ts, event_type AS state FROM events ORDER BY user_id, ts, event_id DESC),
+c AS (SELECT *, lag(state) OVER w IS DISTINCT FROM state AS opens, max(ts) OVER (PARTITION BY user_id) AS last
+      FROM u WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+runs AS (SELECT user_id, state, ts AS start, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts), last) AS stop
+      FROM c WHERE opens)
+"""
+ORACLE["state_runs"] = _RUNS + "SELECT * FROM runs"
+ORACLE["availability_by_time"] = _RUNS + f"""
+, s AS (SELECT user_id, sum(d)::BIGINT AS seconds, (coalesce(sum(d) FILTER (state IN ('click', 'purchase', 'view')), 0))::BIGINT
+        AS seconds_in, count(*) AS runs
+        FROM (SELECT *, date_diff('second', start, stop) AS d FROM runs) GROUP BY user_id)
+SELECT *, CASE WHEN seconds > 0 THEN {units_to_dec(half_away('(seconds_in * 10000)', 'seconds'), 7, 4)} END AS share FROM s"""
+
 _SHIFTED_SLOT = "CASE WHEN ev.k = 7 THEN r.slot - INTERVAL 1 HOUR ELSE r.slot END"
 
 ORACLE["medallion_incremental"] = with_ctes(["readings", "ev", "silver_weather"], """
@@ -479,6 +515,7 @@ ORACLE["contract_types"] = with_ctes(["readings"], "\nUNION ALL ".join(
 # them as DOUBLE (see plans.queries.measures_as_double) and so do the oracles.
 DECIMAL_COLUMNS = {
     'availability': ('availability',),
+    'availability_by_time': ('share',),
     'condition_impact': ('avg_energy', 'avg_temperature'),
     'contract_cast': ('o_totalprice',),
     'csv_header_layouts': ('latitude', 'longitude', 'wind_speed', 'energy_produced'),

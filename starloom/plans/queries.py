@@ -313,6 +313,49 @@ def slot_completeness(spark: SparkSession, sf: str) -> DataFrame:
     return grid_completeness(r, expected, ["region", "date", "time"], ["region", "date"])
 
 
+# Zones of the zoned spine; states counted as available by time.
+SPINE_ZONES = ("America/New_York", "Europe/Berlin")
+RUNNING_STATES = ("click", "purchase", "view")
+
+
+@register("zoned_spine")
+def zoned_spine_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Per zone and order date: the points of the local day's 10-minute grid, its
+    first and last instant and how many wall-clock times come twice."""
+    from starloom.operators.timeseries import zoned_spine
+    days = read_table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")).distinct() \
+        .withColumn("zone", F.explode(F.array(*[F.lit(z) for z in SPINE_ZONES])))
+    return zoned_spine(days, "zone").groupBy("zone", "date").agg(
+        F.count(F.lit(1)).alias("slots"), F.min("ts_utc").alias("first_utc"), F.max("ts_utc").alias("last_utc"),
+        F.countDistinct("time").alias("times"), F.count(F.when(F.col("again"), 1)).alias("repeated"))
+
+
+@register("slot_gaps")
+def slot_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Per region the runs of 10-minute slots without a reading."""
+    from starloom.functions.calendar import floor_to_minutes
+    from starloom.operators.intervals import gap_intervals
+    e = read_table(spark, sf, "events")
+    return gap_intervals(e.select(F.col("event_type").alias("region"), floor_to_minutes("ts", 10).alias("slot")),
+                         ["region"], "slot", 10)
+
+
+@register("state_runs")
+def state_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Per user the runs of equal event types, from the first event of a run to
+    the first of the next."""
+    from starloom.operators.intervals import state_intervals
+    e = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    return state_intervals(e, ["user_id"], "ts", "event_type", ["event_id"])
+
+
+@register("availability_by_time")
+def availability_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of the observed time that each user was in a running state."""
+    from starloom.operators.intervals import time_weighted_share
+    return time_weighted_share(state_runs(spark, sf), ["user_id"], RUNNING_STATES)
+
+
 # --- contracts, measures, previews, lineage --------------------------------
 
 @register("contract_cast")
