@@ -15,7 +15,9 @@ Edge cases: vectors that are null, zero, or hold a null, NaN or infinite
 component link with nothing, nor do vectors of a null label; vectors of
 different lengths do not link; repeated ids give one row each (they are
 compared as separate vectors and share the component id of their id); a
-null id is kept as a row of its own with a null component.
+null id is kept as a row of its own with a null component; other columns are
+ignored, whatever their names; there are no texts.  Vectors of any finite size
+are compared: extreme ones are scaled by their largest component first.
 """
 
 from __future__ import annotations
@@ -36,7 +38,14 @@ PAIRS_AT_ONCE = 1 << 16
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Unit vectors in double precision, their int8 form, scale and error bound."""
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    with np.errstate(over="ignore", under="ignore"):
+        size = np.linalg.norm(x, axis=1, keepdims=True)
+    far = ~((size > 1e-100) & (size < 1e100)).ravel()  # their squares leave the range of doubles
+    if far.any():
+        x, size = x.copy(), size.copy()
+        x[far] /= np.abs(x[far]).max(axis=1, keepdims=True)
+        size[far] = np.linalg.norm(x[far], axis=1, keepdims=True)
+    unit = x / size
     scale = np.abs(unit).max(axis=1) / 127.0
     q = np.rint(unit / scale[:, None]).astype(np.int8)
     error = np.linalg.norm(unit - q * scale[:, None], axis=1) * (1 + 1e-9) + 1e-12

@@ -60,6 +60,36 @@ def test_quality_training_sees_no_held_out_row(spark):
     assert (a.weights == b.weights).all() and a.bias == b.bias
 
 
+def test_fit_equals_a_brute_force_solution():
+    """The model against naive Bayes ratios and a projected-gradient solution of the dual, on dense matrices."""
+    rng = np.random.default_rng(4)
+    width, n = 40, 60
+    rows = [np.unique(rng.integers(0, width, 8)).astype(np.uint32) for _ in range(n)]
+    good = np.array([(0 in r) or (3 in r and 5 in r) or rng.random() < .3 for r in rows])
+    model = quality.fit(rows, good)
+    dense = np.zeros((n, width))
+    for i, r in enumerate(rows):
+        dense[i, r] = 1
+    p, q = 1 + dense[good].sum(axis=0), 1 + dense[~good].sum(axis=0)
+    total = 1 << quality.BITS  # columns that no document has are smoothed too
+    ratio = np.log((p / (p.sum() + total - width)) / (q / (q.sum() + total - width)))
+    assert np.allclose(model.squares[:width], ratio**2, atol=1e-5)
+    x = dense * ratio
+    x = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.ones((n, 1))])
+    y = np.where(good, 1.0, -1.0)
+    cost = np.where(good, n / (2 * good.sum()), n / (2 * (~good).sum()))
+
+    def primal(w):
+        return w @ w / 2 + (cost * np.maximum(0, 1 - y * (x @ w))).sum()
+
+    gram, alpha = (x * y[:, None]) @ (x * y[:, None]).T, np.zeros(n)
+    for _ in range(20000):
+        alpha = np.clip(alpha - (gram @ alpha - 1) / np.linalg.norm(gram, 2), 0, cost)
+    best = primal((alpha * y) @ x)
+    found = np.append(np.divide(model.weights[:width], ratio, out=np.zeros(width), where=ratio != 0), model.bias)
+    assert primal(found) <= best * 1.02 + 1e-6
+
+
 # -- secrets -----------------------------------------------------------------
 
 def brute_base(text):
@@ -119,6 +149,43 @@ def test_secret_linking(spark):
     assert credentials.scan_credentials(frame(spark, [])).count() == 0
 
 
+def brute_spans(text, scope=credentials.SCOPE):
+    """Base spans and linked weak parts of a text, from the rules in the module's words."""
+    parts = [(m.start(), k, m.end()) for k, (_, pattern, group, least) in enumerate(credentials.BASE + credentials.WEAK)
+             for m in re.finditer(pattern, text or "", re.A) if len(m.group(group)) >= least]
+    kinds = credentials.KINDS
+    out = [p for p in parts if p[1] < 3]
+    for a, k, b in (p for p in parts if p[1] >= 3):
+        near = [(x, kinds[o], y) for x, o, y in parts if abs(x - a) <= scope]
+        over = {o for x, o, y in near if x < b and a < y}
+        apart = {o for x, o, y in near if not (x < b and a < y)}
+        named, strong = apart & {"access", "identifier"}, apart & {"assign", "hex"}
+        says = {"identifier": strong or ("value" in apart and "endpoint" in apart),
+                "value": named and not over & {"identifier", "endpoint"},
+                "endpoint": named and (strong or "value" in apart)}[kinds[k]]
+        if says and not over & {"assign", "access", "hex"}:
+            out.append((a, k, b))
+    return sorted(out)
+
+
+def test_secret_linking_equals_brute_force(spark):
+    rng = random.Random(8)
+    docs = secret_texts()
+    for i in range(1000, 1150):  # sparse parts between fillers around the scope
+        texts = [t for _, t in docs[:20]]
+        bits = " ".join(texts).split(" ")
+        docs.append((i, "".join(rng.choice(bits) + " " * rng.choice([1, 30, 250, 390, 500]) for _ in range(12))))
+    docs.append((2000, " ".join(["account: someone https://host.example/x password=hunter22"] * 3000)))  # very many parts
+    got = sorted(((r.doc_id, r.spans) for r in credentials.scan_credentials(frame(spark, docs)).collect()), key=repr)
+    want = []
+    for i, t in docs:
+        spans = brute_spans(t) if i != 2000 else None
+        want.append((i, ",".join(f"{credentials.KINDS[k]}:{a}:{b}" for a, k, b in spans) if spans is not None else
+                     dict(got)[2000]))
+    assert got == sorted(want, key=repr)
+    assert dict(got)[2000].count("identifier:") == 3000 == dict(got)[2000].count("endpoint:")
+
+
 # -- token counts ------------------------------------------------------------
 
 def tokenizer():
@@ -196,6 +263,25 @@ def test_near_vectors(spark, monkeypatch):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_of_any_size_and_id(spark):
+    kind = "vec_id long, embedding array<double>, label int, key string, rep long"
+    data = [(1, [1.0, 1.0], 0), (2, [1e200, 1e200], 0), (3, [1e-200, 1e-200], 0), (4, [1e308, 1.0000001e308], 0),
+            (5, [1e-310, -1e-310], 0), (6, [1e200, -1e200], 0), (None, [2.0, 2.0], 0), (8, [1.0, 0.0], 1), (8, [0.0, 1.0], 1),
+            (8, None, 1), (9, [0.0, 3.0], 1)]
+    got = rows(near_vectors(spark.createDataFrame([(*r, "k", 1) for r in data], kind)))
+    assert sorted((r for r in got if r[0] not in (8, 9)), key=repr) == sorted(
+        [(1, 4, 1, True), (2, 4, 1, False), (3, 4, 1, False), (4, 4, 1, False), (5, 1, 5, True), (6, 1, 5, False),
+         (None, 4, 1, False)], key=repr)
+    assert [r for r in got if r[0] == 9] == [(9, 1, 8, False)]
+    assert sorted(r[1:] for r in got if r[0] == 8) == [(0, 8, True), (0, 8, True), (1, 8, True)]
+
+
+def test_documents_are_encoded_once(spark):
+    docs = frame(spark, edge_texts())
+    out = lengths.suffix_sums(lengths.length_histogram(docs, word_bpe()))
+    assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quantisation_bound_is_rigorous():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 48)) * rng.choice([1e-6, 1, 1e6], (400, 1))
