@@ -109,10 +109,16 @@ FACT_WEATHER = _schema(("fact_weather_id", L, False), ("date_id", D, False),
 
 # VARCHAR limits of the declared tables.
 VARCHAR_LIMITS = {
+    "bronze_production": {"turbine_name": 100, "location_name": 100, "region": 100, "status": 50,
+                          "responsible_department": 100, "wind_direction": 10, "source_file": 255,
+                          "batch_id": 100},
+    "bronze_weather": {"region": 100, "region_name": 255, "source_api": 100},
     "silver_production": {"turbine_name": 100, "location_name": 100, "region": 100,
                           "status": 50, "responsible_department": 100,
                           "wind_direction": 50, "time_period": 20},
     "silver_weather": {"region": 100, "region_name": 255, "time_period": 20},
+    "silver_enriched": {"region": 100, "region_name": 255, "turbine_name": 100, "status": 50,
+                        "responsible_department": 100, "wind_direction": 50, "time_period": 20},
     "turbine_dim": {"turbine_name": 100, "region": 50, "region_name": 200},
     "status_dim": {"status": 100, "responsible_department": 100},
     "location_dim": {"region": 50, "region_name": 200},

@@ -23,10 +23,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.operators.contracts import CONTRACTS, PRIMARY_KEYS, VARCHAR_LIMITS, cast_to_contract
+from starloom.operators.contracts import CONTRACTS, PRIMARY_KEYS, cast_to_contract
+from starloom.operators.rules import contract_rules
 from starloom.operators.upsert import ACTION, INSERT, dedupe_last, merge_upsert
 from starloom.operators.versions import Tables, part_text
 from starloom.session import cut_lineage
@@ -53,23 +54,6 @@ class IntegrityError(RuntimeError):
     pass
 
 
-def contract_rules(table: str, df: DataFrame) -> dict[str, Column]:
-    """Per declared rule of a table the condition of a row that breaks it: NOT NULL
-    columns holding NULL, VARCHAR columns holding longer text and values that
-    their declared type cannot hold.  ``df``: rows before the cast to the contract."""
-    rules = {}
-    for f in CONTRACTS[table].fields:
-        given = F.col(f.name) if f.name in df.columns else F.lit(None)
-        fits = given.try_cast(f.dataType)
-        if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
-            rules[f"{f.name} fits {f.dataType.simpleString()}"] = given.isNotNull() & fits.isNull()
-        if not f.nullable:
-            rules[f"{f.name} not null"] = fits.isNull()
-    for col, n in VARCHAR_LIMITS.get(table, {}).items():
-        rules[f"{col} varchar({n})"] = F.length(F.col(col)) > n
-    return rules
-
-
 class Gate:
     """The rules of a contract, observed on a source while it is first written.
 

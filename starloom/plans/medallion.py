@@ -10,6 +10,7 @@ driver tables.
 4. silver enriched: production LEFT JOIN weather of the touched dates,
    unique on (production_id, date, time) (O-14, trap 15).
 5. gold: dimensions, foreign-key gate, facts (O-16, O-17).
+6. the reports' mergeable states per date (O-75, O-76).
 
 A reading that a correction moves to another slot or date leaves its old
 one in every layer: steps 4 and 5 compute the touched dates anew, and a
@@ -33,8 +34,11 @@ from starloom.operators import star
 from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import BRONZE_WEATHER, SILVER_WEATHER, cast_to_contract
 from starloom.operators.enrich import JOIN_KEYS, enrich
-from starloom.operators.load import (LoadResult, require_contract, require_unique, stage_days,
-                                     stage_replacement, stage_star, stage_upsert)
+from starloom.operators.load import (LoadResult, require_unique, stage_days, stage_replacement, stage_star,
+                                     stage_upsert)
+from starloom.operators.registry import assign_ids
+from starloom.operators.report_state import IMPACT_KEYS, TOTAL_KEYS, daily_total_state, impact_state
+from starloom.operators.rules import contract_rules, length_rules, narrowest, split_rows
 from starloom.operators.timeseries import interpolate_day_grid
 from starloom.operators.versions import Tables
 from starloom.session import cut_lineage
@@ -42,6 +46,8 @@ from starloom.sources.csv import (DAY_COLUMN, FILE_ORDER, parse_production, read
                                   split_quarantine, to_bronze)
 from starloom.sources.payload import VARIABLES, payload_rows, read_payloads
 
+# Natural key of a weather slot.
+SLOT = ["date", "time", "region", "region_name"]
 # Fixed value: label of the weather source in bronze.
 SOURCE_LABEL = "weather-archive"
 
@@ -88,17 +94,21 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
 
     # 2. bronze weather
     grid = cut_lineage(bronze_weather(payloads), "weather-grid")
-    require_contract({"bronze_weather": grid})
     weather_days = [r[0] for r in grid.select("date").distinct().collect()]  # one per day
+    limits = narrowest(("silver_weather", "turbine_dim", "location_dim"))
+    grid, unfit = split_rows(grid, contract_rules("bronze_weather", grid)
+                             | length_rules({c: n for c, n in limits.items() if c in grid.columns}))
+    stage_days(tables, "quarantine_weather", unfit, "date", weather_days)
     stage_days(tables, "bronze_weather", cast_to_contract(grid, BRONZE_WEATHER), "date", weather_days)
 
     # 3. silver
     production = stage_upsert(tables, "silver_production", silver_production(bronze, keep=FILE_ORDER),
                               ["production_id"], FILE_ORDER, partition_col="date", newer_only=True,
                               contract="silver_production")
-    weather = stage_upsert(tables, "silver_weather",
-                           silver_weather(cast_to_contract(grid, BRONZE_WEATHER)),
-                           ["date", "time", "region", "region_name"], partition_col="date",
+    slots = silver_weather(cast_to_contract(grid, BRONZE_WEATHER))
+    known = tables.read("silver_weather").select(*SLOT, "weather_id") if tables.exists("silver_weather") else None
+    ids = assign_ids(slots, SLOT, "weather_id", known)
+    weather = stage_upsert(tables, "silver_weather", slots.drop("weather_id").join(ids, SLOT), SLOT, partition_col="date",
                            keep_from_target=["weather_id"], contract="silver_weather")
     out += [production, weather]
     if not tables.exists("silver_production"):
@@ -123,5 +133,9 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     # 5. gold: the facts of those dates are their whole new content
     e = tables.read("silver_enriched", dates)
     out += stage_star(tables, star.build_dimensions(e), star.build_facts(e, for_load=True), dates)
+
+    # 6. the reports' states of those dates
+    stage_replacement(tables, "report_totals", daily_total_state(e), TOTAL_KEYS, "date", dates)
+    stage_replacement(tables, "report_impact", impact_state(e), IMPACT_KEYS, "date", dates)
     tables.publish()
     return out

@@ -106,7 +106,7 @@ FROM fact_energy f LEFT JOIN turbine_dim t ON f.turbine_id = t.turbine_id
 GROUP BY f.date_id, f.turbine_id, t.turbine_name, t.region""",
     [("fact_energy", _FACT_ENERGY), ("turbine_dim", _TURBINE_DIM)])
 
-ORACLE["condition_impact"] = with_ctes(["enriched"], f"""
+_IMPACT = f"""
 SELECT region, gust_band, time_period, readings,
        CASE WHEN ne > 0 THEN {units_to_dec(half_away('se', 'ne'), 12, 2)} END AS avg_energy,
        CASE WHEN nt > 0 THEN {units_to_dec(half_away('st', 'nt'), 12, 2)} END AS avg_temperature,
@@ -119,7 +119,8 @@ FROM (
          covar_samp(CAST(energy_produced AS DOUBLE), CAST(wind_gust_10m AS DOUBLE)) AS cv,
          stddev_samp(CAST(energy_produced AS DOUBLE)) AS sx,
          stddev_samp(CAST(wind_gust_10m AS DOUBLE)) AS sy
-  FROM enriched GROUP BY ALL)""")
+  FROM enriched GROUP BY ALL)"""
+ORACLE["condition_impact"] = with_ctes(["enriched"], _IMPACT)
 
 ORACLE["availability"] = with_ctes(["enriched"], f"""
 SELECT f.turbine_id, t.turbine_name, t.region, count(*) AS readings,
@@ -475,6 +476,17 @@ SELECT *, CASE WHEN seconds > 0 THEN {units_to_dec(half_away('(seconds_in * 1000
 
 _SHIFTED_SLOT = "CASE WHEN ev.k = 7 THEN r.slot - INTERVAL 1 HOUR ELSE r.slot END"
 
+_CORRECTED = [("final", f"""
+    SELECT r.* EXCLUDE (measured_at, slot, energy_produced, date, time, day, month, quarter, year, hour_of_day,
+                        minute_of_hour, second_of_minute, time_period),
+           r.energy_produced + CASE WHEN ev.k = 7 THEN 50 ELSE 0 END AS energy_produced,
+           {TIME_ATTRS_SQL.format(ts=f"({_SHIFTED_SLOT})")}
+    FROM readings r JOIN ev ON ev.event_id = r.production_id"""),
+     ("weather", """
+    SELECT * REPLACE (CASE WHEN region = 'error' THEN NULL ELSE cloud_cover END AS cloud_cover)
+    FROM silver_weather WHERE NOT (region = 'signup' AND day(date) = 13)"""),
+     ("enriched", CTES["enriched"].replace("FROM readings r", "FROM final r").replace("silver_weather w", "weather w"))]
+
 ORACLE["medallion_incremental"] = with_ctes(["readings", "ev", "silver_weather"], """
 SELECT 'silver_production' AS table_name, production_id AS id, date, time, energy_produced::DOUBLE AS a,
        wind_speed::DOUBLE AS b, latitude::DOUBLE AS c, longitude::DOUBLE AS d, NULL::BIGINT AS key_1,
@@ -490,17 +502,16 @@ UNION ALL SELECT 'fact_weather', fact_weather_id, date_id, time_id, temperature_
 UNION ALL SELECT DISTINCT 'time_dim', NULL, NULL, time, hour_of_day, minute_of_hour, second_of_minute, NULL, NULL,
        NULL, time_period FROM (SELECT * FROM final UNION ALL BY NAME
        SELECT r.* EXCLUDE (measured_at, slot) FROM readings r JOIN ev ON ev.event_id = r.production_id WHERE ev.k <> 8)""",
-    [("final", f"""
-    SELECT r.* EXCLUDE (measured_at, slot, energy_produced, date, time, day, month, quarter, year, hour_of_day,
-                        minute_of_hour, second_of_minute, time_period),
-           r.energy_produced + CASE WHEN ev.k = 7 THEN 50 ELSE 0 END AS energy_produced,
-           {TIME_ATTRS_SQL.format(ts=f"({_SHIFTED_SLOT})")}
-    FROM readings r JOIN ev ON ev.event_id = r.production_id"""),
-     ("weather", """
-    SELECT * REPLACE (CASE WHEN region = 'error' THEN NULL ELSE cloud_cover END AS cloud_cover)
-    FROM silver_weather WHERE NOT (region = 'signup' AND day(date) = 13)"""),
-     ("enriched", CTES["enriched"].replace("FROM readings r", "FROM final r").replace("silver_weather w", "weather w")),
-     ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])
+    [*_CORRECTED, ("fact_energy", _FACT_ENERGY), ("fact_weather", _FACT_WEATHER)])
+
+ORACLE["reports_incremental"] = with_ctes(["readings", "ev", "silver_weather"], _IMPACT, _CORRECTED)
+
+ORACLE["contract_rows"] = """
+SELECT o_orderkey, concat_ws(', ', CASE WHEN o_orderpriority = '5-LOW' THEN 'priority_key not null' END,
+       CASE WHEN length(o_orderpriority) > 8 THEN 'o_orderpriority varchar(8)' END,
+       CASE WHEN length(o_orderstatus) > 1 THEN 'o_orderstatus varchar(1)' END,
+       CASE WHEN TRY_CAST(o_totalprice AS DECIMAL(7,2)) IS NULL THEN 'o_totalprice fits decimal(7,2)' END) AS broken
+FROM orders WHERE broken <> ''"""
 
 _TYPES = {"energy_produced": "DECIMAL(12,2)", "wind_speed": "DECIMAL(6,2)", "latitude": "DECIMAL(9,6)",
           "longitude": "DECIMAL(9,6)", "capacity": "INTEGER", "production_id": "BIGINT", "date": "DATE"}
@@ -517,6 +528,7 @@ DECIMAL_COLUMNS = {
     'availability': ('availability',),
     'availability_by_time': ('share',),
     'condition_impact': ('avg_energy', 'avg_temperature'),
+    'reports_incremental': ('avg_energy', 'avg_temperature'),
     'contract_cast': ('o_totalprice',),
     'csv_header_layouts': ('latitude', 'longitude', 'wind_speed', 'energy_produced'),
     'csv_typed_scan': ('latitude', 'longitude', 'wind_speed', 'energy_produced'),

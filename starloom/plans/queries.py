@@ -290,6 +290,16 @@ def check_limits_q(spark: SparkSession, sf: str) -> DataFrame:
     return a.unionByName(b)
 
 
+@register("contract_rows")
+def contract_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders that break a rule with the names of all rules they break, from
+    one projection over one scan."""
+    from starloom.operators.rules import BROKEN, column_rules, split_rows
+    o = st.with_priority_key(read_table(spark, sf, "orders"))
+    rules = column_rules(["priority_key"], {"o_orderpriority": 8, "o_orderstatus": 1}, {"o_totalprice": (7, 2)})
+    return split_rows(o, rules)[1].select("o_orderkey", F.array_join(BROKEN, ", ").alias("broken"))
+
+
 @register("date_gate")
 def date_gate_q(spark: SparkSession, sf: str) -> DataFrame:
     from starloom.operators.checks import date_gate
@@ -610,9 +620,8 @@ INCREMENTAL_ROWS = {
 }
 
 
-@register("medallion_incremental")
-def medallion_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of every layer after two loads: the second brings late readings and
+def _corrected_loads(spark: SparkSession, sf: str):
+    """The tables after two loads: the second brings late readings and
     corrections that move readings to other slots and dates."""
     from starloom.operators.versions import Tables
     from starloom.plans.fixtures import write_corrected_csv, write_payloads
@@ -621,7 +630,20 @@ def medallion_incremental(spark: SparkSession, sf: str) -> DataFrame:
     payloads, root = write_payloads(spark, sf), scratch_path(spark, "medallion")
     for csv_root in write_corrected_csv(spark, sf):
         run_day_load(spark, csv_root, payloads, root)
-    tables, out = Tables(spark, root), None
+    return Tables(spark, root)
+
+
+@register("reports_incremental")
+def reports_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The weather impact from the per-date states that two loads left."""
+    from starloom.operators.report_state import merged_impact
+    return merged_impact(_corrected_loads(spark, sf).read("report_impact"))
+
+
+@register("medallion_incremental")
+def medallion_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every layer after two loads with late and corrected readings."""
+    tables, out = _corrected_loads(spark, sf), None
     kinds = {"id": "bigint", "date": "date", "time": "string", **{c: "double" for c in "abcd"},
              "key_1": "bigint", "key_2": "bigint", "name": "string"}
     for table, columns in INCREMENTAL_ROWS.items():

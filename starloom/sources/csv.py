@@ -31,6 +31,7 @@ from starloom.functions.calendar import compose_event_time, parse_dash_time, par
 from starloom.functions.lineage import new_batch_id
 from starloom.functions.measures import to_decimal
 from starloom.operators.contracts import RAW_PRODUCTION_CSV
+from starloom.operators.rules import broken_rules, length_rules, narrowest
 
 CORRUPT = "_corrupt_record"
 DAY_COLUMN = "file_day"
@@ -39,6 +40,9 @@ MODIFIED_COLUMN = "file_modified"
 # modification time.
 FILE_ORDER = (DAY_COLUMN, MODIFIED_COLUMN)
 HEADER_BYTES = 1 << 16
+# Tables that a reading's text columns enter.
+ENTERED = ("bronze_production", "silver_production", "silver_enriched", "turbine_dim", "status_dim", "location_dim",
+           "fact_energy")
 # What is wrong with the layout of a row's file (NULL: nothing).
 LAYOUT = "_layout"
 
@@ -169,7 +173,8 @@ def parse_production(raw: DataFrame) -> DataFrame:
     """Raw CSV rows -> typed bronze columns plus ``_reason`` (NULL when the
     row is good).  The event time is composed from the date and time text
     before ``date`` is re-typed (trap 14).  A number that does not fit its
-    column (``out_of_range``), a row without its key (``missing_id``), a file
+    column (``out_of_range``), a text longer than a table it enters allows
+    (``too_long``, with the rules), a row without its key (``missing_id``), a file
     without a day (``no_day``) and a file of another layout (``missing_column``,
     ``unknown_column``, ``repeated_column``, with their names) send the row to
     quarantine."""
@@ -177,13 +182,15 @@ def parse_production(raw: DataFrame) -> DataFrame:
     for c, (p, s) in MEASURES.items():
         bad = F.col(c).isNotNull() & to_decimal(c, p, s).isNull()
         unfit = bad if unfit is None else unfit | bad
+    too_long = broken_rules(length_rules({c: n for c, n in narrowest(ENTERED).items() if c in raw.columns}))
     reason = (F.when(F.col(LAYOUT).isNotNull(), F.col(LAYOUT))
               .when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
               .when(F.col(DAY_COLUMN).isNull(), F.lit("no_day"))
               .when(F.col("production_id").isNull(), F.lit("missing_id"))
               .when(parse_iso_date("date").isNull(), F.lit("bad_date"))
               .when(parse_dash_time("time").isNull(), F.lit("bad_time"))
-              .when(unfit, F.lit("out_of_range")))
+              .when(unfit, F.lit("out_of_range"))
+              .when(F.size(too_long) > 0, F.concat(F.lit("too_long: "), F.array_join(too_long, ", "))))
     measure = {c: to_decimal(c, p, s).alias(c) for c, (p, s) in MEASURES.items()}
     return raw.select(
         F.col("production_id").cast("bigint").alias("production_id"),
