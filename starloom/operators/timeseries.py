@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 from starloom.functions.calendar import day_start, epoch_to_timestamp, time_text, to_local
 from starloom.functions.measures import half_away_sql
 
-SLOTS_PER_DAY_10MIN = 144
-
 
 def spine(days: DataFrame, date_col: str = "date", ts_col: str = "ts",
           step_minutes: int = 10) -> DataFrame:
@@ -70,16 +68,6 @@ def hourly_axis(start_epoch: Column | str, end_epoch: Column | str,
     return F.slice(axis, F.lit(1), n)
 
 
-def local_date_time(df: DataFrame, ts_utc: str, tz_col: str | None,
-                    out_ts: str = "ts") -> DataFrame:
-    """UTC timestamp -> region-local timestamp, date and ``HH:mm:ss`` text
-    (O-51, O-52)."""
-    local = to_local(F.col(ts_utc), F.col(tz_col)) if tz_col else F.col(ts_utc)
-    return (df.withColumn(out_ts, local)
-              .withColumn("date", F.to_date(F.col(out_ts)))
-              .withColumn("time", time_text(F.col(out_ts))))
-
-
 def tagged_union(samples: DataFrame, grid: DataFrame, ts_col: str, keys: Sequence[str],
                  distinct: bool = False) -> DataFrame:
     """Sample and grid timestamps in one frame tagged with ``source``

@@ -474,6 +474,23 @@ ORACLE["availability_by_time"] = _RUNS + f"""
         FROM (SELECT *, date_diff('second', start, stop) AS d FROM runs) GROUP BY user_id)
 SELECT *, CASE WHEN seconds > 0 THEN {units_to_dec(half_away('(seconds_in * 10000)', 'seconds'), 7, 4)} END AS share FROM s"""
 
+# Murmur3 (32 bits, seed 42) of ASCII text, word by word, in whole numbers below 2**32.
+_K1 = "((k * 3432918353) % 4294967296)"
+_K2 = f"((((({_K1} * 32768) % 4294967296) + {_K1} // 131072) * 461845907) % 4294967296)"
+_X = f"xor(h::BIGINT, ({_K2})::BIGINT)::HUGEINT"
+_STEP = f"((((({_X} * 8192) % 4294967296) + {_X} // 524288) * 5 + 3864292196) % 4294967296)::HUGEINT"
+ORACLE["key_murmur"] = f"""
+WITH t AS (SELECT c_custkey, c_name, c_mktsegment, concat_ws('_', c_name, c_mktsegment) AS s FROM customer),
+b AS (SELECT *, list_transform(string_split(s, ''), lambda c: ord(c)::HUGEINT) AS b FROM t),
+w AS (SELECT *, list_concat(list_transform(range(len(b) // 4), lambda i: b[4 * i + 1] + 256 * b[4 * i + 2]
+      + 65536 * b[4 * i + 3] + 16777216 * b[4 * i + 4]), b[len(b) // 4 * 4 + 1:]) AS w FROM b),
+m AS (SELECT *, xor(list_reduce(list_concat([42::HUGEINT], w), lambda h, k: {_STEP})::BIGINT, len(b)::BIGINT) AS h0 FROM w),
+f1 AS (SELECT *, (xor(h0, h0 >> 16)::HUGEINT * 2246822507 % 4294967296)::BIGINT AS h1 FROM m),
+f2 AS (SELECT *, (xor(h1, h1 >> 13)::HUGEINT * 3266489909 % 4294967296)::BIGINT AS h2 FROM f1),
+f3 AS (SELECT *, xor(h2, h2 >> 16) AS h3 FROM f2)
+SELECT c_custkey, c_name, c_mktsegment, abs(CASE WHEN h3 >= 2147483648 THEN h3 - 4294967296 ELSE h3 END) AS customer_key
+FROM f3"""
+
 _SHIFTED_SLOT = "CASE WHEN ev.k = 7 THEN r.slot - INTERVAL 1 HOUR ELSE r.slot END"
 
 _CORRECTED = [("final", f"""

@@ -18,6 +18,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, Str
                                StructField, StructType)
 
 from starloom.functions.calendar import to_local
+from starloom.functions.measures import nan_to_null
 from starloom.operators.timeseries import hourly_axis
 
 VARIABLES = ("wind_gusts_10m", "temperature_2m", "cloud_cover")
@@ -63,7 +64,7 @@ def payload_rows(payloads: DataFrame, variables: Sequence[str] = VARIABLES) -> D
     return rows.select(
         "region", "region_name", "latitude", "longitude", "ts_utc", "ts",
         F.to_date("ts").alias("date"),
-        *[F.when(~F.isnan(F.col(v)), F.col(v)).alias(v) for v in variables])
+        *[nan_to_null(v).alias(v) for v in variables])
 
 
 def lost_regions(expected: DataFrame, payloads: DataFrame,
