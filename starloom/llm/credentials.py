@@ -12,20 +12,25 @@ is reported only when its complements co-occur in its scope:
 * an endpoint: with an identifier and a secret.
 
 Weak parts that overlap a base span, and values inside an identifier or
-endpoint, are dropped.  Positions are prefix sums over the pieces between
-matches, one row per match; texts are never shuffled.  Everything is
-DataFrame and SQL functions.
+endpoint, are dropped.  One projection finds all patterns in a text; its
+sizes of matches and of the pieces between them are written, and positions
+are prefix sums over them, one row per match.  Texts are read once and never
+shuffled.  Everything is DataFrame and SQL functions.
 
 Edge cases: a null text is empty and has no spans; rows with equal id and
-text get the same result each; null ids are ids like others; an empty
-table gives no rows.
+text get the same result each; null ids are ids like others; very long
+texts are searched whole, and a text with very many parts has one row per
+part, which meets the parts of its neighbouring cells only; an empty table
+gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import cut_lineage
+
 SCOPE = 400
 
 # Base patterns (kind, pattern, group that must be long enough, its least length).
@@ -41,23 +46,47 @@ WEAK = [
     ("endpoint", r"""(?i)\b[a-z][a-z0-9+.-]*://[^\x20\x09-\x0D"'<>]+""", 0, 1),
 ]
 KINDS = [k for k, *_ in BASE + WEAK]
+# What every match of a kind holds; texts without it need no search.
+SIGNS = {"assign": [":", "="], "access": ["AKIA"], "identifier": [":", "="], "endpoint": ["://"]}
 KEY = ["doc", "at"]
 
 
-def matches(docs: DataFrame, kind: str, pattern: str, group: int, least: int) -> DataFrame:
-    """One row per match: key, number, kind, start, end (code points)."""
-    hit = docs.where(F.col("text").rlike(pattern)).withColumn("p", F.lit(pattern)).withColumn(
-        "m", F.expr("regexp_extract_all(text, p, 0)")).withColumn(
-        "g", F.expr(f"regexp_extract_all(text, p, {group})") if group else F.col("m")).withColumn(
-        "gaps", F.split("text", pattern))
-    one = hit.select(*KEY, F.posexplode(F.expr(
-        "zip_with(zip_with(m, gaps, (x, y) -> named_struct('size', length(x), 'gap', length(y))), g, "
-        "(x, y) -> named_struct('size', x.size, 'gap', x.gap, 'own', length(y)))")).alias("no", "x")) \
-        .where("x.size is not null").select(*KEY, "no", "x.*").distinct()
-    upto = Window.partitionBy(*KEY).orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return one.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto)) \
-        .where(F.col("own") >= least) \
-        .select(*KEY, F.lit(KINDS.index(kind)).alias("kind"), (F.col("end") - F.col("size")).alias("start"), "end")
+def matches() -> Column:
+    """Array of (kind, size, gap before, size of the group that must be long
+    enough) of the matches in ``text``, in order within each kind."""
+    text, found = F.col("text"), []
+
+    def of_kind(number: int, length):
+        def row(m, own):
+            return F.struct(F.lit(number).alias("kind"), m["size"].alias("size"), m["gap"].alias("gap"), own.alias("own"))
+        return (lambda m, g: row(m, length(g))) if length else (lambda m: row(m, m["size"]))
+
+    for number, (kind, pattern, group, _) in enumerate(BASE + WEAK):
+        may = F.lit(kind not in SIGNS)
+        for sign in SIGNS.get(kind, []):
+            may = may | F.contains(text, F.lit(sign))
+        if kind == "value":
+            may = text.rlike("[0-9]")
+        whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        sized = F.zip_with(whole, F.split(text, pattern), lambda m, gap: F.struct(
+            F.length(m).alias("size"), F.length(gap).alias("gap")))
+        if group:
+            each = F.zip_with(sized, F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), of_kind(number, F.length))
+        else:
+            each = F.transform(sized, of_kind(number, None))
+        # The piece behind the last match has no match.
+        found.append(F.when(may & text.rlike(pattern), F.filter(each, lambda m: m["size"].isNotNull())))
+    none = F.array().cast("array<struct<kind:int,size:int,gap:int,own:int>>")
+    return F.flatten(F.array(*[F.coalesce(f, none) for f in found]))
+
+
+def places(found: DataFrame) -> DataFrame:
+    """One row per match: key, kind, start, end (code points)."""
+    one = found.select(*KEY, F.posexplode("m").alias("no", "x")).select(*KEY, "no", "x.*").distinct()
+    upto = Window.partitionBy(*KEY, "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = F.element_at(F.array(*[F.lit(n) for *_, n in BASE + WEAK]), F.col("kind") + 1)
+    return one.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto)).where(F.col("own") >= least) \
+        .select(*KEY, "kind", (F.col("end") - F.col("size")).alias("start"), "end")
 
 
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -95,14 +124,10 @@ def scan_credentials(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base_sha256, spans, n_linked`` (spans: kind:start:end, comma-joined)."""
     src = docs.select(F.col(id_col).cast("long").alias("doc"),
                       F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("at", F.xxhash64("text"))
-    base = weak = None
-    for spec in BASE:
-        one = matches(src, *spec)
-        base = one if base is None else base.unionByName(one)
-    for spec in WEAK:
-        one = matches(src, *spec)
-        weak = one if weak is None else weak.unionByName(one)
-    spans = base.unionByName(linked(base.unionByName(weak), scope))
+    # The one pass over the texts; only sizes go on.
+    found = cut_lineage(src.select(*KEY, matches().alias("m")), "secret-matches")
+    parts = cut_lineage(places(found), "secret-parts")
+    spans = parts.where(F.col("kind") < len(BASE)).unionByName(linked(parts, scope))
     names = F.array(*[F.lit(k) for k in KINDS])
     by_text = spans.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s")) \
         .withColumn("names", names)
@@ -114,7 +139,7 @@ def scan_credentials(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.array_join(F.expr(say.format(f"filter(s, x -> x.kind < {len(BASE)})")), ",").alias("base"),
         F.array_join(F.expr(say.format("s")), ",").alias("spans"))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return src.select("doc", "at").join(
+    return found.select(*KEY).join(
         lists, F.col("doc").eqNullSafe(F.col("d")) & (F.col("at") == F.col("a")), "left").select(
         F.col("doc").alias("doc_id"), count("n_assign"), count("n_access"), count("n_hex"),
         F.sha2(F.coalesce("base", F.lit("")), 256).alias("base_sha256"),
