@@ -13,9 +13,10 @@ time).  Sets that share such a shingle form a block.
 *Which pairs can link.*  Shingles are hashed into groups and a set becomes
 the point of its group counts; the overlap of two sets is at most the sum
 of the coordinate minima of their points.  The points of a block are put
-in an R-tree whose nodes hold the upper corner and the sizes of their
-points, and pairs are searched in the tree with that bound.  Blocks larger
-than ``TILE`` are split into tiles that meet pairwise.
+in an R-tree whose nodes, up to the root, hold the upper corner and the
+sizes of their points, and pairs are searched from the root down with that
+bound (a block of up to ``LEAF`` points is one leaf), in both rounds.
+Blocks larger than ``TILE`` are split into tiles that meet pairwise.
 
 *Verification.*  Surviving pairs are intersected shingle by shingle.  The
 first round keeps the rows of the blocks with any surviving partner and
@@ -33,7 +34,8 @@ two share a hash with probability 3e-4.
 Edge cases: null and empty texts have no words: an empty set, linked with
 nothing; a text of one to three words is one shingle; repeated rows give
 one row each; a null id never names a component unless all ids of the
-component are null.
+component are null; very long texts are sets of all their shingles; an empty
+table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -60,6 +62,7 @@ TILE = 1024
 TILE_SHINGLES = 1 << 19
 BUCKET_SHINGLES = 1 << 20
 LEAF = 32
+FAN_OUT = 8
 SLAB = 512
 PER_GROUP = 4
 FILTER_BITS = 17  # words of 64 bits: one MB
@@ -210,8 +213,9 @@ def sets_task(size: int, bits: np.ndarray):
 
 
 class CountTree:
-    """R-tree over count vectors: leaves of similar points with their upper
-    corner, smallest and largest size."""
+    """R-tree over count vectors.  Every node holds the upper corner of its
+    points and their smallest and largest size; leaves have up to ``LEAF``
+    points, inner nodes ``FAN_OUT`` nodes of the level below."""
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, percent: int):
         self.percent = percent
@@ -220,21 +224,29 @@ class CountTree:
             slab = order[a:a + SLAB]
             axis = int(points[slab].var(axis=0).argmax())
             order[a:a + SLAB] = slab[np.argsort(points[slab, axis], kind="stable")]
-        self.rows = [order[a:a + LEAF] for a in range(0, len(order), LEAF)]
-        self.points, self.sizes = points, sizes
-        self.upper = np.stack([points[r].max(axis=0) for r in self.rows])
-        self.least = np.array([sizes[r].min() for r in self.rows])
-        self.most = np.array([sizes[r].max() for r in self.rows])
+        self.points, self.sizes, self.order = points, sizes, order
+        first = np.arange(0, len(order), LEAF)
+        self.levels = [(np.maximum.reduceat(points[order], first), np.minimum.reduceat(sizes[order], first),
+                        np.maximum.reduceat(sizes[order], first))]
+        while len(self.levels[-1][1]) > FAN_OUT:
+            upper, least, most = self.levels[-1]
+            first = np.arange(0, len(least), FAN_OUT)
+            self.levels.append((np.maximum.reduceat(upper, first), np.minimum.reduceat(least, first),
+                                np.maximum.reduceat(most, first)))
 
     def search(self, point: np.ndarray, n: int) -> np.ndarray:
         """Rows whose overlap bound with the point reaches the threshold."""
         p = self.percent
-        near = np.flatnonzero((100 * n >= p * self.least) & (100 * self.most >= p * n))
-        bound = np.minimum(self.upper[near], point).sum(axis=1)
-        near = near[may_link(bound, n, np.maximum(self.least[near], -(-p * n // 100)), p)]
-        if not len(near):
-            return near
-        rows = np.concatenate([self.rows[i] for i in near])
+        near = np.arange(len(self.levels[-1][1]))
+        for level in range(len(self.levels) - 1, -1, -1):  # from the root down
+            upper, least, most = self.levels[level]
+            near = near[(100 * n >= p * least[near]) & (100 * most[near] >= p * n)]
+            bound = np.minimum(upper[near], point).sum(axis=1)
+            near = near[may_link(bound, n, np.maximum(least[near], -(-p * n // 100)), p)]
+            fan, below = (FAN_OUT, len(self.levels[level - 1][1])) if level else (LEAF, len(self.order))
+            near = (near[:, None] * fan + np.arange(fan)).ravel()
+            near = near[near < below]
+        rows = self.order[near]
         size = self.sizes[rows]
         rows = rows[(100 * n >= p * size) & (100 * size >= p * n)]
         bound = np.minimum(self.points[rows], point).sum(axis=1)
@@ -352,9 +364,20 @@ def joining_links(percent: int):
                     parent[max(a, b)] = min(a, b)
                     links.append((int(blocks.sets[i]), int(blocks.sets[j])))
 
-        near = blocks.near_pairs()
-        for i, j in near.T:
-            compare(int(i), [int(j)])
+        points: dict[int, np.ndarray] = {}
+
+        def point(i: int) -> np.ndarray:
+            if i not in points:
+                points[i] = group_counts(shingles(i))
+            return points[i]
+
+        for i, j in blocks.near_pairs().T:
+            # One leaf: its points are bounded one by one.
+            a, b = point(int(i)), point(int(j))
+            least = min(len(a), len(b))
+            if may_link(np.minimum(fold(a, least), fold(b, least)).sum(), blocks.n[i], blocks.n[j], percent):
+                compare(int(i), [int(j)])
+        points.clear()
         for i, hit in blocks.large(lambda i: group_counts(shingles(i))):
             compare(i, hit)
         return pa.table({"a": pa.array([min(x) for x in links], pa.int64()),
