@@ -12,13 +12,14 @@ module in ``license_texts``; titles that LICENSE files bear are listed.
 
 Every known text holds one of the ``ANCHORS``; texts without any of them
 cannot match and are not normalised (a lossless filter).  Only matches are
-grouped and joined back; texts are never shuffled.  The table of known
-texts is a constant of this module, hence small enough to broadcast.
-Everything is DataFrame and SQL functions.
+grouped and joined back; texts are never shuffled.  Spark broadcasts the
+known texts where their size allows.  Everything is DataFrame and SQL
+functions.
 
 Edge cases: null and empty texts, and texts that are empty once
 normalised, match nothing; rows with equal id and text get the same result
-each; an empty table gives no rows.
+each; very long texts are searched whole, a line and a block at a time; an
+empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -157,6 +158,8 @@ def canonical(text: Column) -> Column:
 
 
 BLOCKS = r"\n[\x20\t]*\n"
+# First blocks of known texts, which are a literal in the plan.
+MOST_RUNS = 10000
 
 
 def block_digests(text: Column) -> Column:
@@ -186,15 +189,16 @@ def known_runs(spark: SparkSession, known: list[tuple[str, str]] | None = None)
 
 def find_runs(src: DataFrame, runs: DataFrame) -> DataFrame:
     """``doc, at, unit, no, license`` where blocks of a document are a run of known blocks."""
-    # One row: the first digests and the longest run, of fixed size.
-    bounds = runs.agg(F.collect_set("first").alias("firsts"), F.max(F.size("run")).alias("most"))
-    starts = src.select("doc", "at", block_digests(F.col("text")).alias("b")).where("size(b) > 1") \
-        .crossJoin(F.broadcast(bounds)).select("doc", "at", F.explode(F.expr(
-            """transform(filter(sequence(0, size(b) - 1), i -> array_contains(firsts, get(b, i))),
-                         i -> named_struct('no', i, 'blocks', slice(b, i + 1, most)))""")).alias("s")) \
-        .select("doc", "at", "s.*")
+    firsts = [r[0] for r in runs.select("first").distinct().limit(MOST_RUNS + 1).collect()]
+    if len(firsts) > MOST_RUNS:
+        raise ValueError(f"more than {MOST_RUNS} known texts of several blocks")
+    longest = runs.agg(F.coalesce(F.max(F.size("run")), F.lit(0))).first()[0]
+    begin = F.array(*[F.lit(f) for f in firsts]).cast("array<string>")
+    starts = src.select("doc", "at", block_digests(F.col("text")).alias("b")).where("size(b) > 1").withColumn(
+        "n", F.explode(F.filter(F.sequence(F.lit(0), F.size("b") - 1), lambda i: F.array_contains(begin, F.get("b", i))))) \
+        .select("doc", "at", F.col("n").alias("no"), F.slice("b", F.col("n") + 1, F.lit(max(longest, 1))).alias("blocks"))
     same = (F.col("blocks")[0] == F.col("first")) & (F.expr("slice(blocks, 1, size(run))") == F.col("run"))
-    return starts.join(F.broadcast(runs), same).select("doc", "at", F.lit("run").alias("unit"), "no", "license")
+    return starts.join(runs, same).select("doc", "at", F.lit("run").alias("unit"), "no", "license")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id",
@@ -202,8 +206,8 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
     """One row per document: ``doc_id, whole_license`` (the document is that
     licence), ``licenses`` (comma-joined, of the document, its blocks, runs of
     blocks and lines) and ``n_matches`` (matching lines, blocks, runs and documents).
-    ``known``: digest, license, ``runs``: first, run, license; tables of one's
-    own must fit a broadcast, and with ``known`` alone no runs are looked up."""
+    ``known``: digest, license, ``runs``: first, run, license (at most
+    ``MOST_RUNS`` first blocks); with ``known`` alone no runs are looked up."""
     if known is None and runs is None:
         runs = known_runs(docs.sparkSession)
     known = known if known is not None else known_digests(docs.sparkSession)
@@ -216,7 +220,7 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None, id_col: str =
         .select("doc", "at", "u.*").where(F.col("body").rlike(ANCHORS))
     digests = units.withColumn("body", canonical(F.col("body"))).where("body <> ''") \
         .select("doc", "at", "unit", "no", F.sha2("body", 256).alias("digest"))
-    hits = digests.join(F.broadcast(known), "digest").select("doc", "at", "unit", "no", "license")
+    hits = digests.join(known, "digest").select("doc", "at", "unit", "no", "license")
     if runs is not None:
         hits = hits.unionByName(find_runs(src.where(F.col("text").rlike(ANCHORS)), runs))
     hits = hits.groupBy("doc", "at", "unit", "no") \
