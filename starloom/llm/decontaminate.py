@@ -17,12 +17,13 @@ document merged by an aggregate.
 Edge cases: null and empty texts have no words (never contaminated);
 repeated documents give one row each; an item without words matches
 nothing; items sharing an id count once; windows of items with a null id
-mark words but are not listed; an empty benchmark hits nothing.
+mark words but are not listed; very long texts are searched whole; an empty
+benchmark hits nothing; other columns are ignored (``flag_contaminated``
+carries them in ``row``), whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -156,10 +157,6 @@ class Search:
         return np.diff(w.first), spans, [sorted(x, key=str) for x in items]
 
 
-def digest(items: list[int]) -> str:
-    return hashlib.sha256(",".join(map(str, sorted(items, key=str))).encode()).hexdigest()
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                   item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:

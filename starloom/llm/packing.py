@@ -18,7 +18,9 @@ task's partition number in its upper bits: it is unique, and a task that
 is run again after the loss of an executor gives the same ids.
 
 Edge cases: a null or empty text is the end id alone; repeated documents
-are packed each; an empty table gives no rows; an id may be null.
+are packed each; a very long text is cut into pieces like any other; an
+empty table gives no rows; an id may be null; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ windows (30 GB of documents) 3e-5 false matches are expected.
 Edge cases: a null text has no words; a document shorter than the window
 keeps all its words; documents with equal ids never remove each other's
 words; documents with a null id are kept whole and remove nothing;
-repeated rows give one row each; an empty table gives no rows.
+repeated rows give one row each; very long texts are windowed whole; an
+empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -55,11 +55,6 @@ class Words:
     def hashes(self, seed: int = 0) -> np.ndarray:
         return hash_spans(self.buf, self.start, self.end, seed)
 
-    def joined(self, lo: int, hi: int) -> bytes:
-        """Words lo to hi (exclusive) joined by one space."""
-        return b" ".join([self.buf[s:e].tobytes()
-                          for s, e in zip(self.start[lo:hi], self.end[lo:hi], strict=True)])
-
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after another, and len + 1 offsets."""
