@@ -9,7 +9,8 @@ truncated to L.  They are computed in ranges of ``RANGE`` lengths, with
 the totals of the ranges added, so no window spans the whole histogram.
 
 Edge cases: null and empty texts have length 0; repeated rows count each;
-an empty table gives an empty histogram.
+a very long text is encoded whole, by itself; an empty table gives an empty
+histogram; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.encode import encoder
 from starloom.llm.words import slices
+from starloom.session import cut_lineage
 
 RANGE = 1024
 
@@ -45,6 +47,7 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     """Per length L of the histogram: ``n_docs`` of that length,
     ``docs_longer`` (over L), ``docs_upto``, ``tokens_upto`` (of documents
     up to L), ``total_tokens`` and ``truncated_tokens`` (sum of min(length, L))."""
+    histogram = cut_lineage(histogram, "length-histogram")  # documents are encoded once
     h = histogram.withColumn("part", F.floor(F.col("n_tokens") / RANGE))
     whole = h.groupBy("part").agg(F.sum("n_docs").alias("d"),
                                   F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
