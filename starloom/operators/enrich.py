@@ -12,22 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from starloom.functions.keys import stable_key
+from starloom.operators.contracts import SILVER_ENRICHED, SILVER_PRODUCTION, SILVER_WEATHER
 
 JOIN_KEYS = ("date", "time", "region")
 
-READING_COLS = ("production_id", "date", "time", "turbine_name", "capacity", "latitude",
-                "longitude", "region", "status", "responsible_department", "wind_speed",
-                "wind_direction", "energy_produced", "day", "month", "quarter", "year",
-                "hour_of_day", "minute_of_hour", "second_of_minute", "time_period")
-WEATHER_COLS = ("weather_id", "date", "time", "region", "region_name", "wind_gusts_10m",
-                "temperature_2m", "cloud_cover")
-
-ENRICHED_ORDER = ("prod_enriched_id", "production_id", "weather_id", "date", "time",
-                  "latitude", "longitude", "region", "region_name", "turbine_name",
-                  "capacity", "status", "responsible_department", "energy_produced",
-                  "wind_speed", "wind_gust_10m", "wind_direction", "temperature_2m",
-                  "cloud_cover", "day", "month", "quarter", "year", "hour_of_day",
-                  "minute_of_hour", "second_of_minute", "time_period")
+RENAMED = {"wind_gusts_10m": "wind_gust_10m"}
+ENRICHED_ORDER = tuple(SILVER_ENRICHED.names)
+# What the enriched table takes from either side.
+READING_COLS = tuple(c for c in SILVER_PRODUCTION.names if c in ENRICHED_ORDER)
+WEATHER_COLS = tuple(c for c in SILVER_WEATHER.names if c in JOIN_KEYS
+                     or RENAMED.get(c, c) in ENRICHED_ORDER and c not in READING_COLS)
 
 
 def enrich(readings: DataFrame, weather: DataFrame) -> DataFrame:
@@ -37,7 +31,7 @@ def enrich(readings: DataFrame, weather: DataFrame) -> DataFrame:
     coordinates and the weather's region_name, renames the gust column
     (O-25) and gets a stable surrogate ``prod_enriched_id`` (O-21)."""
     r = readings.select(*READING_COLS)
-    w = weather.select(*WEATHER_COLS).withColumnRenamed("wind_gusts_10m", "wind_gust_10m")
+    w = weather.select(*WEATHER_COLS).withColumnsRenamed(RENAMED)
     j = r.join(w, list(JOIN_KEYS), "left")
     return j.select(stable_key("production_id", "date", "time").alias("prod_enriched_id"),
                     *[c for c in ENRICHED_ORDER if c != "prod_enriched_id"])

@@ -17,14 +17,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import stable_key
+from starloom.operators.contracts import CONTRACTS
 
 KeyFn = Callable[..., Column]
 
-TURBINE_ATTRS = ("turbine_name", "capacity", "latitude", "longitude", "region", "region_name")
-TURBINE_KEY = ("turbine_name", "region")
-STATUS_ATTRS = ("status", "responsible_department")
-LOCATION_ATTRS = ("latitude", "longitude", "region", "region_name")
-LOCATION_KEY = ("region", "latitude", "longitude")
+# Natural key of each dimension.  One that is not among the dimension's
+# attributes (a date, a time of day) is its id; else the id is a hash of it.
+NATURAL_KEYS = {
+    "date_dim": ("date",), "time_dim": ("time",), "turbine_dim": ("turbine_name", "region"),
+    "status_dim": ("status", "responsible_department"), "location_dim": ("region", "latitude", "longitude"),
+}
+TURBINE_ATTRS, STATUS_ATTRS, LOCATION_ATTRS = (
+    tuple(CONTRACTS[n].names[1:]) for n in ("turbine_dim", "status_dim", "location_dim"))
+TURBINE_KEY, STATUS_KEY, LOCATION_KEY = (NATURAL_KEYS[n] for n in ("turbine_dim", "status_dim", "location_dim"))
 
 
 def collapse_last(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
@@ -55,50 +60,41 @@ def _keyed(attrs: Sequence[str], key_parts: Sequence[str], key_name: str,
     return [key.alias(key_name)]
 
 
+def dimension(enriched: DataFrame, name: str, key_fn: KeyFn = stable_key, collapse: bool = True) -> DataFrame:
+    """The dimension that contract ``name`` declares (O-26, O-38, O-40..O-44):
+    its id column first, then its attributes.  Where the natural key is
+    narrower than the row, variants of one key are collapsed with an explicit
+    order, grouped by the natural key, so two of them never merge on a hash."""
+    id_col, *attrs = CONTRACTS[name].names
+    natural = NATURAL_KEYS[name]
+    hashed = set(natural) <= set(attrs)
+    key = key_fn(*natural) if hashed else F.col(natural[0])
+    rows = enriched.select(*dict.fromkeys([*natural, *attrs])).distinct().select(key.alias(id_col), *attrs)
+    return collapse_last(rows, [id_col, *natural]) if collapse and hashed and len(natural) < len(attrs) else rows
+
+
 def date_dim(enriched: DataFrame) -> DataFrame:
-    """O-40: distinct calendar rows keyed by the date."""
-    return (enriched.select("date", "day", "month", "quarter", "year").distinct()
-            .withColumnRenamed("date", "date_id"))
+    return dimension(enriched, "date_dim")
 
 
 def time_dim(enriched: DataFrame) -> DataFrame:
-    """O-41: distinct clock rows keyed by the ``HH:mm:ss`` text."""
-    return (enriched.select("time", "hour_of_day", "minute_of_hour", "second_of_minute",
-                            "time_period").distinct()
-            .withColumnRenamed("time", "time_id"))
+    return dimension(enriched, "time_dim")
 
 
 def turbine_dim(enriched: DataFrame, key_fn: KeyFn = stable_key, collapse: bool = True) -> DataFrame:
-    """O-42: turbines keyed on (name, region).  The key is narrower than the
-    row, so variants of one turbine are collapsed with an explicit order."""
-    d = (enriched.select(*TURBINE_ATTRS).distinct()
-         .select(key_fn(*TURBINE_KEY).alias("turbine_id"), *TURBINE_ATTRS))
-    # Grouped by the natural key, so two turbines never merge on a hash.
-    return collapse_last(d, ["turbine_id", *TURBINE_KEY]) if collapse else d
+    return dimension(enriched, "turbine_dim", key_fn, collapse)
 
 
 def status_dim(enriched: DataFrame, key_fn: KeyFn = stable_key) -> DataFrame:
-    """O-43: operational status keyed on (status, department)."""
-    return (enriched.select(*STATUS_ATTRS).distinct()
-            .select(key_fn(*STATUS_ATTRS).alias("status_id"), *STATUS_ATTRS))
+    return dimension(enriched, "status_dim", key_fn)
 
 
 def location_dim(enriched: DataFrame, key_fn: KeyFn = stable_key, collapse: bool = True) -> DataFrame:
-    """O-44: locations keyed on (region, latitude, longitude); the key
-    ignores region_name, so name variants are collapsed."""
-    d = (enriched.select(*LOCATION_ATTRS).distinct()
-         .select(key_fn(*LOCATION_KEY).alias("location_id"), *LOCATION_ATTRS))
-    return collapse_last(d, ["location_id", *LOCATION_KEY]) if collapse else d
+    return dimension(enriched, "location_dim", key_fn, collapse)
 
 
 def build_dimensions(enriched: DataFrame, key_fn: KeyFn = stable_key) -> dict[str, DataFrame]:
-    return {
-        "date_dim": date_dim(enriched),
-        "time_dim": time_dim(enriched),
-        "turbine_dim": turbine_dim(enriched, key_fn),
-        "status_dim": status_dim(enriched, key_fn),
-        "location_dim": location_dim(enriched, key_fn),
-    }
+    return {name: dimension(enriched, name, key_fn) for name in NATURAL_KEYS}
 
 
 def key_lookup(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
@@ -116,12 +112,6 @@ def key_lookup(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,
     return fact.join(d, cond, "left").drop(*[f"_d_{a}" for a in attrs])
 
 
-ENERGY_COLS = ("fact_production_id", "date_id", "time_id", "turbine_id", "status_id",
-               "energy_produced", "wind_speed", "wind_direction")
-WEATHER_COLS = ("fact_weather_id", "date_id", "time_id", "location_id", "temperature_2m",
-                "cloud_cover", "wind_gust_10m", "wind_speed")
-
-
 def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool = False,
                    dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """Attach turbine_id, status_id and location_id.
@@ -133,7 +123,7 @@ def with_fact_keys(enriched: DataFrame, key_fn: KeyFn = stable_key, strict: bool
         return enriched.select(
             "*",
             *_keyed(TURBINE_ATTRS, TURBINE_KEY, "turbine_id", key_fn, strict),
-            *_keyed(STATUS_ATTRS, STATUS_ATTRS, "status_id", key_fn, strict),
+            *_keyed(STATUS_ATTRS, STATUS_KEY, "status_id", key_fn, strict),
             *_keyed(LOCATION_ATTRS, LOCATION_KEY, "location_id", key_fn, strict),
         )
     out = key_lookup(enriched, dims["turbine_dim"], TURBINE_ATTRS, "turbine_id", not strict)
