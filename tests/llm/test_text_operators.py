@@ -292,6 +292,64 @@ def test_license_files(spark):
     assert got[200].licenses == "" and got[201].licenses == "" and got[202].licenses == "ISC,MIT"
 
 
+def brute_canonical(text):
+    import regex
+    text = regex.sub(licenses.COPYRIGHT_LINE, "", text).lower()
+    for old, new in licenses.SPELLINGS:
+        text = regex.sub(old, new, text)
+    return regex.sub(r"[^\p{L}\p{N}]+", " ", text).strip()
+
+
+def brute_licenses(docs):
+    """Digest lookup without digests: canonical texts of documents, blocks, lines and runs of blocks."""
+    import regex
+    whole = licenses.whole_texts()
+    names: dict = {}
+    for name, t in licenses.KNOWN + whole + licenses.titled(whole):
+        names.setdefault(brute_canonical(t), set()).add(name)
+    blocks = lambda t: [c for c in map(brute_canonical, regex.split(licenses.BLOCKS, t)) if c]
+    runs = {(tuple(blocks(t)), name) for name, t in whole if len(blocks(t)) > 1}
+    out = []
+    for i, t in docs:
+        hits: dict = {}
+        if t is not None:
+            units = [("text", 0, t), *(("block", k, x) for k, x in enumerate(regex.split(licenses.BLOCKS, t))),
+                     *(("line", k, x) for k, x in enumerate(t.split("\n")))]
+            for unit, k, x in units:
+                if (c := brute_canonical(x)) in names and c:
+                    hits.setdefault((unit, k), set()).update(names[c])
+            own = blocks(t)
+            for k in range(len(own)):
+                for run, name in runs:
+                    if tuple(own[k:k + len(run)]) == run and len(own) > 1:
+                        hits.setdefault(("run", k), set()).add(name)
+        least = {k: min(v) for k, v in hits.items()}
+        out.append((i, least.get(("text", 0)), ",".join(sorted(set(least.values()))), len(least)))
+    return sorted(out, key=repr)
+
+
+def test_licenses_equal_brute_force(spark):
+    import random
+    rng = random.Random(12)
+    texts = [t for _, t in licenses.KNOWN] + [t for _, t in licenses.whole_texts() if len(t) < 12000]
+    parts = ["an ordinary line", "Copyright (c) 2021 Someone", "All rights reserved.", "the licence of this", "permission",
+             "Licensed under CC BY 4.0.", "MIT License"]
+    docs = list(edge_texts())
+    for i in range(100, 220):
+        bits = []
+        for _ in range(rng.randint(1, 5)):
+            t = rng.choice([rng.choice(texts), rng.choice(parts)])
+            if rng.random() < .3:
+                t = rng.choice([t.upper(), t.replace(",", " ;"), t.replace("License", "Licence"), t.replace("\n\n", "\n \t\n"),
+                                "\n\n".join(t.split("\n\n")[:2]), "# " + t, t.replace("the", "teh", 1)])
+            bits.append(t)
+        docs.append((i, rng.choice(["\n", "\n\n", "\n\n"]).join(bits)))
+    docs += [(300, "permission of a long text\n" * 40000), docs[-1], docs[-1], (None, docs[-2][1])]
+    out = licenses.scan_licenses(frame(spark, docs))
+    assert rows(out.select("doc_id", "whole_license", "licenses", "n_matches")) == brute_licenses(docs)
+    assert sum(r[3] for r in brute_licenses(docs)) > 100
+
+
 def test_every_known_text_has_an_anchor():
     import re
     assert all(re.search(licenses.ANCHORS, text) for _, text in licenses.KNOWN)
