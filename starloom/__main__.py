@@ -43,7 +43,8 @@ def main(argv: list[str] | None = None) -> int:
                            date_range=(a.lo, a.hi) if a.lo else None)
         for r in res:
             print(json.dumps({"table": r.table, "processed": r.processed, "inserted": r.inserted,
-                              "updated": r.updated, "avoided": r.avoided, "skipped": r.skipped}))
+                              "updated": r.updated, "avoided": r.avoided, "deleted": r.deleted,
+                              "dropped": r.dropped, "skipped": r.skipped}))
         return 0
 
     from starloom.operators import reports
@@ -53,8 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.name == "daily_totals":
         df = reports.daily_totals(t["fact_energy"], t["turbine_dim"])
     elif a.name == "availability":
-        df = reports.availability(t["fact_energy"], t["status_dim"], t["turbine_dim"],
-                                  a.available_status)
+        df = reports.availability(t["fact_energy"], a.available_status, t["status_dim"],
+                                  t["turbine_dim"])
     else:
         df = reports.condition_impact(tables.read("silver_enriched"))
     df.write.mode("overwrite").parquet(f"{a.out}/reports/{a.name}")

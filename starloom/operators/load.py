@@ -43,6 +43,7 @@ class LoadResult:
     updated: int
     skipped: bool = False
     deleted: int = 0
+    dropped: int = 0  # source rows that the table does not take
     touched: list = field(default_factory=list)
 
     @property

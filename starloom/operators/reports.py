@@ -11,15 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.measures import div_half_away, from_units, to_units
+from starloom.operators.star import TURBINE_KEY
 
 
-def daily_totals(fact_energy: DataFrame, turbine_dim: DataFrame) -> DataFrame:
-    """Energy per date and turbine, with the turbine's name and region."""
-    agg = fact_energy.groupBy("date_id", "turbine_id").agg(
+def _named(aggregated: DataFrame, turbine_dim: DataFrame | None) -> DataFrame:
+    """Add the turbine's natural key, unless the aggregate carries it."""
+    if turbine_dim is None:
+        return aggregated
+    return aggregated.join(turbine_dim.select("turbine_id", *TURBINE_KEY), "turbine_id", "left")
+
+
+def daily_totals(fact_energy: DataFrame, turbine_dim: DataFrame | None = None) -> DataFrame:
+    """Energy per date and turbine, with the turbine's name and region: from its
+    dimension or, if the fact still carries them, from the fact's rows (an id
+    is a hash of them, so they add no group)."""
+    own = [] if turbine_dim is not None else list(TURBINE_KEY)
+    agg = fact_energy.groupBy("date_id", "turbine_id", *own).agg(
         F.sum("energy_produced").cast("decimal(18,2)").alias("total_energy"),
         F.count(F.lit(1)).alias("readings"))
-    names = turbine_dim.select("turbine_id", "turbine_name", "region")
-    return agg.join(names, "turbine_id", "left").select(
+    return _named(agg, turbine_dim).select(
         "date_id", "turbine_id", "turbine_name", "region", "total_energy", "readings")
 
 
@@ -53,20 +63,22 @@ def condition_impact(enriched: DataFrame, gust_band: int = 50) -> DataFrame:
     )
 
 
-def availability(fact_energy: DataFrame, status_dim: DataFrame, turbine_dim: DataFrame,
-                 available_status: str) -> DataFrame:
-    """Share of readings per turbine whose status is ``available_status``."""
-    per_status = fact_energy.groupBy("turbine_id", "status_id").agg(
-        F.count(F.lit(1)).alias("_n"))
-    st = status_dim.select("status_id", (F.col("status") == F.lit(available_status))
-                           .alias("_ok"))
-    f = per_status.join(st, "status_id", "left")
-    agg = f.groupBy("turbine_id").agg(
+def availability(fact_energy: DataFrame, available_status: str, status_dim: DataFrame | None = None,
+                 turbine_dim: DataFrame | None = None) -> DataFrame:
+    """Share of readings per turbine whose status is ``available_status``; status and
+    names from the dimensions or, if the fact still carries them, from its rows."""
+    ok = F.col("status") == F.lit(available_status)
+    own = [] if turbine_dim is not None else list(TURBINE_KEY)
+    if status_dim is None:
+        f = fact_energy.groupBy("turbine_id", "status_id", *own, ok.alias("_ok")).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        f = fact_energy.groupBy("turbine_id", "status_id", *own).agg(F.count(F.lit(1)).alias("_n")) \
+            .join(status_dim.select("status_id", ok.alias("_ok")), "status_id", "left")
+    agg = f.groupBy("turbine_id", *own).agg(
         F.sum("_n").alias("readings"),
         F.sum(F.when(F.col("_ok"), F.col("_n")).otherwise(0)).cast("bigint")
         .alias("available_readings"))
-    names = turbine_dim.select("turbine_id", "turbine_name", "region")
-    return agg.join(names, "turbine_id", "left").select(
+    return _named(agg, turbine_dim).select(
         "turbine_id", "turbine_name", "region", "readings", "available_readings",
         from_units(div_half_away(F.col("available_readings") * 10000, F.col("readings")), 7, 4)
         .alias("availability"))

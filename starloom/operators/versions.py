@@ -11,7 +11,8 @@ fails at any earlier point leaves the version before it as it was; there is
 nothing to repair.  Partitions that a load does not touch are carried over
 by name, not copied.
 
-A root has one writer at a time; readers resolve the newest version when
+Spark's commit marks (``mapreduce.fileoutputcommitter.marksuccessfuljobs``)
+must not be switched off.  A root has one writer at a time; readers resolve the newest version when
 they plan a query and keep reading its folders, which ``expire`` removes
 only after a number of newer versions.  The rows of a version are bounded
 by tables x partitions (days), not by the data.

@@ -162,8 +162,8 @@ def fact_conditions(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("daily_totals")
 def daily_totals(spark: SparkSession, sf: str) -> DataFrame:
-    e = st.enriched(spark, sf)
-    return reports.daily_totals(star.build_facts(e)["fact_energy"], star.turbine_dim(e))
+    keyed = star.with_fact_keys(st.enriched(spark, sf))
+    return reports.daily_totals(star.fact_energy(keyed, *star.TURBINE_KEY))
 
 
 @register("condition_impact")
@@ -173,9 +173,8 @@ def condition_impact(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("availability")
 def availability(spark: SparkSession, sf: str) -> DataFrame:
-    e = st.enriched(spark, sf)
-    return reports.availability(star.build_facts(e)["fact_energy"], star.status_dim(e),
-                                star.turbine_dim(e), AVAILABLE_STATUS)
+    keyed = star.with_fact_keys(st.enriched(spark, sf))
+    return reports.availability(star.fact_energy(keyed, *star.TURBINE_KEY, "status"), AVAILABLE_STATUS)
 
 
 # --- keyed upserts ----------------------------------------------------------

@@ -134,3 +134,14 @@ def test_readings_of_a_hot_user_are_split(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_reports_over_the_star_equal_those_over_the_readings(spark):
+    from starloom.operators import star
+    e = cut_lineage(st.enriched(spark, SF001))
+    fact, dims = star.build_facts(e)["fact_energy"], star.build_dimensions(e)
+    carried = star.fact_energy(star.with_fact_keys(e), *star.TURBINE_KEY, "status")
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(reports.daily_totals(fact, dims["turbine_dim"])) == rows(reports.daily_totals(carried))
+    assert rows(reports.availability(fact, "BUILDING", dims["status_dim"], dims["turbine_dim"])) \
+        == rows(reports.availability(carried, "BUILDING"))

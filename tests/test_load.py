@@ -143,11 +143,13 @@ def test_late_weather_reaches_gold(spark):
     payloads = write_payloads(spark, SF001)
     _write_day(spark, f"{root}/a", "2024-01-15", [(1, "10-00-00")], region="click")
     spark.read.json(payloads).where("date > '2024-01-20'").write.json(f"{root}/early")
-    run_day_load(spark, f"{root}/a", f"{root}/early", f"{root}/out")
+    done = {r.table: r for r in run_day_load(spark, f"{root}/a", f"{root}/early", f"{root}/out")}
+    assert done["fact_weather"].dropped == 1 and done["fact_energy"].dropped == 0
     tables = Tables(spark, f"{root}/out")
     assert tables.read("silver_enriched").where("weather_id is not null").count() == 0 and not tables.exists("fact_weather")
     _write_day(spark, f"{root}/b", "2024-01-16", [(2, "10-00-00")], region="click")
-    run_day_load(spark, f"{root}/b", payloads, f"{root}/out")
+    done = {r.table: r for r in run_day_load(spark, f"{root}/b", payloads, f"{root}/out")}
+    assert done["fact_weather"].dropped == 0
     tables = Tables(spark, f"{root}/out")
     assert tables.read("silver_enriched").where("weather_id is not null").count() == 2
     assert tables.read("fact_weather").count() == 2
