@@ -28,12 +28,14 @@ squared distance would not fit a long stops the job with an error.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.words import mix
 from starloom.session import cut_lineage
@@ -130,8 +132,23 @@ class CellMemo:
         return near <= far.min(axis=1, keepdims=True)
 
 
-def integers(batch: pa.RecordBatch, dim: int) -> np.ndarray:
-    return batch.column("ints").flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dim)
+def usable(batch: pa.RecordBatch, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the usable vectors of a batch, and floor(256 x) of them."""
+    lists = batch.column("vec")
+    at = lists.offsets.to_numpy()
+    rows = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False) & (np.diff(at) == dim))
+    values = lists.values.to_numpy(zero_copy_only=False)  # a null component is NaN
+    x = values[at[rows][:, None] + np.arange(dim)]
+    finite = np.isfinite(x).all(axis=1)
+    return rows[finite], whole_numbers(x[finite], dim)
+
+
+def whole_numbers(x: np.ndarray, dim: int) -> np.ndarray:
+    x = np.floor(x.astype(np.float64) * SCALE)
+    # dim * (2 * most)**2 stays below 2**62.
+    if len(x) and np.abs(x).max() >= math.floor(math.sqrt(2**58 / dim)):
+        raise ValueError("a vector component is too large for exact squared distances")
+    return x.astype(np.int64)
 
 
 def sums_of_entries(books: np.ndarray) -> Callable:
@@ -142,8 +159,8 @@ def sums_of_entries(books: np.ndarray) -> Callable:
         total = np.zeros(books.shape, np.int64)
         many = np.zeros((parts, entries), np.int64)
         for batch in batches:
-            x = integers(batch, parts * width).reshape(-1, parts, width)
-            for p in range(parts):
+            x = usable(batch, parts * width)[1].reshape(-1, parts, width)
+            for p in range(parts if len(x) else 0):
                 entry, _ = memos[p].nearest(x[:, p])
                 np.add.at(total[p], entry, x[:, p])
                 many[p] += np.bincount(entry, minlength=entries)
@@ -162,7 +179,10 @@ def codes_of(books: np.ndarray) -> Callable:
         parts, _, width = books.shape
         memos = [CellMemo(b) for b in books]
         for batch in batches:
-            x = integers(batch, parts * width).reshape(-1, parts, width)
+            rows, x = usable(batch, parts * width)
+            if not len(rows):
+                continue
+            x = x.reshape(-1, parts, width)
             code = np.zeros((len(x), parts), np.uint8)
             error = np.zeros(len(x), np.int64)
             for p in range(parts):
@@ -171,23 +191,22 @@ def codes_of(books: np.ndarray) -> Callable:
                 error += distance
             text, n = code.tobytes().hex(), 2 * parts
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("label"),
+                [batch.column("vec_id").take(pa.array(rows)), batch.column("label").take(pa.array(rows)),
                  pa.array([text[i:i + n] for i in range(0, n * len(x), n)], pa.string()),
                  pa.array(error, pa.int64())], ["vec_id", "label", "code", "error"])
     return run
 
 
-def integer_vectors(vectors: DataFrame, parts: int, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """``vec_id, label, ints`` of the rows whose vector can be cut into the parts."""
-    src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"),
-                         F.col(vec_col).cast("array<double>").alias("vec"))
-    finite = F.expr("forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))")
-    usable = finite & (F.size("vec") > 0) & (F.size("vec") % parts == 0)
-    # dim * (2 * most)**2 stays below 2**62.
-    most = F.floor(F.sqrt(F.lit(float(2**58)) / F.size("vec")))
-    fits = F.transform("vec", lambda x: F.when(F.abs(x) * SCALE < most, F.floor(x * F.lit(float(SCALE)))).otherwise(
-        F.raise_error(F.lit("a vector component is too large for exact squared distances")).cast("long")))
-    return src.where(F.coalesce(usable, F.lit(False))).select("vec_id", "label", fits.alias("ints"))
+def smallest_vectors(src: DataFrame, parts: int, entries: int) -> np.ndarray:
+    """The usable vectors of the smallest ids, all of one length."""
+    finite = F.forall("vec", lambda x: x.isNotNull() & ((x - x) == 0))
+    ok = src.where(F.coalesce((F.size("vec") > 0) & (F.size("vec") % parts == 0) & finite, F.lit(False)))
+    order = [F.col("vec_id").asc_nulls_last(), "vec"]
+    first = [r.vec for r in ok.orderBy(*order).limit(entries).select("vec").collect()]
+    if any(len(v) != len(first[0]) for v in first):
+        same = ok.where(F.size("vec") == len(first[0]))
+        first = [r.vec for r in same.orderBy(*order).limit(entries).select("vec").collect()]
+    return np.array(first, np.float64)
 
 
 def vector_codes(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rounds: int = ROUNDS,
@@ -198,16 +217,16 @@ def vector_codes(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES,
     if no vector is usable."""
     if not 0 < entries <= 256:
         raise ValueError("a code has two hexadecimal digits: 1 to 256 entries")
-    src = integer_vectors(vectors, parts, id_col, vec_col, label_col)
-    order = [F.col("vec_id").asc_nulls_last(), "ints"]
-    least = src.orderBy(*order).limit(1).select(F.size("ints")).collect()
+    of = vectors.schema[vec_col].dataType.elementType
+    vec = F.col(vec_col) if isinstance(of, T.FloatType | T.DoubleType) else F.col(vec_col).cast("array<double>")
+    src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), vec.alias("vec"))
     label_type = src.schema["label"].dataType.simpleString()
     schema = f"vec_id long, label {label_type}, code string, error long"
-    if not least:
-        return src.select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error")), None
-    dim = least[0][0]
-    src = src.where(F.size("ints") == dim)
-    first = np.array([r.ints for r in src.orderBy(*order).limit(entries).select("ints").collect()], np.int64)
+    first = smallest_vectors(src, parts, entries)
+    if not len(first):
+        return src.where("false").select("vec_id", "label", F.lit("").alias("code"), F.lit(0).cast("long").alias("error")), None
+    dim = first.shape[1]
+    first = whole_numbers(first, dim)
     books = np.ascontiguousarray(first.reshape(len(first), parts, dim // parts).transpose(1, 0, 2))
     for _ in range(rounds):
         sums = src.mapInArrow(sums_of_entries(books), "part int, entry int, place int, n long, total long") \
