@@ -37,17 +37,24 @@ def zoned_spine(days: DataFrame, zone_col: str, date_col: str = "date", step_min
     an hour and 10 minutes).  Adds ``ts_utc``, ``ts`` (local wall clock),
     ``time`` and ``again`` (the wall clock shows this time for the second time
     that day)."""
-    def utc(date: Column) -> Column:
-        return F.to_timestamp_ntz(F.to_utc_timestamp(day_start(date).cast("timestamp"), F.col(zone_col)))
-
     step = F.expr(f"INTERVAL {step_minutes} MINUTES")
     grid = days.withColumn("ts_utc", F.explode(F.sequence(
-        utc(F.col(date_col)), utc(F.date_add(F.col(date_col), 1)) - step, step)))
+        day_start_utc(date_col, zone_col), day_start_utc(F.date_add(F.col(date_col), 1), zone_col) - step, step)))
+    return with_wall_clock(grid, zone_col, date_col)
+
+
+def day_start_utc(date: Column | str, zone_col: str) -> Column:
+    """The instant at which a local day begins."""
+    return F.to_timestamp_ntz(F.to_utc_timestamp(day_start(date).cast("timestamp"), F.col(zone_col)))
+
+
+def with_wall_clock(grid: DataFrame, zone_col: str, date_col: str = "date") -> DataFrame:
+    """Adds ``ts``, ``time`` and ``again`` (see ``zoned_spine``) to points ``ts_utc`` of local days."""
     grid = grid.withColumn("ts", to_local("ts_utc", zone_col))
     # Repeated: the offset is smaller than at the day's beginning and the clock
     # has been set back over this time.
     ahead = F.timestamp_diff("MINUTE", F.col("ts_utc"), F.col("ts"))
-    start = utc(F.col(date_col))
+    start = day_start_utc(date_col, zone_col)
     first = F.timestamp_diff("MINUTE", start, to_local(start, zone_col))
     earlier = to_local(F.timestamp_add("MINUTE", ahead - first, F.col("ts_utc")), zone_col)
     return grid.withColumns({"time": time_text("ts"), "again": (ahead < first) & (earlier == F.col("ts"))})

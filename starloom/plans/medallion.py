@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.functions.calendar import time_text, with_time_attributes
+from starloom.functions.calendar import with_time_attributes
 from starloom.functions.keys import stable_key
 from starloom.functions.lineage import new_batch_id
 from starloom.operators import star
@@ -39,7 +39,7 @@ from starloom.operators.load import (LoadResult, require_unique, stage_days, sta
 from starloom.operators.registry import assign_ids
 from starloom.operators.report_state import IMPACT_KEYS, TOTAL_KEYS, daily_total_state, impact_state
 from starloom.operators.rules import contract_rules, length_rules, narrowest, split_rows
-from starloom.operators.timeseries import interpolate_day_grid
+from starloom.operators.timeseries import interpolate, with_wall_clock, zoned_spine
 from starloom.operators.versions import Tables
 from starloom.session import cut_lineage
 from starloom.sources.csv import (DAY_COLUMN, FILE_ORDER, parse_production, read_all,
@@ -53,12 +53,19 @@ SOURCE_LABEL = "weather-archive"
 
 
 def bronze_weather(payloads: DataFrame) -> DataFrame:
-    """Weather grid rows, not yet cast to the bronze contract."""
+    """Weather grid rows, not yet cast to the bronze contract.
+
+    Samples meet the grid on the UTC axis, so values are linear in time also
+    on a day on which the zone changes its offset.  Such a day has fewer slots,
+    or a wall-clock time twice: its first one is kept, as slots are named by
+    their wall clock."""
     hourly = payload_rows(payloads)
-    keys = ["region", "region_name", "latitude", "longitude", "date"]
-    w = interpolate_day_grid(hourly, keys, "date", "ts", VARIABLES, 10, scale=2)
-    return w.withColumns({"time": time_text("ts"), "ingested_at": F.current_timestamp(),
-                          "source_api": F.lit(SOURCE_LABEL)})
+    keys = ["region", "region_name", "latitude", "longitude", "timezone", "date"]
+    grid = zoned_spine(hourly.select(*keys).distinct(), "timezone")
+    w = interpolate(hourly, grid, keys, "ts_utc", VARIABLES, scale=2)
+    w = with_wall_clock(w, "timezone").where(~F.col("again"))
+    return w.drop("ts_utc", "timezone", "again").withColumns(
+        {"ingested_at": F.current_timestamp(), "source_api": F.lit(SOURCE_LABEL)})
 
 
 def silver_weather(bronze: DataFrame) -> DataFrame:

@@ -62,7 +62,7 @@ def payload_rows(payloads: DataFrame, variables: Sequence[str] = VARIABLES) -> D
                     F.inline(zipped))
     rows = rows.withColumn("ts", to_local("ts_utc", "timezone"))
     return rows.select(
-        "region", "region_name", "latitude", "longitude", "ts_utc", "ts",
+        "region", "region_name", "timezone", "latitude", "longitude", "ts_utc", "ts",
         F.to_date("ts").alias("date"),
         *[nan_to_null(v).alias(v) for v in variables])
 

@@ -112,3 +112,26 @@ def test_long_series_are_spread_by_hour(spark):
         "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(id as int), 0)").alias("ts"),
         F.expr("cast(id % 2 as string)").alias("state"))
     assert state_intervals(df, ["unit"], "ts", "state").count() == 2000
+
+
+def test_weather_of_days_with_a_clock_change(spark):
+    """Hourly payloads of a zone's local days: linear in time, slots named by the wall clock."""
+    from starloom.plans.medallion import bronze_weather
+    from starloom.sources.payload import PAYLOAD_SCHEMA
+    zone, rows = ZoneInfo("America/New_York"), []
+    for day in (dt.date(2024, 3, 10), dt.date(2024, 11, 3), dt.date(2024, 6, 1)):
+        lo, hi = (int(dt.datetime(d.year, d.month, d.day, tzinfo=zone).timestamp()) for d in (day, day + dt.timedelta(days=1)))
+        n = (hi - lo) // 3600
+        values = [float(k * 6) for k in range(n)]
+        rows.append(("A", "a", zone.key, str(day), "ok", 0.0, 0.0, (lo, hi, 3600, values, values, None)))
+    out = bronze_weather(spark.createDataFrame(rows, PAYLOAD_SCHEMA)).collect()
+    by = {}
+    for r in out:
+        by.setdefault(str(r.date), {})[r.time] = r.wind_gusts_10m
+    assert {d: len(v) for d, v in by.items()} == {"2024-03-10": 138, "2024-11-03": 144, "2024-06-01": 144}
+    assert len(out) == 138 + 144 + 144
+    spring, autumn = by["2024-03-10"], by["2024-11-03"]
+    # One value a ten minutes since midnight; held after the last sample.
+    assert spring["01:50:00"] == 11 and spring["03:00:00"] == 12 and "02:00:00" not in spring
+    assert spring["23:00:00"] == 132 == spring["23:50:00"]
+    assert autumn["01:30:00"] == 9 and autumn["02:00:00"] == 18 and autumn["23:00:00"] == 144
