@@ -339,6 +339,48 @@ def test_packing_loss_column(spark):
     assert packing.pack_documents(frame(spark, []), word_bpe()).count() == 0
 
 
+def brute_bins(pieces, limits, min_cut):
+    """Bins of (document, start, tokens, loss), filled by the rule in the module's words."""
+    pieces, bins = list(pieces), []
+    while pieces:
+        left, chosen = list(limits), []
+        while pieces and left[1]:
+            fits = [p for p in pieces if p[2] <= left[0] and p[3] <= left[2]]
+            if not fits:
+                break
+            # Ties of doubles go to the first piece.
+            best = max(fits, key=lambda p: p[2] * (left[0] / limits[0]**2) + left[1] / limits[1]**2
+                       + p[3] * (left[2] / limits[2]**2))
+            pieces.remove(best)
+            chosen.append(best)
+            left = [left[0] - best[2], left[1] - 1, left[2] - best[3]]
+        if pieces and left[1] and left[0] >= min_cut:  # fill the gap with a part of the largest piece
+            big = max(pieces, key=lambda p: p[2])
+            n = min(left[0], big[2] - 1)
+            loss = max(0, n - (big[2] - big[3]))  # tokens without loss come first
+            if n and loss <= left[2]:
+                chosen.append((big[0], big[1], n, loss))
+                pieces[pieces.index(big)] = (big[0], big[1] + n, big[2] - n, big[3] - loss)
+        bins.append(chosen)
+    return bins
+
+
+def test_the_choice_of_pieces_equals_brute_force():
+    rng = random.Random(6)
+    for limits, min_cut in (((64, 5, 64), 8), ((64, 5, 20), 8), ((100, 3, 50), 1), ((37, 50, 37), 64)):
+        packer = packing.Packer(*limits, min_cut=min_cut, pool=10**6)
+        pieces = []
+        for doc in range(120):
+            n = rng.randint(1, limits[0] - 1)
+            loss = rng.randint(0, min(n, limits[2]))
+            pieces.append((doc, 0, n, loss))
+            assert list(packer.add(packing.Piece(doc, 0, n, np.arange(n), n - loss))) == []
+        got = [[(p.doc, p.start, len(p.ids), p.loss) for p in b] for b in packer.pack(0)]
+        assert got == brute_bins(pieces, limits, min_cut)
+        for b in got:
+            assert sum(x[2] for x in b) <= limits[0] and len(b) <= limits[1] and sum(x[3] for x in b) <= limits[2]
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline(spark, tmp_path):
