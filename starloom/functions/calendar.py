@@ -72,10 +72,15 @@ def day_part(hour: Column | str) -> Column:
     return expr.otherwise(DAY_PART_DEFAULT)
 
 
+def parse_dash_clock(text: Column | str) -> Column:
+    """``HH-mm-ss`` (or short ``H-m-s``) text -> a timestamp that shows this
+    time; NULL when the text is not a valid time of day, e.g. ``24-00-00`` (O-58)."""
+    return F.try_to_timestamp(_c(text), F.lit(DASH_TIME))
+
+
 def parse_dash_time(text: Column | str) -> Column:
-    """``HH-mm-ss`` (or short ``H-m-s``) text -> ``HH:mm:ss``; NULL when
-    the text is not a valid time of day, e.g. ``24-00-00`` (O-58)."""
-    return F.date_format(F.try_to_timestamp(_c(text), F.lit(DASH_TIME)), TIME_TEXT)
+    """``HH-mm-ss`` (or short ``H-m-s``) text -> ``HH:mm:ss`` (O-58)."""
+    return time_text(parse_dash_clock(text))
 
 
 def parse_iso_date(text: Column | str) -> Column:
@@ -89,13 +94,15 @@ def compose_event_time(date_text: Column | str, dash_time_text: Column | str) ->
     Components are parsed separately so that short forms such as ``7-5-3``
     are accepted and an invalid part gives NULL instead of failing the
     whole file under ANSI mode."""
-    d = parse_iso_date(date_text)
-    t = F.try_to_timestamp(_c(dash_time_text), F.lit(DASH_TIME))
-    return F.when(
-        d.isNotNull() & t.isNotNull(),
-        F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
-                             F.hour(t), F.minute(t), F.second(t)),
-    )
+    return event_time(parse_iso_date(date_text), parse_dash_clock(dash_time_text))
+
+
+def event_time(date: Column | str, clock: Column | str) -> Column:
+    """Event timestamp from a date and a timestamp that shows the time of day;
+    NULL when one of them is."""
+    t = _c(clock)
+    seconds = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+    return F.timestamp_add("SECOND", seconds, _c(date).cast("timestamp_ntz"))
 
 
 def time_for_sink(date: Column | str, time_txt: Column | str) -> Column:

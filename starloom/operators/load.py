@@ -19,9 +19,10 @@ insert/update counters, partition-scoped rewrites and one switch per step
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,13 @@ class LoadResult:
         return self.processed - self.inserted
 
 
+def at_once(*steps: Callable) -> list:
+    """Results of independent steps, whose jobs share the cluster (one thread
+    each, so that no step leaves cores idle at its end)."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return [j.result() for j in [pool.submit(s) for s in steps]]
+
+
 class IntegrityError(RuntimeError):
     pass
 
@@ -88,6 +96,11 @@ def check_repeats(name: str, most: int) -> None:
         raise IntegrityError(f"keys that occur more than once: {name}")
 
 
+def most_repeats(rows: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the most frequent key; a key with a NULL part is like no other."""
+    return rows.select(*keys).dropna().groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def _moved_from(target: DataFrame, source: DataFrame, keys: Sequence[str], part: str) -> list:
     """Partitions of target rows whose key occurs in the source: one value per
     partition (bounded by the calendar), to become a choice of folders."""
@@ -147,18 +160,18 @@ def stage_replacement(tables: Tables, name: str, source: DataFrame, keys: Sequen
                       values: Sequence[str], contract: str | None = None) -> LoadResult:
     """Stage ``source``, one row per key, as the whole content of the partitions ``values``.
 
-    The counters compare its keys with those of the content replaced."""
-    gate, seen = Gate(contract), Observation()
-    deduped = dedupe_last(gate.watch(source), keys, count_as=ROWS)
-    sizes = [F.sum(ROWS).alias("processed"), F.max(ROWS).alias("most")]
-    written = tables.write(name, deduped, partition_col, keys, (seen, sizes), [ROWS])
+    The rows are written as they come; that no key repeats is checked on the
+    written keys, so whole rows are neither sorted nor moved for it.  The
+    counters compare its keys with those of the content replaced."""
+    gate = Gate(contract)
+    written = tables.write(name, gate.watch(source), partition_col, keys)
     values = sorted(map(part_text, values))
     if not set(written) <= set(values):
         raise IntegrityError(f"{name}: rows outside the partitions to replace: {sorted(set(written) - set(values))}")
     rows, updated, deleted = tables.count(written), 0, 0
     if rows:
         gate.check()
-        check_repeats(name, seen.get["most"])
+        check_repeats(name, most_repeats(tables.open(written), keys))
     old = sorted(tables.partitions(name) & set(values))
     if old:
         before = tables.read(name, old).select(*keys)
@@ -166,13 +179,14 @@ def stage_replacement(tables: Tables, name: str, source: DataFrame, keys: Sequen
             updated = before.join(tables.open(written).select(*keys), list(keys), "left_semi").count()
         deleted = before.count() - updated
     tables.stage(name, written, values)
-    return LoadResult(name, seen.get["processed"] if rows else 0, rows - updated, updated, deleted=deleted, touched=values)
+    return LoadResult(name, rows, rows - updated, updated, deleted=deleted, touched=values)
 
 
-def stage_days(tables: Tables, name: str, rows: DataFrame, partition_col: str, days: Sequence[str]) -> None:
+def stage_days(tables: Tables, name: str, rows: DataFrame, partition_col: str, days: Sequence[str],
+               clustered: bool = False) -> None:
     """Full refresh (O-11): ``rows`` become the whole content of the partitions
-    ``days``; a day without rows goes."""
-    tables.stage(name, tables.write(name, rows, partition_col), days)
+    ``days``; a day without rows goes.  ``clustered``: see ``Tables.write``."""
+    tables.stage(name, tables.write(name, rows, partition_col, clustered=clustered), days)
 
 
 def upsert_table(spark: SparkSession, root: str, name: str, source: DataFrame, keys: Sequence[str],
@@ -282,9 +296,7 @@ def stage_star(tables: Tables, dims: dict[str, DataFrame], facts: dict[str, Data
             return stage_upsert(tables, n, facts[n], PRIMARY_KEYS[n], partition_col="date_id", contract=n)
         return stage_replacement(tables, n, facts[n], PRIMARY_KEYS[n], "date_id", dates, contract=n)
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        jobs = [pool.submit(dim, n) for n in dims] + [pool.submit(fact, n) for n in facts]
-        results = [j.result() for j in jobs]
+    results = at_once(*[partial(dim, n) for n in dims], *[partial(fact, n) for n in facts])
     seen = {r.table: r for r in results if tables.exists(r.table)}
     if set(FACT_FKS) <= set(seen):
         require_foreign_keys({n: tables.read(n, seen[n].touched) for n in FACT_FKS},

@@ -93,8 +93,20 @@ def location_dim(enriched: DataFrame, key_fn: KeyFn = stable_key, collapse: bool
     return dimension(enriched, "location_dim", key_fn, collapse)
 
 
-def build_dimensions(enriched: DataFrame, key_fn: KeyFn = stable_key) -> dict[str, DataFrame]:
-    return {name: dimension(enriched, name, key_fn) for name in NATURAL_KEYS}
+def distinct_things(enriched: DataFrame) -> DataFrame:
+    """The distinct attributes of turbines, states and locations together: a
+    hashed aggregate over the readings, after which the dimensions with hashed
+    ids need no reading any more."""
+    return enriched.select(*dict.fromkeys([*TURBINE_ATTRS, *STATUS_ATTRS, *LOCATION_ATTRS])).distinct()
+
+
+def build_dimensions(enriched: DataFrame, key_fn: KeyFn = stable_key,
+                     things: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every dimension; ``things``: the stored ``distinct_things(enriched)``."""
+    def rows(name: str) -> DataFrame:
+        return enriched if things is None or name in ("date_dim", "time_dim") else things
+
+    return {name: dimension(rows(name), name, key_fn) for name in NATURAL_KEYS}
 
 
 def key_lookup(fact: DataFrame, dim: DataFrame, attrs: Sequence[str], key: str,

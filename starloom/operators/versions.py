@@ -88,17 +88,21 @@ class Tables:
         return set(self.parts.get(table, {}))
 
     def write(self, table: str, df: DataFrame, partition_col: str | None = None, sort: Sequence[str] = (),
-              counts: tuple[Observation, Sequence[Column]] | None = None, drop: Sequence[str] = ()) -> dict[str, str]:
+              counts: tuple[Observation, Sequence[Column]] | None = None, drop: Sequence[str] = (),
+              clustered: bool = False) -> dict[str, str]:
         """Write the rows to a folder of their own and return the folder of each partition.
 
         Clustered by partition (AQE splits large ones), so a day gets few
         files however many tasks there are; sorted inside each file, so that
         Parquet statistics stay tight for later key lookups.  ``counts`` is
         observed in the last stage, where a task that is run again counts
-        once; then the columns ``drop`` go."""
+        once; then the columns ``drop`` go.  ``clustered``: few tasks hold rows
+        of a partition as it is (a scan of files of one day each), so rows stay
+        where they are."""
         folder = f"{table}/{uuid.uuid4().hex}"
         if partition_col is not None:
-            df = df.withColumn(PART, F.col(partition_col).cast("string")).hint("rebalance", F.col(PART))
+            df = df.withColumn(PART, F.col(partition_col).cast("string"))
+            df = df if clustered else df.hint("rebalance", F.col(PART))
             sort = [PART, *(k for k in sort if k != partition_col)]
         df = df.sortWithinPartitions(*sort) if sort else df
         df = df.observe(counts[0], *counts[1]) if counts else df

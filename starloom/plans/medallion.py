@@ -34,8 +34,8 @@ from starloom.operators import star
 from starloom.operators.cleanse import silver_production
 from starloom.operators.contracts import BRONZE_WEATHER, SILVER_WEATHER, cast_to_contract
 from starloom.operators.enrich import JOIN_KEYS, enrich
-from starloom.operators.load import (LoadResult, require_unique, stage_days, stage_replacement, stage_star,
-                                     stage_upsert)
+from starloom.operators.load import (LoadResult, at_once, require_unique, stage_days, stage_replacement,
+                                     stage_star, stage_upsert)
 from starloom.operators.registry import assign_ids
 from starloom.operators.report_state import IMPACT_KEYS, TOTAL_KEYS, daily_total_state, impact_state
 from starloom.operators.rules import contract_rules, length_rules, narrowest, split_rows
@@ -95,12 +95,13 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     parsed = cut_lineage(parse_production(raw), "parsed")
     good, bad = split_quarantine(parsed)
     days = [r[0] for r in parsed.select(DAY_COLUMN).distinct().collect()]  # one per file day
-    stage_days(tables, "quarantine", bad, DAY_COLUMN, days)
-    stage_days(tables, "bronze_production", to_bronze(good, batch_id), DAY_COLUMN, days)
+    grid, *_ = at_once(
+        lambda: cut_lineage(bronze_weather(payloads), "weather-grid"),
+        lambda: stage_days(tables, "quarantine", bad, DAY_COLUMN, days, clustered=True),
+        lambda: stage_days(tables, "bronze_production", to_bronze(good, batch_id), DAY_COLUMN, days, clustered=True))
     bronze = tables.read("bronze_production", days) if tables.exists("bronze_production") else to_bronze(good, batch_id)
 
     # 2. bronze weather
-    grid = cut_lineage(bronze_weather(payloads), "weather-grid")
     weather_days = [r[0] for r in grid.select("date").distinct().collect()]  # one per day
     limits = narrowest(("silver_weather", "turbine_dim", "location_dim"))
     grid, unfit = split_rows(grid, contract_rules("bronze_weather", grid)
@@ -109,14 +110,20 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
     stage_days(tables, "bronze_weather", cast_to_contract(grid, BRONZE_WEATHER), "date", weather_days)
 
     # 3. silver
-    production = stage_upsert(tables, "silver_production", silver_production(bronze, keep=FILE_ORDER),
-                              ["production_id"], FILE_ORDER, partition_col="date", newer_only=True,
-                              contract="silver_production")
+    def stage_production() -> LoadResult:
+        return stage_upsert(tables, "silver_production", silver_production(bronze, keep=FILE_ORDER),
+                            ["production_id"], FILE_ORDER, partition_col="date", newer_only=True,
+                            contract="silver_production")
+
     slots = silver_weather(cast_to_contract(grid, BRONZE_WEATHER))
-    known = tables.read("silver_weather").select(*SLOT, "weather_id") if tables.exists("silver_weather") else None
-    ids = assign_ids(slots, SLOT, "weather_id", known)
-    weather = stage_upsert(tables, "silver_weather", slots.drop("weather_id").join(ids, SLOT), SLOT, partition_col="date",
-                           keep_from_target=["weather_id"], contract="silver_weather")
+
+    def stage_weather() -> LoadResult:
+        known = tables.read("silver_weather").select(*SLOT, "weather_id") if tables.exists("silver_weather") else None
+        ids = assign_ids(slots, SLOT, "weather_id", known)
+        return stage_upsert(tables, "silver_weather", slots.drop("weather_id").join(ids, SLOT), SLOT,
+                            partition_col="date", keep_from_target=["weather_id"], contract="silver_weather")
+
+    production, weather = at_once(stage_production, stage_weather)
     out += [production, weather]
     if not tables.exists("silver_production"):
         tables.publish()
@@ -139,12 +146,15 @@ def run_day_load(spark: SparkSession, csv_root: str, payload_root: str, root: st
 
     # 5. gold: the facts of those dates are their whole new content
     e = tables.read("silver_enriched", dates)
-    out += stage_star(tables, star.build_dimensions(e), star.build_facts(e, for_load=True), dates)
+    things = cut_lineage(star.distinct_things(e), "things")
+    # and 6. the reports' states of those dates
+    loaded, bare, *_ = at_once(
+        lambda: stage_star(tables, star.build_dimensions(e, things=things), star.build_facts(e, for_load=True), dates),
+        lambda: e.where("weather_id is null").count(),
+        lambda: stage_replacement(tables, "report_totals", daily_total_state(e), TOTAL_KEYS, "date", dates),
+        lambda: stage_replacement(tables, "report_impact", impact_state(e), IMPACT_KEYS, "date", dates))
+    out += loaded
     # Readings without weather are in the energy fact only.
-    next(r for r in out if r.table == "fact_weather").dropped = e.where("weather_id is null").count()
-
-    # 6. the reports' states of those dates
-    stage_replacement(tables, "report_totals", daily_total_state(e), TOTAL_KEYS, "date", dates)
-    stage_replacement(tables, "report_impact", impact_state(e), IMPACT_KEYS, "date", dates)
+    next(r for r in out if r.table == "fact_weather").dropped = bare
     tables.publish()
     return out

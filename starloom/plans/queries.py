@@ -593,12 +593,12 @@ STREAM_FILES_PER_BATCH = 40
 def medallion_load(spark: SparkSession, sf: str) -> DataFrame:
     """bronze -> silver -> gold over every day of the files; counters per
     table (processed, inserted, updated, avoided)."""
-    from starloom.operators.load import results_frame
+    from starloom.operators.load import at_once, results_frame
     from starloom.plans.fixtures import write_payloads, write_production_csv
     from starloom.plans.medallion import run_day_load
     from starloom.session import scratch_path
-    csv_root = write_production_csv(spark, sf, broken=True)
-    payload_root = write_payloads(spark, sf)
+    csv_root, payload_root = at_once(lambda: write_production_csv(spark, sf, broken=True),
+                                     lambda: write_payloads(spark, sf))
     res = run_day_load(spark, csv_root, payload_root, scratch_path(spark, "medallion"))
     return results_frame(spark, [(1, r) for r in res])
 

@@ -64,7 +64,7 @@ _K = "CAST(get_json_object(props, '$.k') AS INT)"
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned production rows (silver contract + ``measured_at``)."""
     ev = read_table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
+        "event_id", "ts", "user_id", "event_type", "value", F.expr(_K).alias("_k"))
     reg = turbine_register(spark, sf_dir)
     j = ev.join(reg, "user_id", "left")
     compass = ", ".join(f"'{c}'" for c in COMPASS)
@@ -76,8 +76,8 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('U', CAST(user_id AS STRING)) AS turbine_name",
         "capacity", "location_name", "latitude", "longitude",
         "event_type AS region", "status", "responsible_department",
-        f"CAST(CAST({_K} AS DECIMAL(6,2)) * 0.1BD AS DECIMAL(6,2)) AS wind_speed",
-        f"element_at(array({compass}), pmod({_K}, 8) + 1) AS wind_direction",
+        "CAST(CAST(_k AS DECIMAL(6,2)) * 0.1BD AS DECIMAL(6,2)) AS wind_speed",
+        f"element_at(array({compass}), pmod(_k, 8) + 1) AS wind_direction",
         "CAST(value AS DECIMAL(12,2)) AS energy_produced",
     )
     return with_time_attributes(df, "_slot").drop("_slot")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from starloom.functions.calendar import compose_event_time, parse_dash_time, parse_iso_date
+from starloom.functions.calendar import event_time, parse_dash_clock, parse_iso_date, time_text
 from starloom.functions.lineage import new_batch_id
 from starloom.functions.measures import to_decimal
 from starloom.operators.contracts import RAW_PRODUCTION_CSV
@@ -178,29 +178,34 @@ def parse_production(raw: DataFrame) -> DataFrame:
     without a day (``no_day``) and a file of another layout (``missing_column``,
     ``unknown_column``, ``repeated_column``, with their names) send the row to
     quarantine."""
-    unfit = None
-    for c, (p, s) in MEASURES.items():
-        bad = F.col(c).isNotNull() & to_decimal(c, p, s).isNull()
-        unfit = bad if unfit is None else unfit | bad
-    too_long = broken_rules(length_rules({c: n for c, n in narrowest(ENTERED).items() if c in raw.columns}))
+    # Every text is parsed once; what follows refers to the result.
+    staged = raw.withColumns({"_date": parse_iso_date("date"), "_clock": parse_dash_clock("time"),
+                              **{f"_{c}": to_decimal(c, p, s) for c, (p, s) in MEASURES.items()}})
+    unfit = F.lit(False)
+    for c in MEASURES:
+        unfit = unfit | (F.col(c).isNotNull() & F.col(f"_{c}").isNull())
+    rules = length_rules({c: n for c, n in narrowest(ENTERED).items() if c in raw.columns})
+    too_long = F.lit(False)
+    for rule in rules.values():
+        too_long = too_long | F.coalesce(rule, F.lit(False))
     reason = (F.when(F.col(LAYOUT).isNotNull(), F.col(LAYOUT))
               .when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
               .when(F.col(DAY_COLUMN).isNull(), F.lit("no_day"))
               .when(F.col("production_id").isNull(), F.lit("missing_id"))
-              .when(parse_iso_date("date").isNull(), F.lit("bad_date"))
-              .when(parse_dash_time("time").isNull(), F.lit("bad_time"))
+              .when(F.col("_date").isNull(), F.lit("bad_date"))
+              .when(F.col("_clock").isNull(), F.lit("bad_time"))
               .when(unfit, F.lit("out_of_range"))
-              .when(F.size(too_long) > 0, F.concat(F.lit("too_long: "), F.array_join(too_long, ", "))))
-    measure = {c: to_decimal(c, p, s).alias(c) for c, (p, s) in MEASURES.items()}
-    return raw.select(
+              .when(too_long, F.concat(F.lit("too_long: "), F.array_join(broken_rules(rules), ", "))))
+    measure = {c: F.col(f"_{c}").alias(c) for c in MEASURES}
+    return staged.select(
         F.col("production_id").cast("bigint").alias("production_id"),
-        parse_iso_date("date").alias("date"),
-        parse_dash_time("time").alias("time"),
+        F.col("_date").alias("date"),
+        time_text("_clock").alias("time"),
         "turbine_name", "capacity", "location_name",
         measure["latitude"], measure["longitude"],
         "region", "status", "responsible_department",
         measure["wind_speed"], "wind_direction", measure["energy_produced"],
-        compose_event_time("date", "time").alias("measured_at"),
+        event_time("_date", "_clock").alias("measured_at"),
         DAY_COLUMN, MODIFIED_COLUMN, "source_file",
         F.col(CORRUPT), reason.alias("_reason"))
 
