@@ -6,8 +6,8 @@ on pieces: texts are cut where the tokenizer's own pattern always cuts
 (white space, around digits, between a Latin letter and ASCII
 punctuation), every distinct piece is encoded once, and the ids of a text
 are gathered from the pieces.  The memory of encoded pieces is bounded;
-it is keyed by a 64-bit hash, so at its bound of two million pieces two
-different ones share a hash with a probability below 2e-7.
+it is keyed by a 64-bit hash, so at its bound of one million pieces two
+different ones share a hash with a probability below 5e-8.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from starloom.llm.words import SPACES, hash_spans, text_bytes
 # The pre-tokenizer pattern and normalizer for which the piece rule holds (fixed values).
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
-KEEP_PIECES = 1 << 21
+KEEP_PIECES = 1 << 20
 JOIN_WORDS = 512
 
 LETTER, DIGIT, PUNCT, OTHER = 1, 2, 3, 0

@@ -39,6 +39,7 @@ from starloom.llm.words import Words, mix, slices, split_words, window_hashes
 WIDTH = 50
 CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
+PART_BYTES = 4 << 20
 BASE_1 = 0x5851F42D4C957F2D
 BASE_2 = 0x14057B7EF767814F | 1
 SECOND = np.uint64(0xA0761D6478BD642F)
@@ -71,7 +72,7 @@ def windows(chunk: pa.Table, width: int) -> Windows:
         ["doc_id", "text"])
     out = Windows([], [], [], *[[] for _ in range(5)])
     row = 0
-    for n, part in enumerate(slices(batch, "text")):
+    for n, part in enumerate(slices(batch, "text", PART_BYTES)):
         w = split_words(part.column("text"))
         own = part.column("doc_id")
         known = own.is_valid().to_numpy(zero_copy_only=False)

@@ -15,7 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+# The arrays of a slice take some thirty times its bytes.
+SLICE_BYTES = 1 << 20
 LONG_WORD = 256
 LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(8)] + [2**64 - 1], dtype=np.uint64)
 
